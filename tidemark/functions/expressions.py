@@ -99,7 +99,7 @@ def in_window(ts: Column | str, lo: date, hi: date) -> Column:
     c = _c(ts)
     lo_ts = datetime(lo.year, lo.month, lo.day)
     hi_ts = datetime(hi.year, hi.month, hi.day)
-    return (c >= F.lit(lo_ts).cast("timestamp_ntz")) & (c < F.lit(hi_ts).cast("timestamp_ntz"))
+    return (c >= ntz(lo_ts)) & (c < ntz(hi_ts))
 
 
 def ntz(value: datetime) -> Column:

@@ -118,3 +118,13 @@ def overlap_batch(log: DataFrame, ts_col: str, watermark: datetime, lag_minutes:
     """Rows strictly above ``watermark - lag``: the re-read window of one run."""
     lo = watermark - timedelta(minutes=lag_minutes)
     return log.filter(F.col(ts_col) > ntz(lo))
+
+
+def batch_stats(batch: DataFrame, ts_col: str) -> DataFrame:
+    """Row count and newest watermark value of a batch, in one aggregate."""
+    return batch.agg(F.count(F.lit(1)).alias("row_count"), F.max(ts_col).alias("batch_max"))
+
+
+def distinct_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Number of distinct keys (NULL keys count as one key, as in a GROUP BY)."""
+    return df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("distinct_keys"))

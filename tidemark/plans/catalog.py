@@ -183,3 +183,393 @@ def window_bounds(spark, d):
     days = fx.table(spark, d, "events").select(F.to_date("ts").alias("as_of")).distinct()
     lo, hi = window_bounds_col("as_of", CFG.window_months_back)
     return days.select("as_of", lo.alias("inicio_mes"), hi.alias("fim_mes"))
+
+
+# ---- scans, pulls, measurement ------------------------------------------------
+
+from datetime import date, datetime, timedelta  # noqa: E402
+
+from tidemark.config import DPD_BANDS, NO_DPD_LABEL, SEED_WATERMARK, default_sources  # noqa: E402
+from tidemark.functions.expressions import ntz  # noqa: E402
+from tidemark.operators import cost, layout, quality as dq, reconcile, textscan  # noqa: E402
+from tidemark.plans import control  # noqa: E402
+from tidemark.sources import jdbc  # noqa: E402
+
+SPECS = {s.table_name: s for s in default_sources(CFG)}
+PULL_WATERMARK = datetime(2024, 1, 29, 0, 0, 0)
+AS_OF_TS = datetime(2024, 2, 15, 0, 0, 0)
+_ATTR_COLS = ["case_id", "case_attribute_type_id", "case_attribute_value", "update_date", "ingest_seq"]
+
+
+@query
+def attribute_union(spark, d):
+    """H1: the two attribute row sets stacked by name."""
+    return fx.attributes_log(spark, d).select(*_ATTR_COLS)
+
+
+def _pulled(spark, d):
+    lagged = PULL_WATERMARK - timedelta(minutes=SPECS["dialer"].lag_minutes)
+    return jdbc.incremental_pull(fx.dialer_log(spark, d), SPECS["dialer"], lagged)
+
+
+@query
+def incremental_pull(spark, d):
+    """B1 + B3: dialer rows above the lagged watermark, in client scope."""
+    return _pulled(spark, d)
+
+
+@query
+def full_reload_pull(spark, d):
+    """The three-month full-window read the incremental pull replaces."""
+    return jdbc.full_reload_pull(fx.dialer_log(spark, d), SPECS["dialer"], "call_date", AS_OF_TS, 3)
+
+
+@query
+def partition_bounds(spark, d):
+    """A3: split-column bounds of the incremental window."""
+    return jdbc.partition_bounds(_pulled(spark, d), "case_id")
+
+
+@query
+def batch_stats(spark, d):
+    """Row count and newest update of the pulled batch, one pass."""
+    return changelog.batch_stats(_pulled(spark, d), "update_date")
+
+
+@query
+def extraction_cost(spark, d):
+    """L1: rows read by a full reload versus the incremental pull."""
+    return cost.extraction_cost(fx.dialer_log(spark, d), "call_date", "update_date", AS_OF_TS, PULL_WATERMARK,
+                                lag_minutes=15, months=3, scope=F.col("client_id").isin(*CFG.client_ids))
+
+
+@query
+def distinct_key_count(spark, d):
+    """Distinct contact ids in the contact change log."""
+    return changelog.distinct_key_count(fx.contacts_log(spark, d), ["contact_id"])
+
+
+def _scope(name: str):
+    """Source-side scope of each table (the same filter is applied to bronze)."""
+    return {
+        "cases": lambda: F.col("client_id").isin(*CFG.client_ids),
+        "case_attributes": lambda: F.col("case_attribute_type_id").isin(CFG.attr_type_provider, CFG.attr_type_dpd),
+        "dialer": lambda: F.col("client_id").isin(*CFG.client_ids),
+        "contacts": lambda: F.col("insert_user") != CFG.system_contact_user,
+    }[name]()
+_KEYS = {"cases": ("case_id",), "case_attributes": ("case_id", "case_attribute_type_id"),
+         "dialer": ("uniqueid",), "contacts": ("contact_id",)}
+
+
+@query
+def source_count(spark, d):
+    """In-scope rows per source table."""
+    out = None
+    for name, fn in fx.LOGS.items():
+        part = fn(spark, d).filter(_scope(name)).agg(F.count(F.lit(1)).alias("source_count")).select(
+            F.lit(name).alias("table"), "source_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ---- change log maintenance ---------------------------------------------------
+
+UPSERT_CUT = datetime(1999, 1, 1)
+
+
+@query
+def upsert_latest(spark, d):
+    """Latest state up to a cut, merged with the later changes = latest state overall."""
+    log = fx.contacts_log(spark, d).select(*_SRC_CONTACT_COLS)
+    before = log.filter(F.col("update_date") <= ntz(UPSERT_CUT))
+    after = log.filter(F.col("update_date") > ntz(UPSERT_CUT))
+    order = ["update_date", "ingest_seq"]
+    target = changelog.latest_per_key(before, ["contact_id"], order)
+    return changelog.upsert_latest(target, after, ["contact_id"], order)
+
+
+PRUNE_AS_OF = datetime(2001, 11, 4)
+PRUNE_RETENTION_H = 24 * 365
+
+
+@query
+def prune_superseded(spark, d):
+    """K3: newest version per contact plus every version inside the retention."""
+    log = fx.contacts_log(spark, d).select(*_SRC_CONTACT_COLS)
+    return changelog.prune_superseded(log, ["contact_id"], ["update_date", "ingest_seq"], "update_date",
+                                      PRUNE_AS_OF, PRUNE_RETENTION_H)
+
+
+@query
+def zorder_key(spark, d):
+    """K2: Morton key of (case_id, call day) on the dialer log, 8 bits each."""
+    log = fx.dialer_log(spark, d).select("uniqueid", "case_id", "call_date")
+    with_day = log.withColumn("call_day", layout.days_since("call_date", layout.DAY_ORIGIN))
+    (x, y), z = layout.zorder_columns(with_day, ["case_id", "call_day"], bits=8)
+    return with_day.select("uniqueid", "case_id", "call_day", x.alias("zx"), y.alias("zy"), z.alias("zkey"))
+
+
+# ---- control log -------------------------------------------------------------
+
+CONTROL_T0 = datetime(2024, 1, 1)
+
+
+def _runs(spark, d):
+    """Control-log runs derived from orders: one source per priority, one batch per 1000 order keys."""
+    o = fx.table(spark, d, "orders")
+    run_no = (F.col("o_orderkey") / F.lit(1000)).cast("long")
+    g = o.groupBy(F.col("o_orderpriority").alias("table_name"), run_no.alias("run_no")).agg(
+        F.max("o_orderdate").alias("last_watermark"), F.count(F.lit(1)).alias("rows_processed"))
+    return g.select(
+        "table_name", "run_no", "last_watermark", "rows_processed",
+        (ntz(CONTROL_T0) + F.make_dt_interval(F.lit(0), F.col("run_no").cast("int"))).alias("updated_at"),
+        F.lit("success").alias("run_status"),
+    )
+
+
+def _control_log(spark, d):
+    runs = _runs(spark, d).drop("run_no")
+    seeds = control.seed_rows(runs.select("table_name").distinct(), CONTROL_T0 - timedelta(days=1))
+    return seeds.unionByName(runs)
+
+
+@query
+def control_seed(spark, d):
+    """One ``initialized`` row per source at the seed watermark."""
+    return control.seed_rows(_runs(spark, d).select("table_name").distinct(), CONTROL_T0 - timedelta(days=1))
+
+
+@query
+def watermark_history(spark, d):
+    """Every run with the forward-only watermark in force after it."""
+    return control.watermark_history(_control_log(spark, d))
+
+
+@query
+def current_watermark(spark, d):
+    """G1: per source, watermark and the newest run's rows and status."""
+    return control.current_watermark(_control_log(spark, d))
+
+
+@query
+def watermark_with_lag(spark, d):
+    """I1 + C11-C13: read-from text per source, rewound 15 minutes, floored at the seed."""
+    return control.watermark_with_lag(control.current_watermark(_control_log(spark, d)), 15)
+
+
+@query
+def watermark_advance(spark, d):
+    """I2 + C14: per run, the watermark before, the batch max, the watermark after, and held batches."""
+    from pyspark.sql import Window
+    from tidemark.functions.expressions import forward_only
+
+    runs = _runs(spark, d)
+    w = Window.partitionBy("table_name").orderBy("updated_at").rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.coalesce(F.max("last_watermark").over(w), ntz(SEED_WATERMARK))
+    r = runs.select("table_name", "run_no", F.col("last_watermark").alias("batch_max"), prev.alias("before"))
+    return r.select("table_name", "run_no", "batch_max", "before",
+                    forward_only("batch_max", "before").alias("after"),
+                    F.when(F.col("batch_max") < F.col("before"), 1).otherwise(0).alias("held"))
+
+
+CONTROL_NOW = datetime(2024, 2, 15, 6, 0, 0)
+
+
+@query
+def control_mark_failed(spark, d):
+    """I3 + C16: a failure row per source, watermark unchanged, message cut to 200 characters."""
+    cur = control.current_watermark(_control_log(spark, d))
+    msg = F.concat(F.lit("source unreachable after "), F.col("rows_processed").cast("string"),
+                   F.lit(" rows: "), F.repeat(F.lit("timeout; "), 30))
+    return control.failure_rows(cur.withColumn("message", msg), "message", CONTROL_NOW)
+
+
+@query
+def watermark_guard(spark, d):
+    """B2: the watermark text guard over well-formed and malformed candidates per order date."""
+    days = fx.table(spark, d, "orders").select(F.col("o_orderdate").alias("ts")).distinct()
+    good = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    cands = F.array(
+        F.struct(F.lit("plain").alias("form"), good.alias("text")),
+        F.struct(F.lit("date_only").alias("form"), F.date_format("ts", "yyyy-MM-dd").alias("text")),
+        F.struct(F.lit("iso_t").alias("form"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("text")),
+        F.struct(F.lit("injection").alias("form"), F.concat(good, F.lit("' OR '1'='1")).alias("text")),
+        F.struct(F.lit("newline").alias("form"), F.concat(good, F.lit("\n")).alias("text")),
+        F.struct(F.lit("bad_month").alias("form"),
+                 F.concat(F.date_format("ts", "yyyy"), F.lit("-13-01 00:00:00")).alias("text")),
+    )
+    return days.select("ts", F.explode(cands).alias("c")).select(
+        "ts", "c.form", "c.text", jdbc.watermark_guard_col("c.text").alias("accepted"))
+
+
+# ---- data quality --------------------------------------------------------------
+
+BAND_LABELS = [b[2] for b in DPD_BANDS] + [NO_DPD_LABEL]
+
+# Declared checks per model (plain data; the oracle reads the same list).
+DQ_DECLARATIONS: dict[str, list] = {
+    "bronze.cases": [dq.not_null("case_id")],
+    "bronze.case_attributes": [dq.not_null("case_id")],
+    "bronze.dialer": [dq.not_null("uniqueid")],
+    "bronze.contacts": [dq.not_null("contact_id")],
+    "stg_cases": [dq.unique("case_id"), dq.not_null("case_id"), dq.not_null("client_id")],
+    "stg_case_attributes": [dq.unique("case_id"), dq.not_null("case_id")],
+    "stg_dialer": [dq.unique("uniqueid"), dq.not_null("uniqueid"), dq.not_null("case_id")],
+    "stg_contacts": [dq.unique("contact_id"), dq.not_null("contact_id"), dq.not_null("case_id")],
+    "mart_penetration_by_dpd_band": [
+        dq.accepted_range("penetration_rate", 0, 1), dq.not_null("quantidade"), dq.accepted_range("sem_ac", 0),
+        dq.not_null("dpd_faixa"), dq.accepted_values("dpd_faixa", BAND_LABELS),
+        dq.not_null("paid"), dq.accepted_range("paid", 0), dq.not_null("ptp"), dq.accepted_range("ptp", 0),
+        dq.not_null("cc"), dq.accepted_range("cc", 0),
+        dq.unique_combination("client_id", "provider", "dpd_faixa")],
+    "mart_phone_quality": [
+        dq.accepted_range("pct_failed", 0, 1), dq.accepted_range("pct_answered", 0, 1),
+        dq.accepted_values("is_cleanup_candidate", [0, 1]),
+        dq.unique_combination("client_id", "case_id", "telecom_id")],
+    # Inputs that do fail: repeated customers per order, missing attribute values.
+    "orders": [dq.unique("o_custkey"), dq.not_null("o_custkey")],
+    "latest_attribute": [dq.not_null("case_attribute_value")],
+}
+
+
+def _dq_models(spark, d):
+    """Model -> (DataFrame, declared checks)."""
+    frames = {
+        "bronze.cases": lambda: fx.cases_log(spark, d),
+        "bronze.case_attributes": lambda: fx.attributes_log(spark, d),
+        "bronze.dialer": lambda: fx.dialer_log(spark, d),
+        "bronze.contacts": lambda: fx.contacts_log(spark, d),
+        "stg_cases": lambda: _stg_cases(spark, d),
+        "stg_case_attributes": lambda: _stg_attrs(spark, d),
+        "stg_dialer": lambda: _stg_dialer(spark, d),
+        "stg_contacts": lambda: _stg_contacts(spark, d),
+        "mart_penetration_by_dpd_band": lambda: mart_penetration(spark, d),
+        "mart_phone_quality": lambda: mart_phone_quality(spark, d),
+        "orders": lambda: fx.table(spark, d, "orders"),
+        "latest_attribute": lambda: staging.latest_attribute(fx.attributes_log(spark, d), CFG),
+    }
+    return {m: (frames[m](), checks) for m, checks in DQ_DECLARATIONS.items()}
+
+
+def _dq_kind(spark, d, kinds):
+    models = {}
+    for m, checks in DQ_DECLARATIONS.items():
+        sel = [c for c in checks if c.kind in kinds]
+        if sel:
+            models[m] = (_dq_models_one(spark, d, m), sel)
+    return dq.run_suite(models)
+
+
+def _dq_models_one(spark, d, model):
+    return _dq_models(spark, d)[model][0]
+
+
+@query
+def dq_not_null(spark, d):
+    return _dq_kind(spark, d, {"not_null"})
+
+
+@query
+def dq_unique(spark, d):
+    return _dq_kind(spark, d, {"unique"})
+
+
+@query
+def dq_accepted_values(spark, d):
+    return _dq_kind(spark, d, {"accepted_values"})
+
+
+@query
+def dq_accepted_range(spark, d):
+    return _dq_kind(spark, d, {"accepted_range"})
+
+
+@query
+def dq_unique_combination(spark, d):
+    return _dq_kind(spark, d, {"unique_combination"})
+
+
+@query
+def dq_report(spark, d):
+    """Every declared check in one result, one aggregate per table for column checks."""
+    return dq.run_suite(_dq_models(spark, d))
+
+
+FRESHNESS_AS_OF = datetime(2024, 2, 1, 0, 0, 0)
+
+
+@query
+def dq_freshness(spark, d):
+    """Newest event per type against the as-of: pass / warn / error."""
+    return dq.freshness(fx.table(spark, d, "events"), "ts", FRESHNESS_AS_OF, ["event_type"])
+
+
+# ---- reconciliation --------------------------------------------------------------
+
+def _bronze_sim(log):
+    """Bronze as it drifted: rows whose sequence is a multiple of 97 never landed,
+    rows whose sequence is a multiple of 89 landed twice."""
+    kept = log.filter(F.col("ingest_seq") % 97 != 0)
+    return kept.unionByName(log.filter(F.col("ingest_seq") % 89 == 0))
+
+
+_ORDER2 = ["update_date", "ingest_seq"]
+
+
+@query
+def reconcile_counts(spark, d):
+    """J7 + H2: distinct in-scope keys, source snapshot versus drifted bronze, per table."""
+    targets = []
+    for name, fn in fx.LOGS.items():
+        log = fn(spark, d)
+        snapshot = changelog.latest_per_key(log, list(_KEYS[name]), _ORDER2)
+        targets.append(reconcile.Target(name, snapshot, _bronze_sim(log), _KEYS[name], _scope(name)))
+    return reconcile.reconcile_counts(targets, threshold=0.005)
+
+
+_DIALER_SRC = ["uniqueid", "case_id", "client_id", "telecom_id", "phone_number", "disposition_code", "call_date",
+               "update_date"]
+
+
+@query
+def reconcile_rows(spark, d):
+    """Missing / extra / changed calls between the scoped source snapshot and bronze."""
+    log = fx.dialer_log(spark, d)
+    source = changelog.latest_per_key(log, ["uniqueid"], _ORDER2).filter(_scope("dialer")).select(*_DIALER_SRC)
+    drifted = _bronze_sim(log).withColumn(
+        "phone_number",
+        F.when(F.col("ingest_seq") % 89 == 0, F.concat(F.col("phone_number"), F.lit("9"))).otherwise(
+            F.col("phone_number")))
+    bronze_latest = changelog.latest_per_key(drifted, ["uniqueid"], _ORDER2).select(*_DIALER_SRC)
+    return reconcile.reconcile_rows(source, bronze_latest, ["uniqueid"])
+
+
+# ---- text scan ------------------------------------------------------------------------
+
+def _findings(spark, d, **kw):
+    docs = textscan.scan_text(fx.table(spark, d, "documents"), "doc_id", "text", "documents", **kw)
+    pages = textscan.scan_text(fx.table(spark, d, "pages"), "page_id", "html", "pages", **kw)
+    return docs.unionByName(pages)
+
+
+@query
+def leak_findings(spark, d):
+    """L2 + L4: secret-shaped matches per text line, placeholders and allowed values dropped."""
+    return _findings(spark, d).drop("hint")
+
+
+@query
+def leak_allowlist(spark, d):
+    """L3: raw matches with the allow-list off, marked by whether the allow-list drops them."""
+    raw = _findings(spark, d, allowed=(), placeholder="(?!)")
+    allowed = F.lit(False)
+    for a in textscan.ALLOWED:
+        allowed = allowed | F.col("matched").contains(a)
+    return raw.select("source", "id", "line", "rule", "matched",
+                      F.when(allowed, 1).otherwise(0).alias("allowed"))
+
+
+@query
+def leak_summary(spark, d):
+    """Findings per rule and the verdict."""
+    return textscan.scan_summary(_findings(spark, d))

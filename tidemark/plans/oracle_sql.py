@@ -233,7 +233,10 @@ def with_ctes(body: str) -> str:
     if not order:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({BLOCKS[n]}\n)" for n in order)
-    return f"WITH {ctes}\n{body.strip()}"
+    body = body.strip()
+    if body[:4].upper() == "WITH":  # merge the body's own CTEs into one WITH
+        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    return f"WITH {ctes}\n{body}"
 
 
 def block(name: str) -> str:

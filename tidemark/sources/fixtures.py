@@ -15,6 +15,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.expressions import ntz
+
 # The whole fixture set is stamped as landed on this day.
 FIXTURE_INGEST_TS = datetime(2024, 2, 15, 6, 0, 0)
 
@@ -25,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _stamp(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "ingest_ts": F.lit(FIXTURE_INGEST_TS).cast("timestamp_ntz"),
+        "ingest_ts": ntz(FIXTURE_INGEST_TS),
         "ingest_date": F.lit(date(2024, 2, 15)),
     })
 
@@ -100,7 +102,7 @@ def contacts_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("case_id"),
         (F.lit(1) + F.col("l_quantity").cast("bigint") % 6).cast("int").alias("status_type_id"),
         (F.lit(1) + F.col("l_linenumber") % 4).cast("int").alias("target_type_id"),
-        (F.lit(datetime(2024, 1, 31)).cast("timestamp_ntz") - F.make_dt_interval(back_days)).alias("contact_date"),
+        (ntz(datetime(2024, 1, 31)) - F.make_dt_interval(back_days)).alias("contact_date"),
         F.when(F.col("l_returnflag") == "A", F.lit("auto_dialer"))
         .otherwise(F.concat(F.lit("operator_"), (F.col("l_suppkey") % 25).cast("string")))
         .alias("insert_user"),
