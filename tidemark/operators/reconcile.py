@@ -90,3 +90,11 @@ def reconcile_rows(source: DataFrame, bronze_latest: DataFrame, keys: Sequence[s
               .when(F.col("_in_s").isNull(), F.lit("extra"))
               .when(F.col("_hs") != F.col("_hb"), F.lit("changed")))
     return j.select(*keys, status.alias("status")).filter(F.col("status").isNotNull())
+
+
+def rerun_diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows present on one side only (duplicates counted), with a side marker.
+    Empty when a re-run reproduced the table exactly."""
+    b = before.exceptAll(after.select(*before.columns)).withColumn("side", F.lit("before_only"))
+    a = after.select(*before.columns).exceptAll(before).withColumn("side", F.lit("after_only"))
+    return b.unionByName(a)

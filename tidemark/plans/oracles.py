@@ -361,3 +361,25 @@ ORACLES["leak_summary"] = _raw_matches() + f""",
                  LEFT JOIN counts c ON c.rule = r.rule)
     SELECT rule, findings, CASE WHEN sum(findings) OVER () = 0 THEN 'clean' ELSE 'fail' END AS verdict
     FROM per_rule"""
+
+
+# ---- ingest, publish, re-run ------------------------------------------------------------
+
+ORACLES.update({
+    "ingest_batch": with_ctes(f"""
+        SELECT {DIALER_COLS}, TIMESTAMP '2024-02-15 06:00:00' AS ingest_ts, DATE '2024-02-15' AS ingest_date
+        FROM dialer_log WHERE update_date > {SEED} AND {SCOPE}"""),
+    "bronze_append": with_ctes(f"""
+        SELECT {DIALER_COLS}, DATE '2024-02-15' AS ingest_date
+        FROM dialer_log WHERE update_date > {SEED} AND {SCOPE}"""),
+    "ingest_all": with_ctes(f"""
+        SELECT 'cases' AS table_name, count(*) AS rows_processed, max(update_date) AS last_watermark,
+               'success' AS run_status FROM cases_log WHERE {SCOPE}
+        UNION ALL SELECT 'case_attributes', count(*), max(update_date), 'success' FROM attributes_log
+                  WHERE case_attribute_type_id IN ({CFG.attr_type_provider}, {CFG.attr_type_dpd})
+        UNION ALL SELECT 'dialer', count(*), max(update_date), 'success' FROM dialer_log WHERE {SCOPE}
+        UNION ALL SELECT 'contacts', count(*), max(update_date), 'success' FROM contacts_log"""),
+    "overlap_idempotence": block("stg_dialer"),
+    "mart_publish": block("mart_penetration"),
+    "mart_rerun_diff": with_ctes("SELECT *, 'before_only' AS side FROM mart_penetration WHERE 1 = 0"),
+})
