@@ -676,3 +676,24 @@ def compact_report(spark, d):
     fx.dialer_log(spark, d).repartition(32).write.parquet(f"{base}/v1")
     rep = layout.compact(spark, f"{base}/v1", f"{base}/v2", ["case_id", "call_date"], target_file_bytes=1 << 20)
     return spark.createDataFrame([(k, int(v)) for k, v in rep.items()], "measure string, value long")
+
+
+@query
+def stream_latest_state(spark, d):
+    """Streaming tail (availableNow) of a two-run dialer bronze into a latest-state table."""
+    from tidemark.schemas import BRONZE_SCHEMAS
+    from tidemark.streaming.latest_state import tail_latest_state
+
+    base = scratch_path(spark, "stream")
+    spec = SPECS["dialer"]
+    ingest.seed_for([spec], base, spark, FIRST_RUN_CUT)
+    ingest.ingest_source(spark, spec, ingest.dataframe_reader(_sources(spark, d, FIRST_RUN_CUT)), base,
+                         FIRST_RUN_CUT + timedelta(minutes=5))
+    path = f"{base}/bronze/dialer"
+    keys, order = ["uniqueid"], list(CFG.version_order)
+    tail_latest_state(spark, path, BRONZE_SCHEMAS["dialer"], f"{base}/state", "dialer", keys, order,
+                      f"{base}/stream-ckpt", INGEST_NOW)
+    ingest.ingest_source(spark, spec, ingest.dataframe_reader(_sources(spark, d)), base, INGEST_NOW)
+    tail_latest_state(spark, path, BRONZE_SCHEMAS["dialer"], f"{base}/state", "dialer", keys, order,
+                      f"{base}/stream-ckpt", INGEST_NOW)
+    return bronze.read_mart(spark, f"{base}/state", "dialer").select(*spec.columns)

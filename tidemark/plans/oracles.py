@@ -383,3 +383,6 @@ ORACLES.update({
     "mart_publish": block("mart_penetration"),
     "mart_rerun_diff": with_ctes("SELECT *, 'before_only' AS side FROM mart_penetration WHERE 1 = 0"),
 })
+
+ORACLES["stream_latest_state"] = with_ctes(
+    f"SELECT {DIALER_COLS} FROM ({latest('dialer_log', 'uniqueid')}) l WHERE {SCOPE}")
