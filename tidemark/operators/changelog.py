@@ -102,16 +102,27 @@ def prune_superseded(
     """Retention for a change log: keep each key's newest version, plus every
     version newer than ``as_of - retention``. Refuses a retention shorter than
     one week, the floor that protects long-running readers.
+
+    No step ranks all versions of a key (a key with a third of the log would
+    sort in one task): the newest version comes from the group-limited dedup,
+    and recent rows are kept by a plain filter. When ``ts_col`` leads the
+    order, a key with a recent version has its newest version among the
+    recent rows, so only the old rows need a dedup, and only for keys without
+    a recent row.
     """
     if retention_hours < MIN_RETENTION_HOURS:
         raise ValueError(f"retention {retention_hours} h is below the {MIN_RETENTION_HOURS} h minimum")
-    cutoff = as_of - timedelta(hours=retention_hours)
-    rank = version_rank(keys, order)
-    return (
-        log.withColumn(_RN, rank)
-        .filter((F.col(_RN) == 1) | (F.col(ts_col) >= ntz(cutoff)))
-        .drop(_RN)
-    )
+    cutoff = ntz(as_of - timedelta(hours=retention_hours))
+    recent_cond = F.col(ts_col) >= cutoff
+    recent = log.filter(recent_cond)
+    if order and order[0] == ts_col:
+        old = log.filter(~recent_cond | F.col(ts_col).isNull())
+        recent_keys = recent.select(*keys).distinct()
+        newest_old = latest_per_key(old, keys, order).join(recent_keys, on=list(keys), how="left_anti")
+        return recent.unionByName(newest_old)
+    newest = latest_per_key(log, keys, order)
+    # Recent rows other than (one copy of) the newest version, then the newest versions.
+    return newest.unionByName(recent.exceptAll(newest.filter(recent_cond)))
 
 
 def overlap_batch(log: DataFrame, ts_col: str, watermark: datetime, lag_minutes: int = 15) -> DataFrame:
