@@ -81,3 +81,18 @@ def test_retention_floor_and_keep_latest(spark):
 def test_overlap_batch_is_strict(spark):
     log = spark.createDataFrame([(1, T(2024, 1, 1, 23, 45)), (2, T(2024, 1, 1, 23, 45, 1))], "k long, ts timestamp_ntz")
     assert [r.k for r in changelog.overlap_batch(log, "ts", T(2024, 1, 2), 15).collect()] == [2]
+
+
+def test_retention_general_order_equals_rank_definition(spark):
+    """Retention when the timestamp is not the leading order column: brute-force rank definition."""
+    from pyspark.sql import Window, functions as F
+
+    rows = [(k, T(2024, 1, d), T(2024, 1, (d * 7) % 28 + 1), i) for i, (k, d) in
+            enumerate([(1, 1), (1, 5), (1, 9), (2, 3), (2, 20), (3, 2), (3, 2), (4, 27)])]
+    log = spark.createDataFrame(rows, "k long, update_date timestamp_ntz, ingest_ts timestamp_ntz, seq long")
+    order = ["update_date", "seq"]
+    got = changelog.prune_superseded(log, ["k"], order, "ingest_ts", T(2024, 1, 31), 24 * 14)
+    rn = F.row_number().over(Window.partitionBy("k").orderBy(*[F.col(c).desc() for c in order]))
+    want = log.withColumn("rn", rn).filter((F.col("rn") == 1) | (F.col("ingest_ts") >= F.lit(T(2024, 1, 17)).cast(
+        "timestamp_ntz"))).drop("rn")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

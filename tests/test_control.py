@@ -87,3 +87,9 @@ def test_history_is_running_max(spark, seeded):
     control.update_watermark(spark, seeded, "dialer", datetime(2026, 3, 1), 1, datetime(2026, 7, 2))
     h = control.watermark_history(control.read_control(spark, seeded)).orderBy("updated_at").collect()
     assert [r.effective_watermark for r in h] == [datetime(2026, 1, 1), datetime(2026, 6, 30), datetime(2026, 6, 30)]
+
+
+def test_future_dated_batch_can_be_capped(spark, seeded):
+    """A future-dated row would drag the watermark ahead; the cap keeps it at the run time."""
+    control.update_watermark(spark, seeded, "dialer", datetime(2030, 1, 1), 1, NOW, cap_at=NOW)
+    assert control.get_watermark(spark, seeded, "dialer") == "2026-07-01 12:00:00"

@@ -66,6 +66,11 @@ def reconcile_counts(targets: Sequence[Target], threshold: float = 0.005,
     return res
 
 
+def append_log(result: DataFrame, path: str) -> None:
+    """Append a reconciliation result (one row per target) to the log table."""
+    result.coalesce(1).write.mode("append").parquet(path)
+
+
 def raise_on_drift(result: DataFrame, threshold: float = 0.005) -> None:
     """Fail the job after the result is logged (the result has one row per target)."""
     bad = [r["table"] for r in result.filter((F.col("flagged") == 1) | (F.col("empty_source") == 1))

@@ -158,6 +158,14 @@ def mart_phone_quality(spark, d):
     return marts.mart_phone_quality(_stg_dialer(spark, d), CFG)
 
 
+@query
+def mart_phone_quality_prefiltered(spark, d):
+    """The window filter placed below the dedup (exact when a call's date never changes)."""
+    lo, hi = marts.bounds(CFG)
+    calls = staging.stg_dialer(fx.dialer_log(spark, d), CFG, assume_immutable_call_date=True, window=(lo, hi))
+    return marts.mart_phone_quality(calls, CFG)
+
+
 @query
 def cleanup_candidates(spark, d):
     """Phone-mart rows flagged for cleanup."""

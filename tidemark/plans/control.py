@@ -99,10 +99,17 @@ def get_watermark(spark: SparkSession, path: str, table_name: str, lag_minutes:
 
 
 def update_watermark(spark: SparkSession, path: str, table_name: str, batch_max: datetime | None,
-                     row_count: int, now: datetime, status: str = "success") -> datetime:
+                     row_count: int, now: datetime, status: str = "success",
+                     cap_at: datetime | None = None) -> datetime:
     """Record a run. An empty batch records ``success`` at the old watermark (so a
-    previous failure does not linger); a batch older than the watermark holds it."""
+    previous failure does not linger); a batch older than the watermark holds it.
+
+    ``cap_at`` (off by default) keeps a future-dated source row from dragging
+    the watermark past the run time, which would skip later rows.
+    """
     current = _current_value(spark, path, table_name)
+    if batch_max is not None and cap_at is not None:
+        batch_max = min(batch_max, cap_at)
     if not row_count or batch_max is None:
         new, rows = current, 0
     else:

@@ -35,6 +35,7 @@ ORACLES: dict[str, str] = {
     "mart_penetration": block("mart_penetration"),
     "telecom_metrics": block("telecom_metrics"),
     "mart_phone_quality": block("mart_phone_quality"),
+    "mart_phone_quality_prefiltered": block("mart_phone_quality"),
     "cleanup_candidates": with_ctes("SELECT * FROM mart_phone_quality WHERE is_cleanup_candidate = 1"),
     "safe_rate_by_telecom": with_ctes(f"""
         SELECT client_id, telecom_id, calls, failed, answered,

@@ -36,13 +36,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) is a fresh local folder created.
+    is (it cannot be changed at runtime). Only when neither it nor the
+    context's checkpoint directory is set (local tests) is a local folder
+    created and given to ``setCheckpointDir``.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
