@@ -126,8 +126,10 @@ def test_allow_list_placeholders_and_example_hosts_are_dropped(spark):
 def test_summary_lists_every_rule(spark):
     df = spark.createDataFrame([(1, "mail bob@corp.io")], "id long, t string")
     rows = textscan.scan_summary(textscan.scan_text(df, "id", "t", "x")).collect()
-    assert len(rows) == len(textscan.RULES)
-    assert {r.rule: r.findings for r in rows}["corporate email address"] == 1 and rows[0].verdict == "fail"
+    assert len(rows) == len(textscan.RULES) + 1
+    got = {r.rule: (r.findings, r.verdict) for r in rows}
+    assert got["corporate email address"] == (1, "fail") and got[textscan.ALL_RULES] == (1, "fail")
+    assert got["AWS access key id"] == (0, "clean")
 
 
 def test_long_match_is_cut(spark):

@@ -357,14 +357,16 @@ ORACLES["leak_allowlist"] = _raw_matches() + f"""
 
 _rule_names = " UNION ALL ".join(f"SELECT {_q(n)} AS rule" for n, _, _ in textscan.RULES)
 ORACLES["leak_summary"] = _raw_matches() + f""",
-    counts AS (SELECT rule, count(*) AS findings FROM raw WHERE {_kept()} GROUP BY rule),
+    kept AS (SELECT rule FROM raw WHERE {_kept()}),
+    counts AS (SELECT rule, count(*) AS findings FROM kept GROUP BY rule),
     per_rule AS (SELECT r.rule, coalesce(c.findings, 0) AS findings FROM ({_rule_names}) r
-                 LEFT JOIN counts c ON c.rule = r.rule)
-    SELECT rule, findings, CASE WHEN sum(findings) OVER () = 0 THEN 'clean' ELSE 'fail' END AS verdict
+                 LEFT JOIN counts c ON c.rule = r.rule
+                 UNION ALL SELECT {_q(textscan.ALL_RULES)}, count(*) FROM kept)
+    SELECT rule, findings, CASE WHEN findings = 0 THEN 'clean' ELSE 'fail' END AS verdict
     FROM per_rule"""
 
 
-# ---- ingest, publish, re-run ------------------------------------------------------------
+# ---- ingest, publish, re-run, streaming tail ------------------------------------------------
 
 ORACLES.update({
     "ingest_batch": with_ctes(f"""
@@ -383,7 +385,6 @@ ORACLES.update({
     "overlap_idempotence": block("stg_dialer"),
     "mart_publish": block("mart_penetration"),
     "mart_rerun_diff": with_ctes("SELECT *, 'before_only' AS side FROM mart_penetration WHERE 1 = 0"),
+    "stream_latest_state": with_ctes(
+        f"SELECT {DIALER_COLS} FROM ({latest('dialer_log', 'uniqueid')}) l WHERE {SCOPE}"),
 })
-
-ORACLES["stream_latest_state"] = with_ctes(
-    f"SELECT {DIALER_COLS} FROM ({latest('dialer_log', 'uniqueid')}) l WHERE {SCOPE}")

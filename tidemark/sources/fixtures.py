@@ -21,8 +21,18 @@ from tidemark.functions.expressions import ntz
 FIXTURE_INGEST_TS = datetime(2024, 2, 15, 6, 0, 0)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table as a DataFrame. The read (file listing and footer schema)
+    is done once per session and path; only the plan object is kept, no data."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _stamp(df: DataFrame) -> DataFrame:
