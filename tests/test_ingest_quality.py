@@ -135,3 +135,12 @@ def test_summary_lists_every_rule(spark):
 def test_long_match_is_cut(spark):
     df = spark.createDataFrame([(1, "x" * 100 + "@corp.io")], "id long, t string")
     assert len(textscan.scan_text(df, "id", "t", "x").collect()[0].matched) == textscan.MATCH_WIDTH
+
+
+def test_reconciliation_log_appends(spark, tmp_path):
+    s = spark.createDataFrame([(i,) for i in range(10)], "k long")
+    path = str(tmp_path / "recon")
+    for when in (T(2024, 1, 1), T(2024, 1, 8)):
+        reconcile.append_log(reconcile.reconcile_counts([reconcile.Target("t", s, s, ("k",))], checked_at=when), path)
+    log = spark.read.parquet(path)
+    assert log.count() == 2 and set(log.columns) >= {"table", "drift_pct", "flagged", "checked_at"}

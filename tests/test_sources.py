@@ -64,3 +64,14 @@ def test_jdbc_options_split_only_with_real_bounds():
     assert "partitionColumn" not in jdbc_reader_options(conn, "t", (5, 5), "case_id")
     assert "partitionColumn" not in jdbc_reader_options(conn, "t", (None, None), "case_id")
     assert o["fetchsize"] == "10000"
+
+
+def test_connection_from_environment(monkeypatch):
+    monkeypatch.setenv("TIDEMARK_JDBC_URL", "jdbc:x://h:1/db")
+    monkeypatch.setenv("TIDEMARK_JDBC_USER", "reader")
+    monkeypatch.setenv("TIDEMARK_JDBC_PASSWORD", "pw")
+    c = JdbcConnection.from_env()
+    assert c.options() == {"url": "jdbc:x://h:1/db", "fetchsize": "10000", "user": "reader", "password": "pw"}
+    monkeypatch.delenv("TIDEMARK_JDBC_URL")
+    with pytest.raises(KeyError):
+        JdbcConnection.from_env()

@@ -57,7 +57,12 @@ def stg_dialer(log: DataFrame, cfg: ReportConfig = ReportConfig(), assume_immuta
     if assume_immutable_call_date and window is not None:
         from tidemark.functions.expressions import in_window
         log = log.filter(in_window("call_date", *window))
-    latest = latest_per_key(log, ["uniqueid"], _order(log, cfg))
+    return dialer_view(latest_per_key(log, ["uniqueid"], _order(log, cfg)), cfg)
+
+
+def dialer_view(latest: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:
+    """Scope and flags over calls that are already one row per ``uniqueid`` (the
+    dedup output, or a maintained latest-state table)."""
     return latest.filter(F.col("client_id").isin(*cfg.client_ids)).select(
         "uniqueid", "case_id", "client_id", "telecom_id", "phone_number", "disposition_code",
         "call_date",

@@ -686,9 +686,8 @@ def compact_report(spark, d):
     return spark.createDataFrame([(k, int(v)) for k, v in rep.items()], "measure string, value long")
 
 
-@query
-def stream_latest_state(spark, d):
-    """Streaming tail (availableNow) of a two-run dialer bronze into a latest-state table."""
+def _dialer_state(spark, d):
+    """Dialer bronze landed in two runs, tailed by the streaming job into a latest-state table."""
     from tidemark.schemas import BRONZE_SCHEMAS
     from tidemark.streaming.latest_state import tail_latest_state
 
@@ -704,4 +703,17 @@ def stream_latest_state(spark, d):
     ingest.ingest_source(spark, spec, ingest.dataframe_reader(_sources(spark, d)), base, INGEST_NOW)
     tail_latest_state(spark, path, BRONZE_SCHEMAS["dialer"], f"{base}/state", "dialer", keys, order,
                       f"{base}/stream-ckpt", INGEST_NOW)
-    return bronze.read_mart(spark, f"{base}/state", "dialer").select(*spec.columns)
+    return bronze.read_mart(spark, f"{base}/state", "dialer")
+
+
+@query
+def stream_latest_state(spark, d):
+    """Streaming tail (availableNow) of a two-run dialer bronze into a latest-state table."""
+    return _dialer_state(spark, d).select(*SPECS["dialer"].columns)
+
+
+@query
+def mart_phone_quality_from_state(spark, d):
+    """The phone mart over the maintained latest-state table: no dedup at report time, and
+    the window filter reaches the parquet scan of the state."""
+    return marts.mart_phone_quality(staging.dialer_view(_dialer_state(spark, d), CFG), CFG)

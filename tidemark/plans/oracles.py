@@ -385,6 +385,7 @@ ORACLES.update({
     "overlap_idempotence": block("stg_dialer"),
     "mart_publish": block("mart_penetration"),
     "mart_rerun_diff": with_ctes("SELECT *, 'before_only' AS side FROM mart_penetration WHERE 1 = 0"),
+    "mart_phone_quality_from_state": block("mart_phone_quality"),
     "stream_latest_state": with_ctes(
         f"SELECT {DIALER_COLS} FROM ({latest('dialer_log', 'uniqueid')}) l WHERE {SCOPE}"),
 })
