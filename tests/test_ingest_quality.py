@@ -3,7 +3,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.config import SourceSpec
 from tidemark.operators import quality as dq, reconcile, textscan
@@ -144,3 +143,20 @@ def test_reconciliation_log_appends(spark, tmp_path):
         reconcile.append_log(reconcile.reconcile_counts([reconcile.Target("t", s, s, ("k",))], checked_at=when), path)
     log = spark.read.parquet(path)
     assert log.count() == 2 and set(log.columns) >= {"table", "drift_pct", "flagged", "checked_at"}
+
+
+def test_source_sequence_orders_tied_versions(spark, tmp_path):
+    """Two versions with the same update_date in one batch; the source sequence decides."""
+    import dataclasses
+
+    from tidemark.operators.changelog import latest_per_key
+
+    spec = dataclasses.replace(SPEC, sequence_column="seq")
+    src = spark.createDataFrame([(1, "first", T(2024, 1, 1), 10), (1, "second", T(2024, 1, 1), 20)],
+                                "id long, v string, update_date timestamp_ntz, seq long")
+    base = str(tmp_path)
+    ingest.seed_for([spec], base, spark, T(2024, 1, 1))
+    ingest.ingest_source(spark, spec, ingest.dataframe_reader({"calls": src}), base, T(2024, 1, 2))
+    b = spark.read.parquet(f"{base}/bronze/calls")
+    got = latest_per_key(b, ["id"], ["update_date", "ingest_ts", "ingest_seq"]).collect()
+    assert [r.v for r in got] == ["second"]

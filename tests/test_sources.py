@@ -3,7 +3,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.planutil import explain
 from tidemark.config import SourceSpec

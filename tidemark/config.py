@@ -68,6 +68,10 @@ class SourceSpec:
     num_partitions: int = 8
     lag_minutes: int = WATERMARK_LAG_MINUTES
     zorder: tuple[str, ...] = field(default_factory=tuple)
+    # A source column that orders versions of a key (identity, row version).
+    # Without one, a hash of the row breaks ties between versions that share
+    # ``update_date`` and ingest stamp: deterministic, but not source order.
+    sequence_column: str | None = None
 
 
 def default_sources(cfg: ReportConfig = ReportConfig()) -> tuple[SourceSpec, ...]:

@@ -107,12 +107,19 @@ def mart_penetration(cases_log: DataFrame, attributes_log: DataFrame, dialer_log
                      calls_stg: DataFrame | None = None) -> DataFrame:
     from tidemark.operators.staging import stg_case_attributes, stg_cases, stg_contacts, stg_dialer
 
-    active = active_cases(stg_cases(cases_log, cfg), stg_case_attributes(attributes_log, cfg), cfg)
     calls = calls_stg if calls_stg is not None else stg_dialer(dialer_log, cfg)
-    dialed = dialed_cases(calls, cfg).withColumn("dialed_case", F.col("case_id"))
+    return penetration_from_staged(stg_cases(cases_log, cfg), stg_case_attributes(attributes_log, cfg), calls,
+                                   stg_contacts(contacts_log, cfg), cfg)
+
+
+def penetration_from_staged(cases_stg: DataFrame, attrs_stg: DataFrame, calls_stg: DataFrame,
+                            contacts_stg: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:
+    """The penetration report from staged inputs (dedup views or latest-state tables)."""
+    active = active_cases(cases_stg, attrs_stg, cfg)
+    dialed = dialed_cases(calls_stg, cfg).withColumn("dialed_case", F.col("case_id"))
     # No scope join here: the left join from ``active`` below keeps only
     # active cases, which is exactly the scope the contact counts need.
-    counts = _contact_counts(contacts_in_window(stg_contacts(contacts_log, cfg), cfg), cfg, distinct=False)
+    counts = _contact_counts(contacts_in_window(contacts_stg, cfg), cfg, distinct=False)
     return penetration_rollup(active, dialed, counts)
 
 

@@ -20,7 +20,11 @@ def _order(log: DataFrame, cfg: ReportConfig) -> list[str]:
 
 
 def stg_cases(log: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:
-    latest = latest_per_key(log, ["case_id"], _order(log, cfg))
+    return cases_view(latest_per_key(log, ["case_id"], _order(log, cfg)), cfg)
+
+
+def cases_view(latest: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:
+    """Scope over cases that are already one row per ``case_id``."""
     return latest.filter(
         (F.col("case_statute_id") == cfg.active_case_statute_id)
         & F.col("client_id").isin(*cfg.client_ids)
@@ -39,6 +43,16 @@ def stg_case_attributes(log: DataFrame, cfg: ReportConfig = ReportConfig()) -> D
     )
 
 
+def attributes_view(latest: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:
+    """Pivot of attributes that are already one row per ``(case_id, type)``: a plain
+    conditional ``max`` per type, no ordering needed."""
+    t, v = F.col("case_attribute_type_id"), F.col("case_attribute_value")
+    return latest.groupBy("case_id").agg(
+        F.max(F.when(t == cfg.attr_type_provider, v)).alias("provider"),
+        F.max(F.when(t == cfg.attr_type_dpd, v)).alias("dpd"),
+    )
+
+
 def latest_attribute(log: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:
     """Newest version per ``(case_id, case_attribute_type_id)`` (before any pivot)."""
     return latest_per_key(log, ["case_id", "case_attribute_type_id"], _order(log, cfg)).select(
@@ -78,7 +92,11 @@ def stg_contacts(log: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFram
 
     ``insert_user <> 'auto_dialer'`` is three-valued: a NULL user is dropped too.
     """
-    latest = latest_per_key(log, ["contact_id"], _order(log, cfg))
+    return contacts_view(latest_per_key(log, ["contact_id"], _order(log, cfg)), cfg)
+
+
+def contacts_view(latest: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:
+    """System-contact filter over contacts that are already one row per ``contact_id``."""
     return latest.filter(F.col("insert_user") != cfg.system_contact_user).select(
         "contact_id", "case_id", "status_type_id", "target_type_id", "contact_date",
         F.to_date("contact_date").alias("contact_date_only"),

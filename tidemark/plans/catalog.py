@@ -13,9 +13,16 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import ReportConfig
-from tidemark.functions.expressions import band, safe_rate, try_int, window_bounds_col
-from tidemark.operators import changelog, marts, staging
+import dataclasses
+from datetime import datetime, timedelta
+
+from tidemark.config import DPD_BANDS, NO_DPD_LABEL, SEED_WATERMARK, ReportConfig, default_sources
+from tidemark.functions.expressions import band, ntz, safe_rate, try_int, window_bounds_col
+from tidemark.operators import changelog, cost, layout, marts, reconcile, staging, textscan
+from tidemark.operators import quality as dq
+from tidemark.plans import control, ingest
+from tidemark.session import scratch_path
+from tidemark.sources import bronze, jdbc
 from tidemark.sources import fixtures as fx
 
 CFG = ReportConfig()
@@ -195,15 +202,8 @@ def window_bounds(spark, d):
 
 # ---- scans, pulls, measurement ------------------------------------------------
 
-from datetime import date, datetime, timedelta  # noqa: E402
 
-from tidemark.config import DPD_BANDS, NO_DPD_LABEL, SEED_WATERMARK, default_sources  # noqa: E402
-from tidemark.functions.expressions import ntz  # noqa: E402
-from tidemark.operators import cost, layout, quality as dq, reconcile, textscan  # noqa: E402
-from tidemark.plans import control  # noqa: E402
-from tidemark.sources import jdbc  # noqa: E402
-
-SPECS = {s.table_name: s for s in default_sources(CFG)}
+SPECS = {s.table_name: dataclasses.replace(s, sequence_column="ingest_seq") for s in default_sources(CFG)}
 PULL_WATERMARK = datetime(2024, 1, 29, 0, 0, 0)
 AS_OF_TS = datetime(2024, 2, 15, 0, 0, 0)
 _ATTR_COLS = ["case_id", "case_attribute_type_id", "case_attribute_value", "update_date", "ingest_seq"]
@@ -265,6 +265,8 @@ def _scope(name: str):
         "dialer": lambda: F.col("client_id").isin(*CFG.client_ids),
         "contacts": lambda: F.col("insert_user") != CFG.system_contact_user,
     }[name]()
+
+
 _KEYS = {"cases": ("case_id",), "case_attributes": ("case_id", "case_attribute_type_id"),
          "dialer": ("uniqueid",), "contacts": ("contact_id",)}
 
@@ -585,18 +587,16 @@ def leak_summary(spark, d):
 
 # ---- ingest, publish, re-run (write to a fresh folder under the shared checkpoint dir) ----------
 
-from tidemark.plans import ingest  # noqa: E402
-from tidemark.session import scratch_path  # noqa: E402
-from tidemark.sources import bronze  # noqa: E402
 
 INGEST_NOW = datetime(2024, 2, 15, 6, 0, 0)
 FIRST_RUN_CUT = datetime(2024, 1, 29, 0, 0, 0)
 
 
 def _sources(spark, d, upto: datetime | None = None):
+    """The mapped tables as sources; ``ingest_seq`` stays as the source's version sequence."""
     out = {}
     for name, fn in fx.LOGS.items():
-        src = fn(spark, d).drop("ingest_ts", "ingest_date", "ingest_seq")
+        src = fn(spark, d).drop("ingest_ts", "ingest_date")
         if upto is not None:
             src = src.filter(F.col("update_date") <= ntz(upto))
         out[name] = src
@@ -717,3 +717,30 @@ def mart_phone_quality_from_state(spark, d):
     """The phone mart over the maintained latest-state table: no dedup at report time, and
     the window filter reaches the parquet scan of the state."""
     return marts.mart_phone_quality(staging.dialer_view(_dialer_state(spark, d), CFG), CFG)
+
+
+def _all_states(spark, d):
+    """All four sources ingested once, each bronze table tailed into its latest-state table."""
+    from tidemark.schemas import BRONZE_SCHEMAS
+    from tidemark.streaming.latest_state import tail_latest_state
+
+    base = scratch_path(spark, "states")
+    specs = list(SPECS.values())
+    ingest.seed_for(specs, base, spark, INGEST_NOW)
+    ingest.ingest_all(spark, specs, ingest.dataframe_reader(_sources(spark, d)), base, INGEST_NOW)
+    states = {}
+    for spec in specs:
+        name = spec.table_name
+        tail_latest_state(spark, f"{base}/bronze/{name}", BRONZE_SCHEMAS[name], f"{base}/state", name,
+                          list(spec.key), list(CFG.version_order), f"{base}/ckpt-{name}", INGEST_NOW)
+        states[name] = bronze.read_mart(spark, f"{base}/state", name)
+    return states
+
+
+@query
+def mart_penetration_from_state(spark, d):
+    """The penetration report over maintained latest-state tables (no history dedup at report time)."""
+    st = _all_states(spark, d)
+    return marts.penetration_from_staged(
+        staging.cases_view(st["cases"], CFG), staging.attributes_view(st["case_attributes"], CFG),
+        staging.dialer_view(st["dialer"], CFG), staging.contacts_view(st["contacts"], CFG), CFG)

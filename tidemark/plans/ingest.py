@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import SEED_WATERMARK, SourceSpec
+from tidemark.config import SourceSpec
 from tidemark.functions.expressions import ntz
 from tidemark.plans import control
 from tidemark.schemas import BRONZE_SCHEMAS
@@ -27,13 +27,15 @@ from tidemark.sources.jdbc import incremental_pull
 SourceReader = Callable[[SourceSpec, datetime], DataFrame]
 
 
-def stamp(batch: DataFrame, now: datetime, seq_cols: list[str]) -> DataFrame:
-    """Ingest stamps as literals (stable across task retries), plus a row hash that
-    orders versions totally when ``update_date`` and ``ingest_ts`` tie."""
+def stamp(batch: DataFrame, now: datetime, seq_cols: list[str], sequence_column: str | None = None) -> DataFrame:
+    """Ingest stamps as literals (stable across task retries), plus ``ingest_seq``,
+    which orders versions totally when ``update_date`` and ``ingest_ts`` tie: the
+    source's own sequence when there is one, else a hash of the row."""
+    seq = F.col(sequence_column).cast("long") if sequence_column else F.xxhash64(*seq_cols)
     return batch.withColumns({
         "ingest_ts": ntz(now),
         "ingest_date": F.lit(now.date()),
-        "ingest_seq": F.xxhash64(*seq_cols),
+        "ingest_seq": seq,
     })
 
 
@@ -45,7 +47,7 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, read: SourceReader, bas
     try:
         text = control.get_watermark(spark, control_path, spec.table_name, lag_minutes=spec.lag_minutes)
         watermark = datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
-        batch = stamp(read(spec, watermark), now, list(spec.columns))
+        batch = stamp(read(spec, watermark), now, list(spec.columns), spec.sequence_column)
         if spec.table_name in BRONZE_SCHEMAS:
             batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMAS[spec.table_name].fields])
         stats = bronze.append_batch(batch, bronze_path, {"batch_max": F.max(spec.watermark_column)})
@@ -83,4 +85,4 @@ def seed_for(specs, base: str, spark: SparkSession, now: datetime) -> None:
             bronze.ensure_empty_table(spark, f"{base}/bronze/{s.table_name}", BRONZE_SCHEMAS[s.table_name])
 
 
-__all__ = ["ingest_source", "ingest_all", "dataframe_reader", "seed_for", "stamp", "SEED_WATERMARK"]
+__all__ = ["ingest_source", "ingest_all", "dataframe_reader", "seed_for", "stamp"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans.oracle_sql import CFG, block, ints, rate, with_ctes, band_sql, int_or_null
+from tidemark.config import SEED_WATERMARK
+from tidemark.operators import textscan
+from tidemark.plans.oracle_sql import CFG, band_sql, block, int_or_null, ints, rate, with_ctes
 
 ORACLES: dict[str, str] = {
     "latest_per_key": with_ctes("""
@@ -54,14 +56,12 @@ ORACLES: dict[str, str] = {
 
 # ---- pulls, measurement, change-log maintenance -----------------------------------
 
-from tidemark.config import NO_DPD_LABEL, SEED_WATERMARK  # noqa: E402
-from tidemark.operators import textscan  # noqa: E402
 
 SEED = f"TIMESTAMP '{SEED_WATERMARK:%Y-%m-%d %H:%M:%S}'"
 SCOPE = f"client_id IN ({ints(CFG.client_ids)})"
 DIALER_COLS = "uniqueid, case_id, client_id, telecom_id, phone_number, disposition_code, call_date, update_date"
 CONTACT_COLS = "contact_id, case_id, status_type_id, target_type_id, contact_date, insert_user, update_date, ingest_seq"
-PULLED = f"SELECT {DIALER_COLS} FROM dialer_log WHERE update_date > TIMESTAMP '2024-01-28 23:45:00' AND {SCOPE}"
+PULLED = f"SELECT {DIALER_COLS}, ingest_seq FROM dialer_log WHERE update_date > TIMESTAMP '2024-01-28 23:45:00' AND {SCOPE}"
 FULL_WINDOW = "call_date >= TIMESTAMP '2024-02-15 00:00:00' - INTERVAL 3 MONTH"
 
 
@@ -386,6 +386,7 @@ ORACLES.update({
     "mart_publish": block("mart_penetration"),
     "mart_rerun_diff": with_ctes("SELECT *, 'before_only' AS side FROM mart_penetration WHERE 1 = 0"),
     "mart_phone_quality_from_state": block("mart_phone_quality"),
+    "mart_penetration_from_state": block("mart_penetration"),
     "stream_latest_state": with_ctes(
         f"SELECT {DIALER_COLS} FROM ({latest('dialer_log', 'uniqueid')}) l WHERE {SCOPE}"),
 })

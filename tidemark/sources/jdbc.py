@@ -58,8 +58,10 @@ def incremental_filter(spec: SourceSpec, watermark: datetime) -> "F.Column":
 
 
 def incremental_pull(source: DataFrame, spec: SourceSpec, watermark: datetime) -> DataFrame:
-    """Rows changed after ``watermark`` (strictly), in scope, projected to the spec's columns."""
-    return source.filter(incremental_filter(spec, watermark)).select(*spec.columns)
+    """Rows changed after ``watermark`` (strictly), in scope, projected to the spec's columns
+    (plus the sequence column, when the spec names one)."""
+    cols = list(spec.columns) + ([spec.sequence_column] if spec.sequence_column else [])
+    return source.filter(incremental_filter(spec, watermark)).select(*cols)
 
 
 def full_reload_pull(source: DataFrame, spec: SourceSpec, date_col: str, as_of: datetime, months: int = 3) -> DataFrame:
