@@ -1,10 +1,10 @@
 """Declared data checks, run as few passes as possible.
 
 Column checks of one table (``not_null``, ``accepted_values``,
-``accepted_range``) fold into a single aggregate: one scan, one row. Each
-uniqueness check is its own ``groupBy`` (it needs a shuffle on its key);
-the aggregate has a map-side partial step, so a hot key is counted in each
-map task before the shuffle.
+``accepted_range``) and its first key check share one pass: a grouped count
+on the key (map-side partial step, so a hot key is counted inside each map
+task before the shuffle) that carries the column-check counts along. Each
+further key check is one more grouped count.
 
 Conventions: NULL fails only ``not_null``; it passes ranges, value lists and
 single-column uniqueness; a composite key treats NULLs as equal.
@@ -80,30 +80,51 @@ def _status(failures: F.Column) -> F.Column:
 
 
 def run_checks(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
-    """All checks of one table; column checks in one aggregate, keys one groupBy each."""
-    parts: list[DataFrame] = []
+    """All checks of one table in as few passes as possible.
+
+    Column checks and the first key check share one pass: rows are grouped by
+    that key (partial aggregation before the shuffle) with per-group failure
+    counts, then one small global aggregate adds them up and counts the
+    repeated keys. Further key checks cost one grouped count each. A table
+    without key checks needs a single global aggregate.
+    """
     col_checks = [c for c in checks if c.kind in ("not_null", "accepted_values", "accepted_range")]
-    if col_checks:
-        agg = df.agg(*[F.count_if(_failing(c)).alias(f"c{i}") for i, c in enumerate(col_checks)])
-        stack = F.explode(F.array(*[
-            F.struct(F.lit(c.kind).alias("check"), F.lit(c.label).alias("column"), F.col(f"c{i}").alias("failures"))
-            for i, c in enumerate(col_checks)
-        ])).alias("r")
-        parts.append(agg.select(stack).select(F.lit(model).alias("model"), "r.check", "r.column", "r.failures"))
-    for c in checks:
-        if c.kind in ("unique", "unique_combination"):
-            keyed = df.select(*c.columns)
-            if c.kind == "unique":
-                keyed = keyed.filter(F.col(c.columns[0]).isNotNull())
-            dups = keyed.groupBy(*c.columns).count().filter(F.col("count") > 1)
-            parts.append(dups.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(model).alias("model"), F.lit(c.kind).alias("check"), F.lit(c.label).alias("column"),
-                "failures"))
+    key_checks = [c for c in checks if c.kind in ("unique", "unique_combination")]
+    rows: list[F.Column] = []
+    parts: list[DataFrame] = []
+
+    def row(c: Check, value: F.Column) -> F.Column:
+        return F.struct(F.lit(c.kind).alias("check"), F.lit(c.label).alias("column"),
+                        value.cast("long").alias("failures"))
+
+    def repeated(c: Check) -> F.Column:
+        cond = F.col("_n") > 1
+        if c.kind == "unique":  # a NULL key passes single-column uniqueness
+            cond = cond & F.col(c.columns[0]).isNotNull()
+        return F.count_if(cond)
+
+    first = key_checks[0] if key_checks else None
+    if first is not None:
+        grouped = df.groupBy(*first.columns).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.count_if(_failing(c)).alias(f"c{i}") for i, c in enumerate(col_checks)])
+        totals = grouped.agg(repeated(first).alias("k0"),
+                             *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(col_checks))])
+        rows = [row(c, F.coalesce(F.col(f"c{i}"), F.lit(0))) for i, c in enumerate(col_checks)]
+        rows.append(row(first, F.col("k0")))
+        parts.append(totals.select(F.explode(F.array(*rows)).alias("r")))
+    elif col_checks:
+        totals = df.agg(*[F.count_if(_failing(c)).alias(f"c{i}") for i, c in enumerate(col_checks)])
+        rows = [row(c, F.col(f"c{i}")) for i, c in enumerate(col_checks)]
+        parts.append(totals.select(F.explode(F.array(*rows)).alias("r")))
+    for c in key_checks[1:]:
+        counts = df.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(counts.agg(repeated(c).alias("k")).select(F.explode(F.array(row(c, F.col("k")))).alias("r")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("model", "check", "column", F.col("failures").cast("long").alias("failures"),
-                      _status(F.col("failures")).alias("status"))
+    return out.select(F.lit(model).alias("model"), "r.check", "r.column", "r.failures",
+                      _status(F.col("r.failures")).alias("status"))
 
 
 def run_suite(tables: dict[str, tuple[DataFrame, Sequence[Check]]]) -> DataFrame:

@@ -442,9 +442,9 @@ DQ_DECLARATIONS: dict[str, list] = {
 }
 
 
-def _dq_models(spark, d):
-    """Model -> (DataFrame, declared checks)."""
-    frames = {
+def _dq_frames(spark, d):
+    """Model -> thunk building its DataFrame (only the models a key checks are built)."""
+    return {
         "bronze.cases": lambda: fx.cases_log(spark, d),
         "bronze.case_attributes": lambda: fx.attributes_log(spark, d),
         "bronze.dialer": lambda: fx.dialer_log(spark, d),
@@ -458,22 +458,19 @@ def _dq_models(spark, d):
         "orders": lambda: fx.table(spark, d, "orders"),
         "latest_attribute": lambda: staging.latest_attribute(fx.attributes_log(spark, d), CFG),
     }
-    return {m: (frames[m](), checks) for m, checks in DQ_DECLARATIONS.items()}
 
 
-def _dq_kind(spark, d, kinds):
+def _dq_kind(spark, d, kinds=None):
+    """The declared checks of the given kinds (all when ``kinds`` is None), one result table."""
+    frames = _dq_frames(spark, d)
     models = {}
     for m, checks in DQ_DECLARATIONS.items():
-        sel = [c for c in checks if c.kind in kinds]
+        sel = [c for c in checks if kinds is None or c.kind in kinds]
         if sel:
-            models[m] = (_dq_models_one(spark, d, m), sel)
+            models[m] = (frames[m](), sel)
     return dq.run_suite(models)
 
 
-def _dq_models_one(spark, d, model):
-    return _dq_models(spark, d)[model][0]
-
-
 @query
 def dq_not_null(spark, d):
     return _dq_kind(spark, d, {"not_null"})
@@ -501,8 +498,8 @@ def dq_unique_combination(spark, d):
 
 @query
 def dq_report(spark, d):
-    """Every declared check in one result, one aggregate per table for column checks."""
-    return dq.run_suite(_dq_models(spark, d))
+    """Every declared check in one result, one pass per table."""
+    return _dq_kind(spark, d)
 
 
 FRESHNESS_AS_OF = datetime(2024, 2, 1, 0, 0, 0)
