@@ -8,6 +8,7 @@ newest row. History falls out of the log for free.
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime, timedelta
 from typing import Iterable
 
@@ -18,6 +19,8 @@ from tidemark.config import SEED_WATERMARK
 from tidemark.functions.expressions import failure_status, lagged_watermark, ntz, watermark_text
 from tidemark.schemas import CONTROL_SCHEMA
 
+log = logging.getLogger(__name__)
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -113,6 +116,9 @@ def update_watermark(spark: SparkSession, path: str, table_name: str, batch_max:
     if not row_count or batch_max is None:
         new, rows = current, 0
     else:
+        if batch_max < current:
+            log.warning("%s: batch max %s is older than the watermark %s; watermark held", table_name,
+                        batch_max, current)
         new, rows = max(batch_max, current), int(row_count)
     append_control(spark, path, [(table_name, new, rows, now, status)])
     return new
