@@ -29,6 +29,7 @@ HEADLINE = [
     "leak_findings",
     "zorder_key",
     "watermark_history",
+    "ingest_all",
 ]
 
 

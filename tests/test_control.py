@@ -93,3 +93,15 @@ def test_future_dated_batch_can_be_capped(spark, seeded):
     """A future-dated row would drag the watermark ahead; the cap keeps it at the run time."""
     control.update_watermark(spark, seeded, "dialer", datetime(2030, 1, 1), 1, NOW, cap_at=NOW)
     assert control.get_watermark(spark, seeded, "dialer") == "2026-07-01 12:00:00"
+
+
+def test_concurrent_appends_do_not_collide(spark, tmp_path):
+    """Parallel ingests each append their own control rows at the same time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "control")
+    tables = [f"t{i}" for i in range(6)]
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        list(pool.map(lambda t: control.update_watermark(spark, path, t, datetime(2026, 1, 2), 5, NOW), tables))
+    cur = control.current_watermark(control.read_control(spark, path)).collect()
+    assert sorted(r.table_name for r in cur) == tables and all(r.rows_processed == 5 for r in cur)

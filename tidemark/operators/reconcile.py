@@ -67,8 +67,11 @@ def reconcile_counts(targets: Sequence[Target], threshold: float = 0.005,
 
 
 def append_log(result: DataFrame, path: str) -> None:
-    """Append a reconciliation result (one row per target) to the log table."""
-    result.coalesce(1).write.mode("append").parquet(path)
+    """Append a reconciliation result (one row per target) to the log table
+    (read it back with ``sources.bronze.read_appended``)."""
+    from tidemark.sources.bronze import append_rows
+
+    append_rows(result, path)
 
 
 def raise_on_drift(result: DataFrame, threshold: float = 0.005) -> None:

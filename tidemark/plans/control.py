@@ -18,24 +18,18 @@ from pyspark.sql import functions as F
 from tidemark.config import SEED_WATERMARK
 from tidemark.functions.expressions import failure_status, lagged_watermark, ntz, watermark_text
 from tidemark.schemas import CONTROL_SCHEMA
+from tidemark.sources import bronze
 
 log = logging.getLogger(__name__)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_control(spark: SparkSession, path: str) -> DataFrame:
-    if not _exists(spark, path):
-        return spark.createDataFrame([], CONTROL_SCHEMA)
-    return spark.read.schema(CONTROL_SCHEMA).parquet(path)
+    return bronze.read_appended(spark, path, CONTROL_SCHEMA)
 
 
 def append_control(spark: SparkSession, path: str, rows: Iterable[tuple]) -> None:
-    spark.createDataFrame(list(rows), CONTROL_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    """One run's rows as their own commit (parallel ingests never share a folder)."""
+    bronze.append_rows(spark.createDataFrame(list(rows), CONTROL_SCHEMA), path)
 
 
 def seed_rows(tables: DataFrame, as_of: datetime, watermark: datetime = SEED_WATERMARK) -> DataFrame:
@@ -51,10 +45,9 @@ def seed_rows(tables: DataFrame, as_of: datetime, watermark: datetime = SEED_WAT
 
 def seed_control(spark: SparkSession, path: str, tables: list[str], as_of: datetime) -> bool:
     """Create the log with one seed row per table, only if absent. Returns True if created."""
-    if _exists(spark, path):
+    if bronze.exists(spark, path):
         return False
-    df = seed_rows(spark.createDataFrame([(t,) for t in tables], "table_name string"), as_of)
-    df.coalesce(1).write.mode("errorifexists").parquet(path)
+    bronze.append_rows(seed_rows(spark.createDataFrame([(t,) for t in tables], "table_name string"), as_of), path)
     return True
 
 

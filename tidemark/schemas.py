@@ -31,6 +31,7 @@ RECONCILIATION_SCHEMA = StructType([
     StructField("bronze_count", LongType(), True),
     StructField("drift_pct", DoubleType(), True),
     StructField("flagged", IntegerType(), True),
+    StructField("empty_source", IntegerType(), True),
     StructField("checked_at", TimestampNTZType(), True),
 ])
 

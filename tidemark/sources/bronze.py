@@ -29,6 +29,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def append_rows(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """Append a small table of rows as its own sub-folder of ``path``.
+
+    Every append is an independent commit: concurrent writers never share a
+    temporary folder (appending into one folder from parallel jobs does), and
+    a failed append leaves no partial rows behind.
+    """
+    import uuid
+    from datetime import timezone
+
+    sub = f"{path.rstrip('/')}/run-{datetime.now(timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:12]}"
+    df.coalesce(1).write.mode(mode).parquet(sub)
+    return sub
+
+
+def read_appended(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All rows appended with :func:`append_rows` (an empty table if none)."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
 def ensure_empty_table(spark: SparkSession, path: str, schema: StructType, partition_by: str | None = "ingest_date") -> None:
     """Create an empty typed table so readers resolve it before the first batch lands."""
     if exists(spark, path):
@@ -84,7 +106,7 @@ def published_version(spark: SparkSession, base: str, mart: str) -> tuple[int, s
     ptr = f"{base}/_pointers"
     if not exists(spark, ptr):
         return None
-    row = (spark.read.schema(_POINTER_SCHEMA).parquet(ptr).filter(F.col("mart") == mart)
+    row = (read_appended(spark, ptr, _POINTER_SCHEMA).filter(F.col("mart") == mart)
            .agg(F.max_by(F.struct("version", "path"), "version").alias("v")).collect()[0]["v"])
     return (row["version"], row["path"]) if row else None
 
@@ -95,8 +117,7 @@ def publish_mart(spark: SparkSession, df: DataFrame, base: str, mart: str, now:
     version = (cur[0] if cur else 0) + 1
     path = f"{base}/{mart}/v={version}"
     df.write.mode("errorifexists").parquet(path)
-    spark.createDataFrame([(mart, version, path, now)], _POINTER_SCHEMA).coalesce(1).write.mode(
-        "append").parquet(f"{base}/_pointers")
+    append_rows(spark.createDataFrame([(mart, version, path, now)], _POINTER_SCHEMA), f"{base}/_pointers")
     return path
 
 
