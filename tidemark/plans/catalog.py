@@ -741,3 +741,27 @@ def mart_penetration_from_state(spark, d):
     return marts.penetration_from_staged(
         staging.cases_view(st["cases"], CFG), staging.attributes_view(st["case_attributes"], CFG),
         staging.dialer_view(st["dialer"], CFG), staging.contacts_view(st["contacts"], CFG), CFG)
+
+
+@query
+def daily_run(spark, d):
+    """The daily job end to end: parallel ingest, reports from bronze, versioned publish, checks."""
+    from tidemark.plans import jobs
+
+    base = scratch_path(spark, "daily")
+    res = jobs.run_daily(spark, list(SPECS.values()), ingest.dataframe_reader(_sources(spark, d)), base,
+                         INGEST_NOW, CFG)
+    return spark.read.parquet(res.published[jobs.PENETRATION])
+
+
+@query
+def reconciliation_run(spark, d):
+    """The weekly reconciliation job after one ingest: logged per-source key counts and drift."""
+    from tidemark.plans import jobs
+
+    base = scratch_path(spark, "recon")
+    specs = list(SPECS.values())
+    srcs = _sources(spark, d)
+    ingest.seed_for(specs, base, spark, INGEST_NOW)
+    ingest.ingest_all(spark, specs, ingest.dataframe_reader(srcs), base, INGEST_NOW)
+    return jobs.run_reconciliation(spark, specs, lambda s: srcs[s.table_name], base, INGEST_NOW)

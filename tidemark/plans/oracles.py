@@ -390,3 +390,24 @@ ORACLES.update({
     "stream_latest_state": with_ctes(
         f"SELECT {DIALER_COLS} FROM ({latest('dialer_log', 'uniqueid')}) l WHERE {SCOPE}"),
 })
+
+ORACLES["daily_run"] = block("mart_penetration")
+_recon_run = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table",
+       (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {log} WHERE {scope}) a) AS source_count,
+       (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {log} WHERE {scope}) a) AS bronze_count"""
+    for name, log, keys, scope in [
+        ("cases", "cases_log", "case_id", SCOPE),
+        ("case_attributes", "attributes_log", "case_id, case_attribute_type_id",
+         f"case_attribute_type_id IN ({CFG.attr_type_provider}, {CFG.attr_type_dpd})"),
+        ("dialer", "dialer_log", "uniqueid", SCOPE),
+        ("contacts", "contacts_log", "contact_id", "TRUE"),
+    ])
+ORACLES["reconciliation_run"] = with_ctes(f"""
+    SELECT "table", source_count, bronze_count, drift_pct,
+           CASE WHEN drift_pct > 0.005 THEN 1 ELSE 0 END AS flagged,
+           CASE WHEN source_count = 0 AND bronze_count > 0 THEN 1 ELSE 0 END AS empty_source,
+           TIMESTAMP '2024-02-15 06:00:00' AS checked_at
+    FROM (SELECT *, CASE WHEN source_count > 0 THEN {rate('abs(source_count - bronze_count)', 'source_count', 6)}
+                         ELSE CAST(0 AS DOUBLE) END AS drift_pct
+          FROM ({_recon_run}) c) d""")
