@@ -65,3 +65,41 @@ def test_stream_tail_merges_late_files(spark, tmp_path):
     assert tail_latest_state(*args) == 0  # drained: nothing new
     got = {r.k: r.v for r in bronze.read_mart(spark, str(tmp_path / "state"), "s").collect()}
     assert got == {1: "new", 2: "x", 3: "y"}
+
+
+def test_bucketed_stream_tail_merges_like_the_plain_one(spark, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+
+    schema = StructType([StructField("k", LongType()), StructField("v", StringType()),
+                         StructField("update_date", TimestampNTZType()), StructField("ingest_date", StringType())])
+    path = str(tmp_path / "bronze")
+    spark.createDataFrame([(1, "new", datetime(2024, 2, 1), "d1"), (2, "x", datetime(2024, 1, 1), "d1"),
+                           (None, "nullkey", datetime(2024, 1, 1), "d1")], schema).write.mode("append").parquet(path)
+    args = (spark, path, schema, str(tmp_path / "state"), "s", ["k"], ["update_date"], str(tmp_path / "ck"))
+    assert tail_latest_state(*args, buckets=4) == 1
+    spark.createDataFrame([(1, "old", datetime(2023, 1, 1), "d2"), (3, "y", datetime(2024, 1, 1), "d2"),
+                           (2, "x2", datetime(2024, 3, 1), "d2"), (None, "nullkey2", datetime(2024, 2, 1), "d2")],
+                          schema).write.mode("append").parquet(path)
+    assert tail_latest_state(*args, buckets=4) == 1
+    got = {r.k: r.v for r in bronze.read_mart(spark, str(tmp_path / "state"), "s").collect()}
+    assert got == {1: "new", 2: "x2", 3: "y", None: "nullkey2"}
+
+
+def test_bucketed_merge_shuffles_only_the_batch(spark, tmp_path):
+    from tests.planutil import explain
+    from tidemark.streaming import latest_state as ls
+
+    state_path = str(tmp_path / "v1")
+    state = spark.range(0, 5000).select(F.col("id").alias("k"), F.lit("a").alias("v"),
+                                        F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("update_date"))
+    ls.merge_bucketed(None, state, ["k"], ["update_date"], state_path, 8)
+    table = spark.table(ls.bucketed_table(spark, state_path, state.schema, ["k"], 8))
+    batch = state.filter("k % 10 = 0").withColumn("v", F.lit("b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = batch.select(*[F.col(c).alias(f"__b_{c}") for c in batch.columns])
+        plan = explain(table.join(b, table["k"] == b["__b_k"], "left"), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = [ln for ln in plan.splitlines() if "FileScan" in ln and "Bucketed: true" in ln]
+    assert scan and plan.count("Exchange") == 1

@@ -703,6 +703,26 @@ def _dialer_state(spark, d):
     return bronze.read_mart(spark, f"{base}/state", "dialer")
 
 
+@query
+def stream_latest_state_bucketed(spark, d):
+    """The streaming tail with bucketed state: two runs, each merge shuffles only its micro-batch."""
+    from tidemark.schemas import BRONZE_SCHEMAS
+    from tidemark.streaming.latest_state import tail_latest_state
+
+    base = scratch_path(spark, "stream-b")
+    spec = SPECS["dialer"]
+    ingest.seed_for([spec], base, spark, FIRST_RUN_CUT)
+    path = f"{base}/bronze/dialer"
+    args = (spark, path, BRONZE_SCHEMAS["dialer"], f"{base}/state", "dialer", ["uniqueid"],
+            list(CFG.version_order), f"{base}/stream-ckpt", INGEST_NOW)
+    ingest.ingest_source(spark, spec, ingest.dataframe_reader(_sources(spark, d, FIRST_RUN_CUT)), base,
+                         FIRST_RUN_CUT + timedelta(minutes=5))
+    tail_latest_state(*args, buckets=STATE_BUCKETS)
+    ingest.ingest_source(spark, spec, ingest.dataframe_reader(_sources(spark, d)), base, INGEST_NOW)
+    tail_latest_state(*args, buckets=STATE_BUCKETS)
+    return bronze.read_mart(spark, f"{base}/state", "dialer").select(*spec.columns)
+
+
 @query
 def stream_latest_state(spark, d):
     """Streaming tail (availableNow) of a two-run dialer bronze into a latest-state table."""
@@ -716,6 +736,9 @@ def mart_phone_quality_from_state(spark, d):
     return marts.mart_phone_quality(staging.dialer_view(_dialer_state(spark, d), CFG), CFG)
 
 
+STATE_BUCKETS = 8
+
+
 def _all_states(spark, d):
     """All four sources ingested once, each bronze table tailed into its latest-state table."""
     from tidemark.schemas import BRONZE_SCHEMAS
@@ -729,7 +752,8 @@ def _all_states(spark, d):
     for spec in specs:
         name = spec.table_name
         tail_latest_state(spark, f"{base}/bronze/{name}", BRONZE_SCHEMAS[name], f"{base}/state", name,
-                          list(spec.key), list(CFG.version_order), f"{base}/ckpt-{name}", INGEST_NOW)
+                          list(spec.key), list(CFG.version_order), f"{base}/ckpt-{name}", INGEST_NOW,
+                          buckets=STATE_BUCKETS)
         states[name] = bronze.read_mart(spark, f"{base}/state", name)
     return states
 

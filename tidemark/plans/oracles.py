@@ -411,3 +411,5 @@ ORACLES["reconciliation_run"] = with_ctes(f"""
     FROM (SELECT *, CASE WHEN source_count > 0 THEN {rate('abs(source_count - bronze_count)', 'source_count', 6)}
                          ELSE CAST(0 AS DOUBLE) END AS drift_pct
           FROM ({_recon_run}) c) d""")
+
+ORACLES["stream_latest_state_bucketed"] = ORACLES["stream_latest_state"]

@@ -111,12 +111,17 @@ def published_version(spark: SparkSession, base: str, mart: str) -> tuple[int, s
     return (row["version"], row["path"]) if row else None
 
 
-def publish_mart(spark: SparkSession, df: DataFrame, base: str, mart: str, now: datetime) -> str:
-    """Write ``df`` as version N+1 of ``mart`` and then publish it with a pointer row."""
+def publish_mart(spark: SparkSession, df: DataFrame | None, base: str, mart: str, now: datetime,
+                 write=None) -> str:
+    """Write version N+1 of ``mart`` (``df``, or whatever ``write(path)`` writes) and then
+    publish it with a pointer row."""
     cur = published_version(spark, base, mart)
     version = (cur[0] if cur else 0) + 1
     path = f"{base}/{mart}/v={version}"
-    df.write.mode("errorifexists").parquet(path)
+    if write is not None:
+        write(path)
+    else:
+        df.write.mode("errorifexists").parquet(path)
     append_rows(spark.createDataFrame([(mart, version, path, now)], _POINTER_SCHEMA), f"{base}/_pointers")
     return path
 

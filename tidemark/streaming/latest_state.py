@@ -8,38 +8,129 @@ rule (newest version per key wins, whichever side it is on, so late or
 replayed files cannot move a key backwards) and published as a new version;
 readers switch only when the pointer row is written.
 
+Two merge strategies:
+
+* plain (``buckets=None``): union the state with the batch and take the
+  newest version per key. Simple, but every merge shuffles the whole state.
+* bucketed (``buckets=n``): each state version is a Spark bucketed table
+  (``bucketBy(n, keys)``). The merge reads the state with its bucket
+  partitioning, so only the micro-batch is shuffled: keys already in the
+  state are resolved by a left join that keeps the state's partitioning (and
+  is written back one file per bucket without another exchange); keys new
+  to the state are shuffled into their buckets and appended.
+
 With the state maintained, the reports can read one row per key instead of
 deduplicating the whole history on every run.
 """
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.changelog import latest_per_key
 from tidemark.sources import bronze
 
+STATE_DB = "tidemark_state"
+
 
 def merge_into_state(state: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     rows = batch if state is None else state.unionByName(batch.select(*state.columns))
     return latest_per_key(rows, keys, order)
 
 
+# ---- bucketed state ------------------------------------------------------------
+
+def _table(path: str) -> str:
+    return f"{STATE_DB}.s_{hashlib.sha1(path.encode()).hexdigest()[:16]}"
+
+
+def bucketed_table(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], buckets: int) -> str:
+    """Catalog entry (bucket spec included) for a state version folder; files carry
+    their bucket id, so a new session can re-register an existing folder."""
+    name = _table(path)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STATE_DB}")
+    if not spark.catalog.tableExists(name):
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        cols = ", ".join(f"`{k}`" for k in keys)
+        spark.sql(f"CREATE TABLE {name} ({ddl}) USING PARQUET CLUSTERED BY ({cols}) SORTED BY ({cols}) "
+                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return name
+
+
+def _write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, mode: str) -> None:
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {STATE_DB}")
+    (df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet")
+     .saveAsTable(_table(path)))
+
+
+def merge_bucketed(state: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   path: str, buckets: int) -> None:
+    """Write the merged state to ``path`` as a bucketed table, shuffling only the batch.
+
+    The joins use plain equality on the key, which the bucket layout of the
+    state satisfies. (A NULL-safe equality would be planned on derived keys and
+    shuffle the state.) Rows with a NULL key, which a source primary key does
+    not produce, take a small separate path: newest version among the state's
+    and the batch's NULL-key rows.
+    """
+    latest = latest_per_key(batch, keys, order)
+    if state is None:
+        _write_bucketed(latest.repartition(buckets, *keys), path, keys, buckets, "errorifexists")
+        return
+    cols = state.columns
+    latest = latest.select(*cols)
+    has_null = None
+    for k in keys:
+        c = F.col(k).isNull()
+        has_null = c if has_null is None else (has_null | c)
+    null_rows = latest_per_key(state.filter(has_null).unionByName(latest.filter(has_null)), keys, order)
+    latest = latest.filter(~has_null)
+    keyed_state = state.filter(~has_null)  # a filter keeps the bucketed scan's partitioning
+
+    b = latest.select(*[F.col(c).alias(f"__b_{c}") for c in cols], F.lit(True).alias("__b_present"))
+    on = [keyed_state[k] == b[f"__b_{k}"] for k in keys]
+    joined = keyed_state.join(b, on, "left")
+    theirs = F.struct(*[F.col(f"__b_{c}").alias(c) for c in order])
+    ours = F.struct(*[F.col(c).alias(c) for c in order])
+    newer = F.col("__b_present").isNotNull() & (theirs > ours)
+    kept = joined.select(*[F.when(newer, F.col(f"__b_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+    _write_bucketed(kept, path, keys, buckets, "errorifexists")
+    fresh = latest.join(keyed_state.select(*keys), list(keys), "left_anti").select(*cols).unionByName(null_rows)
+    _write_bucketed(fresh.repartition(buckets, *keys), path, keys, buckets, "append")
+
+
+def read_state(spark: SparkSession, state_base: str, name: str, schema: StructType | None = None,
+               keys: Sequence[str] = (), buckets: int | None = None) -> DataFrame | None:
+    cur = bronze.published_version(spark, state_base, name)
+    if cur is None:
+        return None
+    if buckets and schema is not None:
+        return spark.table(bucketed_table(spark, cur[1], schema, keys, buckets))
+    return spark.read.parquet(cur[1])
+
+
 def tail_latest_state(spark: SparkSession, bronze_path: str, schema: StructType, state_base: str, name: str,
                       keys: Sequence[str], order: Sequence[str], checkpoint: str,
-                      now: datetime | None = None) -> int:
+                      now: datetime | None = None, buckets: int | None = None) -> int:
     """Run the tail until the folder is drained; returns the number of micro-batches."""
     seen = {"batches": 0}
+    state_schema = StructType([f for f in schema.fields if f.name != "ingest_date"])
 
     def merge(batch_df: DataFrame, batch_id: int) -> None:
-        cur = bronze.published_version(spark, state_base, name)
-        state = spark.read.parquet(cur[1]) if cur else None
-        merged = merge_into_state(state, batch_df.drop("ingest_date"), keys, order)
-        bronze.publish_mart(spark, merged, state_base, name, now or datetime.now())
+        batch_df = batch_df.drop("ingest_date")
+        state = read_state(spark, state_base, name, state_schema, keys, buckets)
+        when = now or datetime.now()
+        if buckets:
+            bronze.publish_mart(spark, None, state_base, name, when,
+                                write=lambda path: merge_bucketed(state, batch_df, keys, order, path, buckets))
+        else:
+            bronze.publish_mart(spark, merge_into_state(state, batch_df, keys, order), state_base, name, when)
         seen["batches"] += 1
 
     q = (spark.readStream.schema(schema).parquet(bronze_path)
