@@ -33,3 +33,10 @@ def test_rewrites_equal_plain_forms(spark):
     a = QUERIES["contact_stats"](spark, SF_SMALL)
     b = QUERIES["contact_stats_distinct"](spark, SF_SMALL)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_report_over_state_pushes_window_into_scan(spark):
+    plan = explain(QUERIES["mart_phone_quality_from_state"](spark, SF_SMALL))
+    pushed = " ".join(ln for ln in plan.splitlines() if "PushedFilters" in ln)
+    assert "GreaterThanOrEqual(call_date" in pushed and "LessThan(call_date" in pushed
+    assert "Window" not in plan  # no dedup at report time
