@@ -96,3 +96,23 @@ def test_retention_general_order_equals_rank_definition(spark):
     want = log.withColumn("rn", rn).filter((F.col("rn") == 1) | (F.col("ingest_ts") >= F.lit(T(2024, 1, 17)).cast(
         "timestamp_ntz"))).drop("rn")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_upsert_without_order_rejects_repeated_keys(spark):
+    tgt = spark.createDataFrame([(1, "a")], "k long, v string")
+    upd = spark.createDataFrame([(1, "b"), (1, "c")], "k long, v string")
+    with pytest.raises(ValueError):
+        changelog.upsert_latest(tgt, upd, ["k"])
+    ok = changelog.upsert_latest(tgt, spark.createDataFrame([(1, "b"), (2, "c")], "k long, v string"), ["k"])
+    assert sorted((r.k, r.v) for r in ok.collect()) == [(1, "b"), (2, "c")]
+
+
+def test_in_month_window(spark):
+    from datetime import date
+
+    from tidemark.functions.expressions import in_month_window
+
+    df = spark.createDataFrame([(T(2023, 11, 30, 23, 59),), (T(2023, 12, 1),), (T(2024, 2, 29, 23, 59),), (T(2024, 3, 1),)],
+                               "d timestamp_ntz")
+    got = [r.d for r in in_month_window(df, "d", date(2024, 2, 15), 2).collect()]
+    assert got == [T(2023, 12, 1), T(2024, 2, 29, 23, 59)]

@@ -102,6 +102,12 @@ def in_window(ts: Column | str, lo: date, hi: date) -> Column:
     return (c >= ntz(lo_ts)) & (c < ntz(hi_ts))
 
 
+def in_month_window(df, date_col: str, as_of: date, months_back: int):
+    """Rows of ``df`` whose ``date_col`` falls in the rolling month window of ``as_of``."""
+    lo, hi = window_bounds(as_of, months_back)
+    return df.filter(in_window(date_col, lo, hi))
+
+
 def ntz(value: datetime) -> Column:
     """A zone-less timestamp literal."""
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

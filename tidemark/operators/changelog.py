@@ -71,15 +71,19 @@ def upsert_latest(
     updates: DataFrame,
     keys: Sequence[str],
     order: Sequence[str] | None = None,
+    check_unique: bool = True,
 ) -> DataFrame:
     """MERGE without a transactional table: matched keys replaced, new keys inserted.
 
     With ``order`` the updates are first reduced to their newest version per
-    key, so the result keeps one row per key. Without it, the caller promises
-    unique keys in ``updates`` (checked by :func:`assert_unique`).
+    key, so the result keeps one row per key. Without it, updates must have
+    unique keys, as a MERGE requires: ``check_unique`` fails on a repeated key
+    (one grouped count with a partial step; only one offender reaches the driver).
     """
     if order is not None:
         updates = latest_per_key(updates, keys, order)
+    elif check_unique:
+        assert_unique(updates, keys)
     kept = target.join(updates.select(*keys), on=list(keys), how="left_anti")
     return kept.unionByName(updates.select(*target.columns))
 

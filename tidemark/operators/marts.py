@@ -87,9 +87,15 @@ def contact_stats(contacts_stg: DataFrame, active: DataFrame, cfg: ReportConfig
     return per_case.join(active.select("case_id"), on="case_id", how="left_semi")
 
 
+def scoped_to(df: DataFrame, active: DataFrame, key: str = "case_id") -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``active`` (unique on the right: a semi-join,
+    so no row of ``df`` is repeated and only ``active``'s keys cross the join)."""
+    return df.join(active.select(key), on=key, how="left_semi")
+
+
 def contact_scope(contacts_stg: DataFrame, active: DataFrame) -> DataFrame:
-    """Contacts of active cases (``case_id`` is unique on the right: a semi-join)."""
-    return contacts_stg.join(active.select("case_id"), on="case_id", how="left_semi")
+    """Contacts of active cases."""
+    return scoped_to(contacts_stg, active, "case_id")
 
 
 def dialed_coverage(active: DataFrame, dialed: DataFrame) -> DataFrame:
