@@ -49,22 +49,24 @@ def file_stats(df: DataFrame) -> DataFrame:
     return per_file.agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"), F.sum("rows").alias("rows"))
 
 
+def cluster(df: DataFrame, cluster_by: Sequence[str], n_files: int, bits: int = 8) -> DataFrame:
+    """``df`` range-partitioned into ``n_files`` on the Morton key of ``cluster_by`` (a row
+    hash splits hot Z values), sorted by the key inside each partition."""
+    _, z = zorder_columns(df, cluster_by, bits)
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    return (df.withColumns({"_z": z, "_h": tie}).repartitionByRange(n_files, "_z", "_h")
+            .sortWithinPartitions("_z").drop("_z", "_h"))
+
+
 def compact(spark: SparkSession, path_in: str, path_out: str, cluster_by: Sequence[str] = (),
             target_file_bytes: int = 256 << 20, bits: int = 8, partition_by: str | None = None) -> dict:
     """Rewrite ``path_in`` into ``path_out`` with fewer, clustered files. Returns a report."""
     src = spark.read.parquet(path_in)
     before = file_stats(src).collect()[0]
     n_files = max(1, math.ceil((before["bytes"] or 0) / target_file_bytes))
-    out = src
-    if cluster_by:
-        _, z = zorder_columns(src, cluster_by, bits)
-        # The row hash splits a hot Z value (one case and day holding a third
-        # of the rows) over several range partitions instead of one.
-        tie = F.xxhash64(*[F.col(c) for c in src.columns])
-        out = (src.withColumns({"_z": z, "_h": tie}).repartitionByRange(n_files, "_z", "_h")
-               .sortWithinPartitions("_z").drop("_z", "_h"))
-    else:
-        out = src.repartition(n_files)
+    # The row hash in ``cluster`` splits a hot Z value (one case and day holding
+    # a third of the rows) over several range partitions instead of one.
+    out = cluster(src, cluster_by, n_files, bits) if cluster_by else src.repartition(n_files)
     w = out.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(partition_by)

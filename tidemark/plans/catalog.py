@@ -789,3 +789,22 @@ def reconciliation_run(spark, d):
     ingest.seed_for(specs, base, spark, INGEST_NOW)
     ingest.ingest_all(spark, specs, ingest.dataframe_reader(srcs), base, INGEST_NOW)
     return jobs.run_reconciliation(spark, specs, lambda s: srcs[s.table_name], base, INGEST_NOW)
+
+
+@query
+def maintenance_run(spark, d):
+    """Weekly housekeeping after two ingests, then a third ingest: the penetration report
+    read through compacted base + live tail equals the report over the source logs."""
+    from tidemark.plans import jobs
+
+    base = scratch_path(spark, "maint")
+    specs = list(SPECS.values())
+    ingest.seed_for(specs, base, spark, FIRST_RUN_CUT)
+    ingest.ingest_all(spark, specs, ingest.dataframe_reader(_sources(spark, d, FIRST_RUN_CUT)), base,
+                      FIRST_RUN_CUT + timedelta(minutes=5))
+    ingest.ingest_all(spark, specs, ingest.dataframe_reader(_sources(spark, d, datetime(2024, 2, 1))), base,
+                      datetime(2024, 2, 1, 0, 5))
+    jobs.run_maintenance(spark, specs, base, datetime(2024, 2, 10), CFG, retention_hours=168,
+                         target_file_bytes=1 << 20)
+    ingest.ingest_all(spark, specs, ingest.dataframe_reader(_sources(spark, d)), base, INGEST_NOW)
+    return jobs.build_reports(spark, base, CFG)[jobs.PENETRATION]

@@ -1,4 +1,4 @@
-"""The two recurring jobs, composed from the library's steps.
+"""The recurring jobs, composed from the library's steps.
 
 ``run_daily``: ingest every source (in parallel) -> build both reports from
 bronze -> publish them as new versions -> run the declared checks on the
@@ -7,6 +7,10 @@ published tables and store the results -> fail on a failing check.
 ``run_reconciliation``: per source, distinct in-scope keys at the source
 versus in bronze -> append to the reconciliation log -> fail on drift.
 
+``run_maintenance``: per source, drop superseded versions past the
+retention, Z-order the rest into right-sized files and publish it as the
+new compacted base; readers see base + live tail.
+
 Scheduling and retries stay with whatever runs these functions.
 """
 
@@ -20,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import DPD_BANDS, NO_DPD_LABEL, ReportConfig, SourceSpec
+from tidemark.functions.expressions import ntz
 from tidemark.operators import marts, quality as dq, reconcile, staging
 from tidemark.plans import ingest
 from tidemark.sources import bronze
@@ -54,8 +59,7 @@ class DailyResult:
 
 def build_reports(spark: SparkSession, base: str, cfg: ReportConfig) -> dict[str, DataFrame]:
     """Both reports from the bronze change logs under ``base``."""
-    logs = {t: bronze.read_bronze(spark, f"{base}/bronze/{t}", t)
-            for t in ("cases", "case_attributes", "dialer", "contacts")}
+    logs = {t: bronze.current_bronze(spark, base, t) for t in ("cases", "case_attributes", "dialer", "contacts")}
     calls = staging.stg_dialer(logs["dialer"], cfg)
     return {
         PENETRATION: marts.mart_penetration(logs["cases"], logs["case_attributes"], logs["dialer"],
@@ -87,7 +91,7 @@ def run_reconciliation(spark: SparkSession, specs: Sequence[SourceSpec], source_
     targets = []
     for spec in specs:
         scope = F.col(spec.scope_column).isin(*spec.scope_values) if spec.scope_column else None
-        b = bronze.read_bronze(spark, f"{base}/bronze/{spec.table_name}", spec.table_name)
+        b = bronze.current_bronze(spark, base, spec.table_name)
         targets.append(reconcile.Target(spec.table_name, source_of(spec), b, spec.key, scope))
     result = reconcile.reconcile_counts(targets, threshold, checked_at=now)
     reconcile.append_log(result, f"{base}/control/reconciliation_log")
@@ -96,3 +100,35 @@ def run_reconciliation(spark: SparkSession, specs: Sequence[SourceSpec], source_
     if fail_on_drift:
         reconcile.raise_on_drift(logged, threshold)
     return logged
+
+
+def run_maintenance(spark: SparkSession, specs: Sequence[SourceSpec], base: str, now: datetime,
+                    cfg: ReportConfig = ReportConfig(), retention_hours: int = 168,
+                    target_file_bytes: int = 256 << 20, bits: int = 8) -> DataFrame:
+    """Weekly housekeeping per source: superseded versions older than the retention are
+    dropped, the rest is Z-ordered into files of about ``target_file_bytes`` and published
+    as the new compacted base. Live bronze files are left in place; readers use
+    ``bronze.current_bronze`` (compacted base + live tail). Returns a report."""
+    import math
+
+    from tidemark.operators import changelog, layout
+
+    rows = []
+    for spec in specs:
+        t = spec.table_name
+        cur = bronze.current_bronze(spark, base, t)
+        stats = cur.agg(F.max("ingest_ts").alias("covered"), F.count(F.lit(1)).alias("rows")).collect()[0]
+        if stats["covered"] is None:
+            continue
+        snapshot = cur.filter(F.col("ingest_ts") <= ntz(stats["covered"]))
+        kept = changelog.prune_superseded(snapshot, list(spec.key), list(cfg.version_order), "ingest_ts", now,
+                                          retention_hours)
+        size = bronze.current_bronze_bytes(spark, base, t)
+        n_files = max(1, math.ceil(size / target_file_bytes))
+        clustered = layout.cluster(kept, list(spec.zorder), n_files, bits) if spec.zorder else kept
+        path = bronze.publish_mart(spark, None, f"{base}/bronze_compacted", t, now,
+                                   write=lambda p, df=clustered: df.write.mode("errorifexists").parquet(p),
+                                   covered_to=stats["covered"])
+        after = spark.read.parquet(path).count()
+        rows.append((t, int(stats["rows"]), int(after), path))
+    return spark.createDataFrame(rows, "table string, rows_before long, rows_after long, path string")

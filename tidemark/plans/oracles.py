@@ -413,3 +413,4 @@ ORACLES["reconciliation_run"] = with_ctes(f"""
           FROM ({_recon_run}) c) d""")
 
 ORACLES["stream_latest_state_bucketed"] = ORACLES["stream_latest_state"]
+ORACLES["maintenance_run"] = block("mart_penetration")

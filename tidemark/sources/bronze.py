@@ -29,6 +29,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` from the file system's content summary (no Spark job)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def append_rows(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Append a small table of rows as its own sub-folder of ``path``.
 
@@ -99,20 +105,25 @@ def register_table(spark: SparkSession, database: str, table_name: str, path: st
 
 # ---- versioned marts ---------------------------------------------------------
 
-_POINTER_SCHEMA = "mart string, version long, path string, published_at timestamp_ntz"
+# ``covered_to``: for a compacted bronze version, the newest ingest stamp it contains.
+_POINTER_SCHEMA = "mart string, version long, path string, published_at timestamp_ntz, covered_to timestamp_ntz"
 
 
-def published_version(spark: SparkSession, base: str, mart: str) -> tuple[int, str] | None:
+def _newest_pointer(spark: SparkSession, base: str, mart: str):
     ptr = f"{base}/_pointers"
     if not exists(spark, ptr):
         return None
-    row = (read_appended(spark, ptr, _POINTER_SCHEMA).filter(F.col("mart") == mart)
-           .agg(F.max_by(F.struct("version", "path"), "version").alias("v")).collect()[0]["v"])
+    return (read_appended(spark, ptr, _POINTER_SCHEMA).filter(F.col("mart") == mart)
+            .agg(F.max_by(F.struct("version", "path", "covered_to"), "version").alias("v")).collect()[0]["v"])
+
+
+def published_version(spark: SparkSession, base: str, mart: str) -> tuple[int, str] | None:
+    row = _newest_pointer(spark, base, mart)
     return (row["version"], row["path"]) if row else None
 
 
 def publish_mart(spark: SparkSession, df: DataFrame | None, base: str, mart: str, now: datetime,
-                 write=None) -> str:
+                 write=None, covered_to: datetime | None = None) -> str:
     """Write version N+1 of ``mart`` (``df``, or whatever ``write(path)`` writes) and then
     publish it with a pointer row."""
     cur = published_version(spark, base, mart)
@@ -122,7 +133,8 @@ def publish_mart(spark: SparkSession, df: DataFrame | None, base: str, mart: str
         write(path)
     else:
         df.write.mode("errorifexists").parquet(path)
-    append_rows(spark.createDataFrame([(mart, version, path, now)], _POINTER_SCHEMA), f"{base}/_pointers")
+    append_rows(spark.createDataFrame([(mart, version, path, now, covered_to)], _POINTER_SCHEMA),
+                f"{base}/_pointers")
     return path
 
 
@@ -131,3 +143,28 @@ def read_mart(spark: SparkSession, base: str, mart: str) -> DataFrame:
     if cur is None:
         raise FileNotFoundError(f"mart {mart} has no published version under {base}")
     return spark.read.parquet(cur[1])
+
+
+# ---- compacted bronze: published base + live tail ---------------------------------
+
+def current_bronze(spark: SparkSession, base: str, table_name: str) -> DataFrame:
+    """The whole change log of ``table_name``: the newest compacted version (if any) plus
+    the live rows landed after it. The tail filter is on ``ingest_ts`` and its day, so
+    only the newest ``ingest_date`` folders of the live table are read."""
+    live = read_bronze(spark, f"{base}/bronze/{table_name}", table_name)
+    row = _newest_pointer(spark, f"{base}/bronze_compacted", table_name)
+    if row is None:
+        return live
+    covered = row["covered_to"]
+    from tidemark.functions.expressions import ntz
+
+    tail = live.filter((F.col("ingest_date") >= F.lit(covered.date())) & (F.col("ingest_ts") > ntz(covered)))
+    compacted = spark.read.schema(BRONZE_SCHEMAS[table_name]).parquet(row["path"]) \
+        if table_name in BRONZE_SCHEMAS else spark.read.parquet(row["path"])
+    return compacted.unionByName(tail)
+
+
+def current_bronze_bytes(spark: SparkSession, base: str, table_name: str) -> int:
+    """Bytes of the compacted base in force plus the live folder (an upper bound of the current table)."""
+    cur = published_version(spark, f"{base}/bronze_compacted", table_name)
+    return folder_bytes(spark, f"{base}/bronze/{table_name}") + (folder_bytes(spark, cur[1]) if cur else 0)
