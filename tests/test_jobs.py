@@ -76,3 +76,25 @@ def test_maintenance_prunes_and_readers_see_base_plus_tail(spark, tmp_path):
     rep2 = jobs.run_maintenance(spark, [spec], base, datetime(2024, 2, 3), retention_hours=24 * 30).collect()[0]
     assert (rep2.rows_before, rep2.rows_after) == (101, 100)
     assert {r.v for r in bronze.current_bronze(spark, base, "calls").filter("id = 7").collect()} == {"c"}
+
+
+def test_command_line_daily_reconcile_maintain(spark, tmp_path, capsys):
+    import json
+
+    from tidemark.__main__ import main
+
+    src_dir = str(tmp_path / "src")
+    for name, df in _sources(spark, SF_SMALL).items():
+        df.write.parquet(f"{src_dir}/{name}")
+    base = str(tmp_path / "base")
+    common = ["--base", base, "--source-dir", src_dir, "--now", "2024-02-15T06:00:00"]
+    assert main(["daily", *common, "--as-of", "2024-02-15", "--sequence-column", "ingest_seq"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["failed_checks"] == [] and set(out["rows_landed"]) == set(SPECS)
+    assert spark.read.parquet(out["published"][jobs.PENETRATION]).count() == 46
+    assert main(["reconcile", *common]) == 0
+    rec = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["reconciliation"]
+    assert all(r["flagged"] == 0 for r in rec) and len(rec) == 4
+    assert main(["maintain", "--base", base, "--now", "2024-03-01T00:00:00"]) == 0
+    rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["maintenance"]
+    assert len(rep) == 4 and all(r["rows_after"] <= r["rows_before"] for r in rep)

@@ -227,3 +227,12 @@ def maintenance_run(spark, d):
                          target_file_bytes=1 << 20)
     ingest.ingest_all(spark, specs, ingest.dataframe_reader(_sources(spark, d)), base, INGEST_NOW)
     return jobs.build_reports(spark, base, CFG)[jobs.PENETRATION]
+
+
+@query
+def compacted_table(spark, d):
+    """K1 + K2: the dialer log after compaction and Z-ordering, read back (same rows, fewer files)."""
+    base = scratch_path(spark, "compact-t")
+    fx.dialer_log(spark, d).repartition(32).write.parquet(f"{base}/v1")
+    layout.compact(spark, f"{base}/v1", f"{base}/v2", ["case_id", "call_date"], target_file_bytes=1 << 20)
+    return spark.read.parquet(f"{base}/v2").select(*SPECS["dialer"].columns, "ingest_seq")
