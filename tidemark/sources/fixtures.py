@@ -21,17 +21,15 @@ from tidemark.functions.expressions import ntz
 FIXTURE_INGEST_TS = datetime(2024, 2, 15, 6, 0, 0)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver table as a DataFrame. The read (file listing and footer schema)
-    is done once per session and path; only the plan object is kept, no data."""
+    is done once per session and path; only the plan object is kept, no data.
+    The cache lives on the session object, so a new session starts empty."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _TABLES.get(key)
+    cache = spark.__dict__.setdefault("_tidemark_tables", {})
+    df = cache.get(path)
     if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
+        df = cache[path] = spark.read.parquet(path)
     return df
 
 
