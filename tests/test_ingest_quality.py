@@ -163,3 +163,17 @@ def test_source_sequence_orders_tied_versions(spark, tmp_path):
     b = spark.read.parquet(f"{base}/bronze/calls")
     got = latest_per_key(b, ["id"], ["update_date", "ingest_ts", "ingest_seq"]).collect()
     assert [r.v for r in got] == ["second"]
+
+
+def test_empty_source_with_no_partitions(spark, tmp_path):
+    """An empty source (zero partitions) lands nothing, records success, keeps the watermark."""
+    import os
+
+    os.makedirs(tmp_path / "empty")
+    src = spark.read.schema("id long, v string, update_date timestamp_ntz").parquet(str(tmp_path / "empty"))
+    base = str(tmp_path / "base")
+    ingest.seed_for([SPEC], base, spark, T(2024, 1, 1))
+    assert ingest.ingest_source(spark, SPEC, ingest.dataframe_reader({"calls": src}), base, T(2024, 1, 2)) == 0
+    cur = control.current_watermark(control.read_control(spark, f"{base}/control/watermarks")).collect()[0]
+    assert cur.run_status == "success" and cur.last_watermark == T(1900, 1, 1)
+    assert spark.read.parquet(f"{base}/bronze/calls").count() == 0
