@@ -1,10 +1,16 @@
 """Bronze change-log tables and published marts on plain parquet.
 
-* Bronze is append-only and partitioned by ``ingest_date``.
+* Bronze is append-only and partitioned by ``ingest_date``; a batch's row
+  count and maximum watermark are observed during its write.
+* Small logs (control rows, pointers, check and reconciliation results) are
+  appended one sub-folder per append: every append is its own commit, so
+  parallel jobs never share a temporary folder.
 * A mart is never overwritten in place: each build goes to a new version
   directory and a pointer row is appended afterwards. Readers take the
   newest published version, so a reader never sees a half-written mart and
   a crash before the pointer leaves the previous version in force.
+* Maintenance publishes compacted bronze the same way; ``current_bronze``
+  reads the compacted base plus the live rows landed after it.
 """
 
 from __future__ import annotations
