@@ -26,6 +26,8 @@ HEADLINE = [
     "reconcile_rows",
     "dq_report",
     "extraction_cost",
+    "full_reload_pull",
+    "incremental_pull",
     "leak_findings",
     "zorder_key",
     "watermark_history",

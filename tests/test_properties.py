@@ -87,3 +87,52 @@ def test_upsert_equals_latest_of_everything_newer(spark, old, new):
     got = {r.k: r.seq for r in changelog.upsert_latest(target, log.filter(f"seq >= {n_old}"), ["k"], order).collect()}
     want = {r.k: r.seq for r in changelog.latest_per_key(log, ["k"], order).collect()}
     assert got == want
+
+
+checks_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(-2, 4)),
+                                 st.one_of(st.none(), st.sampled_from(["a", "b", "z"]))), max_size=25)
+
+
+@SETTINGS
+@given(rows=checks_rows)
+def test_check_runner_counts_like_python(spark, rows):
+    from collections import Counter
+
+    from tidemark.operators import quality as dq
+
+    df = spark.createDataFrame(rows, "k long, r long, v string")
+    got = {(r.check, r.column): r.failures for r in dq.run_checks(df, "m", [
+        dq.not_null("k"), dq.unique("k"), dq.accepted_range("r", 0, 3), dq.accepted_values("v", ["a", "b"]),
+        dq.unique_combination("k", "v")]).collect()}
+    keys = Counter(k for k, _, _ in rows if k is not None)
+    pairs = Counter((k, v) for k, _, v in rows)
+    want = {
+        ("not_null", "k"): sum(k is None for k, _, _ in rows),
+        ("unique", "k"): sum(c > 1 for c in keys.values()),
+        ("accepted_range", "r"): sum(r is not None and not 0 <= r <= 3 for _, r, _ in rows),
+        ("accepted_values", "v"): sum(v is not None and v not in ("a", "b") for _, _, v in rows),
+        ("unique_combination", "k,v"): sum(c > 1 for c in pairs.values()),
+    }
+    assert got == want
+
+
+side_st = st.dictionaries(st.integers(0, 15), st.one_of(st.none(), st.sampled_from(["x", "y"])), max_size=12)
+
+
+@SETTINGS
+@given(src=side_st, brz=side_st)
+def test_row_reconciliation_like_python(spark, src, brz):
+    from tidemark.operators import reconcile
+
+    s = spark.createDataFrame(list(src.items()), "k long, v string")
+    b = spark.createDataFrame(list(brz.items()), "k long, v string")
+    got = {r.k: r.status for r in reconcile.reconcile_rows(s, b, ["k"]).collect()}
+    want = {}
+    for k in set(src) | set(brz):
+        if k not in brz:
+            want[k] = "missing"
+        elif k not in src:
+            want[k] = "extra"
+        elif src[k] != brz[k]:
+            want[k] = "changed"
+    assert got == want
