@@ -98,3 +98,19 @@ def test_command_line_daily_reconcile_maintain(spark, tmp_path, capsys):
     assert main(["maintain", "--base", base, "--now", "2024-03-01T00:00:00"]) == 0
     rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["maintenance"]
     assert len(rep) == 4 and all(r["rows_after"] <= r["rows_before"] for r in rep)
+
+
+def test_scan_files_and_command_line(spark, tmp_path, capsys):
+    from tidemark.__main__ import main
+    from tidemark.operators import textscan
+
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "conf.py").write_text("x = 1\nurl = 'jdbc:sqlserver://h;password=Hunter22x'\n")
+    (tmp_path / "src" / "ok.md").write_text("write to ops@example.com\n")
+    (tmp_path / ".git").mkdir()
+    (tmp_path / ".git" / "config").write_text("bob@corp-mail.io\n")
+    found = textscan.scan_files(spark, str(tmp_path)).collect()
+    assert [(r.id.endswith("conf.py"), r.line, r.rule) for r in found] == [
+        (True, 2, "JDBC/ODBC connection string with an embedded password")]
+    assert main(["scan", "--base", str(tmp_path)]) == 1
+    assert '"findings": 1' in capsys.readouterr().out

@@ -3,6 +3,7 @@
     python -m tidemark daily     --base DIR [--source-dir DIR | --jdbc] [--as-of YYYY-MM-DD] [--now ISO]
     python -m tidemark reconcile --base DIR [--source-dir DIR | --jdbc]
     python -m tidemark maintain  --base DIR [--retention-hours 168]
+    python -m tidemark scan      --base DIR            (scans the text files under DIR; exit 1 on findings)
 
 The session comes from ``SparkSession.builder.getOrCreate()``: cluster
 settings (including ``spark.checkpoint.dir``) are whatever the submitter set.
@@ -21,7 +22,7 @@ from datetime import date, datetime
 
 def _args(argv):
     p = argparse.ArgumentParser(prog="tidemark")
-    p.add_argument("job", choices=["daily", "reconcile", "maintain"])
+    p.add_argument("job", choices=["daily", "reconcile", "maintain", "scan"])
     p.add_argument("--base", required=True, help="folder holding bronze, control, marts")
     src = p.add_mutually_exclusive_group()
     src.add_argument("--source-dir", help="parquet folder per source table")
@@ -53,6 +54,14 @@ def main(argv=None) -> int:
             return jdbc.read_jdbc_table(spark, jdbc.JdbcConnection.from_env(), spec.source_table)
         return spark.read.parquet(f"{a.source_dir.rstrip('/')}/{spec.table_name}")
 
+    if a.job == "scan":
+        from tidemark.operators import textscan
+
+        findings = textscan.scan_files(spark, a.base).orderBy("id", "line", "rule").collect()
+        for f in findings:
+            print(f"{f.id}:{f.line}  {f.rule}\n    matched: {f.matched}\n    {f.hint}")
+        print(json.dumps({"findings": len(findings), "rules": len(textscan.RULES)}))
+        return 1 if findings else 0
     if a.job == "daily":
         if a.jdbc:
             conn = jdbc.JdbcConnection.from_env()
