@@ -57,11 +57,13 @@ def main(argv=None) -> int:
     if a.job == "scan":
         from tidemark.operators import textscan
 
-        findings = textscan.scan_files(spark, a.base).orderBy("id", "line", "rule").collect()
-        for f in findings:
+        n = 0
+        # Streamed partition by partition: the driver never holds all findings at once.
+        for f in textscan.scan_files(spark, a.base).orderBy("id", "line", "rule").toLocalIterator():
+            n += 1
             print(f"{f.id}:{f.line}  {f.rule}\n    matched: {f.matched}\n    {f.hint}")
-        print(json.dumps({"findings": len(findings), "rules": len(textscan.RULES)}))
-        return 1 if findings else 0
+        print(json.dumps({"findings": n, "rules": len(textscan.RULES)}))
+        return 1 if n else 0
     if a.job == "daily":
         if a.jdbc:
             conn = jdbc.JdbcConnection.from_env()
