@@ -24,7 +24,10 @@ def test_daily_job_publishes_checked_reports(spark, tmp_path):
     assert set(res.rows_landed) == set(SPECS)
     # A second run lands only the overlap and publishes version 2 with the same content.
     res2 = jobs.run_daily(spark, list(SPECS.values()), ingest.dataframe_reader(_sources(spark, SF_SMALL)), base,
-                          datetime(2024, 2, 16, 6), CFG)
+                          datetime(2024, 2, 16, 6), CFG, check_staging=True)
+    assert res2.failed_checks == []
+    logged = spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/control/check_results")
+    assert {"stg_dialer", "bronze.cases", jobs.PENETRATION} <= {r.model for r in logged.select("model").collect()}
     a = spark.read.parquet(res.published[jobs.PENETRATION])
     b = bronze.read_mart(spark, f"{base}/marts", jobs.PENETRATION)
     assert res2.published[jobs.PENETRATION].endswith("v=2")

@@ -2,7 +2,8 @@
 
 ``run_daily``: ingest every source (in parallel) -> build both reports from
 bronze -> publish them as new versions -> run the declared checks on the
-published tables and store the results -> fail on a failing check.
+published tables and the bronze keys (staging too, on request) and store
+the results -> fail on a failing check.
 
 ``run_reconciliation``: per source, distinct in-scope keys at the source
 versus in bronze -> append to the reconciliation log -> fail on drift.
@@ -68,13 +69,35 @@ def build_reports(spark: SparkSession, base: str, cfg: ReportConfig) -> dict[str
     }
 
 
+def staging_checks(spark: SparkSession, base: str, cfg: ReportConfig) -> dict[str, tuple[DataFrame, list]]:
+    """Key checks of the four staging views (each recomputes a dedup over the change log)."""
+    logs = {t: bronze.current_bronze(spark, base, t) for t in ("cases", "case_attributes", "dialer", "contacts")}
+    return {
+        "stg_cases": (staging.stg_cases(logs["cases"], cfg),
+                      [dq.unique("case_id"), dq.not_null("case_id"), dq.not_null("client_id")]),
+        "stg_case_attributes": (staging.stg_case_attributes(logs["case_attributes"], cfg),
+                                [dq.unique("case_id"), dq.not_null("case_id")]),
+        "stg_dialer": (staging.stg_dialer(logs["dialer"], cfg),
+                       [dq.unique("uniqueid"), dq.not_null("uniqueid"), dq.not_null("case_id")]),
+        "stg_contacts": (staging.stg_contacts(logs["contacts"], cfg),
+                         [dq.unique("contact_id"), dq.not_null("contact_id"), dq.not_null("case_id")]),
+    }
+
+
 def run_daily(spark: SparkSession, specs: Sequence[SourceSpec], read: ingest.SourceReader, base: str,
-              now: datetime, cfg: ReportConfig = ReportConfig(), fail_on_checks: bool = True) -> DailyResult:
+              now: datetime, cfg: ReportConfig = ReportConfig(), fail_on_checks: bool = True,
+              check_staging: bool = False) -> DailyResult:
     ingest.seed_for(specs, base, spark, now)
     rows = ingest.ingest_all(spark, specs, read, base, now)
     published = {name: bronze.publish_mart(spark, df, f"{base}/marts", name, now)
                  for name, df in build_reports(spark, base, cfg).items()}
     checks = {name: (spark.read.parquet(path), report_checks()[name]) for name, path in published.items()}
+    # Source keys are never NULL: one aggregate per bronze table.
+    for spec in specs:
+        checks[f"bronze.{spec.table_name}"] = (bronze.current_bronze(spark, base, spec.table_name),
+                                               [dq.not_null(k) for k in spec.key])
+    if check_staging:
+        checks |= staging_checks(spark, base, cfg)
     results = dq.run_suite(checks).withColumn("checked_at", F.lit(now.strftime("%Y-%m-%d %H:%M:%S"))
                                               .cast("timestamp_ntz"))
     bronze.append_rows(results, f"{base}/control/check_results")
