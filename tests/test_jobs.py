@@ -18,8 +18,10 @@ def test_daily_job_publishes_checked_reports(spark, tmp_path):
     base = str(tmp_path)
     res = jobs.run_daily(spark, list(SPECS.values()), ingest.dataframe_reader(_sources(spark, SF_SMALL)), base,
                          NOW, CFG)
-    assert res.failed_checks == []
+    assert res.failed_checks == [] and res.stale_sources == []
     assert spark.read.parquet(res.published[jobs.PENETRATION]).count() == 46
+    late = jobs.source_freshness(spark, list(SPECS.values()), base, datetime(2024, 2, 17, 7)).collect()
+    assert {r.status for r in late} == {"error"} and len(late) == 4
     assert spark.read.parquet(res.published[jobs.PHONE]).count() == 48
     assert set(res.rows_landed) == set(SPECS)
     # A second run lands only the overlap and publishes version 2 with the same content.

@@ -2,8 +2,9 @@
 
 ``run_daily``: ingest every source (in parallel) -> build both reports from
 bronze -> publish them as new versions -> run the declared checks on the
-published tables and the bronze keys (staging too, on request) and store
-the results -> fail on a failing check.
+published tables and the bronze keys (staging too, on request), and the
+freshness of every source, and store the results -> fail on a failing check
+or a source older than the error threshold.
 
 ``run_reconciliation``: per source, distinct in-scope keys at the source
 versus in bronze -> append to the reconciliation log -> fail on drift.
@@ -56,6 +57,17 @@ class DailyResult:
     rows_landed: dict[str, int]
     published: dict[str, str]
     failed_checks: list[str] = field(default_factory=list)
+    stale_sources: list[str] = field(default_factory=list)
+
+
+def source_freshness(spark: SparkSession, specs: Sequence[SourceSpec], base: str, now: datetime) -> DataFrame:
+    """Newest ``ingest_ts`` of every bronze table against ``now`` (26 h warn, 48 h error)."""
+    out = None
+    for spec in specs:
+        f = dq.freshness(bronze.current_bronze(spark, base, spec.table_name), "ingest_ts", now).select(
+            F.lit(spec.table_name).alias("table_name"), "*")
+        out = f if out is None else out.unionByName(f)
+    return out
 
 
 def build_reports(spark: SparkSession, base: str, cfg: ReportConfig) -> dict[str, DataFrame]:
@@ -102,10 +114,15 @@ def run_daily(spark: SparkSession, specs: Sequence[SourceSpec], read: ingest.Sou
                                               .cast("timestamp_ntz"))
     bronze.append_rows(results, f"{base}/control/check_results")
     failed = dq.failed(bronze.read_appended(spark, f"{base}/control/check_results", results.schema)
-                       .filter(F.col("checked_at") == F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")))
-    if failed and fail_on_checks:
-        raise ValueError(f"failing checks: {', '.join(failed)}")
-    return DailyResult(rows, published, failed)
+                       .filter(F.col("checked_at") == ntz(now)))
+    fresh = source_freshness(spark, specs, base, now).withColumn("checked_at", ntz(now))
+    bronze.append_rows(fresh, f"{base}/control/freshness_results")
+    stale = [f"{r.table_name}:{r.status}" for r in
+             bronze.read_appended(spark, f"{base}/control/freshness_results", fresh.schema)
+             .filter((F.col("checked_at") == ntz(now)) & (F.col("status") != "pass")).collect()]
+    if fail_on_checks and (failed or any(x.endswith(":error") for x in stale)):
+        raise ValueError(f"failing checks: {', '.join(failed + stale)}")
+    return DailyResult(rows, published, failed, stale)
 
 
 def run_reconciliation(spark: SparkSession, specs: Sequence[SourceSpec], source_of: Callable[[SourceSpec], DataFrame],
