@@ -78,3 +78,18 @@ def test_try_int_is_strict(spark):
 ])
 def test_window_bounds(as_of, back, lo, hi):
     assert window_bounds(as_of, back) == (lo, hi)
+
+
+def test_watermark_text_ignores_session_zone(spark):
+    """Midnight of a daylight-saving gap day (Sao Paulo, 1995-10-15) stays 00:00:00."""
+    from datetime import datetime
+
+    from tidemark.functions.expressions import watermark_text
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([(datetime(1995, 10, 15, 0, 0, 0, 123456),)], "ts timestamp_ntz")
+        assert df.select(watermark_text("ts").alias("t")).collect()[0].t == "1995-10-15 00:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 # Fixed values that must match the reports being replaced (band labels, the
-# default labels, the seed watermark and the watermark text format).
+# default labels and the seed watermark).
 DPD_BANDS: tuple[tuple[int, int | None, str], ...] = (
     (0, 30, "A: 0-30"),
     (31, 60, "B: 31-60"),
@@ -22,7 +22,6 @@ DPD_BANDS: tuple[tuple[int, int | None, str], ...] = (
 NO_DPD_LABEL = "Sem DPD"
 NO_PROVIDER_LABEL = "Sem Provider"
 SEED_WATERMARK = datetime(1900, 1, 1, 0, 0, 0)
-WATERMARK_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"  # Spark datetime pattern
 WATERMARK_LAG_MINUTES = 15
 MIN_RETENTION_HOURS = 168
 

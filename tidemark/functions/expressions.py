@@ -13,12 +13,7 @@ from typing import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.config import (
-    DPD_BANDS,
-    NO_DPD_LABEL,
-    SEED_WATERMARK,
-    WATERMARK_TEXT_FORMAT,
-)
+from tidemark.config import DPD_BANDS, NO_DPD_LABEL, SEED_WATERMARK
 
 
 def _one() -> Column:
@@ -114,8 +109,13 @@ def ntz(value: datetime) -> Column:
 
 
 def watermark_text(col: Column | str) -> Column:
-    """Whole-second text form; truncating milliseconds only ever re-reads rows."""
-    return F.date_format(_c(col), WATERMARK_TEXT_FORMAT)
+    """Whole-second ``yyyy-MM-dd HH:mm:ss`` text; truncating the fraction only ever re-reads rows.
+
+    A zone-less timestamp is turned into text by a cast, which involves no zone:
+    ``date_format`` would pass it through the session zone first, and a midnight
+    that falls in a daylight-saving gap there would come out as 01:00.
+    """
+    return F.substring(_c(col).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def lagged_watermark(wm: Column | str, lag_minutes: int, seed: datetime = SEED_WATERMARK) -> Column:

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tidemark.config import SEED_WATERMARK
-from tidemark.functions.expressions import ntz
+from tidemark.functions.expressions import ntz, watermark_text
 from tidemark.plans import control
 from tidemark.plans.catalog.common import query
 from tidemark.sources import fixtures as fx
@@ -93,15 +93,17 @@ def control_mark_failed(spark, d):
 def watermark_guard(spark, d):
     """B2: the watermark text guard over well-formed and malformed candidates per order date."""
     days = fx.table(spark, d, "orders").select(F.col("o_orderdate").alias("ts")).distinct()
-    good = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    # Candidate texts are built by zone-free casts (see ``watermark_text``).
+    good = watermark_text("ts")
+    day = F.to_date("ts").cast("string")
     cands = F.array(
         F.struct(F.lit("plain").alias("form"), good.alias("text")),
-        F.struct(F.lit("date_only").alias("form"), F.date_format("ts", "yyyy-MM-dd").alias("text")),
-        F.struct(F.lit("iso_t").alias("form"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("text")),
+        F.struct(F.lit("date_only").alias("form"), day.alias("text")),
+        F.struct(F.lit("iso_t").alias("form"), F.regexp_replace(good, " ", "T").alias("text")),
         F.struct(F.lit("injection").alias("form"), F.concat(good, F.lit("' OR '1'='1")).alias("text")),
         F.struct(F.lit("newline").alias("form"), F.concat(good, F.lit("\n")).alias("text")),
         F.struct(F.lit("bad_month").alias("form"),
-                 F.concat(F.date_format("ts", "yyyy"), F.lit("-13-01 00:00:00")).alias("text")),
+                 F.concat(F.substring(day, 1, 4), F.lit("-13-01 00:00:00")).alias("text")),
     )
     return days.select("ts", F.explode(cands).alias("c")).select(
         "ts", "c.form", "c.text", jdbc.watermark_guard_col("c.text").alias("accepted"))
