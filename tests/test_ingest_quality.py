@@ -178,3 +178,21 @@ def test_empty_source_with_no_partitions(spark, tmp_path):
     assert cur.run_status == "success" and cur.last_watermark == T(1900, 1, 1)
     bronze_calls = spark.read.schema("id long, v string, update_date timestamp_ntz").parquet(f"{base}/bronze/calls")
     assert bronze_calls.count() == 0
+
+
+def test_reconcile_with_a_count_taken_at_the_source(spark):
+    b = spark.createDataFrame([(i,) for i in range(990)], "k long")
+    r = reconcile.reconcile_counts([reconcile.Target("t", None, b, ("k",), None, 1000)]).collect()[0]
+    assert (r.source_count, r.bronze_count, r.drift_pct, r.flagged) == (1000, 990, 0.01, 1)
+
+
+def test_source_key_count_query_shape(monkeypatch):
+    from tidemark.config import SourceSpec
+    from tidemark.sources import jdbc
+
+    seen = {}
+    monkeypatch.setattr(jdbc, "source_count", lambda spark, conn, table: seen.setdefault("t", table) and 7)
+    spec = SourceSpec("a", "sch.attr", ("case_id", "type_id"), ("case_id",), scope_column="type_id",
+                      scope_values=(11, 12))
+    assert jdbc.source_key_count(None, None, spec) == 7
+    assert seen["t"] == "(SELECT DISTINCT case_id, type_id FROM sch.attr WHERE type_id IN (11, 12)) k"

@@ -73,7 +73,13 @@ def main(argv=None) -> int:
         res = jobs.run_daily(spark, specs, read, a.base, now, cfg, fail_on_checks=not a.no_fail)
         out = {"rows_landed": res.rows_landed, "published": res.published, "failed_checks": res.failed_checks}
     elif a.job == "reconcile":
-        rows = jobs.run_reconciliation(spark, specs, source_of, a.base, now, fail_on_drift=not a.no_fail).collect()
+        if a.jdbc:  # counted at the source: no source row crosses the network
+            conn = jdbc.JdbcConnection.from_env()
+            rows = jobs.run_reconciliation(spark, specs, None, a.base, now, fail_on_drift=not a.no_fail,
+                                           source_counts=lambda spec: jdbc.source_key_count(spark, conn, spec))
+        else:
+            rows = jobs.run_reconciliation(spark, specs, source_of, a.base, now, fail_on_drift=not a.no_fail)
+        rows = rows.collect()
         out = {"reconciliation": [r.asDict() for r in rows]}
     else:
         rows = jobs.run_maintenance(spark, specs, a.base, now, cfg, retention_hours=a.retention_hours).collect()

@@ -27,19 +27,24 @@ from tidemark.functions.expressions import drift_fraction, ntz
 @dataclass(frozen=True)
 class Target:
     name: str
-    source: DataFrame
+    source: DataFrame | None
     bronze: DataFrame
     keys: tuple[str, ...]
     scope: F.Column | None = None  # applied to both sides
+    # Counted elsewhere (at a JDBC source, pushed down): then ``source`` is not read.
+    source_count: int | None = None
 
 
 def _key_counts(t: Target) -> DataFrame:
     """Distinct in-scope keys on both sides in one aggregate: the two sides are
     tagged and unioned, de-duplicated per (key, side) with a map-side partial
     step, then counted per side."""
-    src, brz = t.source, t.bronze
-    if t.scope is not None:
-        src, brz = src.filter(t.scope), brz.filter(t.scope)
+    brz = t.bronze.filter(t.scope) if t.scope is not None else t.bronze
+    if t.source_count is not None:
+        return brz.select(*t.keys).distinct().agg(F.count(F.lit(1)).alias("bronze_count")).select(
+            F.lit(t.name).alias("table"), F.lit(int(t.source_count)).cast("long").alias("source_count"),
+            "bronze_count")
+    src = t.source.filter(t.scope) if t.scope is not None else t.source
     both = (src.select(*t.keys, F.lit(1).alias("_side"))
             .unionByName(brz.select(*t.keys, F.lit(2).alias("_side"))))
     return both.distinct().agg(

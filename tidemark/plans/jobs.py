@@ -125,14 +125,23 @@ def run_daily(spark: SparkSession, specs: Sequence[SourceSpec], read: ingest.Sou
     return DailyResult(rows, published, failed, stale)
 
 
-def run_reconciliation(spark: SparkSession, specs: Sequence[SourceSpec], source_of: Callable[[SourceSpec], DataFrame],
-                       base: str, now: datetime, threshold: float = 0.005, fail_on_drift: bool = True) -> DataFrame:
-    """Distinct in-scope keys, source versus bronze, per source; logged, then raised on drift."""
+def run_reconciliation(spark: SparkSession, specs: Sequence[SourceSpec],
+                       source_of: Callable[[SourceSpec], DataFrame] | None, base: str, now: datetime,
+                       threshold: float = 0.005, fail_on_drift: bool = True,
+                       source_counts: Callable[[SourceSpec], int] | None = None) -> DataFrame:
+    """Distinct in-scope keys, source versus bronze, per source; logged, then raised on drift.
+
+    ``source_counts`` (for example ``jdbc.source_key_count``) counts at the source, so
+    no source row is shipped; otherwise ``source_of`` gives the source as a DataFrame.
+    """
     targets = []
     for spec in specs:
         scope = F.col(spec.scope_column).isin(*spec.scope_values) if spec.scope_column else None
         b = bronze.current_bronze(spark, base, spec.table_name)
-        targets.append(reconcile.Target(spec.table_name, source_of(spec), b, spec.key, scope))
+        if source_counts is not None:
+            targets.append(reconcile.Target(spec.table_name, None, b, spec.key, scope, source_counts(spec)))
+        else:
+            targets.append(reconcile.Target(spec.table_name, source_of(spec), b, spec.key, scope))
     result = reconcile.reconcile_counts(targets, threshold, checked_at=now)
     reconcile.append_log(result, f"{base}/control/reconciliation_log")
     logged = bronze.read_appended(spark, f"{base}/control/reconciliation_log", result.schema).filter(

@@ -156,3 +156,13 @@ def source_count(spark: SparkSession, conn: JdbcConnection, table_with_filter: s
 def write_jdbc(df: DataFrame, conn: JdbcConnection, table: str, batchsize: int = 10000) -> None:
     df.write.format("jdbc").options(**(conn.options() | {"dbtable": table, "batchsize": str(batchsize)})).mode(
         "append").save()
+
+
+def source_key_count(spark: SparkSession, conn: JdbcConnection, spec: SourceSpec) -> int:
+    """Distinct in-scope keys, counted *at the source* (one row back), for reconciliation."""
+    keys = ", ".join(spec.key)
+    where = ""
+    if spec.scope_column and spec.scope_values:
+        where = f" WHERE {spec.scope_column} IN ({', '.join(str(int(v)) for v in spec.scope_values)})"
+    inner = f"SELECT DISTINCT {keys} FROM {spec.source_table}{where}"
+    return source_count(spark, conn, f"({inner}) k")
