@@ -103,3 +103,20 @@ def test_bucketed_merge_shuffles_only_the_batch(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scan = [ln for ln in plan.splitlines() if "FileScan" in ln and "Bucketed: true" in ln]
     assert scan and plan.count("Exchange") == 1
+
+
+def test_bucketed_tail_leaves_no_catalog_entries(spark, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+
+    schema = StructType([StructField("k", LongType()), StructField("v", StringType()),
+                         StructField("update_date", TimestampNTZType()), StructField("ingest_date", StringType())])
+    path = str(tmp_path / "bronze")
+    for day, rows in (("d1", [(1, "a", datetime(2024, 1, 1), "d1")]), ("d2", [(1, "b", datetime(2024, 1, 2), "d2")])):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(path)
+        tail_latest_state(spark, path, schema, str(tmp_path / "state"), "s", ["k"], ["update_date"],
+                          str(tmp_path / "ck"), buckets=2)
+    assert [r.v for r in bronze.read_mart(spark, str(tmp_path / "state"), "s").collect()] == ["b"]
+    from tidemark.streaming.latest_state import _table
+
+    for version in (1, 2):
+        assert not spark.catalog.tableExists(_table(f"{tmp_path / 'state'}/s/v={version}"))

@@ -127,8 +127,14 @@ def tail_latest_state(spark: SparkSession, bronze_path: str, schema: StructType,
         state = read_state(spark, state_base, name, state_schema, keys, buckets)
         when = now or datetime.now()
         if buckets:
-            bronze.publish_mart(spark, None, state_base, name, when,
-                                write=lambda path: merge_bucketed(state, batch_df, keys, order, path, buckets))
+            cur = bronze.published_version(spark, state_base, name)
+            new_path = bronze.publish_mart(spark, None, state_base, name, when,
+                                           write=lambda path: merge_bucketed(state, batch_df, keys, order, path,
+                                                                             buckets))
+            # The catalog entries only serve the merge's bucketed read; they are external
+            # tables, so dropping them keeps the files and leaves the catalog clean.
+            for p in ([cur[1]] if cur else []) + [new_path]:
+                spark.sql(f"DROP TABLE IF EXISTS {_table(p)}")
         else:
             bronze.publish_mart(spark, merge_into_state(state, batch_df, keys, order), state_base, name, when)
         seen["batches"] += 1
