@@ -30,3 +30,8 @@ def test_entry_runs(spark):
     assert df.count() == 46
     assert df.columns == ["client_id", "provider", "dpd_faixa", "quantidade", "acionado", "sem_ac",
                           "penetration_rate", "total_calls", "paid", "ptp", "cc"]
+
+
+def test_every_key_but_the_file_count_report_has_an_oracle():
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {"compact_report"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())

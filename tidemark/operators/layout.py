@@ -61,9 +61,12 @@ def cluster(df: DataFrame, cluster_by: Sequence[str], n_files: int, bits: int =
 def compact(spark: SparkSession, path_in: str, path_out: str, cluster_by: Sequence[str] = (),
             target_file_bytes: int = 256 << 20, bits: int = 8, partition_by: str | None = None) -> dict:
     """Rewrite ``path_in`` into ``path_out`` with fewer, clustered files. Returns a report."""
+    from tidemark.sources.bronze import folder_bytes
+
     src = spark.read.parquet(path_in)
     before = file_stats(src).collect()[0]
-    n_files = max(1, math.ceil((before["bytes"] or 0) / target_file_bytes))
+    # Sized from the file system's byte count of the input folder.
+    n_files = max(1, math.ceil(folder_bytes(spark, path_in) / target_file_bytes))
     # The row hash in ``cluster`` splits a hot Z value (one case and day holding
     # a third of the rows) over several range partitions instead of one.
     out = cluster(src, cluster_by, n_files, bits) if cluster_by else src.repartition(n_files)
