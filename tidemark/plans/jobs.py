@@ -157,7 +157,12 @@ def run_maintenance(spark: SparkSession, specs: Sequence[SourceSpec], base: str,
     """Weekly housekeeping per source: superseded versions older than the retention are
     dropped, the rest is Z-ordered into files of about ``target_file_bytes`` and published
     as the new compacted base. Live bronze files are left in place; readers use
-    ``bronze.current_bronze`` (compacted base + live tail). Returns a report."""
+    ``bronze.current_bronze`` (compacted base + live tail). Returns a report.
+
+    The base covers every row up to the newest ingest stamp it saw; run it between
+    ingests of the same source (as the weekly schedule does), so no batch lands with
+    a stamp at or below that mark while it runs.
+    """
     import math
 
     from tidemark.operators import changelog, layout

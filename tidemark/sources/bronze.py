@@ -132,9 +132,13 @@ def publish_mart(spark: SparkSession, df: DataFrame | None, base: str, mart: str
                  write=None, covered_to: datetime | None = None) -> str:
     """Write version N+1 of ``mart`` (``df``, or whatever ``write(path)`` writes) and then
     publish it with a pointer row."""
+    import uuid
+
     cur = published_version(spark, base, mart)
     version = (cur[0] if cur else 0) + 1
-    path = f"{base}/{mart}/v={version}"
+    # A unique folder: a run that died after writing but before publishing leaves
+    # an unreferenced folder behind, which never blocks the retry.
+    path = f"{base}/{mart}/v={version}-{uuid.uuid4().hex[:8]}"
     if write is not None:
         write(path)
     else:
