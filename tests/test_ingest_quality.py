@@ -196,3 +196,16 @@ def test_source_key_count_query_shape(monkeypatch):
                       scope_values=(11, 12))
     assert jdbc.source_key_count(None, None, spec) == 7
     assert seen["t"] == "(SELECT DISTINCT case_id, type_id FROM sch.attr WHERE type_id IN (11, 12)) k"
+
+
+def test_max_records_per_file_splits_a_large_batch(spark, tmp_path):
+    import dataclasses
+    import glob
+
+    spec = dataclasses.replace(SPEC, max_records_per_file=40)
+    src = spark.createDataFrame([(i, "v", T(2024, 1, 1)) for i in range(100)], "id long, v string, update_date timestamp_ntz")
+    base = str(tmp_path)
+    ingest.seed_for([spec], base, spark, T(2024, 1, 1))
+    assert ingest.ingest_source(spark, spec, ingest.dataframe_reader({"calls": src.coalesce(1)}), base,
+                                T(2024, 1, 2)) == 100
+    assert len(glob.glob(f"{base}/bronze/calls/ingest_date=*/*.parquet")) == 3

@@ -71,6 +71,8 @@ class SourceSpec:
     # Without one, a hash of the row breaks ties between versions that share
     # ``update_date`` and ingest stamp: deterministic, but not source order.
     sequence_column: str | None = None
+    # Cap on rows per bronze file for a large batch (None: one file per read partition).
+    max_records_per_file: int | None = None
 
 
 def default_sources(cfg: ReportConfig = ReportConfig()) -> tuple[SourceSpec, ...]:

@@ -50,7 +50,8 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, read: SourceReader, bas
         batch = stamp(read(spec, watermark), now, list(spec.columns), spec.sequence_column)
         if spec.table_name in BRONZE_SCHEMAS:
             batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMAS[spec.table_name].fields])
-        stats = bronze.append_batch(batch, bronze_path, {"batch_max": F.max(spec.watermark_column)})
+        stats = bronze.append_batch(batch, bronze_path, {"batch_max": F.max(spec.watermark_column)},
+                                    max_records_per_file=spec.max_records_per_file)
         rows = int(stats["row_count"])
         if register_database and rows:
             bronze.register_table(spark, register_database, spec.table_name, bronze_path)

@@ -74,7 +74,7 @@ def ensure_empty_table(spark: SparkSession, path: str, schema: StructType, parti
 
 
 def append_batch(batch: DataFrame, path: str, stats_cols: dict[str, "F.Column"] | None = None,
-                 partition_by: str = "ingest_date") -> dict:
+                 partition_by: str = "ingest_date", max_records_per_file: int | None = None) -> dict:
     """Append one batch and return its statistics, gathered during the write.
 
     The statistics (row count, max watermark, ...) come from an
@@ -84,7 +84,10 @@ def append_batch(batch: DataFrame, path: str, stats_cols: dict[str, "F.Column"]
     obs = Observation("batch_stats")
     metrics = {"row_count": F.count(F.lit(1))} | (stats_cols or {})
     observed = batch.observe(obs, *[c.alias(n) for n, c in metrics.items()])
-    observed.write.mode("append").partitionBy(partition_by).parquet(path)
+    w = observed.write.mode("append").partitionBy(partition_by)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))  # caps file size of a large batch
+    w.parquet(path)
     return obs.get
 
 
