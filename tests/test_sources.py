@@ -62,7 +62,7 @@ def test_jdbc_options_split_only_with_real_bounds():
     assert o["partitionColumn"] == "case_id" and o["numPartitions"] == "16" and o["lowerBound"] == "1"
     assert "partitionColumn" not in jdbc_reader_options(conn, "t", (5, 5), "case_id")
     assert "partitionColumn" not in jdbc_reader_options(conn, "t", (None, None), "case_id")
-    assert o["fetchsize"] == "10000"
+    assert o["fetchsize"] == "10000" and o["preferTimestampNTZ"] == "true"
 
 
 def test_connection_from_environment(monkeypatch):

@@ -105,11 +105,16 @@ class JdbcConnection:
         return o
 
 
+# Zone-less source times (DATETIME2) are read as ``timestamp_ntz``: filters against
+# zone-less literals are then pushed as is, whatever the session zone.
+READ_OPTIONS = {"preferTimestampNTZ": "true"}
+
+
 def jdbc_reader_options(conn: JdbcConnection, table: str, bounds: tuple | None = None,
                         partition_column: str | None = None, num_partitions: int = 8) -> dict[str, str]:
     """Options of one JDBC read; split over ``num_partitions`` connections when the
     bounds are known and not degenerate, one connection otherwise."""
-    o = conn.options() | {"dbtable": table}
+    o = conn.options() | READ_OPTIONS | {"dbtable": table}
     if partition_column and bounds and bounds[0] is not None and bounds[1] is not None and bounds[0] != bounds[1]:
         o |= {
             "partitionColumn": partition_column,
@@ -121,7 +126,7 @@ def jdbc_reader_options(conn: JdbcConnection, table: str, bounds: tuple | None =
 
 
 def read_jdbc_table(spark: SparkSession, conn: JdbcConnection, table: str, **extra) -> DataFrame:
-    return spark.read.format("jdbc").options(**(conn.options() | {"dbtable": table} | extra)).load()
+    return spark.read.format("jdbc").options(**(conn.options() | READ_OPTIONS | {"dbtable": table} | extra)).load()
 
 
 def source_bounds(spark: SparkSession, conn: JdbcConnection, spec: SourceSpec, watermark: datetime) -> tuple:
