@@ -415,3 +415,4 @@ ORACLES["reconciliation_run"] = with_ctes(f"""
 ORACLES["stream_latest_state_bucketed"] = ORACLES["stream_latest_state"]
 ORACLES["maintenance_run"] = block("mart_penetration")
 ORACLES["compacted_table"] = with_ctes(f"SELECT {DIALER_COLS}, ingest_seq FROM dialer_log")
+ORACLES["daily_run_from_state"] = block("mart_penetration")
