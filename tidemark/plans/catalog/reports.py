@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import band, safe_rate, try_int, window_bounds_col
 from tidemark.operators import changelog, marts, staging
-from tidemark.plans.catalog.common import CFG, _SRC_CONTACT_COLS, _active, _stg_attrs, _stg_cases, _stg_contacts, _stg_dialer, query
+from tidemark.plans.catalog.common import (
+    CFG, _SRC_CONTACT_COLS, _active, _stg_attrs, _stg_cases, _stg_contacts, _stg_dialer, query,
+)
 from tidemark.sources import fixtures as fx
 
 

@@ -63,7 +63,8 @@ def read_appended(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
-def ensure_empty_table(spark: SparkSession, path: str, schema: StructType, partition_by: str | None = "ingest_date") -> None:
+def ensure_empty_table(spark: SparkSession, path: str, schema: StructType,
+                       partition_by: str | None = "ingest_date") -> None:
     """Create an empty typed table so readers resolve it before the first batch lands."""
     if exists(spark, path):
         return

@@ -144,7 +144,8 @@ def source_bounds(spark: SparkSession, conn: JdbcConnection, spec: SourceSpec, w
     return row[0], row[1]
 
 
-def read_jdbc_incremental(spark: SparkSession, conn: JdbcConnection, spec: SourceSpec, watermark: datetime) -> DataFrame:
+def read_jdbc_incremental(spark: SparkSession, conn: JdbcConnection, spec: SourceSpec,
+                          watermark: datetime) -> DataFrame:
     """Partitioned incremental pull: bounds at the source, then a split read
     whose watermark and scope are DataFrame filters pushed by Spark."""
     bounds = source_bounds(spark, conn, spec, watermark) if spec.partition_column else None
