@@ -7,10 +7,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.config import DPD_BANDS, NO_DPD_LABEL
-from tidemark.operators import changelog, reconcile, staging
+from tidemark.operators import changelog, marts, reconcile, staging
 from tidemark.operators import quality as dq
-from tidemark.plans.catalog.common import CFG, _KEYS, _scope, _stg_attrs, _stg_cases, _stg_contacts, _stg_dialer, query
-from tidemark.plans.catalog.reports import mart_penetration, mart_phone_quality
+from tidemark.plans.catalog.common import CFG, _KEYS, _scope, query
 from tidemark.sources import fixtures as fx
 
 
@@ -45,20 +44,42 @@ DQ_DECLARATIONS: dict[str, list] = {
 
 
 def _dq_frames(spark, d):
-    """Model -> thunk building its DataFrame (only the models a key checks are built)."""
+    """Model -> thunk building its DataFrame. Logs and staging views are built once and
+    shared: the reports are derived from the same staged DataFrames the staging checks
+    read, so identical subplans run once (adaptive execution reuses the stages)."""
+    memo: dict = {}
+
+    def once(name, build):
+        if name not in memo:
+            memo[name] = build()
+        return memo[name]
+
+    def log(t):
+        return once(f"log.{t}", lambda: fx.LOGS[t](spark, d))
+
+    def stg(name):
+        build = {
+            "stg_cases": lambda: staging.stg_cases(log("cases"), CFG),
+            "stg_case_attributes": lambda: staging.stg_case_attributes(log("case_attributes"), CFG),
+            "stg_dialer": lambda: staging.stg_dialer(log("dialer"), CFG),
+            "stg_contacts": lambda: staging.stg_contacts(log("contacts"), CFG),
+        }[name]
+        return once(name, build)
+
     return {
-        "bronze.cases": lambda: fx.cases_log(spark, d),
-        "bronze.case_attributes": lambda: fx.attributes_log(spark, d),
-        "bronze.dialer": lambda: fx.dialer_log(spark, d),
-        "bronze.contacts": lambda: fx.contacts_log(spark, d),
-        "stg_cases": lambda: _stg_cases(spark, d),
-        "stg_case_attributes": lambda: _stg_attrs(spark, d),
-        "stg_dialer": lambda: _stg_dialer(spark, d),
-        "stg_contacts": lambda: _stg_contacts(spark, d),
-        "mart_penetration_by_dpd_band": lambda: mart_penetration(spark, d),
-        "mart_phone_quality": lambda: mart_phone_quality(spark, d),
+        "bronze.cases": lambda: log("cases"),
+        "bronze.case_attributes": lambda: log("case_attributes"),
+        "bronze.dialer": lambda: log("dialer"),
+        "bronze.contacts": lambda: log("contacts"),
+        "stg_cases": lambda: stg("stg_cases"),
+        "stg_case_attributes": lambda: stg("stg_case_attributes"),
+        "stg_dialer": lambda: stg("stg_dialer"),
+        "stg_contacts": lambda: stg("stg_contacts"),
+        "mart_penetration_by_dpd_band": lambda: marts.penetration_from_staged(
+            stg("stg_cases"), stg("stg_case_attributes"), stg("stg_dialer"), stg("stg_contacts"), CFG),
+        "mart_phone_quality": lambda: marts.mart_phone_quality(stg("stg_dialer"), CFG),
         "orders": lambda: fx.table(spark, d, "orders"),
-        "latest_attribute": lambda: staging.latest_attribute(fx.attributes_log(spark, d), CFG),
+        "latest_attribute": lambda: staging.latest_attribute(log("case_attributes"), CFG),
     }
 
 
