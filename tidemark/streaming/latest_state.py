@@ -50,11 +50,21 @@ def _table(path: str) -> str:
     return f"{STATE_DB}.s_{hashlib.sha1(path.encode()).hexdigest()[:16]}"
 
 
+def _ensure_db(spark: SparkSession) -> None:
+    """The catalog database of the state entries, located in the shared checkpoint folder
+    (its tables are external, so nothing is written there but the folder itself)."""
+    from tidemark.session import ensure_checkpoint_dir
+
+    if not spark.catalog.databaseExists(STATE_DB):
+        loc = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{STATE_DB}.db"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {STATE_DB} LOCATION '{loc}'")
+
+
 def bucketed_table(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], buckets: int) -> str:
     """Catalog entry (bucket spec included) for a state version folder; files carry
     their bucket id, so a new session can re-register an existing folder."""
     name = _table(path)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STATE_DB}")
+    _ensure_db(spark)
     if not spark.catalog.tableExists(name):
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         cols = ", ".join(f"`{k}`" for k in keys)
@@ -64,7 +74,7 @@ def bucketed_table(spark: SparkSession, path: str, schema: StructType, keys: Seq
 
 
 def _write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, mode: str) -> None:
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {STATE_DB}")
+    _ensure_db(df.sparkSession)
     (df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet")
      .saveAsTable(_table(path)))
 
