@@ -1,6 +1,8 @@
 """Compare each catalogue query with its DuckDB oracle, as the driver does.
 
     python -m tests.oracle_check [sf_dir] [key ...]
+
+With ``ORACLE_CHECK_JSON=<file>`` the per-key results are also written as JSON.
 """
 
 from __future__ import annotations
@@ -76,21 +78,31 @@ def main(argv):
     con = duck(sf_dir)
     qs, os_ = e.queries(), e.oracle_sql()
     bad = 0
+    report = {}
     for k in (keys or sorted(qs)):
         if k not in os_:
             rows = qs[k](spark, sf_dir).count()
             print(f"ROWS-ONLY {k}: {rows}")
+            report[k] = {"rows_only": True, "spark_rows": rows}
             continue
         try:
             r = compare(spark, con, k, qs[k], os_[k], sf_dir)
         except Exception as ex:  # report and go on
             bad += 1
             print(f"ERROR {k}: {type(ex).__name__}: {str(ex)[:400]}")
+            report[k] = {"error": f"{type(ex).__name__}: {str(ex)[:400]}"}
             continue
+        report[k] = {x: r[x] for x in ("spark_rows", "oracle_rows", "names_ok", "types_ok", "values_ok", "secs")}
         ok = r["values_ok"] and r["types_ok"]
         bad += not ok
         print(("OK   " if ok else "FAIL ") + str(r))
     print(f"{bad} problem(s)")
+    out = os.environ.get("ORACLE_CHECK_JSON")
+    if out:
+        import json
+
+        with open(out, "w") as f:
+            json.dump({"sf_dir": sf_dir, "problems": bad, "queries": report}, f, indent=1)
     return bad
 
 
