@@ -136,3 +136,36 @@ def test_row_reconciliation_like_python(spark, src, brz):
         elif src[k] != brz[k]:
             want[k] = "changed"
     assert got == want
+
+
+@SETTINGS
+@given(values=st.lists(st.one_of(st.none(), st.integers(-1000, 1000)), min_size=1, max_size=30))
+def test_band_like_python(spark, values):
+    from tidemark.config import DPD_BANDS, NO_DPD_LABEL
+    from tidemark.functions.expressions import band
+
+    def py_band(v):
+        if v is None:
+            return NO_DPD_LABEL
+        for lo, hi, label in DPD_BANDS:
+            if v >= lo and (hi is None or v <= hi):
+                return label
+        return NO_DPD_LABEL
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v int")
+    got = [r.b for r in df.select("i", band("v").alias("b")).orderBy("i").collect()]
+    assert got == [py_band(v) for v in values]
+
+
+@SETTINGS
+@given(pairs=st.lists(st.tuples(st.integers(0, 10**6), st.integers(0, 10**6)), min_size=1, max_size=30))
+def test_safe_rate_is_half_up_at_four_places(spark, pairs):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from tidemark.functions.expressions import safe_rate
+
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a long, b long")
+    got = [r.r for r in df.select("i", safe_rate("a", "b").alias("r")).orderBy("i").collect()]
+    want = [None if b == 0 else float((Decimal(a) / Decimal(b)).quantize(Decimal("0.0001"), ROUND_HALF_UP))
+            for a, b in pairs]
+    assert got == want
