@@ -169,3 +169,42 @@ def test_safe_rate_is_half_up_at_four_places(spark, pairs):
     want = [None if b == 0 else float((Decimal(a) / Decimal(b)).quantize(Decimal("0.0001"), ROUND_HALF_UP))
             for a, b in pairs]
     assert got == want
+
+
+@SETTINGS
+@given(points=st.lists(st.tuples(st.integers(0, 255), st.integers(0, 255)), min_size=1, max_size=30))
+def test_morton_key_like_python(spark, points):
+    from tidemark.functions.expressions import zorder_key
+
+    def interleave(x, y):
+        return sum((((x >> i) & 1) << (2 * i)) | (((y >> i) & 1) << (2 * i + 1)) for i in range(8))
+
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "i int, x long, y long")
+    got = [r.z for r in df.select("i", zorder_key(["x", "y"], 8).alias("z")).orderBy("i").collect()]
+    assert got == [interleave(x, y) for x, y in points]
+
+
+ts_text = st.one_of(
+    st.datetimes(min_value=datetime(1900, 1, 1), max_value=datetime(2100, 1, 1)).map(
+        lambda d: d.strftime("%Y-%m-%d %H:%M:%S")),
+    st.text(alphabet="0123456789-: T'\n", min_size=0, max_size=22),
+    st.tuples(st.integers(0, 9999), st.integers(0, 99), st.integers(0, 99), st.integers(0, 99), st.integers(0, 99),
+              st.integers(0, 99)).map(lambda t: "%04d-%02d-%02d %02d:%02d:%02d" % t),
+)
+
+
+@SETTINGS
+@given(texts=st.lists(ts_text, min_size=1, max_size=20))
+def test_guard_column_agrees_with_python_guard(spark, texts):
+    from tidemark.sources.jdbc import validate_watermark, watermark_guard_col
+
+    def ok(t):
+        try:
+            validate_watermark(t)
+            return 1
+        except ValueError:
+            return 0
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.a for r in df.select("i", watermark_guard_col("t").alias("a")).orderBy("i").collect()]
+    assert got == [ok(t) for t in texts]

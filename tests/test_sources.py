@@ -74,3 +74,20 @@ def test_connection_from_environment(monkeypatch):
     monkeypatch.delenv("TIDEMARK_JDBC_URL")
     with pytest.raises(KeyError):
         JdbcConnection.from_env()
+
+
+def test_guard_edges_agree(spark):
+    """Year 0, leap days, hour 24, minute/second 60: column and Python guards agree."""
+    vals = ["0000-01-01 00:00:00", "0001-01-01 00:00:00", "2024-02-29 00:00:00", "2023-02-29 00:00:00",
+            "2024-12-31 24:00:00", "2024-01-01 23:60:00", "2024-01-01 00:00:60", "9999-12-31 23:59:59"]
+
+    def py(v):
+        try:
+            validate_watermark(v)
+            return 1
+        except ValueError:
+            return 0
+
+    df = spark.createDataFrame([(v,) for v in vals], "t string")
+    got = {r.t: r.a for r in df.select("t", watermark_guard_col("t").alias("a")).collect()}
+    assert got == {v: py(v) for v in vals}

@@ -192,6 +192,7 @@ ORACLES.update({
         SELECT ts, form, text,
                CASE WHEN length(text) = 19
                          AND regexp_full_match(text, '\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}')
+                         AND substring(text, 1, 4) <> '0000'
                          AND try_strptime(text, '%Y-%m-%d %H:%M:%S') IS NOT NULL THEN 1 ELSE 0 END AS accepted
         FROM c""",
 })

@@ -44,6 +44,7 @@ def watermark_guard_col(text_col) -> "F.Column":
     ok = (
         (F.length(c) == 19)
         & c.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
+        & (F.substring(c, 1, 4) != "0000")  # year 0 parses in Spark's calendar, not in Python's
         & F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()
     )
     return F.when(ok, F.lit(1)).otherwise(F.lit(0))
