@@ -208,3 +208,25 @@ def test_guard_column_agrees_with_python_guard(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r.a for r in df.select("i", watermark_guard_col("t").alias("a")).orderBy("i").collect()]
     assert got == [ok(t) for t in texts]
+
+
+@SETTINGS
+@given(items=st.lists(st.tuples(
+    st.one_of(st.none(), st.datetimes(min_value=datetime(1900, 1, 1), max_value=datetime(2100, 1, 1))),
+    st.integers(0, 600)), min_size=1, max_size=20))
+def test_lagged_watermark_text_like_python(spark, items):
+    from tidemark.config import SEED_WATERMARK
+    from tidemark.functions.expressions import lagged_watermark, watermark_text
+
+    def py(wm, lag):
+        wm = wm or SEED_WATERMARK
+        if lag:
+            wm = max(wm - timedelta(minutes=lag), SEED_WATERMARK)
+        return wm.replace(microsecond=0).strftime("%Y-%m-%d %H:%M:%S")
+
+    rows = [(i, wm, lag) for i, (wm, lag) in enumerate(items)]
+    df = spark.createDataFrame(rows, "i int, wm timestamp_ntz, lag int")
+    got = []
+    for i, wm, lag in rows:  # the lag is a parameter of the expression, so one select per row
+        got.append(df.filter(f"i = {i}").select(watermark_text(lagged_watermark("wm", lag)).alias("t")).first().t)
+    assert got == [py(wm, lag) for _, wm, lag in rows]
