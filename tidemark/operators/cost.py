@@ -16,6 +16,9 @@ from tidemark.functions.expressions import ntz, safe_rate
 
 def extraction_cost(log: DataFrame, date_col: str, ts_col: str, as_of: datetime, watermark: datetime,
                     lag_minutes: int = 15, months: int = 3, scope: F.Column | None = None) -> DataFrame:
+    """One row: rows with ``date_col`` in the last ``months`` before ``as_of`` (a full-window
+    reload), rows with ``ts_col`` above ``watermark - lag`` (the incremental pull), and
+    their ratio (six decimals, half-up; NULL when the full window is empty)."""
     full = F.col(date_col) >= (ntz(as_of) - F.make_ym_interval(F.lit(0), F.lit(months)))
     inc = F.col(ts_col) > ntz(watermark - timedelta(minutes=lag_minutes))
     if scope is not None:
