@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 KEYS = ["mart_penetration", "mart_phone_quality", "stg_case_attributes", "latest_per_key", "contact_stats",
         "reconcile_counts", "reconcile_rows", "dq_unique", "leak_findings", "incremental_pull",
-        "prune_superseded", "mart_phone_quality_from_state"]
+        "prune_superseded", "mart_phone_quality_from_state", "mart_penetration_from_state"]
 KEEP = re.compile(r"(Exchange|Aggregate|Join|Window|Scan|Filter|Union|Expand|Generate|Sort \[)")
 
 
