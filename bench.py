@@ -42,7 +42,8 @@ def main() -> None:
     from tidemark.plans.catalog import QUERIES
     from tidemark.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
+    n_cpus = (os.cpu_count() or 8) if cpus == "*" else int(cpus)
+    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", n_cpus)),
                           app="tidemark-bench")
     # Warm-up on a different, tiny dataset: JIT and code generation are warm as
     # in a long-running session; no data of the measured scale is cached.
