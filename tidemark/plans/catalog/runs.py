@@ -40,7 +40,8 @@ def bronze_append(spark, d):
     """A8 + A9: the landed batch read through the catalog table registered over its path."""
     base, spec = _ingest_dialer_once(spark, d)
     name = "dialer_" + base.rsplit("-", 1)[-1]
-    bronze.register_table(spark, "tidemark_bronze", name, f"{base}/bronze/dialer")
+    bronze.register_table(spark, "tidemark_bronze", name, f"{base}/bronze/dialer",
+                          database_location=scratch_path(spark, "tidemark_bronze.db"))
     return spark.table(f"tidemark_bronze.{name}").select(*spec.columns, "ingest_date")
 
 

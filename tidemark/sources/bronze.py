@@ -101,9 +101,11 @@ def read_bronze(spark: SparkSession, path: str, table_name: str | None = None) -
 
 
 def register_table(spark: SparkSession, database: str, table_name: str, path: str,
-                   partitioned: bool = True) -> None:
-    """Expose a bronze path as ``database.table_name`` in the session catalog."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+                   partitioned: bool = True, database_location: str | None = None) -> None:
+    """Expose a bronze path as ``database.table_name`` in the session catalog (an external
+    table; the database is created if missing, at ``database_location`` when given)."""
+    loc = f" LOCATION '{database_location}'" if database_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     schema = read_bronze(spark, path, table_name).schema
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     part = " PARTITIONED BY (ingest_date)" if partitioned and "ingest_date" in schema.fieldNames() else ""
