@@ -43,3 +43,21 @@ def test_hot_case_phone_mart_matches_brute_force(spark):
     assert len(m) == len(got) == len(want)
     assert (m.total_calls == m.total_calls_bf).all() and (m.failed_calls == m.failed_calls_bf).all()
     assert got.total_calls.sum() == len(c)
+
+
+def test_event_log_shows_one_row_per_map_task_for_the_hot_key():
+    """Runs tools/skew_probe.py (its own Spark context, event log in a scratch folder) and checks
+    that the dedup shuffle carries the hot call id as at most one row per map task."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, os.path.join(root, "tools", "skew_probe.py"), SF_SMALL],
+                         capture_output=True, text=True, timeout=600, check=True).stdout
+    rep = json.loads(out.strip().splitlines()[-1])
+    unique_rows = rep["input_rows"] - rep["hot_call_versions"]
+    written = [v["written"] for v in rep["stages"]["phone"].values()]
+    # One stage writes exactly the non-hot rows plus 1..map_tasks copies of the hot key.
+    assert any(unique_rows + 1 <= w <= unique_rows + rep["map_tasks"] for w in written), rep

@@ -44,6 +44,8 @@ def main() -> None:
               .withColumn("uniqueid", F.when(hot & (F.col("ingest_seq") % 2 == 0), F.lit("call-hot"))
                           .otherwise(F.col("uniqueid"))))
     total = log.count()
+    hot_case = log.filter(F.col("case_id") == 5).count()
+    hot_versions = log.filter(F.col("uniqueid") == "call-hot").count()
     cfg = ReportConfig()
     spark.sparkContext.setJobGroup("phone", "phone report over the hot dialer log")
     marts.mart_phone_quality(staging.stg_dialer(log, cfg), cfg).write.format("noop").mode("overwrite").save()
@@ -81,8 +83,8 @@ def main() -> None:
     for sid, v in sorted(stages.items()):
         if v["written"] or v["max_read"]:
             by_group.setdefault(stage_group.get(sid, "") or "count", {})[sid] = v
-    print(json.dumps({"input_rows": total, "hot_case_rows": total // 3, "hot_call_versions": total // 6,
-                      "stages": by_group}))
+    print(json.dumps({"input_rows": total, "hot_case_rows": hot_case, "hot_call_versions": hot_versions,
+                      "map_tasks": 8, "stages": by_group}))
 
 
 if __name__ == "__main__":
