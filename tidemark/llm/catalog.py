@@ -28,3 +28,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(read_table(spark, sf_dir, "documents"), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.decontamination import benchmark_hits, items_digest
+
+    hits = benchmark_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                       items_digest("items").alias("items_sha256"), (F.size("hit_words") > 0).alias("contaminated"))

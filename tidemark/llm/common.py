@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +19,30 @@ from tidemark.session import scratch_path
 SLICE_BYTES = 2_000_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's code, once per application, as an
+    installed library would (Spark serves the archive from the driver)."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="tidemark-code-")) / "tidemark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` with this package importable on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -54,7 +81,7 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``limit`` bytes of text (one row at
     least), so that memory follows the longest text, not the batch."""
     if not batch.num_rows:
@@ -74,18 +101,19 @@ def map_texts(docs: DataFrame, text: str, keep: list[str], results: T.StructType
     run of rows. ``make`` runs once per task; no row leaves its partition."""
     schema = T.StructType([docs.schema[c] for c in keep] + list(results.fields))
     names, arrow = [f.name for f in results.fields], _arrow_types(results)
+    sent = keep if text in keep else [*keep, text]
+    at = sent.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            for part in slices(batch, "__text"):
-                got = fn(part.column("__text"))
+            for part in slices(batch, at):
+                got = fn(part.column(at))
                 cols = [part.column(i) for i in range(len(keep))]
                 cols += [got[n] if isinstance(got[n], pa.Array) else pa.array(got[n], t) for n, t in zip(names, arrow)]
                 yield pa.RecordBatch.from_arrays(cols, names=keep + names)
 
-    source = docs.select(*[F.col(quoted(c)) for c in keep], F.col(quoted(text)).cast("string").alias("__text"))
-    return source.mapInArrow(run, schema)
+    return map_arrow(docs.select(*[F.col(quoted(c)) for c in sent]), run, schema)
 
 
 def _arrow_types(schema: T.StructType) -> list[pa.DataType]:
