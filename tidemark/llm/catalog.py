@@ -37,3 +37,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = benchmark_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                        items_digest("items").alias("items_sha256"), (F.size("hit_words") > 0).alias("contaminated"))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm.packing import pack_documents
+
+    out = pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
