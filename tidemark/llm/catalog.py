@@ -47,3 +47,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.quality import fit_line_model, quality_verdicts
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_line_model(docs, read_table(spark, sf_dir, "labels"))
+    return quality_verdicts(docs, model).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share")
