@@ -56,3 +56,18 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = fit_line_model(docs, read_table(spark, sf_dir, "labels"))
     return quality_verdicts(docs, model).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share")
+
+
+def _count(kind: str):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.secrets import fit_randomness, secret_spans, spans_text
+
+    docs = read_table(spark, sf_dir, "documents")
+    found = secret_spans(docs.select("doc_id", "text"), fit_randomness(docs))
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    counts = [_count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex", "markov")]
+    return found.select("doc_id", *counts, F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"))

@@ -169,7 +169,7 @@ class LineModel:
 ALL_CONTENT = LineModel((-1.0,) + (0.0,) * (len(FEATURES) - 1), ((0.0, 0.0), (0.0, 0.0)))
 
 
-def train(sequences: list[tuple[list[int], int]], rounds: int = 60, rate: float = 0.3, decay: float = 1e-3) -> LineModel:
+def train(sequences: list[tuple[list[int], int]], rounds: int = 120, rate: float = 1.0, decay: float = 1e-3) -> LineModel:
     """Maximum likelihood by gradient ascent, all sequences side by side.
 
     ``sequences``: the feature bits of a document's lines and its label. Each
