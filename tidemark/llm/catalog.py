@@ -71,3 +71,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] != "markov")
     counts = [_count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex", "markov")]
     return found.select("doc_id", *counts, F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.neardup import with_classes
+
+    return with_classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")

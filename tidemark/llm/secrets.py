@@ -34,7 +34,7 @@ ALPHABET = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-
 RUN_LENGTH = 16
 EDGE = len(ALPHABET)  # before the first and after the last character
 #: Least log-likelihood ratio (in nats) of a run taken for random, in all and per character.
-LEAST_RATIO, LEAST_PER_CHARACTER = 10.0, 0.4
+LEAST_RATIO, LEAST_PER_CHARACTER = 20.0, 2.5
 
 _CODE = np.full(256, -1, np.int64)
 _CODE[list(ALPHABET)] = np.arange(len(ALPHABET))
@@ -104,15 +104,17 @@ class RandomnessModel:
 
     @classmethod
     def fit(cls, counts: np.ndarray) -> RandomnessModel:
-        """From transition counts [class, from, to] (0 ordinary, 1 random), each
-        row smoothed towards the class's character frequencies, these towards
-        equal ones."""
-        logs = []
+        """From transition counts [class, from, to] (0 ordinary, 1 random). Each row
+        is smoothed towards the class's character frequencies, these towards equal
+        ones. A random string may be over any alphabet, so the chain of random
+        strings is an even mixture of the sample's and of equal chances."""
+        chains = []
         for table in counts.astype(float):
             overall = (table.sum(0) + 1) / (table.sum() + len(table))
             smooth = table + 5 * overall
-            logs.append(np.log(smooth / smooth.sum(1, keepdims=True)))
-        return cls(tuple(map(tuple, (logs[1] - logs[0]).tolist())))
+            chains.append(smooth / smooth.sum(1, keepdims=True))
+        ordinary, sample = chains
+        return cls(tuple(map(tuple, (np.log(sample / 2 + 0.5 / len(sample)) - np.log(ordinary)).tolist())))
 
     def table(self) -> np.ndarray:
         return np.array(self.ratio)
@@ -123,8 +125,8 @@ def _steps(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_randomness(docs: DataFrame, text: str = "text") -> RandomnessModel:
-    """Train both chains on all of ``docs``. Without documents both are alike and
-    nothing is found beyond the patterns."""
+    """Train both chains on all of ``docs``. Without documents
+    both give equal chances and nothing is found beyond the patterns."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, EDGE + 1, EDGE + 1), np.int64)
