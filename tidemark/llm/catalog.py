@@ -88,3 +88,28 @@ def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs.where("NOT held_out").select("text"))
     return score_texts(docs, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
                                            "base_score", "score", "bits_per_byte")
+
+
+@query
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.urls import derived_log, evaluate_captures
+
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    # the table has no fetch dates: a day of 2024 by the page's number
+    captures = pages.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(366)).cast("int")))
+    return evaluate_captures(captures, derived_log(pages)).select("page_id", "day", "host", "blocked", "decided_by", "listed_on", "n_active")
+
+
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.licenses import scan_licenses
+
+    found = scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "sentence_ids", F.array_join("rule_matches", ",").alias("rule_matches"), F.array_join("licenses", ",").alias("licenses"))
+
+
+@query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.chat import repair
+
+    return repair(read_table(spark, sf_dir, "conversations"))
