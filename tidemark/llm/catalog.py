@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,3 +114,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.chat import repair
 
     return repair(read_table(spark, sf_dir, "conversations"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
