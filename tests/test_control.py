@@ -1,107 +1,83 @@
-"""Control log: forward-only watermark, unchanged on empty batches and failures, lag rewind."""
+"""The control log against a few lines of Python, over random sequences of runs."""
 
-from datetime import datetime
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
+from tidemark.config import SEED_WATERMARK
 from tidemark.plans import control
 
-NOW = datetime(2026, 7, 1, 12, 0, 0)
-
-
-@pytest.fixture
-def seeded(spark, tmp_path):
-    path = str(tmp_path / "control")
-    control.append_control(spark, path, [("dialer", datetime(2026, 1, 1), 0, datetime(2026, 1, 1, 1), "initialized")])
-    return path
-
-
-def test_unknown_table_gets_seed(spark, seeded):
-    assert control.get_watermark(spark, seeded, "nonexistent") == "1900-01-01 00:00:00"
-
-
-def test_seeded_watermark(spark, seeded):
-    assert control.get_watermark(spark, seeded, "dialer") == "2026-01-01 00:00:00"
-
-
-def test_lag_rewinds(spark, seeded):
-    assert control.get_watermark(spark, seeded, "dialer", lag_minutes=15) == "2025-12-31 23:45:00"
-
-
-def test_lag_never_below_seed(spark, seeded):
-    assert control.get_watermark(spark, seeded, "unknown", lag_minutes=60) == "1900-01-01 00:00:00"
-
-
-def test_empty_batch_does_not_advance(spark, seeded):
-    control.update_watermark(spark, seeded, "dialer", None, 0, NOW)
-    assert control.get_watermark(spark, seeded, "dialer") == "2026-01-01 00:00:00"
-
-
-def test_advances_to_batch_max(spark, seeded):
-    control.update_watermark(spark, seeded, "dialer", datetime(2026, 6, 30, 14, 30), 3, NOW)
-    assert control.get_watermark(spark, seeded, "dialer") == "2026-06-30 14:30:00"
-
-
-def test_never_moves_backward(spark, seeded):
-    control.update_watermark(spark, seeded, "dialer", datetime(2026, 6, 30), 1, NOW)
-    control.update_watermark(spark, seeded, "dialer", datetime(2026, 3, 1), 1, datetime(2026, 7, 2))
-    assert control.get_watermark(spark, seeded, "dialer") == "2026-06-30 00:00:00"
-
-
-def test_records_row_count_and_status(spark, seeded):
-    control.update_watermark(spark, seeded, "dialer", datetime(2026, 6, 30), 4_218, NOW)
-    cur = control.current_watermark(control.read_control(spark, seeded)).filter("table_name = 'dialer'").collect()[0]
-    assert cur.rows_processed == 4_218 and cur.run_status == "success"
-
-
-def test_failure_keeps_watermark(spark, seeded):
-    control.mark_failed(spark, seeded, "dialer", "Connection timeout", NOW)
-    assert control.get_watermark(spark, seeded, "dialer") == "2026-01-01 00:00:00"
-
-
-def test_failure_for_unknown_table_writes_seed_row(spark, seeded):
-    control.mark_failed(spark, seeded, "new_table", "Source unreachable " + "x" * 500, NOW)
-    rows = control.read_control(spark, seeded).filter(F.col("table_name") == "new_table").collect()
-    assert len(rows) == 1
-    assert rows[0].run_status.startswith("failed: ") and len(rows[0].run_status) == len("failed: ") + 200
-    assert rows[0].last_watermark == datetime(1900, 1, 1)
-
-
-def test_empty_success_after_failure_clears_status(spark, seeded):
-    control.mark_failed(spark, seeded, "dialer", "boom", NOW)
-    control.update_watermark(spark, seeded, "dialer", None, 0, datetime(2026, 7, 2))
-    cur = control.current_watermark(control.read_control(spark, seeded)).filter("table_name = 'dialer'").collect()[0]
-    assert cur.run_status == "success" and cur.last_watermark == datetime(2026, 1, 1)
-
-
-def test_seed_only_if_absent(spark, tmp_path):
-    p = str(tmp_path / "c")
-    assert control.seed_control(spark, p, ["a", "b"], NOW) is True
-    assert control.seed_control(spark, p, ["a", "b", "c"], NOW) is False
-    assert control.read_control(spark, p).count() == 2
-
-
-def test_history_is_running_max(spark, seeded):
-    control.update_watermark(spark, seeded, "dialer", datetime(2026, 6, 30), 1, NOW)
-    control.update_watermark(spark, seeded, "dialer", datetime(2026, 3, 1), 1, datetime(2026, 7, 2))
-    h = control.watermark_history(control.read_control(spark, seeded)).orderBy("updated_at").collect()
-    assert [r.effective_watermark for r in h] == [datetime(2026, 1, 1), datetime(2026, 6, 30), datetime(2026, 6, 30)]
-
-
-def test_future_dated_batch_can_be_capped(spark, seeded):
-    """A future-dated row would drag the watermark ahead; the cap keeps it at the run time."""
-    control.update_watermark(spark, seeded, "dialer", datetime(2030, 1, 1), 1, NOW, cap_at=NOW)
-    assert control.get_watermark(spark, seeded, "dialer") == "2026-07-01 12:00:00"
-
-
-def test_concurrent_appends_do_not_collide(spark, tmp_path):
-    """Parallel ingests each append their own control rows at the same time."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    path = str(tmp_path / "control")
-    tables = [f"t{i}" for i in range(6)]
-    with ThreadPoolExecutor(max_workers=6) as pool:
-        list(pool.map(lambda t: control.update_watermark(spark, path, t, datetime(2026, 1, 2), 5, NOW), tables))
-    cur = control.current_watermark(control.read_control(spark, path)).collect()
-    assert sorted(r.table_name for r in cur) == tables and all(r.rows_processed == 5 for r in cur)
+START = datetime(2025, 3, 1)
+TABLES = ["first", "second", "never_seeded"]
+RUN = st.tuples(st.sampled_from(TABLES), st.sampled_from(["batch", "empty", "failed"]), st.integers(-50, 50), st.integers(1, 999),
+                st.sampled_from([0, 123_456]))
+
+
+def replay(runs):
+    """Watermark, rows and status per table, and the watermark after each of its runs."""
+    mark, last, history = {t: START for t in TABLES[:2]}, {}, {t: [] for t in TABLES}
+    for i, (table, kind, day, rows, micro) in enumerate(runs):
+        before = mark.get(table, SEED_WATERMARK)
+        batch_max = START + timedelta(days=day, microseconds=micro)
+        mark[table] = max(before, batch_max) if kind == "batch" else before
+        last[table] = (rows if kind == "batch" else 0, "failed" if kind == "failed" else "success")
+        history[table].append(mark[table])
+    return mark, last, history
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(runs=st.lists(RUN, min_size=1, max_size=6))
+def test_runs_replayed(spark, tmp_path_factory, runs):
+    path = str(tmp_path_factory.mktemp("control") / "log")
+    control.append_control(spark, path, [(t, START, 0, START, "initialized") for t in TABLES[:2]])
+    for i, (table, kind, day, rows, micro) in enumerate(runs):
+        now = START + timedelta(days=100, hours=i, microseconds=micro)
+        if kind == "failed":
+            control.mark_failed(spark, path, table, "m" * 300, now)
+        else:
+            batch_max = START + timedelta(days=day, microseconds=micro) if kind == "batch" else None
+            control.update_watermark(spark, path, table, batch_max, rows if kind == "batch" else 0, now)
+    mark, last, history = replay(runs)
+    log = control.read_control(spark, path)
+    for r in control.current_watermark(log).collect():
+        assert r.last_watermark == mark[r.table_name]
+        if r.table_name in last:
+            rows, status = last[r.table_name]
+            assert r.rows_processed == rows and r.run_status.startswith(status)
+            assert not r.run_status.startswith("failed") or len(r.run_status) == len("failed: ") + 200
+    for table in TABLES:
+        after = [r.effective_watermark for r in control.watermark_history(log).where(f"table_name = '{table}' AND run_status <> 'initialized'")
+                 .orderBy("updated_at").collect()]
+        assert after == history[table]
+        text = control.get_watermark(spark, path, table, lag_minutes=90)
+        want = max(mark.get(table, SEED_WATERMARK) - timedelta(minutes=90), SEED_WATERMARK)
+        assert text == want.replace(microsecond=0).strftime("%Y-%m-%d %H:%M:%S")
+
+
+@pytest.mark.parametrize("days", [1, 30, 1000])
+def test_running_max_in_blocks_equals_one_pass(spark, days):
+    rows = [(t, START + timedelta(days=(7 * i) % 90, hours=i % 3), START + timedelta(days=(31 * i) % 77), i) for i in range(120) for t in ("a", "b")]
+    df = spark.createDataFrame(rows, "table_name string, updated_at timestamp_ntz, last_watermark timestamp_ntz, n int")
+    got = {(r.table_name, r.n): r.before for r in control.running_max(df, ["updated_at", "n"], days).collect()}
+    for t in ("a", "b"):
+        top = None
+        for _, at, mark, n in sorted((r for r in rows if r[0] == t), key=lambda r: (r[1], r[3])):
+            assert got[t, n] == top
+            top = mark if top is None else max(top, mark)
+
+
+def test_the_log_is_seeded_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert [control.seed_control(spark, path, tables, START) for tables in (["x", "y"], ["x", "y", "z"])] == [True, False]
+    assert control.read_control(spark, path).count() == 2
+
+
+def test_parallel_appends_all_arrive(spark, tmp_path):
+    path = str(tmp_path / "log")
+    names = [f"source{i}" for i in range(5)]
+    with ThreadPoolExecutor(len(names)) as pool:
+        list(pool.map(lambda n: control.update_watermark(spark, path, n, START, 7, START + timedelta(days=1)), names))
+    assert {(r.table_name, r.rows_processed) for r in control.current_watermark(control.read_control(spark, path)).collect()} == {(n, 7) for n in names}

@@ -208,4 +208,4 @@ def test_max_records_per_file_splits_a_large_batch(spark, tmp_path):
     ingest.seed_for([spec], base, spark, T(2024, 1, 1))
     assert ingest.ingest_source(spark, spec, ingest.dataframe_reader({"calls": src.coalesce(1)}), base,
                                 T(2024, 1, 2)) == 100
-    assert len(glob.glob(f"{base}/bronze/calls/ingest_date=*/*.parquet")) == 3
+    assert len(glob.glob(f"{base}/bronze/calls/ingest_date=*/ingest_batch=*/*.parquet")) == 3

@@ -93,7 +93,10 @@ def test_command_line_daily_reconcile_maintain(spark, tmp_path, capsys):
         df.write.parquet(f"{src_dir}/{name}")
     base = str(tmp_path / "base")
     common = ["--base", base, "--source-dir", src_dir, "--now", "2024-02-15T06:00:00"]
-    assert main(["daily", *common, "--as-of", "2024-02-15", "--sequence-column", "ingest_seq"]) == 0
+    order = [x for t in SPECS for x in ("--sequence-column", f"{t}=ingest_seq")]
+    assert main(["daily", *common, *order, "--register", "cli_bronze"]) == 0
+    assert spark.table("cli_bronze.cases").count() > 0
+    spark.sql("DROP DATABASE cli_bronze CASCADE")
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["failed_checks"] == [] and set(out["rows_landed"]) == set(SPECS)
     assert spark.read.parquet(out["published"][jobs.PENETRATION]).count() == 46
@@ -114,11 +117,73 @@ def test_scan_files_and_command_line(spark, tmp_path, capsys):
     (tmp_path / "src" / "ok.md").write_text("write to ops@example.com\n")
     (tmp_path / ".git").mkdir()
     (tmp_path / ".git" / "config").write_text("bob@corp-mail.io\n")
-    found = textscan.scan_files(spark, str(tmp_path)).collect()
+    found = textscan.scan_files(spark, str(tmp_path), skip_dirs=[".git"]).collect()
     assert [(r.id.endswith("conf.py"), r.line, r.rule) for r in found] == [
         (True, 2, "JDBC/ODBC connection string with an embedded password")]
-    assert main(["scan", "--base", str(tmp_path)]) == 1
+    assert main(["scan", "--base", str(tmp_path), "--skip-dir", ".git", "--out", str(tmp_path / "out")]) == 1
     assert '"findings": 1' in capsys.readouterr().out
+    assert spark.read.json(str(tmp_path / "out")).count() == 1
+
+
+@pytest.mark.parametrize("micro", [0, 123_456])
+def test_jobs_fail_whatever_the_fraction_of_the_second(spark, tmp_path, micro):
+    """Drift and failing checks are read from the rows just stored, not looked up by time."""
+    now, base = NOW.replace(microsecond=micro), str(tmp_path)
+    full = _sources(spark, SF_SMALL)
+    broken = full | {"contacts": full["contacts"].withColumn("contact_id", F.lit(None).cast("long"))}
+    with pytest.raises(ValueError, match="bronze.contacts.not_null"):
+        jobs.run_daily(spark, list(SPECS.values()), ingest.dataframe_reader(broken), base, now)
+    with pytest.raises(ValueError, match="reconciliation drift"):
+        jobs.run_reconciliation(spark, [SPECS["contacts"]], lambda s: full[s.table_name], base, now)
+
+
+def test_command_line_fails_on_drift_without_a_given_time(spark, tmp_path):
+    from tidemark.__main__ import main
+
+    base, src = str(tmp_path / "base"), str(tmp_path / "src")
+    for name, df in _sources(spark, SF_SMALL).items():
+        (df.limit(20) if name == "cases" else df).write.parquet(f"{src}/{name}")
+    ingest.seed_for(list(SPECS.values()), base, spark, NOW)
+    with pytest.raises(ValueError, match="reconciliation drift"):
+        main(["reconcile", "--base", base, "--source-dir", src]) or main(["reconcile", "--base", base, "--source-dir", src])
+
+
+@pytest.mark.parametrize("shift", [0, -3])
+def test_no_row_is_lost_after_maintenance(spark, tmp_path, shift):
+    """Landings after maintenance whose run time is equal to or before the newest one it took."""
+    from datetime import timedelta
+
+    from tidemark.config import SourceSpec
+
+    spec = SourceSpec("calls", "src.calls", ("id",), ("id", "v", "update_date"), zorder=("id",), lag_minutes=0)
+    base, when = str(tmp_path), datetime(2024, 1, 5, 2)
+
+    def land(rows, now):
+        df = spark.createDataFrame(rows, "id long, v string, update_date timestamp_ntz")
+        ingest.ingest_all(spark, [spec], ingest.dataframe_reader({"calls": df}), base, now)
+
+    ingest.seed_for([spec], base, spark, datetime(2024, 1, 1))
+    land([(i, "a", datetime(2024, 1, 4)) for i in range(10)], when)
+    jobs.run_maintenance(spark, [spec], base, datetime(2024, 2, 1))
+    land([(i, "b", datetime(2024, 1, 4, 1)) for i in range(10, 20)], when + timedelta(days=shift))
+    cur = bronze.current_bronze(spark, base, "calls")
+    assert cur.count() == 20 and cur.select("id").distinct().count() == 20
+    jobs.run_maintenance(spark, [spec], base, datetime(2024, 2, 8))
+    assert bronze.current_bronze(spark, base, "calls").count() == 20
+
+
+def test_versions_expire_but_the_one_in_force(spark, tmp_path):
+    import os
+
+    base, old = str(tmp_path), datetime(2020, 1, 1)
+    paths = [bronze.publish_mart(spark, spark.range(n), base, "m", old) for n in (1, 2, 3)]
+    for p in paths:
+        os.utime(p, (old.timestamp(), old.timestamp()))
+    with pytest.raises(ValueError):
+        bronze.expire_versions(spark, base, "m", datetime(2020, 3, 1), 24)
+    assert bronze.expire_versions(spark, base, "m", datetime(2020, 1, 2)) == []
+    assert len(bronze.expire_versions(spark, base, "m", datetime(2020, 3, 1))) == 2
+    assert bronze.read_mart(spark, base, "m").count() == 3
 
 
 def test_daily_from_state_equals_daily_from_logs(spark, tmp_path):

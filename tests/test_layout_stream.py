@@ -2,6 +2,8 @@
 
 from datetime import datetime
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import zorder_key
@@ -127,3 +129,52 @@ def test_bucketed_tail_leaves_no_catalog_entries(spark, tmp_path):
     assert len(versions) == 2
     for path in versions:
         assert not spark.catalog.tableExists(_table(path))
+
+
+def test_another_bucket_count_deals_the_state_out_anew(spark, tmp_path):
+    """8 buckets, then 16, then the state's own count, with broadcast joins off: one row per key."""
+    from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
+
+    from tidemark.streaming.latest_state import wanted_buckets
+
+    schema = StructType([StructField("k", LongType()), StructField("v", LongType()), StructField("update_date", TimestampNTZType())])
+    path, state = str(tmp_path / "bronze"), str(tmp_path / "state")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for step, buckets in enumerate((8, 16, None)):
+            rows = [(k, step, datetime(2024, 1, 1 + step)) for k in range(50 * step, 200 + 50 * step)]
+            spark.createDataFrame(rows, schema).write.mode("append").parquet(path)
+            tail_latest_state(spark, path, schema, state, "s", ["k"], ["update_date"], str(tmp_path / "ck"), buckets=buckets)
+            got = {r.k: r.v for r in bronze.read_mart(spark, state, "s").collect()}
+            assert bronze.read_mart(spark, state, "s").count() == len(got) == 200 + 50 * step
+            assert all(got[k] == step for k, *_ in rows)
+            assert bronze.newest_pointer(spark, state, "s")["buckets"] == (buckets or 16)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert wanted_buckets(10, None) == 8 and wanted_buckets(10 << 40, 16) == 65536 and wanted_buckets(10, 16) == 16
+
+
+def test_racing_publishers_have_one_order(spark, tmp_path):
+    base = str(tmp_path)
+    rows = [("m", 1, f"{base}/m/a", datetime(2024, 1, 1), None, None, "1"), ("m", 1, f"{base}/m/b", datetime(2024, 1, 1), None, None, "2")]
+    for r in rows:
+        bronze.append_rows(spark.createDataFrame([r], bronze._POINTER_SCHEMA), f"{base}/_pointers")
+    assert bronze.published_version(spark, base, "m") == (1, f"{base}/m/b")
+
+
+def test_text_keys_cannot_be_clustered(spark):
+    from tidemark.operators import layout
+
+    with pytest.raises(TypeError, match="neither a number nor a time"):
+        layout.cluster(spark.createDataFrame([("a",)], "k string"), ["k"], 2)
+    wide = spark.createDataFrame([(-(2**63),), (0,), (2**63 - 1,)], "k long")
+    (scaled,), _ = layout.zorder_columns(wide, ["k"], 8)
+    assert [r[0] for r in wide.orderBy("k").select(scaled).collect()] == [0, 127, 255]
+
+
+def test_new_source_columns_are_read_on_request(spark, tmp_path):
+    path = str(tmp_path)
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{path}/x=1")
+    spark.createDataFrame([(2, "n")], "a int, b string").write.parquet(f"{path}/x=2")
+    assert bronze.read_bronze(spark, path, merge_schema=True).where("b = 'n'").count() == 1

@@ -1,11 +1,13 @@
 """Watermark guard, incremental predicate and JDBC option building (no database needed)."""
 
+import dataclasses
 from datetime import datetime
 
 import pytest
 
 from tests.planutil import explain
-from tidemark.config import SourceSpec
+from tidemark.config import ReportConfig, SourceSpec, default_sources
+from tidemark.sources import jdbc
 from tidemark.sources.jdbc import (
     JdbcConnection,
     incremental_pull,
@@ -91,3 +93,35 @@ def test_guard_edges_agree(spark):
     df = spark.createDataFrame([(v,) for v in vals], "t string")
     got = {r.t: r.a for r in df.select("t", watermark_guard_col("t").alias("a")).collect()}
     assert got == {v: py(v) for v in vals}
+
+
+def test_source_text_for_scopes_and_reserved_names():
+    """What goes to the source: quoted reserved table name, integer lists, a quoted excluded value."""
+    specs = {s.table_name: s for s in default_sources(ReportConfig())}
+    assert specs["cases"].source_table == "collections.[case]"
+    assert jdbc.key_count_table(specs["cases"]) == "(SELECT DISTINCT case_id FROM collections.[case] WHERE client_id IN (101, 102, 103)) k"
+    assert jdbc.key_count_table(specs["contacts"]).endswith("FROM collections.contact WHERE insert_user <> 'auto_dialer') k")
+    quoted = dataclasses.replace(specs["contacts"], exclude_value="o'x")
+    assert jdbc.scope_sql(quoted) == ["insert_user <> 'o''x'"]
+    assert jdbc.scope_sql(jdbc.pulled(quoted)) == []
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from tidemark.session import shared_folder
+
+    assert shared_folder("s3a://b/c", None, "yarn") == "s3a://b/c"
+    assert shared_folder(None, "/mnt/c", "spark://h:7077") == "/mnt/c"
+    assert shared_folder(None, None, "local[4]") is None and shared_folder(None, None, "local") is None
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(None, None, master)
+
+
+def test_an_allowed_text_past_the_display_cut_is_allowed(spark):
+    from tidemark.operators import textscan
+
+    line = "jdbc:x;" + "a" * 90 + "&password=" + textscan.ALLOWED[0]
+    df = spark.createDataFrame([(1, line)], "id long, text string")
+    assert textscan.scan_text(df, "id", "text").count() == 0
+    marked = textscan.scan_text(df, "id", "text", allowed=(), mark_allowed=True).collect()
+    assert marked and all(r.allowed == 1 and textscan.ALLOWED[0] not in r.matched for r in marked)

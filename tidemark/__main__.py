@@ -20,6 +20,10 @@ import sys
 from datetime import date, datetime
 
 
+# Findings that ``scan`` prints; ``--out`` writes all of them.
+SHOWN = 200
+
+
 def _args(argv):
     p = argparse.ArgumentParser(prog="tidemark")
     p.add_argument("job", choices=["daily", "reconcile", "maintain", "scan"])
@@ -29,10 +33,15 @@ def _args(argv):
     src.add_argument("--jdbc", action="store_true", help="read the sources over JDBC (TIDEMARK_JDBC_*)")
     p.add_argument("--as-of", type=date.fromisoformat, default=None, help="report date (default: today)")
     p.add_argument("--now", type=datetime.fromisoformat, default=None, help="run time (default: now)")
-    p.add_argument("--sequence-column", default=None, help="source column ordering versions of a key")
+    p.add_argument("--sequence-column", action="append", default=[], metavar="TABLE=COLUMN",
+                   help="source column ordering versions of a key, per table (repeatable)")
+    p.add_argument("--skip-dir", action="append", default=[], help="scan: a folder name to leave out (repeatable)")
+    p.add_argument("--skip-suffix", action="append", default=[], help="scan: a file suffix to leave out (repeatable)")
     p.add_argument("--retention-hours", type=int, default=168)
     p.add_argument("--state-buckets", type=int, default=None,
                    help="daily: build the reports from bucketed latest-state tables kept by a stream")
+    p.add_argument("--out", default=None, help="scan: folder for all findings (JSON lines)")
+    p.add_argument("--register", default=None, metavar="DATABASE", help="daily: register the bronze tables in this database")
     p.add_argument("--no-fail", action="store_true", help="report failing checks / drift without failing")
     return p.parse_args(argv)
 
@@ -48,8 +57,8 @@ def main(argv=None) -> int:
     spark = SparkSession.builder.appName(f"tidemark-{a.job}").getOrCreate()
     now = a.now or datetime.now()
     cfg = ReportConfig(as_of=a.as_of or now.date())
-    specs = [dataclasses.replace(s, sequence_column=a.sequence_column) if a.sequence_column else s
-             for s in default_sources(cfg)]
+    order = dict(x.split("=", 1) for x in a.sequence_column)
+    specs = [dataclasses.replace(s, sequence_column=order.get(s.table_name)) for s in default_sources(cfg)]
 
     def source_of(spec):
         if a.jdbc:
@@ -59,12 +68,15 @@ def main(argv=None) -> int:
     if a.job == "scan":
         from tidemark.operators import textscan
 
-        n = 0
-        # Streamed partition by partition: the driver never holds all findings at once.
-        for f in textscan.scan_files(spark, a.base).orderBy("id", "line", "rule").toLocalIterator():
-            n += 1
+        found = textscan.scan_files(spark, a.base, a.skip_dir, a.skip_suffix)
+        if a.out:  # all findings, written by the executors
+            found.write.mode("errorifexists").json(a.out)
+            found = spark.read.schema(found.schema).json(a.out)
+        per_rule = {r.rule: r.findings for r in textscan.scan_summary(found).collect()}
+        for f in found.orderBy("id", "line", "rule").limit(SHOWN).collect():
             print(f"{f.id}:{f.line}  {f.rule}\n    matched: {f.matched}\n    {f.hint}")
-        print(json.dumps({"findings": n, "rules": len(textscan.RULES)}))
+        n = per_rule.pop(textscan.ALL_RULES)
+        print(json.dumps({"findings": n, "shown": min(n, SHOWN), "per_rule": per_rule}))
         return 1 if n else 0
     if a.job == "daily":
         if a.jdbc:
@@ -73,7 +85,7 @@ def main(argv=None) -> int:
         else:
             read = ingest.dataframe_reader({s.table_name: source_of(s) for s in specs})
         res = jobs.run_daily(spark, specs, read, a.base, now, cfg, fail_on_checks=not a.no_fail,
-                             state_buckets=a.state_buckets)
+                             state_buckets=a.state_buckets, register_database=a.register)
         out = {"rows_landed": res.rows_landed, "published": res.published, "failed_checks": res.failed_checks}
     elif a.job == "reconcile":
         if a.jdbc:  # counted at the source: no source row crosses the network

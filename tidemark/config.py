@@ -44,12 +44,18 @@ class ReportConfig:
     window_months_back: int = 2
     cleanup_min_total_calls: int = 5
     cleanup_min_failed_calls: int = 6
-    # The as-of date replaces current_date(): a run is reproducible.
-    as_of: date = date(2024, 2, 15)
+    # The as-of date replaces current_date(): a run is reproducible. It has no default;
+    # whatever uses the window asks for it, and ``run_daily`` takes it from its run time.
+    as_of: date | None = None
     # Order of versions inside a change log, newest first. ``ingest_seq`` is a
     # total-order tie-breaker (the ingest stamp is constant within a batch).
     version_order: tuple[str, ...] = ("update_date", "ingest_ts", "ingest_seq")
 
+    def report_date(self) -> date:
+        if self.as_of is None:
+            raise ValueError("ReportConfig.as_of is needed for the report window")
+        return self.as_of
+
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -63,6 +69,11 @@ class SourceSpec:
     # Typed scope filter ``column IN (values)``; never free SQL text.
     scope_column: str | None = None
     scope_values: tuple[int, ...] = ()
+    # Typed filter ``column <> value`` of the scope (rows without a value are out of scope too).
+    exclude_column: str | None = None
+    exclude_value: str | None = None
+    # Whether the pull leaves the excluded rows at the source too, or only reconciliation does.
+    exclude_when_pulled: bool = True
     partition_column: str | None = None
     num_partitions: int = 8
     lag_minutes: int = WATERMARK_LAG_MINUTES
@@ -79,7 +90,7 @@ def default_sources(cfg: ReportConfig = ReportConfig()) -> tuple[SourceSpec, ...
     """The four extracted sources of the reports."""
     return (
         SourceSpec(
-            "cases", "collections.case", ("case_id",),
+            "cases", "collections.[case]", ("case_id",),
             ("case_id", "client_id", "ref_number", "debtor_id", "original_capital",
              "actual_capital", "case_statute_id", "update_date"),
             scope_column="client_id", scope_values=cfg.client_ids,
@@ -104,6 +115,7 @@ def default_sources(cfg: ReportConfig = ReportConfig()) -> tuple[SourceSpec, ...
             "contacts", "collections.contact", ("contact_id",),
             ("contact_id", "case_id", "status_type_id", "target_type_id", "contact_date",
              "insert_user", "update_date"),
+            exclude_column="insert_user", exclude_value=cfg.system_contact_user, exclude_when_pulled=False,
             partition_column="contact_id", num_partitions=8, zorder=("case_id", "contact_date"),
         ),
     )

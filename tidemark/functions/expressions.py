@@ -166,7 +166,11 @@ def scale_to_bits(col: Column | str, lo, hi, bits: int = 8) -> Column:
     if hi is None or lo is None or hi == lo:
         return F.lit(0).cast("long")
     span = int(hi) - int(lo)
-    return F.least(F.greatest(((c - F.lit(int(lo))) * F.lit(top)) / F.lit(span), F.lit(0)), F.lit(top)).cast("long")
+    if span * top < 1 << 62:
+        scaled = ((c - F.lit(int(lo))) * F.lit(top)) / F.lit(span)
+    else:  # a wide key times the top would not fit in a long
+        scaled = (c.cast("decimal(20,0)") - F.lit(Decimal(int(lo)))) * F.lit(top) / F.lit(Decimal(span))
+    return F.least(F.greatest(scaled, F.lit(0)), F.lit(top)).cast("long")
 
 
 def days_since(ts: Column | str, origin: date) -> Column:

@@ -125,8 +125,12 @@ def prune_superseded(
         newest_old = latest_per_key(old, keys, order).join(recent_keys, on=list(keys), how="left_anti")
         return recent.unionByName(newest_old)
     newest = latest_per_key(log, keys, order)
-    # Recent rows other than (one copy of) the newest version, then the newest versions.
-    return newest.unionByName(recent.exceptAll(newest.filter(recent_cond)))
+    # The newest versions, then the recent rows of other versions (rows that agree in key and
+    # order are one version).
+    version = list(dict.fromkeys([*keys, *order]))
+    theirs = newest.filter(recent_cond).select(*[F.col(c).alias(f"_n{i}") for i, c in enumerate(version)])
+    same = [recent[c].eqNullSafe(theirs[f"_n{i}"]) for i, c in enumerate(version)]
+    return newest.unionByName(recent.join(theirs, same, "left_anti"))
 
 
 def overlap_batch(log: DataFrame, ts_col: str, watermark: datetime, lag_minutes: int = 15) -> DataFrame:

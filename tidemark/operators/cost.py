@@ -23,6 +23,6 @@ def extraction_cost(log: DataFrame, date_col: str, ts_col: str, as_of: datetime,
     inc = F.col(ts_col) > ntz(watermark - timedelta(minutes=lag_minutes))
     if scope is not None:
         full, inc = full & scope, inc & scope
-    counts = log.agg(F.count_if(full).alias("full_rows"), F.count_if(inc).alias("incremental_rows"))
+    counts = log.filter(full | inc).agg(F.count_if(full).alias("full_rows"), F.count_if(inc).alias("incremental_rows"))
     return counts.select("full_rows", "incremental_rows",
                          safe_rate("incremental_rows", "full_rows", 6).alias("ratio"))

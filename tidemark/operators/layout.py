@@ -15,7 +15,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from tidemark.functions.expressions import days_since, scale_to_bits, zorder_key
 
@@ -26,6 +26,8 @@ def _as_int(df: DataFrame, col: str, origin: date = DAY_ORIGIN) -> Column:
     t = df.schema[col].dataType
     if isinstance(t, (DateType, TimestampType, TimestampNTZType)):
         return days_since(col, origin)
+    if not isinstance(t, NumericType):
+        raise TypeError(f"cannot cluster by {col}: {t.simpleString()} is neither a number nor a time")
     return F.col(col).cast("long")
 
 
@@ -49,17 +51,22 @@ def file_stats(df: DataFrame) -> DataFrame:
     return per_file.agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"), F.sum("rows").alias("rows"))
 
 
-def cluster(df: DataFrame, cluster_by: Sequence[str], n_files: int, bits: int = 8) -> DataFrame:
+def bits_for(n_files: int, keys: int) -> int:
+    """Bits per key so that the curve has about 256 cells a file (8 at least, 62 in all)."""
+    return min(max(8, -(-(max(1, n_files).bit_length() + 8) // keys)), 62 // keys)
+
+
+def cluster(df: DataFrame, cluster_by: Sequence[str], n_files: int, bits: int | None = None) -> DataFrame:
     """``df`` range-partitioned into ``n_files`` on the Morton key of ``cluster_by`` (a row
     hash splits hot Z values), sorted by the key inside each partition."""
-    _, z = zorder_columns(df, cluster_by, bits)
+    _, z = zorder_columns(df, cluster_by, bits or bits_for(n_files, len(cluster_by)))
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     return (df.withColumns({"_z": z, "_h": tie}).repartitionByRange(n_files, "_z", "_h")
             .sortWithinPartitions("_z").drop("_z", "_h"))
 
 
 def compact(spark: SparkSession, path_in: str, path_out: str, cluster_by: Sequence[str] = (),
-            target_file_bytes: int = 256 << 20, bits: int = 8, partition_by: str | None = None) -> dict:
+            target_file_bytes: int = 256 << 20, bits: int | None = None, partition_by: str | None = None) -> dict:
     """Rewrite ``path_in`` into ``path_out`` with fewer, clustered files. Returns a report."""
     from tidemark.sources.bronze import folder_bytes
 

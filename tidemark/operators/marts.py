@@ -20,7 +20,7 @@ from tidemark.functions.expressions import band, cleanup_flag, in_window, safe_r
 
 
 def bounds(cfg: ReportConfig) -> tuple[date, date]:
-    return window_bounds(cfg.as_of, cfg.window_months_back)
+    return window_bounds(cfg.report_date(), cfg.window_months_back)
 
 
 def active_cases(cases_stg: DataFrame, attrs_stg: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:

@@ -7,8 +7,8 @@ rows in bronze is flagged in its own column. Every target is one aggregate;
 the targets are unioned into one result instead of a driver loop of counts.
 
 Rows: a full outer join on the key of the source snapshot with the newest
-bronze version, comparing a 64-bit hash of the non-key columns. Only keys
-and hashes cross the shuffle, never whole rows. Result: ``missing`` (in the
+bronze version, comparing a 64-bit hash of the non-key columns. ``hashed_latest``
+hashes before the dedup, so only keys, order columns and hashes are shuffled. Result: ``missing`` (in the
 source, not in bronze), ``extra`` (in bronze only) and ``changed``.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import drift_fraction, ntz
+from tidemark.operators.changelog import latest_per_key
 
 
 @dataclass(frozen=True)
@@ -71,12 +72,12 @@ def reconcile_counts(targets: Sequence[Target], threshold: float = 0.005,
     return res
 
 
-def append_log(result: DataFrame, path: str) -> None:
-    """Append a reconciliation result (one row per target) to the log table
-    (read it back with ``sources.bronze.read_appended``)."""
+def append_log(result: DataFrame, path: str) -> str:
+    """Append a reconciliation result (one row per target) to the log table (all of it:
+    ``sources.bronze.read_appended``); returns the folder of the rows just written."""
     from tidemark.sources.bronze import append_rows
 
-    append_rows(result, path)
+    return append_rows(result, path)
 
 
 def raise_on_drift(result: DataFrame, threshold: float = 0.005) -> None:
@@ -105,6 +106,18 @@ def reconcile_rows(source: DataFrame, bronze_latest: DataFrame, keys: Sequence[s
     return j.select(*keys, status.alias("status")).filter(F.col("status").isNotNull())
 
 
+def hashed_latest(log: DataFrame, keys: Sequence[str], order: Sequence[str], compare: Sequence[str]) -> DataFrame:
+    """Newest version per key as (key, hash of ``compare``): rows become eight bytes before
+    the dedup, so only key, order and hash cross the shuffle."""
+    narrow = log.select(*dict.fromkeys([*keys, *order]), row_hash(compare).alias("row_hash"))
+    return latest_per_key(narrow, keys, order).select(*keys, "row_hash")
+
+
+def reconcile_hashes(source: DataFrame, bronze_latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """:func:`reconcile_rows` over two sides that :func:`hashed_latest` gave."""
+    return reconcile_rows(source, bronze_latest, keys, ["row_hash"])
+
+
 def rerun_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows present on one side only (duplicates counted), with a side marker.
     Empty when a re-run reproduced the table exactly."""

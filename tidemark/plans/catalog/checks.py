@@ -6,37 +6,23 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.config import DPD_BANDS, NO_DPD_LABEL
 from tidemark.operators import changelog, marts, reconcile, staging
 from tidemark.operators import quality as dq
+from tidemark.plans import jobs
 from tidemark.plans.catalog.common import CFG, _KEYS, _scope, query
 from tidemark.sources import fixtures as fx
 
 
 # ---- data quality --------------------------------------------------------------
 
-BAND_LABELS = [b[2] for b in DPD_BANDS] + [NO_DPD_LABEL]
-
 # Declared checks per model (plain data; the oracle reads the same list).
 DQ_DECLARATIONS: dict[str, list] = {
     "bronze.cases": [dq.not_null("case_id")],
     "bronze.case_attributes": [dq.not_null("case_id")],
     "bronze.dialer": [dq.not_null("uniqueid")],
     "bronze.contacts": [dq.not_null("contact_id")],
-    "stg_cases": [dq.unique("case_id"), dq.not_null("case_id"), dq.not_null("client_id")],
-    "stg_case_attributes": [dq.unique("case_id"), dq.not_null("case_id")],
-    "stg_dialer": [dq.unique("uniqueid"), dq.not_null("uniqueid"), dq.not_null("case_id")],
-    "stg_contacts": [dq.unique("contact_id"), dq.not_null("contact_id"), dq.not_null("case_id")],
-    "mart_penetration_by_dpd_band": [
-        dq.accepted_range("penetration_rate", 0, 1), dq.not_null("quantidade"), dq.accepted_range("sem_ac", 0),
-        dq.not_null("dpd_faixa"), dq.accepted_values("dpd_faixa", BAND_LABELS),
-        dq.not_null("paid"), dq.accepted_range("paid", 0), dq.not_null("ptp"), dq.accepted_range("ptp", 0),
-        dq.not_null("cc"), dq.accepted_range("cc", 0),
-        dq.unique_combination("client_id", "provider", "dpd_faixa")],
-    "mart_phone_quality": [
-        dq.accepted_range("pct_failed", 0, 1), dq.accepted_range("pct_answered", 0, 1),
-        dq.accepted_values("is_cleanup_candidate", [0, 1]),
-        dq.unique_combination("client_id", "case_id", "telecom_id")],
+    **jobs.staging_checks(),
+    **jobs.report_checks(),
     # Inputs that do fail: repeated customers per order, missing attribute values.
     "orders": [dq.unique("o_custkey"), dq.not_null("o_custkey")],
     "latest_attribute": [dq.not_null("case_attribute_value")],
@@ -44,9 +30,8 @@ DQ_DECLARATIONS: dict[str, list] = {
 
 
 def _dq_frames(spark, d):
-    """Model -> thunk building its DataFrame. Logs and staging views are built once and
-    shared: the reports are derived from the same staged DataFrames the staging checks
-    read, so identical subplans run once (adaptive execution reuses the stages)."""
+    """Model -> thunk building its DataFrame. A staging view is deduplicated once, stored in
+    the shared folder and read from there by its own checks and by the reports."""
     memo: dict = {}
 
     def once(name, build):
@@ -64,7 +49,7 @@ def _dq_frames(spark, d):
             "stg_dialer": lambda: staging.stg_dialer(log("dialer"), CFG),
             "stg_contacts": lambda: staging.stg_contacts(log("contacts"), CFG),
         }[name]
-        return once(name, build)
+        return once(name, lambda: jobs.stored_once(build(), name))
 
     return {
         "bronze.cases": lambda: log("cases"),
@@ -130,8 +115,16 @@ FRESHNESS_AS_OF = datetime(2024, 2, 1, 0, 0, 0)
 
 @query
 def dq_freshness(spark, d):
-    """Newest event per type against the as-of: pass / warn / error."""
-    return dq.freshness(fx.table(spark, d, "events"), "ts", FRESHNESS_AS_OF, ["event_type"])
+    """Newest update of each of the four tables, and newest event per type, against the
+    as-of: pass / warn / error."""
+    parts = [dq.freshness(log(spark, d), "update_date", FRESHNESS_AS_OF).select(F.lit(t).alias("table_name"), "*")
+             for t, log in fx.LOGS.items()]
+    parts.append(dq.freshness(fx.table(spark, d, "events"), "ts", FRESHNESS_AS_OF, ["event_type"])
+                 .withColumnRenamed("event_type", "table_name"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # ---- reconciliation --------------------------------------------------------------
@@ -165,10 +158,13 @@ _DIALER_SRC = ["uniqueid", "case_id", "client_id", "telecom_id", "phone_number",
 def reconcile_rows(spark, d):
     """Missing / extra / changed calls between the scoped source snapshot and bronze."""
     log = fx.dialer_log(spark, d)
-    source = changelog.latest_per_key(log, ["uniqueid"], _ORDER2).filter(_scope("dialer")).select(*_DIALER_SRC)
+    compared = [c for c in _DIALER_SRC if c != "uniqueid"]
+    # The scope column is compared too, so it stays beside the hash until the scope is applied.
+    scoped = log.withColumn("in_scope", F.coalesce(_scope("dialer"), F.lit(False)))
+    source = (changelog.latest_per_key(scoped.select("uniqueid", *_ORDER2, "in_scope", reconcile.row_hash(compared).alias("row_hash")),
+                                       ["uniqueid"], _ORDER2).filter("in_scope").select("uniqueid", "row_hash"))
     drifted = _bronze_sim(log).withColumn(
         "phone_number",
         F.when(F.col("ingest_seq") % 89 == 0, F.concat(F.col("phone_number"), F.lit("9"))).otherwise(
             F.col("phone_number")))
-    bronze_latest = changelog.latest_per_key(drifted, ["uniqueid"], _ORDER2).select(*_DIALER_SRC)
-    return reconcile.reconcile_rows(source, bronze_latest, ["uniqueid"])
+    return reconcile.reconcile_hashes(source, reconcile.hashed_latest(drifted, ["uniqueid"], _ORDER2, compared), ["uniqueid"])

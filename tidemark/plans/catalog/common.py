@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
-from datetime import datetime
+from datetime import date, datetime
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +13,9 @@ from tidemark.config import ReportConfig, default_sources
 from tidemark.functions.expressions import ntz
 from tidemark.operators import marts, staging
 from tidemark.sources import fixtures as fx
+from tidemark.sources.jdbc import scope_filter
 
-CFG = ReportConfig()
+CFG = ReportConfig(as_of=date(2024, 2, 15))
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -58,12 +59,7 @@ _ATTR_COLS = ["case_id", "case_attribute_type_id", "case_attribute_value", "upda
 
 def _scope(name: str):
     """Source-side scope of each table (the same filter is applied to bronze)."""
-    return {
-        "cases": lambda: F.col("client_id").isin(*CFG.client_ids),
-        "case_attributes": lambda: F.col("case_attribute_type_id").isin(CFG.attr_type_provider, CFG.attr_type_dpd),
-        "dialer": lambda: F.col("client_id").isin(*CFG.client_ids),
-        "contacts": lambda: F.col("insert_user") != CFG.system_contact_user,
-    }[name]()
+    return scope_filter(SPECS[name])
 
 
 _KEYS = {"cases": ("case_id",), "case_attributes": ("case_id", "case_attribute_type_id"),

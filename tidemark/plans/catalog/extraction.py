@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from tidemark.operators import changelog, cost
-from tidemark.plans.catalog.common import AS_OF_TS, CFG, PULL_WATERMARK, SPECS, _ATTR_COLS, _scope, query
+from tidemark.plans.catalog.common import AS_OF_TS, CFG, PULL_WATERMARK, SPECS, _ATTR_COLS, query
 from tidemark.sources import fixtures as fx
 from tidemark.sources import jdbc
 
@@ -68,7 +68,6 @@ def source_count(spark, d):
     """In-scope rows per source table."""
     out = None
     for name, fn in fx.LOGS.items():
-        part = fn(spark, d).filter(_scope(name)).agg(F.count(F.lit(1)).alias("source_count")).select(
-            F.lit(name).alias("table"), "source_count")
+        part = jdbc.count_in_scope(fn(spark, d), SPECS[name]).select(F.lit(name).alias("table"), "source_count")
         out = part if out is None else out.unionByName(part)
     return out

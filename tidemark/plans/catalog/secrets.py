@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidemark.operators import textscan
 from tidemark.plans.catalog.common import query
 from tidemark.sources import fixtures as fx
@@ -20,18 +18,13 @@ def _findings(spark, d, **kw):
 @query
 def leak_findings(spark, d):
     """L2 + L4: secret-shaped matches per text line, placeholders and allowed values dropped."""
-    return _findings(spark, d).drop("hint")
+    return _findings(spark, d)
 
 
 @query
 def leak_allowlist(spark, d):
     """L3: raw matches with the allow-list off, marked by whether the allow-list drops them."""
-    raw = _findings(spark, d, allowed=(), placeholder="(?!)")
-    allowed = F.lit(False)
-    for a in textscan.ALLOWED:
-        allowed = allowed | F.col("matched").contains(a)
-    return raw.select("source", "id", "line", "rule", "matched",
-                      F.when(allowed, 1).otherwise(0).alias("allowed"))
+    return _findings(spark, d, allowed=(), placeholder="(?!)", mark_allowed=True).drop("hint")
 
 
 @query

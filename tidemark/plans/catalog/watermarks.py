@@ -65,12 +65,10 @@ def watermark_with_lag(spark, d):
 @query
 def watermark_advance(spark, d):
     """I2 + C14: per run, the watermark before, the batch max, the watermark after, and held batches."""
-    from pyspark.sql import Window
     from tidemark.functions.expressions import forward_only
 
-    runs = _runs(spark, d)
-    w = Window.partitionBy("table_name").orderBy("updated_at").rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.coalesce(F.max("last_watermark").over(w), ntz(SEED_WATERMARK))
+    runs = control.running_max(_runs(spark, d), ["updated_at", "run_no"])
+    prev = F.coalesce("before", ntz(SEED_WATERMARK))
     r = runs.select("table_name", "run_no", F.col("last_watermark").alias("batch_max"), prev.alias("before"))
     return r.select("table_name", "run_no", "batch_max", "before",
                     forward_only("batch_max", "before").alias("after"),

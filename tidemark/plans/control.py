@@ -63,15 +63,31 @@ def current_watermark(control: DataFrame) -> DataFrame:
 
 
 def watermark_history(control: DataFrame) -> DataFrame:
-    """Every run with the watermark in force after it (running max per table)."""
-    w = Window.partitionBy("table_name").orderBy("updated_at").rowsBetween(Window.unboundedPreceding, 0)
-    return control.select(
+    """Every run with the watermark in force after it (running max per table; of one
+    time's runs, the lower watermark first)."""
+    return running_max(control, ["updated_at", "last_watermark", "rows_processed", "run_status"]).select(
         "table_name", "updated_at", "rows_processed", "run_status",
         F.col("last_watermark").alias("recorded_watermark"),
-        F.max("last_watermark").over(w).alias("effective_watermark"),
+        F.greatest("last_watermark", "before").alias("effective_watermark"),
     )
 
 
+def running_max(runs: DataFrame, order: list[str], days: int = 30) -> DataFrame:
+    """``runs`` with ``before``, the highest ``last_watermark`` of the table's earlier runs.
+
+    In two levels, so that no task holds all runs of a table: the highest of the earlier
+    runs of a run's own ``days``-day block, and that of all blocks before, from one row
+    per block."""
+    block = F.floor(F.datediff(F.to_date(F.col(order[0])), F.lit("1970-01-01").cast("date")) / days).alias("_block")
+    blocked = runs.select("*", block)
+    own = Window.partitionBy("table_name", "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("table_name").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (blocked.groupBy("table_name", "_block").agg(F.max("last_watermark").alias("_top"))
+              .select("table_name", "_block", F.max("_top").over(earlier).alias("_blocks_before")))
+    return (blocked.withColumn("_own", F.max("last_watermark").over(own)).join(blocks, ["table_name", "_block"])
+            .withColumn("before", F.greatest("_own", "_blocks_before")).drop("_block", "_own", "_blocks_before"))
+
+
 def watermark_with_lag(current: DataFrame, lag_minutes: int) -> DataFrame:
     """Per table: the read watermark, rewound by the lag, floored at the seed, as text."""
     return current.select(
@@ -95,17 +111,11 @@ def get_watermark(spark: SparkSession, path: str, table_name: str, lag_minutes:
 
 
 def update_watermark(spark: SparkSession, path: str, table_name: str, batch_max: datetime | None,
-                     row_count: int, now: datetime, status: str = "success",
-                     cap_at: datetime | None = None) -> datetime:
+                     row_count: int, now: datetime, status: str = "success") -> datetime:
     """Record a run. An empty batch records ``success`` at the old watermark (so a
     previous failure does not linger); a batch older than the watermark holds it.
-
-    ``cap_at`` (off by default) keeps a future-dated source row from dragging
-    the watermark past the run time, which would skip later rows.
     """
     current = _current_value(spark, path, table_name)
-    if batch_max is not None and cap_at is not None:
-        batch_max = min(batch_max, cap_at)
     if not row_count or batch_max is None:
         new, rows = current, 0
     else:

@@ -11,6 +11,7 @@ next run; the dedup in staging absorbs the repeat.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 from typing import Callable
 
@@ -27,7 +28,8 @@ from tidemark.sources.jdbc import incremental_pull
 SourceReader = Callable[[SourceSpec, datetime], DataFrame]
 
 
-def stamp(batch: DataFrame, now: datetime, seq_cols: list[str], sequence_column: str | None = None) -> DataFrame:
+def stamp(batch: DataFrame, now: datetime, seq_cols: list[str], sequence_column: str | None = None,
+          batch_id: str = "") -> DataFrame:
     """Ingest stamps as literals (stable across task retries), plus ``ingest_seq``,
     which orders versions totally when ``update_date`` and ``ingest_ts`` tie: the
     source's own sequence when there is one, else a hash of the row."""
@@ -36,6 +38,7 @@ def stamp(batch: DataFrame, now: datetime, seq_cols: list[str], sequence_column:
         "ingest_ts": ntz(now),
         "ingest_date": F.lit(now.date()),
         "ingest_seq": seq,
+        "ingest_batch": F.lit(batch_id),
     })
 
 
@@ -47,12 +50,14 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, read: SourceReader, bas
     try:
         text = control.get_watermark(spark, control_path, spec.table_name, lag_minutes=spec.lag_minutes)
         watermark = datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
-        batch = stamp(read(spec, watermark), now, list(spec.columns), spec.sequence_column)
+        batch_id = uuid.uuid4().hex
+        batch = stamp(read(spec, watermark), now, list(spec.columns), spec.sequence_column, batch_id)
         if spec.table_name in BRONZE_SCHEMAS:
             batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMAS[spec.table_name].fields])
         stats = bronze.append_batch(batch, bronze_path, {"batch_max": F.max(spec.watermark_column)},
                                     max_records_per_file=spec.max_records_per_file)
         rows = int(stats["row_count"])
+        bronze.record_landing(spark, base, spec.table_name, batch_id, rows, now)
         if register_database and rows:
             bronze.register_table(spark, register_database, spec.table_name, bronze_path)
         control.update_watermark(spark, control_path, spec.table_name, stats["batch_max"], rows, now)
@@ -66,7 +71,7 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, read: SourceReader, bas
 
 
 def ingest_all(spark: SparkSession, specs, read: SourceReader, base: str, now: datetime,
-               parallel: bool = True) -> dict[str, int]:
+               parallel: bool = True, register_database: str | None = None) -> dict[str, int]:
     """Ingest every source; returns rows landed per table.
 
     Sources run as concurrent Spark jobs from driver threads: each appends
@@ -76,11 +81,11 @@ def ingest_all(spark: SparkSession, specs, read: SourceReader, base: str, now: d
     """
     specs = list(specs)
     if not parallel or len(specs) < 2:
-        return {s.table_name: ingest_source(spark, s, read, base, now) for s in specs}
+        return {s.table_name: ingest_source(spark, s, read, base, now, register_database) for s in specs}
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=len(specs), thread_name_prefix="ingest") as pool:
-        futures = {s.table_name: pool.submit(ingest_source, spark, s, read, base, now) for s in specs}
+        futures = {s.table_name: pool.submit(ingest_source, spark, s, read, base, now, register_database) for s in specs}
     errors = [f.exception() for f in futures.values() if f.exception() is not None]
     if errors:
         raise errors[0]

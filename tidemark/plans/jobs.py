@@ -18,7 +18,8 @@ Scheduling and retries stay with whatever runs these functions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Callable, Sequence
 
@@ -29,7 +30,9 @@ from tidemark.config import DPD_BANDS, NO_DPD_LABEL, ReportConfig, SourceSpec
 from tidemark.functions.expressions import ntz
 from tidemark.operators import marts, quality as dq, reconcile, staging
 from tidemark.plans import ingest
+from tidemark.session import scratch_path
 from tidemark.sources import bronze
+from tidemark.sources.jdbc import scope_filter
 
 PENETRATION = "mart_penetration_by_dpd_band"
 PHONE = "mart_phone_quality"
@@ -64,28 +67,54 @@ def source_freshness(spark: SparkSession, specs: Sequence[SourceSpec], base: str
     """Newest ``ingest_ts`` of every bronze table against ``now`` (26 h warn, 48 h error)."""
     out = None
     for spec in specs:
-        f = dq.freshness(bronze.current_bronze(spark, base, spec.table_name), "ingest_ts", now).select(
+        f = dq.freshness(newest_landings(spark, base, spec.table_name), "ingest_ts", now).select(
             F.lit(spec.table_name).alias("table_name"), "*")
         out = f if out is None else out.unionByName(f)
     return out
 
 
-def build_reports(spark: SparkSession, base: str, cfg: ReportConfig) -> dict[str, DataFrame]:
-    """Both reports from the bronze change logs under ``base``."""
-    logs = {t: bronze.current_bronze(spark, base, t) for t in TABLES}
-    calls = staging.stg_dialer(logs["dialer"], cfg)
+def newest_landings(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """The rows of the newest landing day: a partition filter, not a scan of all history.
+    An ingest stamp and its day are of one run time, so the newest stamp is among them."""
+    live = bronze.read_bronze(spark, f"{base}/bronze/{table}", table)
+    day = live.agg(F.max("ingest_date")).collect()[0][0]
+    return live.filter(F.col("ingest_date") == F.lit(day)) if day else bronze.current_bronze(spark, base, table)
+
+
+def stage(logs: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, DataFrame]:
+    """The four staging views, each deduplicated once and stored in the shared folder:
+    reports and checks read these instead of deduplicating history again."""
+    views = {"stg_cases": staging.stg_cases(logs["cases"], cfg),
+             "stg_case_attributes": staging.stg_case_attributes(logs["case_attributes"], cfg),
+             "stg_dialer": staging.stg_dialer(logs["dialer"], cfg),
+             "stg_contacts": staging.stg_contacts(logs["contacts"], cfg)}
+    return {name: stored_once(df, name) for name, df in views.items()}
+
+
+def stored_once(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def reports_from_staged(staged: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, DataFrame]:
     return {
-        PENETRATION: marts.mart_penetration(logs["cases"], logs["case_attributes"], logs["dialer"],
-                                            logs["contacts"], cfg, calls_stg=calls),
-        PHONE: marts.mart_phone_quality(calls, cfg),
+        PENETRATION: marts.penetration_from_staged(staged["stg_cases"], staged["stg_case_attributes"],
+                                                   staged["stg_dialer"], staged["stg_contacts"], cfg),
+        PHONE: marts.mart_phone_quality(staged["stg_dialer"], cfg),
     }
 
 
+def build_reports(spark: SparkSession, base: str, cfg: ReportConfig) -> dict[str, DataFrame]:
+    """Both reports from the bronze change logs under ``base``."""
+    return reports_from_staged(stage({t: bronze.current_bronze(spark, base, t) for t in TABLES}, cfg), cfg)
+
+
 TABLES = ("cases", "case_attributes", "dialer", "contacts")
 
 
 def refresh_states(spark: SparkSession, specs: Sequence[SourceSpec], base: str, cfg: ReportConfig, now: datetime,
-                   buckets: int | None = 8) -> dict[str, DataFrame]:
+                   buckets: int | None = None) -> dict[str, DataFrame]:
     """Bring every latest-state table up to date with an availableNow tail of its bronze
     folder (the stream checkpoint remembers what was merged), then return the states."""
     from tidemark.schemas import BRONZE_SCHEMAS
@@ -109,51 +138,54 @@ def build_reports_from_state(states: dict[str, DataFrame], cfg: ReportConfig) ->
     }
 
 
-def staging_checks(spark: SparkSession, base: str, cfg: ReportConfig) -> dict[str, tuple[DataFrame, list]]:
-    """Key checks of the four staging views (each recomputes a dedup over the change log)."""
-    logs = {t: bronze.current_bronze(spark, base, t) for t in ("cases", "case_attributes", "dialer", "contacts")}
+def staging_checks() -> dict[str, list[dq.Check]]:
+    """The checks declared on the four staging views."""
     return {
-        "stg_cases": (staging.stg_cases(logs["cases"], cfg),
-                      [dq.unique("case_id"), dq.not_null("case_id"), dq.not_null("client_id")]),
-        "stg_case_attributes": (staging.stg_case_attributes(logs["case_attributes"], cfg),
-                                [dq.unique("case_id"), dq.not_null("case_id")]),
-        "stg_dialer": (staging.stg_dialer(logs["dialer"], cfg),
-                       [dq.unique("uniqueid"), dq.not_null("uniqueid"), dq.not_null("case_id")]),
-        "stg_contacts": (staging.stg_contacts(logs["contacts"], cfg),
-                         [dq.unique("contact_id"), dq.not_null("contact_id"), dq.not_null("case_id")]),
+        "stg_cases": [dq.unique("case_id"), dq.not_null("case_id"), dq.not_null("client_id")],
+        "stg_case_attributes": [dq.unique("case_id"), dq.not_null("case_id")],
+        "stg_dialer": [dq.unique("uniqueid"), dq.not_null("uniqueid"), dq.not_null("case_id")],
+        "stg_contacts": [dq.unique("contact_id"), dq.not_null("contact_id"), dq.not_null("case_id")],
     }
 
 
 def run_daily(spark: SparkSession, specs: Sequence[SourceSpec], read: ingest.SourceReader, base: str,
-              now: datetime, cfg: ReportConfig = ReportConfig(), fail_on_checks: bool = True,
-              check_staging: bool = False, state_buckets: int | None = None) -> DailyResult:
-    """The daily run. With ``state_buckets``, the reports are built from bucketed
-    latest-state tables refreshed after the ingest (no history dedup at report time);
-    without it, from the change logs, deduplicated on every run."""
+              now: datetime, cfg: ReportConfig | None = None, fail_on_checks: bool = True,
+              check_staging: bool = False, state_buckets: int | None = None,
+              register_database: str | None = None) -> DailyResult:
+    """The daily run. With ``state_buckets`` (0: as many as the state's bytes ask for), the
+    reports are built from bucketed latest-state tables refreshed after the ingest (no
+    history dedup at report time); without it, from the change logs, each deduplicated
+    once. The report date is the run's, unless ``cfg`` names one. With
+    ``register_database``, each bronze table is registered there after it has landed."""
+    cfg = cfg or ReportConfig()
+    cfg = cfg if cfg.as_of else replace(cfg, as_of=now.date())
     ingest.seed_for(specs, base, spark, now)
-    rows = ingest.ingest_all(spark, specs, read, base, now)
-    if state_buckets and {s.table_name for s in specs} >= set(TABLES):
-        reports = build_reports_from_state(refresh_states(spark, specs, base, cfg, now, state_buckets), cfg)
+    rows = ingest.ingest_all(spark, specs, read, base, now, register_database=register_database)
+    from_state = state_buckets is not None and {s.table_name for s in specs} >= set(TABLES)
+    staged: dict[str, DataFrame] = {}
+    if check_staging or not from_state:
+        staged = stage({t: bronze.current_bronze(spark, base, t) for t in TABLES}, cfg)
+    if from_state:
+        reports = build_reports_from_state(refresh_states(spark, specs, base, cfg, now, state_buckets or None), cfg)
     else:
-        reports = build_reports(spark, base, cfg)
+        reports = reports_from_staged(staged, cfg)
     published = {name: bronze.publish_mart(spark, df, f"{base}/marts", name, now) for name, df in reports.items()}
     checks = {name: (spark.read.parquet(path), report_checks()[name]) for name, path in published.items()}
-    # Source keys are never NULL: one aggregate per bronze table.
+    # Source keys are never NULL. Earlier landings were checked when they landed, so the newest
+    # landing day is read, not all history.
     for spec in specs:
-        checks[f"bronze.{spec.table_name}"] = (bronze.current_bronze(spark, base, spec.table_name),
+        checks[f"bronze.{spec.table_name}"] = (newest_landings(spark, base, spec.table_name),
                                                [dq.not_null(k) for k in spec.key])
     if check_staging:
-        checks |= staging_checks(spark, base, cfg)
-    results = dq.run_suite(checks).withColumn("checked_at", F.lit(now.strftime("%Y-%m-%d %H:%M:%S"))
-                                              .cast("timestamp_ntz"))
-    bronze.append_rows(results, f"{base}/control/check_results")
-    failed = dq.failed(bronze.read_appended(spark, f"{base}/control/check_results", results.schema)
-                       .filter(F.col("checked_at") == ntz(now)))
+        checks |= {name: (staged[name], declared) for name, declared in staging_checks().items()}
+    # The verdict is read from the very rows this run stored, never looked up by time.
+    results = dq.run_suite(checks).withColumn("checked_at", ntz(now))
+    stored = bronze.append_rows(results, f"{base}/control/check_results")
+    failed = dq.failed(spark.read.schema(results.schema).parquet(stored))
     fresh = source_freshness(spark, specs, base, now).withColumn("checked_at", ntz(now))
-    bronze.append_rows(fresh, f"{base}/control/freshness_results")
+    stored = bronze.append_rows(fresh, f"{base}/control/freshness_results")
     stale = [f"{r.table_name}:{r.status}" for r in
-             bronze.read_appended(spark, f"{base}/control/freshness_results", fresh.schema)
-             .filter((F.col("checked_at") == ntz(now)) & (F.col("status") != "pass")).collect()]
+             spark.read.schema(fresh.schema).parquet(stored).filter(F.col("status") != "pass").collect()]
     if fail_on_checks and (failed or any(x.endswith(":error") for x in stale)):
         raise ValueError(f"failing checks: {', '.join(failed + stale)}")
     return DailyResult(rows, published, failed, stale)
@@ -170,16 +202,15 @@ def run_reconciliation(spark: SparkSession, specs: Sequence[SourceSpec],
     """
     targets = []
     for spec in specs:
-        scope = F.col(spec.scope_column).isin(*spec.scope_values) if spec.scope_column else None
+        scope = scope_filter(spec)
         b = bronze.current_bronze(spark, base, spec.table_name)
         if source_counts is not None:
             targets.append(reconcile.Target(spec.table_name, None, b, spec.key, scope, source_counts(spec)))
         else:
             targets.append(reconcile.Target(spec.table_name, source_of(spec), b, spec.key, scope))
     result = reconcile.reconcile_counts(targets, threshold, checked_at=now)
-    reconcile.append_log(result, f"{base}/control/reconciliation_log")
-    logged = bronze.read_appended(spark, f"{base}/control/reconciliation_log", result.schema).filter(
-        F.col("checked_at") == F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
+    stored = reconcile.append_log(result, f"{base}/control/reconciliation_log")
+    logged = spark.read.schema(result.schema).parquet(stored)
     if fail_on_drift:
         reconcile.raise_on_drift(logged, threshold)
     return logged
@@ -187,36 +218,42 @@ def run_reconciliation(spark: SparkSession, specs: Sequence[SourceSpec],
 
 def run_maintenance(spark: SparkSession, specs: Sequence[SourceSpec], base: str, now: datetime,
                     cfg: ReportConfig = ReportConfig(), retention_hours: int = 168,
-                    target_file_bytes: int = 256 << 20, bits: int = 8) -> DataFrame:
+                    target_file_bytes: int = 256 << 20, bits: int | None = None) -> DataFrame:
     """Weekly housekeeping per source: superseded versions older than the retention are
     dropped, the rest is Z-ordered into files of about ``target_file_bytes`` and published
     as the new compacted base. Live bronze files are left in place; readers use
     ``bronze.current_bronze`` (compacted base + live tail). Returns a report.
 
-    The base covers every row up to the newest ingest stamp it saw; run it between
-    ingests of the same source (as the weekly schedule does), so no batch lands with
-    a stamp at or below that mark while it runs.
+    The base records which landings it holds, by id. Only complete landings are taken, and
+    whatever lands while this runs, or later with an earlier run time, stays in the tail.
+    The pruned history is computed once and stored; key bounds, range sampling and the
+    clustered write read it from there. Superseded versions of the base, and of the
+    reports, that are older than the retention are deleted.
     """
-    import math
-
     from tidemark.operators import changelog, layout
 
     rows = []
     for spec in specs:
         t = spec.table_name
-        cur = bronze.current_bronze(spark, base, t)
-        stats = cur.agg(F.max("ingest_ts").alias("covered"), F.count(F.lit(1)).alias("rows")).collect()[0]
-        if stats["covered"] is None:
+        cur, _, covered = bronze.base_and_tail(spark, base, t)
+        landed = bronze.landings(spark, base, t)
+        if not landed:
             continue
-        snapshot = cur.filter(F.col("ingest_ts") <= ntz(stats["covered"]))
-        kept = changelog.prune_superseded(snapshot, list(spec.key), list(cfg.version_order), "ingest_ts", now,
-                                          retention_hours)
+        # Landings by id: what the base holds already, and what is complete now.
+        new = [b for b in landed if b not in set(covered)]
+        snapshot = cur.filter(F.col("ingest_batch").isin(landed))
         size = bronze.current_bronze_bytes(spark, base, t)
+        before = snapshot.count()
+        kept = stored_once(changelog.prune_superseded(snapshot, list(spec.key), list(cfg.version_order), "ingest_ts",
+                                                      now, retention_hours), f"pruned-{t}")
         n_files = max(1, math.ceil(size / target_file_bytes))
         clustered = layout.cluster(kept, list(spec.zorder), n_files, bits) if spec.zorder else kept
         path = bronze.publish_mart(spark, None, f"{base}/bronze_compacted", t, now,
                                    write=lambda p, df=clustered: df.write.mode("errorifexists").parquet(p),
-                                   covered_to=stats["covered"])
+                                   covered=sorted({*covered, *new}))
         after = spark.read.parquet(path).count()
-        rows.append((t, int(stats["rows"]), int(after), path))
+        rows.append((t, int(before), int(after), path))
+        bronze.expire_versions(spark, f"{base}/bronze_compacted", t, now, retention_hours)
+    for mart in (PENETRATION, PHONE):
+        bronze.expire_versions(spark, f"{base}/marts", mart, now, retention_hours)
     return spark.createDataFrame(rows, "table string, rows_before long, rows_after long, path string")

@@ -12,9 +12,11 @@ form, because DuckDB's direct cast scales in floating point first
 
 from __future__ import annotations
 
+from datetime import date
+
 from tidemark.config import DPD_BANDS, NO_DPD_LABEL, NO_PROVIDER_LABEL, ReportConfig
 
-CFG = ReportConfig()
+CFG = ReportConfig(as_of=date(2024, 2, 15))
 WIN_LO, WIN_HI = "DATE '2023-12-01'", "DATE '2024-03-01'"
 
 

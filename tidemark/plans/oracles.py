@@ -255,14 +255,18 @@ for _key, _kinds in {"dq_not_null": {"not_null"}, "dq_unique": {"unique"},
                      "dq_unique_combination": {"unique_combination"}, "dq_report": None}.items():
     ORACLES[_key] = dq_sql(_kinds)
 
-ORACLES["dq_freshness"] = """
-    SELECT event_type, max_loaded_at, (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max_loaded_at)) // 1000000
+ORACLES["dq_freshness"] = with_ctes("""
+    SELECT table_name, max_loaded_at, (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max_loaded_at)) // 1000000
              AS age_seconds,
            CASE WHEN max_loaded_at IS NULL THEN 'error'
                 WHEN epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max_loaded_at) > 48 * 3600000000 THEN 'error'
                 WHEN epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max_loaded_at) > 26 * 3600000000 THEN 'warn'
                 ELSE 'pass' END AS status
-    FROM (SELECT event_type, max(ts) AS max_loaded_at FROM events GROUP BY event_type) m"""
+    FROM (SELECT event_type AS table_name, max(ts) AS max_loaded_at FROM events GROUP BY event_type
+          UNION ALL SELECT 'cases', max(update_date) FROM cases_log
+          UNION ALL SELECT 'case_attributes', max(update_date) FROM attributes_log
+          UNION ALL SELECT 'dialer', max(update_date) FROM dialer_log
+          UNION ALL SELECT 'contacts', max(update_date) FROM contacts_log) m""")
 
 
 # ---- reconciliation ------------------------------------------------------------------
@@ -348,11 +352,13 @@ def _kept(col: str = "m") -> str:
 
 
 ORACLES["leak_findings"] = _raw_matches() + f"""
-    SELECT source, id, line, rule, substring(m, 1, {textscan.MATCH_WIDTH}) AS matched FROM raw WHERE {_kept()}"""
+    SELECT source, id, line, rule, substring(m, 1, {textscan.MATCH_WIDTH}) AS matched,
+           CASE rule {' '.join(f"WHEN {_q(n)} THEN {_q(h)}" for n, _, h in textscan.RULES)} END AS hint
+    FROM raw WHERE {_kept()}"""
 
 ORACLES["leak_allowlist"] = _raw_matches() + f"""
     SELECT source, id, line, rule, substring(m, 1, {textscan.MATCH_WIDTH}) AS matched,
-           CASE WHEN {' OR '.join(f"contains(substring(m, 1, {textscan.MATCH_WIDTH}), {_q(a)})" for a in textscan.ALLOWED)}
+           CASE WHEN {' OR '.join(f"contains(m, {_q(a)})" for a in textscan.ALLOWED)}
                 THEN 1 ELSE 0 END AS allowed
     FROM raw"""
 
@@ -402,18 +408,28 @@ _recon_run = " UNION ALL ".join(
         ("case_attributes", "attributes_log", "case_id, case_attribute_type_id",
          f"case_attribute_type_id IN ({CFG.attr_type_provider}, {CFG.attr_type_dpd})"),
         ("dialer", "dialer_log", "uniqueid", SCOPE),
-        ("contacts", "contacts_log", "contact_id", "TRUE"),
+        ("contacts", "contacts_log", "contact_id", f"insert_user <> '{CFG.system_contact_user}'"),
     ])
 ORACLES["reconciliation_run"] = with_ctes(f"""
     SELECT "table", source_count, bronze_count, drift_pct,
            CASE WHEN drift_pct > 0.005 THEN 1 ELSE 0 END AS flagged,
            CASE WHEN source_count = 0 AND bronze_count > 0 THEN 1 ELSE 0 END AS empty_source,
-           TIMESTAMP '2024-02-15 06:00:00' AS checked_at
+           TIMESTAMP '2024-02-15 06:00:00.123456' AS checked_at
     FROM (SELECT *, CASE WHEN source_count > 0 THEN {rate('abs(source_count - bronze_count)', 'source_count', 6)}
                          ELSE CAST(0 AS DOUBLE) END AS drift_pct
           FROM ({_recon_run}) c) d""")
 
 ORACLES["stream_latest_state_bucketed"] = ORACLES["stream_latest_state"]
 ORACLES["maintenance_run"] = block("mart_penetration")
+ORACLES["compact_report"] = with_ctes("""
+    SELECT unnest(['rows_before', 'rows_after', 'rows_differing', 'files_not_more']) AS measure,
+           unnest([count(*), count(*), 0, 1])::BIGINT AS value FROM dialer_log""")
+ORACLES["stream_latest_state_rebucketed"] = ORACLES["stream_latest_state"]
+ORACLES["tables_by_name"] = with_ctes(f"""
+    SELECT 'cases' AS table_name, count(*) AS rows FROM cases_log WHERE update_date > {SEED} AND {SCOPE}
+    UNION ALL SELECT 'case_attributes', count(*) FROM attributes_log
+              WHERE update_date > {SEED} AND case_attribute_type_id IN ({CFG.attr_type_provider}, {CFG.attr_type_dpd})
+    UNION ALL SELECT 'dialer', count(*) FROM dialer_log WHERE update_date > {SEED} AND {SCOPE}
+    UNION ALL SELECT 'contacts', count(*) FROM contacts_log WHERE update_date > {SEED}""")
 ORACLES["compacted_table"] = with_ctes(f"SELECT {DIALER_COLS}, ingest_seq FROM dialer_log")
 ORACLES["daily_run_from_state"] = block("mart_penetration")

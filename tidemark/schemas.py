@@ -14,9 +14,6 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-# Every change-log (bronze) table carries the source columns plus these.
-INGEST_COLUMNS = ("ingest_ts", "ingest_date", "ingest_seq")
-
 CONTROL_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
     StructField("last_watermark", TimestampNTZType(), True),
@@ -39,6 +36,8 @@ _ING = [
     StructField("ingest_ts", TimestampNTZType(), True),
     StructField("ingest_date", DateType(), True),
     StructField("ingest_seq", LongType(), True),
+    # Id of the landing (one per append): a partition, so readers can leave whole landings out.
+    StructField("ingest_batch", StringType(), True),
 ]
 
 BRONZE_SCHEMAS: dict[str, StructType] = {

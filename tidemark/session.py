@@ -7,6 +7,7 @@ says. ``local_session`` is for tests and the bench only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,6 +33,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def shared_folder(configured: str | None, of_context: str | None, master: str) -> str | None:
+    """The folder that is set, or None where a local one may be made: in local mode only.
+    On a cluster a folder of one machine would split every intermediate table."""
+    if configured or of_context:
+        return configured or of_context
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+    return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
@@ -40,9 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context's checkpoint directory is set (local tests) is a local folder
     created and given to ``setCheckpointDir``.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = shared_folder(spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir(),
+                      spark.sparkContext.master)
     if not d:
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.sparkContext.setCheckpointDir(d)

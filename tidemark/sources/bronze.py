@@ -1,6 +1,6 @@
 """Bronze change-log tables and published marts on plain parquet.
 
-* Bronze is append-only and partitioned by ``ingest_date``; a batch's row
+* Bronze is append-only and partitioned by ``ingest_date`` and landing; a batch's row
   count and maximum watermark are observed during its write.
 * Small logs (control rows, pointers, check and reconciliation results) are
   appended one sub-folder per append: every append is its own commit, so
@@ -15,7 +15,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ from pyspark.sql.types import StructType
 
 from tidemark.schemas import BRONZE_SCHEMAS
 
+#: Bronze folders: the landing's day, then its id.
+BRONZE_PARTITIONS = ("ingest_date", "ingest_batch")
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -48,9 +52,6 @@ def append_rows(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     temporary folder (appending into one folder from parallel jobs does), and
     a failed append leaves no partial rows behind.
     """
-    import uuid
-    from datetime import timezone
-
     sub = f"{path.rstrip('/')}/run-{datetime.now(timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:12]}"
     df.coalesce(1).write.mode(mode).parquet(sub)
     return sub
@@ -64,18 +65,18 @@ def read_appended(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def ensure_empty_table(spark: SparkSession, path: str, schema: StructType,
-                       partition_by: str | None = "ingest_date") -> None:
+                       partition_by: tuple[str, ...] = BRONZE_PARTITIONS) -> None:
     """Create an empty typed table so readers resolve it before the first batch lands."""
     if exists(spark, path):
         return
     w = spark.createDataFrame([], schema).write.mode("errorifexists")
     if partition_by:
-        w = w.partitionBy(partition_by)
+        w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
 def append_batch(batch: DataFrame, path: str, stats_cols: dict[str, "F.Column"] | None = None,
-                 partition_by: str = "ingest_date", max_records_per_file: int | None = None) -> dict:
+                 partition_by: tuple[str, ...] = BRONZE_PARTITIONS, max_records_per_file: int | None = None) -> dict:
     """Append one batch and return its statistics, gathered during the write.
 
     The statistics (row count, max watermark, ...) come from an
@@ -85,14 +86,18 @@ def append_batch(batch: DataFrame, path: str, stats_cols: dict[str, "F.Column"]
     obs = Observation("batch_stats")
     metrics = {"row_count": F.count(F.lit(1))} | (stats_cols or {})
     observed = batch.observe(obs, *[c.alias(n) for n, c in metrics.items()])
-    w = observed.write.mode("append").partitionBy(partition_by)
+    w = observed.write.mode("append").partitionBy(*[c for c in partition_by if c in batch.columns])
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))  # caps file size of a large batch
     w.parquet(path)
     return obs.get
 
 
-def read_bronze(spark: SparkSession, path: str, table_name: str | None = None) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, table_name: str | None = None, merge_schema: bool = False) -> DataFrame:
+    """A bronze folder. ``merge_schema`` takes the columns of all its files (a source that grew
+    columns) instead of the declared ones."""
+    if merge_schema:
+        return spark.read.option("mergeSchema", "true").parquet(path)
     schema = BRONZE_SCHEMAS.get(table_name) if table_name else None
     r = spark.read
     if schema is not None:
@@ -108,7 +113,8 @@ def register_table(spark: SparkSession, database: str, table_name: str, path: st
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     schema = read_bronze(spark, path, table_name).schema
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    part = " PARTITIONED BY (ingest_date)" if partitioned and "ingest_date" in schema.fieldNames() else ""
+    columns = [c for c in BRONZE_PARTITIONS if partitioned and c in schema.fieldNames()]
+    part = f" PARTITIONED BY ({', '.join(columns)})" if columns else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{table_name}` ({ddl}) USING PARQUET{part} "
               f"LOCATION '{path}'")
     if part:
@@ -117,29 +123,31 @@ def register_table(spark: SparkSession, database: str, table_name: str, path: st
 
 # ---- versioned marts ---------------------------------------------------------
 
-# ``covered_to``: for a compacted bronze version, the newest ingest stamp it contains.
-_POINTER_SCHEMA = "mart string, version long, path string, published_at timestamp_ntz, covered_to timestamp_ntz"
+# ``covered``: for a compacted bronze version, the landings it holds (those that still have live
+# files). ``buckets``: for a bucketed state, its bucket count. ``id`` orders publishers that race
+# for one version number.
+_POINTER_SCHEMA = ("mart string, version long, path string, published_at timestamp_ntz, covered array<string>, "
+                   "buckets int, id string")
 
 
-def _newest_pointer(spark: SparkSession, base: str, mart: str):
+def newest_pointer(spark: SparkSession, base: str, mart: str):
     ptr = f"{base}/_pointers"
     if not exists(spark, ptr):
         return None
     return (read_appended(spark, ptr, _POINTER_SCHEMA).filter(F.col("mart") == mart)
-            .agg(F.max_by(F.struct("version", "path", "covered_to"), "version").alias("v")).collect()[0]["v"])
+            .agg(F.max_by(F.struct("version", "path", "covered", "buckets"),
+                          F.struct("version", "published_at", "id")).alias("v")).collect()[0]["v"])
 
 
 def published_version(spark: SparkSession, base: str, mart: str) -> tuple[int, str] | None:
-    row = _newest_pointer(spark, base, mart)
+    row = newest_pointer(spark, base, mart)
     return (row["version"], row["path"]) if row else None
 
 
 def publish_mart(spark: SparkSession, df: DataFrame | None, base: str, mart: str, now: datetime,
-                 write=None, covered_to: datetime | None = None) -> str:
+                 write=None, covered: list[str] | None = None, buckets: int | None = None) -> str:
     """Write version N+1 of ``mart`` (``df``, or whatever ``write(path)`` writes) and then
     publish it with a pointer row."""
-    import uuid
-
     cur = published_version(spark, base, mart)
     version = (cur[0] if cur else 0) + 1
     # A unique folder: a run that died after writing but before publishing leaves
@@ -149,11 +157,32 @@ def publish_mart(spark: SparkSession, df: DataFrame | None, base: str, mart: str
         write(path)
     else:
         df.write.mode("errorifexists").parquet(path)
-    append_rows(spark.createDataFrame([(mart, version, path, now, covered_to)], _POINTER_SCHEMA),
-                f"{base}/_pointers")
+    append_rows(spark.createDataFrame([(mart, version, path, now, covered, buckets, uuid.uuid4().hex)],
+                                      _POINTER_SCHEMA), f"{base}/_pointers")
     return path
 
 
+def expire_versions(spark: SparkSession, base: str, mart: str, now: datetime, retention_hours: int = 168) -> list[str]:
+    """Delete version folders of ``mart`` that are not the one in force and were written
+    longer than ``retention_hours`` (a week at least) before ``now``; returns them."""
+    if retention_hours < 168:
+        raise ValueError(f"retention {retention_hours} h is below the 168 h minimum")
+    cur = published_version(spark, base, mart)
+    if cur is None:
+        return []
+    fs, folder = _fs(spark, f"{base}/{mart}")
+    in_force = _fs(spark, cur[1])[1].getName()
+    # File times are instants; ``now`` is a zone-less run time, taken as UTC.
+    limit = (now.replace(tzinfo=timezone.utc).timestamp() - retention_hours * 3600) * 1000
+    gone = []
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        name = status.getPath().getName()
+        if name.startswith("v=") and name != in_force and status.getModificationTime() < limit:
+            fs.delete(status.getPath(), True)
+            gone.append(name)
+    return gone
+
+
 def read_mart(spark: SparkSession, base: str, mart: str) -> DataFrame:
     cur = published_version(spark, base, mart)
     if cur is None:
@@ -165,22 +194,47 @@ def read_mart(spark: SparkSession, base: str, mart: str) -> DataFrame:
 
 def current_bronze(spark: SparkSession, base: str, table_name: str) -> DataFrame:
     """The whole change log of ``table_name``: the newest compacted version (if any) plus
-    the live rows landed after it. The tail filter is on ``ingest_ts`` and its day, so
-    only the newest ``ingest_date`` folders of the live table are read."""
+    the live landings it doesn't hold, whatever their run time. The tail is a filter on the
+    partition column ``ingest_batch``, so only those landings' folders are read."""
+    return base_and_tail(spark, base, table_name)[0]
+
+
+def base_and_tail(spark: SparkSession, base: str, table_name: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The whole change log, the live table, and the landings that the base holds."""
     live = read_bronze(spark, f"{base}/bronze/{table_name}", table_name)
-    row = _newest_pointer(spark, f"{base}/bronze_compacted", table_name)
+    row = newest_pointer(spark, f"{base}/bronze_compacted", table_name)
     if row is None:
-        return live
-    covered = row["covered_to"]
-    from tidemark.functions.expressions import ntz
-
-    tail = live.filter((F.col("ingest_date") >= F.lit(covered.date())) & (F.col("ingest_ts") > ntz(covered)))
+        return live, live, []
+    covered = list(row["covered"] or [])
+    tail = live.filter(~F.col("ingest_batch").isin(covered)) if covered else live
     compacted = spark.read.schema(BRONZE_SCHEMAS[table_name]).parquet(row["path"]) \
         if table_name in BRONZE_SCHEMAS else spark.read.parquet(row["path"])
-    return compacted.unionByName(tail)
+    return compacted.unionByName(tail), live, covered
+
+
+_LANDING_SCHEMA = "table_name string, ingest_batch string, rows long, landed_at timestamp_ntz"
+
+
+def record_landing(spark: SparkSession, base: str, table_name: str, batch_id: str, rows: int, now: datetime) -> None:
+    """Note that a landing is complete: maintenance takes only these into the base."""
+    append_rows(spark.createDataFrame([(table_name, batch_id, rows, now)], _LANDING_SCHEMA), f"{base}/control/landings")
+
+
+def landings(spark: SparkSession, base: str, table_name: str) -> list[str]:
+    """Complete landings with rows, one id per run of the ingest."""
+    log = read_appended(spark, f"{base}/control/landings", _LANDING_SCHEMA)
+    return sorted(r["ingest_batch"] for r in log.filter((F.col("table_name") == table_name) & (F.col("rows") > 0))
+                  .select("ingest_batch").distinct().collect())
 
 
 def current_bronze_bytes(spark: SparkSession, base: str, table_name: str) -> int:
-    """Bytes of the compacted base in force plus the live folder (an upper bound of the current table)."""
-    cur = published_version(spark, f"{base}/bronze_compacted", table_name)
-    return folder_bytes(spark, f"{base}/bronze/{table_name}") + (folder_bytes(spark, cur[1]) if cur else 0)
+    """Bytes of the compacted base in force plus those of the live landings it doesn't hold."""
+    row = newest_pointer(spark, f"{base}/bronze_compacted", table_name)
+    live = f"{base}/bronze/{table_name}"
+    if row is None:
+        return folder_bytes(spark, live)
+    fs, _ = _fs(spark, live)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{live}/ingest_date=*/ingest_batch=*")) or []
+    covered = {f"ingest_batch={b}" for b in row["covered"] or []}
+    tail = sum(fs.getContentSummary(s.getPath()).getLength() for s in found if s.getPath().getName() not in covered)
+    return folder_bytes(spark, row["path"]) + int(tail)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,12 +50,44 @@ def watermark_guard_col(text_col) -> "F.Column":
     return F.when(ok, F.lit(1)).otherwise(F.lit(0))
 
 
+def scope_filter(spec: SourceSpec) -> "F.Column | None":
+    """The spec's typed scope: an ``IN`` list, an excluded value, or None."""
+    cond = None
+    if spec.scope_column and spec.scope_values:
+        cond = F.col(spec.scope_column).isin(*spec.scope_values)
+    if spec.exclude_column:
+        out = F.col(spec.exclude_column) != F.lit(spec.exclude_value)
+        cond = out if cond is None else cond & out
+    return cond
+
+
+def scope_sql(spec: SourceSpec) -> list[str]:
+    """The same for a query at the source: integers, and a quoted value."""
+    out = []
+    if spec.scope_column and spec.scope_values:
+        out.append(f"{spec.scope_column} IN ({', '.join(str(int(v)) for v in spec.scope_values)})")
+    if spec.exclude_column:
+        value = str(spec.exclude_value).replace("'", "''")
+        out.append(f"{spec.exclude_column} <> '{value}'")
+    return out
+
+
+def count_in_scope(source: DataFrame, spec: SourceSpec) -> DataFrame:
+    """One row, ``source_count``: the rows of ``source`` in the spec's scope."""
+    scope = scope_filter(spec)
+    return (source if scope is None else source.filter(scope)).agg(F.count(F.lit(1)).alias("source_count"))
+
+
+def pulled(spec: SourceSpec) -> SourceSpec:
+    """The spec as the pull sees it."""
+    return spec if spec.exclude_when_pulled else replace(spec, exclude_column=None)
+
+
 def incremental_filter(spec: SourceSpec, watermark: datetime) -> "F.Column":
     """``watermark_column > watermark`` AND the typed scope list."""
     cond = F.col(spec.watermark_column) > ntz(watermark)
-    if spec.scope_column and spec.scope_values:
-        cond = cond & F.col(spec.scope_column).isin(*spec.scope_values)
-    return cond
+    scope = scope_filter(pulled(spec))
+    return cond if scope is None else cond & scope
 
 
 def incremental_pull(source: DataFrame, spec: SourceSpec, watermark: datetime) -> DataFrame:
@@ -68,9 +100,8 @@ def incremental_pull(source: DataFrame, spec: SourceSpec, watermark: datetime) -
 def full_reload_pull(source: DataFrame, spec: SourceSpec, date_col: str, as_of: datetime, months: int = 3) -> DataFrame:
     """The full-window read the incremental pull replaces: ``date_col >= as_of - months``, in scope."""
     cond = F.col(date_col) >= (ntz(as_of) - F.make_ym_interval(F.lit(0), F.lit(months)))
-    if spec.scope_column and spec.scope_values:
-        cond = cond & F.col(spec.scope_column).isin(*spec.scope_values)
-    return source.filter(cond).select(*spec.columns)
+    scope = scope_filter(pulled(spec))
+    return source.filter(cond if scope is None else cond & scope).select(*spec.columns)
 
 
 def partition_bounds(batch: DataFrame, column: str) -> DataFrame:
@@ -138,8 +169,7 @@ def source_bounds(spark: SparkSession, conn: JdbcConnection, spec: SourceSpec, w
     """
     col = spec.partition_column
     where = f"{spec.watermark_column} > '{validate_watermark(watermark.strftime('%Y-%m-%d %H:%M:%S'))}'"
-    if spec.scope_column and spec.scope_values:
-        where += f" AND {spec.scope_column} IN ({', '.join(str(int(v)) for v in spec.scope_values)})"
+    where = " AND ".join([where, *scope_sql(pulled(spec))])
     q = f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {spec.source_table} WHERE {where}) q"
     row = read_jdbc_table(spark, conn, q).collect()[0]
     return row[0], row[1]
@@ -167,9 +197,11 @@ def write_jdbc(df: DataFrame, conn: JdbcConnection, table: str, batchsize: int =
 
 def source_key_count(spark: SparkSession, conn: JdbcConnection, spec: SourceSpec) -> int:
     """Distinct in-scope keys, counted *at the source* (one row back), for reconciliation."""
-    keys = ", ".join(spec.key)
-    where = ""
-    if spec.scope_column and spec.scope_values:
-        where = f" WHERE {spec.scope_column} IN ({', '.join(str(int(v)) for v in spec.scope_values)})"
-    inner = f"SELECT DISTINCT {keys} FROM {spec.source_table}{where}"
-    return source_count(spark, conn, f"({inner}) k")
+    return source_count(spark, conn, key_count_table(spec))
+
+
+def key_count_table(spec: SourceSpec) -> str:
+    """The derived table that :func:`source_key_count` counts."""
+    scope = scope_sql(spec)
+    where = f" WHERE {' AND '.join(scope)}" if scope else ""
+    return f"(SELECT DISTINCT {', '.join(spec.key)} FROM {spec.source_table}{where}) k"

@@ -8,16 +8,15 @@ rule (newest version per key wins, whichever side it is on, so late or
 replayed files cannot move a key backwards) and published as a new version;
 readers switch only when the pointer row is written.
 
-Two merge strategies:
-
-* plain (``buckets=None``): union the state with the batch and take the
-  newest version per key. Simple, but every merge shuffles the whole state.
-* bucketed (``buckets=n``): each state version is a Spark bucketed table
-  (``bucketBy(n, keys)``). The merge reads the state with its bucket
-  partitioning, so only the micro-batch is shuffled: keys already in the
-  state are resolved by a left join that keeps the state's partitioning (and
-  is written back one file per bucket without another exchange); keys new
-  to the state are shuffled into their buckets and appended.
+Each state version is a Spark bucketed table (``bucketBy(n, keys)``). The merge
+reads the state with its bucket partitioning, so only the micro-batch, which
+is deduplicated and stored once, is shuffled: keys already in the state are
+resolved by a left join that keeps the state's partitioning (and is written
+back one file per bucket without another exchange); keys new to the state are
+shuffled into their buckets and appended. The bucket count is kept in the
+version's pointer and read back from there. Where another count is wanted (the
+caller's, or the one that the state's bytes ask for), that merge deals the
+whole state out anew.
 
 With the state maintained, the reports can read one row per key instead of
 deduplicating the whole history on every run.
@@ -34,14 +33,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.changelog import latest_per_key
+from tidemark.session import scratch_path
 from tidemark.sources import bronze
 
 STATE_DB = "tidemark_state"
 
 
-def merge_into_state(state: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    rows = batch if state is None else state.unionByName(batch.select(*state.columns))
-    return latest_per_key(rows, keys, order)
+# Bytes of a bucket of the state, and the fewest buckets.
+BUCKET_BYTES, LEAST_BUCKETS = 256 << 20, 8
+
+
+def wanted_buckets(state_bytes: int, stored: int | None) -> int:
+    """Buckets for a state of that size: a power of two, and the stored count while it is
+    within a factor of four of that."""
+    fit = LEAST_BUCKETS
+    while fit * BUCKET_BYTES < state_bytes:
+        fit *= 2
+    return stored if stored and fit <= 4 * stored and stored <= 4 * fit else fit
 
 
 # ---- bucketed state ------------------------------------------------------------
@@ -79,9 +87,10 @@ def _write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int,
      .saveAsTable(_table(path)))
 
 
-def merge_bucketed(state: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[str],
+def merge_bucketed(state: DataFrame | None, latest: DataFrame, keys: Sequence[str], order: Sequence[str],
                    path: str, buckets: int) -> None:
-    """Write the merged state to ``path`` as a bucketed table, shuffling only the batch.
+    """Write the merged state to ``path`` as a bucketed table, shuffling only the batch
+    (``latest``: its newest version per key, stored).
 
     The joins use plain equality on the key, which the bucket layout of the
     state satisfies. (A NULL-safe equality would be planned on derived keys and
@@ -89,7 +98,6 @@ def merge_bucketed(state: DataFrame | None, batch: DataFrame, keys: Sequence[str
     not produce, take a small separate path: newest version among the state's
     and the batch's NULL-key rows.
     """
-    latest = latest_per_key(batch, keys, order)
     if state is None:
         _write_bucketed(latest.repartition(buckets, *keys), path, keys, buckets, "errorifexists")
         return
@@ -116,37 +124,46 @@ def merge_bucketed(state: DataFrame | None, batch: DataFrame, keys: Sequence[str
 
 
 def read_state(spark: SparkSession, state_base: str, name: str, schema: StructType | None = None,
-               keys: Sequence[str] = (), buckets: int | None = None) -> DataFrame | None:
-    cur = bronze.published_version(spark, state_base, name)
+               keys: Sequence[str] = ()) -> DataFrame | None:
+    """The state in force: with its bucketing, of the stored count, if ``schema`` and ``keys``
+    are given."""
+    cur = bronze.newest_pointer(spark, state_base, name)
     if cur is None:
         return None
-    if buckets and schema is not None:
-        return spark.table(bucketed_table(spark, cur[1], schema, keys, buckets))
-    return spark.read.parquet(cur[1])
+    if cur["buckets"] and schema is not None:
+        return spark.table(bucketed_table(spark, cur["path"], schema, keys, cur["buckets"]))
+    return spark.read.parquet(cur["path"])
 
 
 def tail_latest_state(spark: SparkSession, bronze_path: str, schema: StructType, state_base: str, name: str,
                       keys: Sequence[str], order: Sequence[str], checkpoint: str,
                       now: datetime | None = None, buckets: int | None = None) -> int:
-    """Run the tail until the folder is drained; returns the number of micro-batches."""
+    """Run the tail until the folder is drained; returns the number of micro-batches.
+    ``buckets``: None for as many as the state's bytes ask for."""
     seen = {"batches": 0}
-    state_schema = StructType([f for f in schema.fields if f.name != "ingest_date"])
+    state_schema = StructType([f for f in schema.fields if f.name not in bronze.BRONZE_PARTITIONS])
 
     def merge(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df = batch_df.drop("ingest_date")
-        state = read_state(spark, state_base, name, state_schema, keys, buckets)
         when = now or datetime.now()
-        if buckets:
-            cur = bronze.published_version(spark, state_base, name)
-            new_path = bronze.publish_mart(spark, None, state_base, name, when,
-                                           write=lambda path: merge_bucketed(state, batch_df, keys, order, path,
-                                                                             buckets))
-            # The catalog entries only serve the merge's bucketed read; they are external
-            # tables, so dropping them keeps the files and leaves the catalog clean.
-            for p in ([cur[1]] if cur else []) + [new_path]:
-                spark.sql(f"DROP TABLE IF EXISTS {_table(p)}")
-        else:
-            bronze.publish_mart(spark, merge_into_state(state, batch_df, keys, order), state_base, name, when)
+        newest = scratch_path(spark, f"state-batch-{name}")
+        latest_per_key(batch_df.drop(*bronze.BRONZE_PARTITIONS), keys, order).write.parquet(newest)
+        latest = spark.read.schema(state_schema).parquet(newest)
+        cur = bronze.newest_pointer(spark, state_base, name)
+        stored = cur["buckets"] if cur else None
+        held = bronze.folder_bytes(spark, cur["path"] if cur else newest)
+        count = buckets or wanted_buckets(held, stored)
+        if stored == count:
+            state = read_state(spark, state_base, name, state_schema, keys)
+            write = lambda path: merge_bucketed(state, latest, keys, order, path, count)
+        else:  # none yet, or of another count: dealt out anew
+            rows = latest if cur is None else latest_per_key(
+                read_state(spark, state_base, name).unionByName(latest), keys, order)
+            write = lambda path: merge_bucketed(None, rows, keys, order, path, count)
+        new_path = bronze.publish_mart(spark, None, state_base, name, when, write=write, buckets=count)
+        # The catalog entries only serve the merge's bucketed read; they are external
+        # tables, so dropping them keeps the files and leaves the catalog clean.
+        for p in ([cur["path"]] if cur else []) + [new_path]:
+            spark.sql(f"DROP TABLE IF EXISTS {_table(p)}")
         seen["batches"] += 1
 
     q = (spark.readStream.schema(schema).parquet(bronze_path)

@@ -25,6 +25,8 @@ def main() -> None:
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
 
+    from datetime import date
+
     from tidemark.config import ReportConfig
     from tidemark.operators import marts, staging
     from tidemark.sources import fixtures as fx
@@ -46,7 +48,7 @@ def main() -> None:
     total = log.count()
     hot_case = log.filter(F.col("case_id") == 5).count()
     hot_versions = log.filter(F.col("uniqueid") == "call-hot").count()
-    cfg = ReportConfig()
+    cfg = ReportConfig(as_of=date(2024, 2, 15))
     spark.sparkContext.setJobGroup("phone", "phone report over the hot dialer log")
     marts.mart_phone_quality(staging.stg_dialer(log, cfg), cfg).write.format("noop").mode("overwrite").save()
     # The penetration report with a third of calls and of contacts on the same hot case.
