@@ -136,12 +136,12 @@ def repair(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
     comma-joined) and ``rendered``. The rendered pieces of a conversation, joined by
     position, are its chat text.
 
-    Turns go by number (null first), then role, then text; repeated turns all count.
+    Turns go by number (null first, in the lowest block, that of all numbers far below zero), then role, then text; repeated turns all count.
     A null role or one that is none of system, user and assistant is unknown; a
     null text is empty. Rows of a null conversation are one conversation. Other
     columns are left out."""
     number = F.col(quoted(turn)).cast("long")
-    rows = turns.select(F.col(quoted(conversation)).alias("conversation"), F.coalesce(F.floor(number / block_turns).cast("long"), F.lit(-(2**60))).alias("block"),
+    rows = turns.select(F.col(quoted(conversation)).alias("conversation"), F.greatest(F.floor(number / block_turns).cast("long"), F.lit(-fan)).alias("block"),  # null: -fan
                         number.alias("turn"), F.col(quoted(role)).cast("string").alias("role"), F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).alias("text"))
     conv_type = rows.schema["conversation"].dataType
     matrix = T.ArrayType(T.DoubleType(), False)
@@ -196,11 +196,11 @@ def repair(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
         shared = levels[-1].groupBy("conversation").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         if not shared.take(1):
             break
-        upper = levels[-1].withColumn("upper", F.floor(F.col("block") / fan).cast("long"))
+        upper = levels[-1].withColumn("upper", F.expr(f"block div {fan}"))
         levels.append(shared_table(_together(upper, ["conversation", "upper"], ["block"], gather, level_schema), "chat-level"))
     states = shared_table(map_arrow(levels[-1], finish, state_schema), "chat-states")
     for level in reversed(levels[:-1]):
-        below = level.withColumn("upper", F.floor(F.col("block") / fan).cast("long"))
+        below = level.withColumn("upper", F.expr(f"block div {fan}"))
         above = states.select(F.col("conversation").alias("c"), F.col("block").alias("b"), "entry", "exit", "last")
         joined = below.join(above, below["conversation"].eqNullSafe(above["c"]) & (below["upper"] == above["b"])).drop("c", "b")
         states = shared_table(_together(joined, ["conversation", "upper"], ["block"], hand_down, state_schema), "chat-states")
