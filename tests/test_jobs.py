@@ -51,8 +51,6 @@ def test_reconciliation_job_raises_on_drift(spark, tmp_path):
 
 
 def test_maintenance_prunes_and_readers_see_base_plus_tail(spark, tmp_path):
-    import dataclasses
-
     from tidemark.config import SourceSpec
     from tidemark.operators.changelog import latest_per_key
 
