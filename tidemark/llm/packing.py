@@ -30,7 +30,7 @@ from tidemark.llm.common import NOT_SPACE, SpanHash, flat, map_arrow, quoted, sh
 SEQUENCE_TOKENS = 2048
 END_ID = 0
 #: Words a Python worker remembers with their ids before it starts afresh.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 250_000
 #: Bytes with A-Z lowered.
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 #: Pieces that one task ranks.
