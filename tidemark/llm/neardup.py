@@ -7,10 +7,10 @@ probability that is their probability Jaccard similarity. Arrivals later than
 the last register's first can change nothing, so an element ends there.
 
 Registers are banded. Texts that share a band are compared exactly, first with
-the least text of the bucket (a star, so a bucket of n texts gives n-1 pairs);
-what is then still unconnected within a bucket is compared pair by pair, but for
-pairs that the sketches show to be far below the threshold. Connected components
-of the verified pairs are the classes. Equal texts are one node throughout.
+the bucket's centre (a star, so a bucket of n texts gives n-1 pairs); what is then
+still unconnected within a bucket is compared with all its other texts, in blocks
+that give one pair for two components at most. Connected components of the
+verified pairs are the classes. Equal texts are one node throughout.
 """
 
 from __future__ import annotations
@@ -19,21 +19,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import ALNUM, SpanHash, flat, map_arrow, map_texts, mix64, quoted, shared_table, windows, without, word_spans
+from tidemark.llm.common import ALNUM, SpanHash, flat, map_arrow, map_texts, mix64, quoted, shared_table, slices, windows, without, word_spans
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: At similarity 0.8 a pair shares no band with probability 0.0017, at 0.85 with 0.00003.
 BANDS, BAND_ROWS = 21, 6
 REGISTERS = BANDS * BAND_ROWS
-#: One bit of each register; a pair at 0.8 differs in 12.6 of 126 bits (deviation 3.4), so 30 is five deviations away.
-SKETCH_BITS_APART = 30
+#: Most bits of the bitmap of digests (32 MB), and of a part of it.
+MAP_BITS, PART_BITS = 28, 1 << 15
+#: Texts of a bucket that are compared with as many others at once.
+BLOCK_TEXTS = 128
 
-SIGNATURE = T.StructType([T.StructField("bands", T.ArrayType(T.LongType(), False)), T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
+SIGNATURE = T.StructType([T.StructField("bands", T.ArrayType(T.LongType(), False))])
 SHINGLES = T.StructType([T.StructField("keys", T.ArrayType(T.LongType(), False)), T.StructField("weights", T.ArrayType(T.IntegerType(), False))])
 
 
@@ -97,11 +99,36 @@ def _signatures(texts: pa.Array) -> dict:
         bands = bands * np.uint64(0x9FB21C651E98DF25) + element[:, i * BANDS : (i + 1) * BANDS]
     bands = mix64(mix64(bands) + number)
     some = np.bincount(row, minlength=len(texts)) > 0
-    bits = (mix64(element) & np.uint64(1)) << (np.arange(REGISTERS, dtype=np.uint64) % np.uint64(63))
-    low, high = bits[:, :63].sum(1, dtype=np.uint64), bits[:, 63:].sum(1, dtype=np.uint64)
     ends = np.concatenate([[0], np.cumsum(some * BANDS)])
-    return {"bands": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[some].ravel().view(np.int64))),
-            "low": pa.array(low.view(np.int64)), "high": pa.array(high.view(np.int64))}
+    return {"bands": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[some].ravel().view(np.int64)))}
+
+
+def _shingles_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``digest``, ``keys``, ``weights`` of the ``wanted`` digests. A bitmap of a part of their digests,
+    of bounded size, keeps most other texts from being hashed and shuffled; the join
+    drops those that only share a bit."""
+    n = wanted.count()
+    bits = 1 << min(MAP_BITS, max(20, (16 * n).bit_length()))
+    place = F.conv(F.substring(F.hex("digest"), 1, 12), 16, 10).cast("long") % bits
+    parts = (wanted.select(F.floor(place / PART_BITS).alias("part"), (place % PART_BITS).alias("bit"))
+             .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bitmap")).collect())
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for r in parts:
+        bitmap[r["part"] * PART_BITS // 8 :][: PART_BITS // 8] = np.frombuffer(r["bitmap"], np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
+        for batch in batches:
+            digest = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, 16)[:, :6].astype(np.int64)
+            at = (digest << np.arange(40, -1, -8)).sum(1) % bits
+            for part in slices(batch.filter(pa.array((bitmap[at >> 3] >> (at & 7)) & 1 == 1)), 1):
+                got = _shingle_lists(part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0), got["keys"], got["weights"]], names=["digest", "keys", "weights"])
+
+    schema = T.StructType([T.StructField("digest", T.BinaryType()), *SHINGLES.fields])
+    found = map_arrow(texts.select("digest", "text"), run, schema)
+    return found.groupBy("digest").agg(F.first("keys").alias("keys"), F.first("weights").alias("weights")).join(wanted, "digest", "left_semi")
 
 
 def _shingle_lists(texts: pa.Array) -> dict:
@@ -136,6 +163,74 @@ def _verified(threshold: float):
     return run
 
 
+class _Texts:
+    """One row's block of texts: digests, components, and their shingles end to end."""
+
+    def __init__(self, texts: pa.StructArray):
+        digest, label, keys, weights = texts.flatten()
+        self.digest, self.label = digest.to_pylist(), label.to_pylist()
+        ends = keys.offsets.to_numpy()
+        self.ends = ends - ends[0]
+        self.key = keys.values.to_numpy()[ends[0] : ends[-1]]
+        ends = weights.offsets.to_numpy()
+        self.weight = weights.values.to_numpy()[ends[0] : ends[-1]]
+        self.row = np.repeat(np.arange(len(self.digest)), np.diff(self.ends))
+        self.total = np.bincount(self.row, weights=self.weight, minlength=len(self.digest))
+        self.plain = self.total == np.diff(self.ends)  # no shingle occurs twice
+
+    def shingles(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.ends[i], self.ends[i + 1])
+        return self.key[part], self.weight[part]
+
+    def columns(self, vocabulary: np.ndarray, values: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(vocabulary, self.key)
+        at[at == len(vocabulary)] = 0
+        there = vocabulary[at] == self.key
+        out = np.zeros((len(self.digest), len(vocabulary)), np.float32)
+        out[self.row[there], at[there]] = values[there]
+        return out
+
+
+def _shared_weight(x: _Texts, y: _Texts, slab: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair, the weight of the common shingles in x's text and in y's."""
+    common = np.intersect1d(x.key, y.key)
+    of_x, of_y = (np.zeros((len(x.digest), len(y.digest)), np.float32) for _ in range(2))
+    for begin in range(0, len(common), slab):
+        some = common[begin : begin + slab]
+        in_x, in_y = x.columns(some, x.weight), y.columns(some, y.weight)
+        of_x += in_x @ (in_y > 0).T.astype(np.float32)
+        of_y += (in_x > 0).astype(np.float32) @ in_y.T
+    return of_x, of_y
+
+
+def _linked(threshold: float):
+    """For blocks of texts, one verified pair for each two components that have one."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[tuple[bytes, bytes]] = set()
+            for i in range(batch.num_rows):
+                x, y = _Texts(batch.column(0)[i].values), _Texts(batch.column(1)[i].values)
+                of_x, of_y = _shared_weight(x, y)
+                # a common shingle adds at most its share of either text to the similarity
+                near = (of_x >= threshold * x.total[:, None] - 1e-3) & (of_y >= threshold * y.total[None, :] - 1e-3)
+                joined: set[tuple[bytes, bytes]] = set()
+                for a, b in zip(*map(np.ndarray.tolist, np.nonzero(near))):
+                    ends = (x.label[a], y.label[b])
+                    if ends[0] == ends[1] or ends in joined:
+                        continue
+                    if x.plain[a] and y.plain[b]:
+                        similar = of_x[a, b] / (x.total[a] + y.total[b] - of_x[a, b])
+                    else:
+                        similar = probability_jaccard(*x.shingles(a), *y.shingles(b))
+                    if similar >= threshold:
+                        joined.add(ends)
+                        found.add((x.digest[a], y.digest[b]))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in sorted(found)], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 def _verify(pairs: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
     """The pairs (digest, rep) of at least ``threshold`` similarity."""
     other = lists.select(F.col("digest").alias("rep"), F.col("keys").alias("rep_keys"), F.col("weights").alias("rep_weights"))
@@ -168,32 +263,36 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
     texts = docs.where(body.isNotNull()).select(F.unhex(F.md5(body.cast("binary"))).alias("digest"), body.alias("text"))
     marks = map_texts(texts, "text", ["digest"], SIGNATURE, lambda: _signatures)
     marks = marks.groupBy("digest").agg(*[F.first(c).alias(c) for c in SIGNATURE.names])
-    spread = shared_table(marks.where(F.size("bands") > 0), "signatures").select("digest", "low", "high", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("digest").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "rep")
-    members = shared_table(spread.join(shared, "bucket"), "bucket-members")
-
-    # sets of the texts that share a bucket, one row for each distinct text
-    wanted = members.select("digest").distinct()
-    lists = shared_table(map_texts(texts.groupBy("digest").agg(F.first("text").alias("text")).join(wanted, "digest", "left_semi"),
-                                   "text", ["digest"], SHINGLES, lambda: _shingle_lists), "shingles")
+    spread = shared_table(marks.where(F.size("bands") > 0), "signatures").select("digest", F.explode("bands").alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowd = shared_table(spread.join(shared, "bucket"), "bucket-crowds")
+    # a bucket's star is centred on the text that meets most others over all its buckets: among
+    # edited copies that is the one edited least, to which most others are similar
+    weight = crowd.groupBy("digest").agg(F.sum("n").alias("met"))
+    crowd = crowd.join(weight, "digest")
+    centre = crowd.groupBy("bucket").agg(F.max(F.struct("met", "digest")).alias("top")).select("bucket", F.col("top.digest").alias("rep"))
+    members = shared_table(crowd.join(centre, "bucket").select("bucket", "digest", "rep", "n"), "bucket-members")
+
+    # shingles of the texts that share a bucket, one row for each distinct text
+    lists = shared_table(_shingles_of(texts, members.select("digest").distinct()), "shingles")
     stars = members.where("digest <> rep").select("digest", "rep").distinct()
     near = shared_table(_verify(stars, lists, threshold), "star-edges").select(F.col("digest").alias("a"), F.col("rep").alias("b"))
     labels = components(near)
 
-    # buckets that hold more than one component: all but the largest one's texts against the others
-    placed = shared_table(members.join(labels.withColumnRenamed("node", "digest"), "digest", "left")
+    # buckets that hold more than one component: all but the largest one's texts against all
+    # others, in blocks; a bucket of two has been compared
+    placed = shared_table(members.where("n > 2").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
                           .withColumn("label", F.coalesce("label", "digest")), "bucket-components")
     largest = (placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
                .groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count(F.lit(1)).alias("labels"))
                .where("labels > 1").select("bucket", "major"))
-    mixed = placed.join(largest, "bucket")
-    rest = mixed.where("label <> major").select("bucket", *[F.col(c).alias(f"r_{c}") for c in ("digest", "label", "low", "high")])
-    apart = F.bit_count(F.col("low").bitwiseXOR(F.col("r_low"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("r_high")))
-    untested = (F.col("r_label") != F.col("label")) & (F.col("digest") != F.col("rep")) & (F.col("r_digest") != F.col("rep"))
-    once = (F.col("label") == F.col("major")) | (F.col("r_digest") < F.col("digest"))
-    more = (rest.join(mixed, "bucket").where(untested & once & (apart <= SKETCH_BITS_APART))
-            .select(F.col("r_digest").alias("digest"), F.col("digest").alias("rep")).distinct())
-    more = shared_table(_verify(more, lists, threshold), "more-edges").select(F.col("digest").alias("a"), F.col("rep").alias("b"))
+    mixed = placed.join(largest, "bucket").join(lists, "digest")
+    block = F.pmod(F.xxhash64("digest"), F.ceil(F.col("n") / BLOCK_TEXTS).cast("long"))
+    gathered = F.collect_list(F.struct("digest", "label", "keys", "weights"))
+    rest = mixed.where("label <> major").groupBy("bucket", block.alias("r_block")).agg(gathered.alias("rest"))
+    blocks = mixed.groupBy("bucket", block.alias("block")).agg(gathered.alias("texts"))
+    found = map_arrow(rest.join(blocks, "bucket").select("rest", "texts"), _linked(threshold), "a binary, b binary")
+    more = shared_table(found.distinct(), "more-edges")
     if more.take(1):
         labels = components(near.unionByName(more))
     return labels.select(F.col("node").alias("digest"), F.col("label").alias("class_digest"))
