@@ -37,3 +37,68 @@ def test_rules_and_anchors():
 
 def test_empty_table(empty):
     assert scan_licenses(empty).collect() == []
+
+
+#: Standard headers as their licences print them, and the identifiers in them.
+HEADERS = [
+    ("EBCD", ["Apache-2.0"], """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""),
+    ("GHI", ["MIT"], MIT + """
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""),
+    ("KL", ["GPL-3.0-or-later"], """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by the
+Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""),
+    ("KMN", ["GPL-2.0-or-later"], """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by the
+Free Software Foundation; either version 2 of the License, or
+(at your option) any later version."""),
+    ("U", ["MPL-2.0"], """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("QRST", ["BSD-3-Clause"], """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors
+may be used to endorse or promote products derived from this software without
+specific prior written permission."""),
+    ("V", ["Unlicense"], "This is free and unencumbered software released into the public\ndomain."),
+]
+
+
+def test_standard_headers_wrapped_and_commented(docs):
+    shapes = [str, lambda t: t.replace("\n", "\r\n"), lambda t: "\n".join("# " + x for x in t.split("\n")),
+              lambda t: "/*\n" + "\n".join(" * " + x for x in t.split("\n")) + "\n */\nint x;", lambda t: "\r\n".join("// " + x for x in t.split("\n")),
+              lambda t: " ".join(t.split()), lambda t: "\n".join(t.split())]
+    rows = [(i * 10 + j, shape(text)) for i, (_, _, text) in enumerate(HEADERS) for j, shape in enumerate(shapes)]
+    for r in scan_licenses(docs(rows)).collect():
+        letters, names, _ = HEADERS[r["doc_id"] // 10]
+        if r["doc_id"] % 10 < 5:  # on one line, nothing ends the address before "Unless"
+            assert (r["sentence_ids"], r["licenses"]) == (letters, names), r["text"]
+        assert (r["sentence_ids"], r["rule_matches"], r["licenses"]) == brute_force(r["text"])
+
+
+def test_sentences_end_where_they_end(docs):
+    rows = [(1, "All rights. Reserved seats"), (2, "All rights\n\nReserved"), (3, "# All rights\n# Reserved"), (4, "not\nreleased under the MIT License"), (5, "All rights reserved\nby others")]
+    got = {r["doc_id"]: r["sentence_ids"] for r in scan_licenses(docs(rows)).collect()}
+    assert got == {1: "", 2: "", 3: "W", 4: "", 5: ""}
+    assert all(brute_force(t)[0] == got[i] for i, t in rows)

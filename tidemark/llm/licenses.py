@@ -1,8 +1,9 @@
 """Licence scan by sentence rules (DataFrame functions only).
 
-A text is cut into sentences, each is normalised and looked up among the known
-licence sentences, and the identifiers found, in order, are matched against
-licence rules, which are ordered identifier sequences. A sequence is written as a
+A text becomes a stream of normalised words with marks where sentences and lines
+end. Known licence sentences are looked for from mark to mark, over the ends of
+lines, so a wrapped or commented one is found too. The identifiers found, in
+order, are matched against licence rules, which are ordered identifier sequences. A sequence is written as a
 string of one letter per sentence, so that a rule is a substring; at each place
 the longest rule wins, and rules don't overlap.
 """
@@ -62,6 +63,8 @@ RULES = [
 ANCHORS = ("licen", "rights", "permi", "software", "redistribut", "copyright")
 
 SPACE = "[ \\t\\n\\x0B\\f\\r]"
+#: Mark of a sentence's end among normalised words.
+STOP = "\x01"
 
 
 def normalise(sentence: str) -> str:
@@ -72,22 +75,39 @@ def rules_by_length() -> list[tuple[str, str]]:
     return sorted(RULES, key=lambda r: (-len(r[1]), r[1]))
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences. A sentence ends at a sign of its end before
-    white space and at a line feed, unless the next line goes on in lower case."""
-    joined = F.regexp_replace(F.concat(text, F.lit("\n")), "\\n[ \\t]*([a-z(\"])", " $1")
-    pieces = F.split(F.regexp_replace(joined, f"[.!?;:]+{SPACE}", "\n"), "\n")
-    return F.transform(pieces, lambda p: F.trim(F.regexp_replace(ascii_lower(p), "[^a-z0-9]+", " ")))
+def marked(sentence: str) -> str:
+    """A known sentence's words, with ``STOP`` where the sign of an end is inside it ("v. 2.0")."""
+    return STOP.join(normalise(part) for part in re.split("[.!?;:]+" + SPACE, sentence))
+
+
+def sentence_pattern() -> str:
+    """Any known sentence from mark to mark, the longest first; lines may end between its words."""
+    bodies = sorted((marked(s) for s in SENTENCES.values()), key=lambda s: (-len(s), s))
+    return f"(?<=[\n{STOP}])(?:" + "|".join(b.replace(" ", "[ \n]") for b in bodies) + f")(?=[\n{STOP}])"
+
+
+def marked_words(text: Column) -> Column:
+    """The normalised words. ``STOP`` stands for a sign of a sentence's end before
+    white space and for lines without words, a line feed for any other end of a
+    line, unless the next goes on in lower case. Signs that make a line a comment
+    are no words."""
+    joined = F.regexp_replace(F.concat(F.translate(text, STOP, " "), F.lit("\n")), "\\n[ \\t]*([a-z(\"])", " $1")
+    stopped = F.regexp_replace(joined, f"[.!?;:]+{SPACE}", STOP)
+    stopped = F.regexp_replace(stopped, f"\\n[^A-Za-z0-9\\n{STOP}]*(?=\\n)", STOP)
+    words = F.regexp_replace(ascii_lower(stopped), f"[^a-z0-9\\n{STOP}]+", " ")
+    words = F.regexp_replace(F.concat(F.lit(STOP), words, F.lit(STOP)), f"[ \\n]*{STOP}[ \\n{STOP}]*", STOP)
+    return F.regexp_replace(words, " ?\\n[ \\n]*", "\n")
 
 
 def sentence_ids(text: Column) -> Column:
     """The letters of the known sentences, in order."""
-    known = F.create_map(*[F.lit(x) for letter, s in SENTENCES.items() for x in (normalise(s), letter)])
+    known = F.create_map(*[F.lit(x) for letter, s in SENTENCES.items() for x in (marked(s), letter)])
     lower = ascii_lower(text)
     hinted = F.lit(False)
     for anchor in ANCHORS:
         hinted = hinted | lower.contains(anchor)
-    letters = F.array_join(F.transform(sentences(text), lambda s: F.try_element_at(known, s)), "")  # unknown ones are null and left out
+    found = F.regexp_extract_all(marked_words(text), F.lit(sentence_pattern()), F.lit(0))
+    letters = F.array_join(F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " "))), "")
     return F.when(hinted, letters).otherwise(F.lit(""))
 
 
@@ -110,12 +130,36 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def brute_force(text: str | None) -> tuple[str, list[str], list[str]]:
     """The same by plain Python (for tests)."""
-    known = {normalise(s): letter for letter, s in SENTENCES.items()}
-    joined = re.sub("\n[ \t]*([a-z(\"])", r" \1", (text or "") + "\n")
-    letters, matches = "", []
-    for piece in re.sub(r"[.!?;:]+[ \t\n\x0B\f\r]", "\n", joined).split("\n"):
-        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in piece)
-        letters += known.get(re.sub("[^a-z0-9]+", " ", lowered).strip(" "), "")
+    known = {tuple(re.findall("[a-z0-9]+|\x01", marked(s))): letter for letter, s in SENTENCES.items()}
+    joined = re.sub("\n[ \t]*([a-z(\"])", r" \1", (text or "").replace("\x01", " ") + "\n")
+    words: list[str] = ["\x01"]
+    for sentence in re.split(r"[.!?;:]+[ \t\n\x0B\f\r]", joined):
+        for line in sentence.split("\n"):
+            lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
+            own = re.findall("[a-z0-9]+", lowered)
+            words += [*own, "\n"] if own else ["\x01"]
+        words.append("\x01")
+    ends = [i for i, w in enumerate(words) if not w.isalnum()]
+    letters, matches, done = "", [], 0
+    for start in ends:
+        best = (0, "", 0)
+        for sentence, letter in known.items() if start >= done else ():
+            at, left = start + 1, list(sentence)
+            while left and at < len(words) and (words[at] in (left[0], "\n") or left[0] == "\x01" and not words[at].isalnum()):
+                if left[0] == "\x01" and not words[at].isalnum():
+                    run = at
+                    while not words[run].isalnum() and run + 1 < len(words):
+                        run += 1
+                    if "\x01" not in words[at:run]:
+                        break
+                    at, left = run, left[1:]
+                    continue
+                left = left[words[at] == left[0] :]
+                at += 1
+            if not left and at < len(words) and not words[at].isalnum():
+                best = max(best, (len(sentence), letter, at))
+        letters += best[1]
+        done = max(done, best[2])
     at = 0
     while at < len(letters):
         seq = next((s for _, s in rules_by_length() if letters.startswith(s, at)), None)
