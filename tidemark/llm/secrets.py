@@ -32,6 +32,7 @@ KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 #: Characters of the chains; a run of at least ``RUN_LENGTH`` is a candidate.
 ALPHABET = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 RUN_LENGTH = 16
+SIGNS = 62  # the codes of +/_=- and above
 EDGE = len(ALPHABET)  # before the first and after the last character
 #: Least log-likelihood ratio (in nats) of a run taken for random, in all and per character.
 LEAST_RATIO, LEAST_PER_CHARACTER = 20.0, 2.5
@@ -75,9 +76,10 @@ def base_spans(raw: bytes, hexes: Iterable[tuple[int, int]]) -> list[tuple[int,
     return sorted(found, key=lambda s: (s[0], s[2], s[1]))
 
 
-def scan(texts: pa.Array) -> Iterator[tuple[bytes, list[tuple[int, int, int]], list[tuple[int, int, np.ndarray]]]]:
+def scan(texts: pa.Array, remains: bool = False) -> Iterator[tuple[bytes, list[tuple[int, int, int]], list[tuple[int, int, np.ndarray]]]]:
     """For each text its bytes, its base spans, and the candidate runs that no
-    base span touches: code points and character codes."""
+    base span touches: code points and character codes. With ``remains`` also
+    what base spans leave of the other runs, of any length."""
     data, offsets = flat(texts)
     raw = data.tobytes()
     codes = _CODE[data]
@@ -91,8 +93,15 @@ def scan(texts: pa.Array) -> Iterator[tuple[bytes, list[tuple[int, int, int]], l
         for s, e in zip(run_at[run_rows[r] : run_rows[r + 1]].tolist(), run_end[run_rows[r] : run_rows[r + 1]].tolist()):
             start = len(raw[a:s].decode())
             end = start + e - s  # the characters of a run are ASCII
-            if all(end <= x or y <= start for x, y, _ in base):
+            touching = [(x, y) for x, y, _ in base if x < end and start < y]
+            if not touching:
                 runs.append((start, end, codes[s:e]))
+            elif remains:
+                at = start
+                for x, y in [*touching, (end, end)]:
+                    if at < x:
+                        runs.append((at, x, codes[s + at - start : s + x - start]))
+                    at = max(at, y)
         yield body, base, runs
 
 
@@ -152,17 +161,67 @@ def fit_randomness(docs: DataFrame, text: str = "text") -> RandomnessModel:
     return RandomnessModel.fit(counts)
 
 
+def maximal_segments(weights: list[float]) -> list[tuple[int, int]]:
+    """Starts and ends of the segment of the largest sum, of the largest ones on
+    both sides of it, and so on (Ruzzo and Tompa, one pass)."""
+    found: list[tuple[int, int, float, float, int]] = []  # start, end, sums up to them, the next one before that begins at a lower sum
+    total = 0.0
+    for i, w in enumerate(weights):
+        before, total = total, total + w
+        if w <= 0:
+            continue
+        start, left, j = i, before, len(found) - 1
+        while True:
+            while j >= 0 and found[j][2] >= left:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= total:
+                found.append((start, i + 1, left, total, j))
+                break
+            start, _, left, _, above = found[j]
+            del found[j:]
+            j = above
+    return [(a, b) for a, b, *_ in found]
+
+
+def random_parts(codes: np.ndarray, ratio: np.ndarray) -> list[tuple[int, int]]:
+    """Random parts of a run: all of it, or else those between signs where
+    the ratios exceed ``LEAST_PER_CHARACTER`` most, scored as runs of their own."""
+
+    def taken(part: np.ndarray) -> bool:
+        score = float(ratio[_steps(part)].sum())
+        return score >= LEAST_RATIO and score >= LEAST_PER_CHARACTER * len(part)
+
+    if taken(codes):
+        return [(0, len(codes))]
+    sign = codes >= SIGNS
+    if not sign.any():
+        return []
+    weights = ratio[_steps(codes)][:-1] - LEAST_PER_CHARACTER
+    at = np.flatnonzero(np.concatenate([[True], sign[1:] | sign[:-1]]))  # every sign is a piece
+    sums = np.add.reduceat(weights, at)
+    if not (sums > 0).any():
+        return []
+    ends, parts = [*at.tolist(), len(codes)], []
+    for a, b in maximal_segments(sums.tolist()):
+        start, end = ends[a], ends[b]
+        while start < end and sign[start]:
+            start += 1
+        while start < end and sign[end - 1]:
+            end -= 1
+        if end - start >= RUN_LENGTH and taken(codes[start:end]):
+            parts.append((start, end))
+    return parts
+
+
 def _finder(model: RandomnessModel):
     ratio = model.table()
 
     def find(texts: pa.Array) -> dict:
         out = []
-        for _, base, runs in scan(texts):
+        for _, base, runs in scan(texts, remains=True):
             spans = list(base)
-            for start, end, codes in runs:
-                score = float(ratio[_steps(codes)].sum())
-                if score >= LEAST_RATIO and score >= LEAST_PER_CHARACTER * (end - start):
-                    spans.append((start, end, 3))
+            for start, _, codes in runs:
+                spans += [(start + a, start + b, 3) for a, b in random_parts(codes, ratio)]
             out.append([{"kind": KINDS[k], "start": s, "end": e} for s, e, k in sorted(spans, key=lambda x: (x[0], x[2], x[1]))])
         return {"spans": out}
 
