@@ -65,3 +65,25 @@ def test_one_long_conversation_is_cut(spark):
 
 def test_empty_table(spark):
     assert repair(spark.createDataFrame([], COLUMNS)).collect() == []
+
+
+def test_no_block_holds_more_than_its_rows(spark):
+    """Null, repeated and far negative numbers, and a null conversation, over several ranges."""
+    rnd = random.Random(6)
+    kinds = [(None, None), (None, 5), (7, None), (7, 3), (7, -10**12), (8, 1)]
+    rows = [(*kinds[i % 6], rnd.choice(["user", "assistant", "system", None]), rnd.choice(["a", "b", "c"])) for i in range(1200)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = repair(spark.createDataFrame(rows, COLUMNS).repartition(5), block_turns=8, fan=3).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    places = defaultdict(list)
+    for r in got:
+        places[r["conv_id"]].append((r["block"], r["position"]))
+    assert {c: sorted(p) for c, p in places.items()} == {c: [divmod(i, 8) for i in range(n)] for c, n in ((None, 400), (7, 600), (8, 200))}
+    for conv in (None, 7, 8):
+        turns = sorted((r for r in got if r["conv_id"] == conv), key=lambda r: (r["block"], r["position"]))
+        wanted = sorted((x for x in rows if x[0] == conv), key=lambda x: (x[1] is not None, x[1] or 0, x[2] is not None, x[2] or "", x[3]))
+        assert [(r["turn"], r["role"]) for r in turns] == [x[1:3] for x in wanted]
+        whole = repair(spark.createDataFrame([x for x in rows if x[0] == conv], COLUMNS), block_turns=100_000).collect()
+        assert cost_of(turns) == cost_of(whole)

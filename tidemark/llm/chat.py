@@ -8,7 +8,8 @@ into the turn before, and which empty turns to insert, at least cost.
 A stretch of turns acts on the states as a matrix of least costs, and matrices of
 consecutive stretches combine. So long conversations are cut into blocks, blocks
 into blocks of blocks, until one is left; its best states are handed down again,
-and each block finds its own path between the states it was given. No task holds
+and each block finds its own path between the states it was given. Blocks are cut
+by a row's rank in its conversation, whatever its turn's number, so no task holds
 more than a block, however long a conversation is.
 """
 
@@ -32,6 +33,8 @@ NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (
 NEVER = float("inf")
 #: Turns of a block, and blocks of a larger block.
 BLOCK_TURNS, BLOCK_FAN = 512, 512
+#: Characters of a text that order rows of one turn and role.
+TEXT_ORDER = 256
 
 
 @dataclass(frozen=True)
@@ -129,6 +132,46 @@ def _emit(rows: Iterable[dict], schema: T.StructType) -> Iterator[pa.RecordBatch
         yield _batch(some, arrow)
 
 
+def ranked(rows: DataFrame) -> DataFrame:
+    """``rows`` (the conversation first) with ``rank``, from 0 in each conversation,
+    by turn, role and text (its first ``TEXT_ORDER`` characters, then a hash).
+    Sorted ranges of rows are numbered one by one. Only the first conversation of a
+    range can go on from the ranges before; by how many rows, the driver adds up
+    from two rows per range."""
+    order = ["conversation", "turn", "role", "__head", "__hash", "__row"]
+    laid = (rows.withColumn("__head", F.substring("text", 1, TEXT_ORDER)).withColumn("__hash", F.xxhash64("text"))
+            .withColumn("__row", F.monotonically_increasing_id()))  # rows that are alike may lie in several ranges
+    added = [T.StructField("part", T.IntegerType()), T.StructField("run", T.LongType()), T.StructField("place", T.LongType())]
+    schema = T.StructType([*rows.schema.fields, *added])
+
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, current, run, place = TaskContext.get().partitionId(), None, -1, 0
+        for batch in batches:
+            runs, places = [], []
+            for key in map(repr, batch.column(0).to_pylist()):
+                if key != current:
+                    current, run, place = key, run + 1, 0
+                runs.append(run)
+                places.append(place)
+                place += 1
+            columns = [pa.array([part] * batch.num_rows, pa.int32()), pa.array(runs, pa.int64()), pa.array(places, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
+
+    placed = shared_table(map_arrow(laid.repartitionByRange(*order).sortWithinPartitions(*order).select(*rows.columns), number, schema), "chat-placed")
+    ends = placed.groupBy("part").agg(F.max_by("conversation", F.struct("run", "place")).alias("last"), F.max("run").alias("runs"),
+                                      F.max(F.struct("run", "place"))["place"].alias("place"), F.min_by("conversation", "run").alias("head"))
+    before, going_on, open_rows = {}, None, 0
+    for r in ends.orderBy("part").collect():
+        before[r["part"]] = open_rows if repr(r["head"]) == going_on else 0
+        open_rows = r["place"] + 1 + (before[r["part"]] if r["runs"] == 0 else 0)
+        going_on = repr(r["last"])
+    begun = placed.sparkSession.createDataFrame([(p, n) for p, n in before.items() if n], "part int, begun long")
+    rank = F.col("place") + F.when(F.col("run") == 0, F.coalesce("begun", F.lit(0))).otherwise(F.lit(0))
+    return placed.join(F.broadcast(begun), "part", "left").select(*rows.columns, rank.alias("rank"))
+
+
 def repair(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
            costs: Costs = Costs(), block_turns: int = BLOCK_TURNS, fan: int = BLOCK_FAN) -> DataFrame:
     """A row per turn: the conversation, turn and role as given, ``position`` (block and
@@ -136,13 +179,14 @@ def repair(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
     comma-joined) and ``rendered``. The rendered pieces of a conversation, joined by
     position, are its chat text.
 
-    Turns go by number (null first, in the lowest block, that of all numbers far below zero), then role, then text; repeated turns all count.
+    Turns go by number (null first), then role, then text (its first ``TEXT_ORDER``
+    characters, then a hash); repeated turns all count, in blocks of ``block_turns`` rows.
     A null role or one that is none of system, user and assistant is unknown; a
     null text is empty. Rows of a null conversation are one conversation. Other
     columns are left out."""
     number = F.col(quoted(turn)).cast("long")
-    rows = turns.select(F.col(quoted(conversation)).alias("conversation"), F.greatest(F.floor(number / block_turns).cast("long"), F.lit(-fan)).alias("block"),  # null: -fan
-                        number.alias("turn"), F.col(quoted(role)).cast("string").alias("role"), F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).alias("text"))
+    rows = ranked(turns.select(F.col(quoted(conversation)).alias("conversation"), number.alias("turn"), F.col(quoted(role)).cast("string").alias("role"),
+                               F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).alias("text"))).withColumn("block", F.expr(f"rank div {block_turns}"))
     conv_type = rows.schema["conversation"].dataType
     matrix = T.ArrayType(T.DoubleType(), False)
     level_schema = T.StructType([T.StructField("conversation", conv_type), T.StructField("block", T.LongType()), T.StructField("costs", matrix)])
@@ -191,7 +235,7 @@ def repair(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
                            "last": r["last"] and i == len(run) - 1}
         return _emit(found(), state_schema)
 
-    levels = [shared_table(_together(rows.select("conversation", "block", "turn", "role"), ["conversation", "block"], ["turn", "role"], summarise, level_schema), "chat-level")]
+    levels = [shared_table(_together(rows.select("conversation", "block", "rank", "role"), ["conversation", "block"], ["rank"], summarise, level_schema), "chat-level")]
     while True:
         shared = levels[-1].groupBy("conversation").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         if not shared.take(1):
@@ -225,7 +269,7 @@ def repair(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
 
     above = states.select(F.col("conversation").alias("c"), F.col("block").alias("b"), "entry", "exit", "last")
     placed = rows.join(above, rows["conversation"].eqNullSafe(above["c"]) & (rows["block"] == above["b"])).drop("c", "b")
-    return _together(placed, ["conversation", "block"], ["turn", "role", "text"], write, out_schema)
+    return _together(placed, ["conversation", "block"], ["rank"], write, out_schema)
 
 
 def _turn(state: int, own: int | None, role: int, text: str, ends: bool, costs: Costs) -> dict:
