@@ -58,4 +58,4 @@ def test_stages_take_effect_and_keep_the_rest(spark):
 
 def test_registered(spark):
     numbers = {int(k[2:].split("_")[0]) for k in catalog.QUERIES if k.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in catalog.QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in catalog.QUERIES

@@ -79,4 +79,28 @@ SELECT page_id, day, host, coalesce(b.a = 'block', false) AS blocked, b.p AS dec
 FROM page LEFT JOIN best USING (r)
 """
 
-ORACLES: dict[str, str] = {"op3_urls": URLS, "op5_licenses": LICENSES, "op9_decontamination": DECONTAMINATION}
+
+def _draw(at: int) -> str:
+    return f"('0x' || substr(h, {at}, 8))::BIGINT"
+
+
+INFILL = f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS w,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+cut AS (
+  SELECT *, len(w) AS n, {_draw(1)} % (len(w) + 1) AS x, {_draw(9)} % (len(w) + 1) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {_draw(17)} % 100 >= 100 THEN 'plain'
+              WHEN {_draw(25)} % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM doc),
+part AS (
+  SELECT *, coalesce(array_to_string(list_slice(w, 1, least(x, y)), ''), '') AS p,
+         coalesce(array_to_string(list_slice(w, least(x, y) + 1, greatest(x, y)), ''), '') AS m,
+         coalesce(array_to_string(list_slice(w, greatest(x, y) + 1, n), ''), '') AS s FROM cut)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM part
+"""
+
+ORACLES: dict[str, str] = {"op3_urls": URLS, "op5_licenses": LICENSES, "op9_decontamination": DECONTAMINATION, "op13_infill": INFILL}
