@@ -121,6 +121,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+@query
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.lines import dedup_lines
+
+    out = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.infill import fill_in_middle, restored

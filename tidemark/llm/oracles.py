@@ -103,4 +103,16 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) EN
 FROM part
 """
 
-ORACLES: dict[str, str] = {"op3_urls": URLS, "op5_licenses": LICENSES, "op9_decontamination": DECONTAMINATION, "op13_infill": INFILL}
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LINES = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+line AS (SELECT r, doc_id, unnest(w) AS l, generate_subscripts(w, 1) AS i FROM doc),
+keyed AS (SELECT *, {_lowered(f"trim(l, {_BLANKS})")} AS k FROM line),
+gone AS (SELECT k AS g FROM (SELECT DISTINCT r, k FROM keyed WHERE k <> '') GROUP BY k HAVING count(*) >= 10)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(g)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE g IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN gone ON k = g GROUP BY r, doc_id
+"""
+
+ORACLES: dict[str, str] = {"op3_urls": URLS, "op5_licenses": LICENSES, "op9_decontamination": DECONTAMINATION, "op12_lines": LINES,
+                           "op13_infill": INFILL}
