@@ -121,6 +121,25 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+@query
+def op11_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.common import shared_table
+    from tidemark.llm.structure import damaged, digests, gaps, repair_structure
+
+    original = read_table(spark, sf_dir, "conversations")
+    rows = shared_table(damaged(original), "structure-damaged")
+    made = repair_structure(rows)
+    out = original.select(F.col("conv_id").alias("conversation")).distinct()
+    for part in (gaps(rows), made.conversations, digests(made.rows)):
+        out = out.alias("l").join(part.alias("r"), F.col("l.conversation").eqNullSafe(F.col("r.conversation")), "left").select(
+            "l.*", *[f"r.{c}" for c in part.columns if c != "conversation"])
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    # a conversation that lost all its rows has nothing to repair
+    return out.select(F.col("conversation").alias("conv_id"),
+                      *[F.when(F.col("audit").isNull(), F.lit(0).cast("long")).otherwise(F.col(n)).alias(n) for n in numbers],
+                      F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 @query
 def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.lines import dedup_lines
