@@ -108,6 +108,14 @@ def joined(x: Matrix, y: Matrix) -> Matrix:
     return Matrix(tuple(costs), tuple(all_ranks))
 
 
+@lru_cache(maxsize=1 << 14)
+def _longer(cost: tuple, rank: tuple, m: Matrix) -> tuple[int, tuple, tuple]:
+    """``joined`` with ``m``, for a stretch given by costs and ranks; its least cost, taken off, comes first."""
+    new = joined(Matrix(cost, rank), m)
+    low = min(map(min, new.cost))
+    return low, tuple(tuple(c - low if c < NEVER else NEVER for c in line) for line in new.cost), new.rank
+
+
 @lru_cache(maxsize=1 << 14)
 def _ahead(cost: tuple, rank: tuple, m: Matrix) -> tuple[int, tuple, tuple]:
     """A forward vector (its least cost taken off) after ``m``, and how much it went up."""
@@ -275,13 +283,15 @@ def repair_structure(rows: DataFrame, conversation: str = "conv_id", turn: str =
     def level_row(conv, block, parts: list[tuple[Matrix, list[int], str, str]]) -> dict:
         """A block of parts: matrix, numbers of faults, first and last role's initial."""
         m, counts, head, tail = parts[0]
-        counts = list(counts)
+        cost, rank, low, counts = m.cost, m.rank, 0, list(counts)
         for n, c, h, t in parts[1:]:
-            m = joined(m, n)
+            more, cost, rank = _longer(cost, rank, n)
+            low += more
             counts = [x + y for x, y in zip(counts, c)]
             counts[3] += int(_illegal(tail, h))
             tail = t
-        return {"conversation": conv, "block": block, "costs": _flat(m.cost), "ranks": _flat(m.rank), "counts": counts, "head": head, "tail": tail}
+        costs = [x + low if x < NEVER else NEVER for x in _flat(cost)]
+        return {"conversation": conv, "block": block, "costs": costs, "ranks": _flat(rank), "counts": counts, "head": head, "tail": tail}
 
     def summarise(batches):
         for (conv, block), run in _runs(batches, ["conversation", "block"]):
