@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -16,7 +17,9 @@ from pyspark.sql import types as T
 from tidemark.session import scratch_path
 
 #: Bytes of text that a task works on at a time.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
+#: What a Python worker keeps from task to task, by name; a task drops all but what it names itself.
+KEPT: dict[str, dict] = {}
 
 
 _shipped: set[str] = set()
@@ -37,10 +40,34 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
-    """``df.mapInArrow`` with this package importable on the executors."""
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str, keeps: str | None = None) -> DataFrame:
+    """``df.mapInArrow`` with this package importable on the executors. Workers serve many
+    tasks of many operators: a task starts without what others kept (but ``keeps``) and
+    gives its memory back when it ends."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_tidied(run, keeps), schema)
+
+
+def _tidied(run: Callable, keeps: str | None) -> Callable:
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name in KEPT.keys() - {keeps}:
+            del KEPT[name]
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
+def give_back() -> None:
+    """Return freed memory to the system, and shorten the tables of hash powers."""
+    SpanHash.shorten()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps its own counsel
+        pass
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,6 +185,11 @@ class SpanHash:
         self.prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(table[data] * self._powers[: len(data)], out=self.prefix[1:])
 
+    @classmethod
+    def shorten(cls) -> None:
+        if len(cls._powers) > 1 << 20:
+            cls._powers, cls._inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
     @classmethod
     def _grow(cls, n: int) -> None:
         if len(cls._powers) < n:

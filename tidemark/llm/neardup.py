@@ -32,8 +32,10 @@ BANDS, BAND_ROWS = 21, 6
 REGISTERS = BANDS * BAND_ROWS
 #: Most bits of the bitmap of digests (32 MB), and of a part of it.
 MAP_BITS, PART_BITS = 28, 1 << 15
-#: Texts of a bucket that are compared with as many others at once.
-BLOCK_TEXTS = 128
+#: Members of a star that are compared with its centre in one block.
+STAR_TEXTS = 1024
+#: Shingles of a bucket's texts that are compared with as many others at once (about 128 texts of middling length).
+BLOCK_SHINGLES = 1 << 15
 
 SIGNATURE = T.StructType([T.StructField("bands", T.ArrayType(T.LongType(), False))])
 SHINGLES = T.StructType([T.StructField("keys", T.ArrayType(T.LongType(), False)), T.StructField("weights", T.ArrayType(T.IntegerType(), False))])
@@ -153,12 +155,22 @@ def probability_jaccard(key_a: np.ndarray, weight_a: np.ndarray, key_b: np.ndarr
 
 
 def _verified(threshold: float):
+    """Of rows by (rep, block), a centre's own shingles first and then its members', the
+    pairs of at least ``threshold`` similarity; a task holds one centre."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre = None
         for batch in batches:
-            lists = [[batch.column(name)[i].values.to_numpy(zero_copy_only=False) for i in range(batch.num_rows)]
-                     for name in ("keys", "weights", "rep_keys", "rep_weights")]
-            similar = [probability_jaccard(*four) for four in zip(*lists)]
-            yield batch.select(["digest", "rep"]).filter(pa.array([s >= threshold for s in similar], pa.bool_()))
+            digest, rep = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, weights = batch.column(2), batch.column(3)
+            similar = []
+            for i, own in enumerate(digest):
+                lists = keys[i].values.to_numpy(zero_copy_only=False), weights[i].values.to_numpy(zero_copy_only=False)
+                if own is None:
+                    centre = tuple(x.copy() for x in lists)
+                similar.append(own is not None and probability_jaccard(*lists, *centre) >= threshold)
+            chosen = [i for i, s in enumerate(similar) if s]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in chosen], pa.binary()) for x in (digest, rep)], names=["digest", "rep"])
 
     return run
 
@@ -231,12 +243,19 @@ def _linked(threshold: float):
     return run
 
 
-def _verify(pairs: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (digest, rep) of at least ``threshold`` similarity."""
-    other = lists.select(F.col("digest").alias("rep"), F.col("keys").alias("rep_keys"), F.col("weights").alias("rep_weights"))
-    both = pairs.join(lists, "digest").join(other, "rep").where(
-        (F.size("keys") > 0) & (F.size("rep_keys") > 0)).select("digest", "rep", "keys", "weights", "rep_keys", "rep_weights")
-    return map_arrow(both, _verified(threshold), "digest binary, rep binary")
+def _verify(stars: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (digest, rep) of at least ``threshold`` similarity. Members of a centre
+    are dealt to blocks of about ``STAR_TEXTS``, by ``n``, how many may share it; each block
+    gets the centre's shingles once."""
+    def blocks(n: Column) -> Column:
+        return F.ceil(n / STAR_TEXTS).cast("long")
+
+    members = stars.select("digest", "rep", F.pmod(F.xxhash64("digest"), blocks(F.col("n"))).alias("block")).join(lists, "digest")
+    centres = (stars.groupBy("rep").agg(F.max("n").alias("n")).join(lists.withColumnRenamed("digest", "rep"), "rep")
+               .select(F.lit(None).cast("binary").alias("digest"), "rep", F.explode(F.sequence(F.lit(0).cast("long"), blocks(F.col("n")) - 1)).alias("block"), "keys", "weights"))
+    both = members.select("digest", "rep", "block", "keys", "weights").unionByName(centres)
+    dealt = both.repartition("rep", "block").sortWithinPartitions("rep", "block", F.col("digest").asc_nulls_first())
+    return map_arrow(dealt.select("digest", "rep", "keys", "weights"), _verified(threshold), "digest binary, rep binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -275,7 +294,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
 
     # shingles of the texts that share a bucket, one row for each distinct text
     lists = shared_table(_shingles_of(texts, members.select("digest").distinct()), "shingles")
-    stars = members.where("digest <> rep").select("digest", "rep").distinct()
+    stars = members.where("digest <> rep").groupBy("digest", "rep").agg(F.max("n").alias("n"))
     near = shared_table(_verify(stars, lists, threshold), "star-edges").select(F.col("digest").alias("a"), F.col("rep").alias("b"))
     labels = components(near)
 
@@ -287,7 +306,10 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
                .groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count(F.lit(1)).alias("labels"))
                .where("labels > 1").select("bucket", "major"))
     mixed = placed.join(largest, "bucket").join(lists, "digest")
-    block = F.pmod(F.xxhash64("digest"), F.ceil(F.col("n") / BLOCK_TEXTS).cast("long"))
+    # blocks of bounded size, but for a text that is longer by itself
+    held = mixed.groupBy("bucket").agg(F.sum(F.size("keys")).alias("held"))
+    mixed = mixed.join(held, "bucket")
+    block = F.pmod(F.xxhash64("digest"), F.ceil(F.col("held") / BLOCK_SHINGLES).cast("long"))
     gathered = F.collect_list(F.struct("digest", "label", "keys", "weights"))
     rest = mixed.where("label <> major").groupBy("bucket", block.alias("r_block")).agg(gathered.alias("rest"))
     blocks = mixed.groupBy("bucket", block.alias("block")).agg(gathered.alias("texts"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import NOT_SPACE, SpanHash, flat, map_arrow, quoted, shared_table, slices, without, word_spans
+from tidemark.llm.common import KEPT, NOT_SPACE, SpanHash, flat, map_arrow, quoted, shared_table, slices, without, word_spans
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
@@ -167,16 +167,13 @@ class _Ragged:
         return ids, np.concatenate([[0], closing + 1])
 
 
-_tokenizers: dict[int, WordTokenizer] = {}
-
-
 def _tokenizer(json: str) -> WordTokenizer:
-    """This worker's tokenizer, kept with its memo for the tasks that follow."""
-    key = zlib.crc32(json.encode())
-    if key not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[key] = WordTokenizer(json)
-    return _tokenizers[key]
+    """This worker's tokenizer, kept with its memo for the packing tasks that follow."""
+    key, kept = zlib.crc32(json.encode()), KEPT.setdefault("tokenizer", {})
+    if key not in kept:
+        kept.clear()
+        kept[key] = WordTokenizer(json)
+    return kept[key]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", size: int = SEQUENCE_TOKENS,
@@ -209,7 +206,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", size:
                 yield pa.RecordBatch.from_arrays(cols, names=keep + schema.names)
 
     out = T.StructType([docs.schema[c] for c in keep] + list(schema.fields))
-    return map_arrow(docs.select(*[F.col(quoted(c)) for c in keep], F.col(quoted(text)).cast("string").alias("__text")), run, out)
+    return map_arrow(docs.select(*[F.col(quoted(c)) for c in keep], F.col(quoted(text)).cast("string").alias("__text")), run, out, keeps="tokenizer")
 
 
 class Capacities:
