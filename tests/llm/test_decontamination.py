@@ -17,13 +17,27 @@ def test_against_brute_force(spark, docs):
     rows = HARD + [(100 + i, rnd.choice([" ", ", ", "\n"]).join(rnd.choice(vocabulary) for _ in range(rnd.randint(0, 40)))) for i in range(40)]
     rows += [(200, "xx ONE two-three four, five six seven eight nine ten eleven é short;item y"), (201, "a " * 25), (202, "shortitem short  ITEM")]
     for block in (64 << 20, 120):  # one automaton, and several
-        got = benchmark_hits(docs(rows, clash=["n_words", "items"]), table(spark, ITEMS), max_block_bytes=block).collect()
+        got = benchmark_hits(docs(rows, clash=["n_words", "items", "hits", "Hits_1", "c0", "c1"]), table(spark, ITEMS), max_block_bytes=block).collect()
         assert len(got) == len(rows)
         for r in got:
             n, hit, held = brute_force(r["text"], ITEMS)
             assert (r["n_words"], r["hit_words"], r["items"]) == (n, sorted(hit), sorted(held))
 
 
+def test_long_items_in_overlapping_pieces(spark, docs, monkeypatch):
+    from tidemark.llm import decontamination
+
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 4)
+    words = [f"w{i}" for i in range(60)]
+    items = [("long", " ".join(words)), ("other", " ".join(words[30:41]))]
+    rows = [(i, " ".join(["x", *words[i : i + 12]])) for i in range(0, 60, 3)]
+    blocks = list(decontamination.item_blocks(table(spark, items), "item_id", "text", 10, 60))
+    assert len(blocks) > 3 and sum(map(len, blocks)) == 14
+    for r in benchmark_hits(docs(rows), table(spark, items), max_block_bytes=200).collect():
+        n, hit, held = brute_force(r["text"], items)
+        assert (r["n_words"], r["hit_words"], r["items"]) == (n, sorted(hit), sorted(held))
+
+
 def test_offsets_point_into_the_original(spark, docs):
     text = "é日本 -- Short,\n ITEM é"
     row = benchmark_hits(docs([(1, text)]), table(spark, [("7", "short item")])).first()
@@ -32,8 +46,8 @@ def test_offsets_point_into_the_original(spark, docs):
 
 def test_stage_drops_only_contaminated(spark, docs, hard, empty):
     items = table(spark, ITEMS)
-    kept = decontaminate(docs(HARD + [(50, "a short item")], clash=["n_words"]), items)
-    assert kept.columns == ["doc_id", "text", "n_words"]
+    kept = decontaminate(docs(HARD + [(50, "a short item")], clash=["n_words", "hits"]), items)
+    assert kept.columns == ["doc_id", "text", "n_words", "hits"]
     assert kept.count() == len(HARD)
     assert decontaminate(hard, table(spark, [])).count() == len(HARD)
     assert benchmark_hits(empty, items).collect() == []

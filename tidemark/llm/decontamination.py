@@ -4,14 +4,15 @@ of all benchmark items, run once over each document's normalised text.
 Normalised text is the words (letters, digits and all non-ASCII, A-Z lowered)
 joined by single spaces; positions found in it are mapped to words and from
 there to bytes and characters of the original. The automaton is built in each
-task from the windows of a block of items; a block holds at most
-``max_block_bytes`` of item text, so what is broadcast has a fixed bound. Where
-the items need more blocks, the documents pass the blocks one after another.
+task from the windows of a block of items (long ones in overlapping pieces); a
+block holds at most ``max_block_bytes`` of item text, so what the driver fetches
+and broadcasts has a fixed bound. Where the items need more blocks, they are
+fetched one by one and the documents pass them one after another.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -20,10 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import ALNUM, map_texts, quoted, shared_table, without, word_spans
+from tidemark.llm.common import ALNUM, map_arrow, map_texts, quoted, shared_table, without, word_spans
 
 WINDOW = 10
-MAX_BLOCK_BYTES = 64 << 20
+#: Text of items whose windows one automaton holds: up to some 400 MB of it in a worker.
+MAX_BLOCK_BYTES = 1 << 20
+#: Words of a piece of a long item.
+PIECE_WORDS = 20_000
 #: Bytes to the normalised text: A-Z lowered, what is in no word to a space.
 NORMAL = bytes((b + 32 if 65 <= b <= 90 else b) if ALNUM[b] else 32 for b in range(256))
 
@@ -104,13 +108,41 @@ def _code_points(raw: bytes, places: list[int]) -> list[int]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, max_block_bytes: int) -> list[list[tuple[str, str | None]]]:
-    """The items in blocks of bounded size, each fetched by itself."""
+def item_pieces(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
+    """``item``, ``words``: the distinct items as normalised text, long ones in pieces of
+    ``PIECE_WORDS`` words that overlap by ``window`` - 1, so that no window is lost."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, texts = [], []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = normal_words(text.encode())
+                for begin in range(0, max(1, len(words) - window + 1), PIECE_WORDS) if words else ():
+                    items.append(item)
+                    texts.append(b" ".join(words[begin : begin + PIECE_WORDS + window - 1]).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(texts, pa.string())], names=["item", "words"])
+
     rows = benchmark.select(F.col(quoted(item_id)).cast("string").alias("item"), F.col(quoted(text)).cast("string").alias("text"))
-    rows = rows.where("item IS NOT NULL AND text IS NOT NULL").distinct()
-    total = rows.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
-    n = -(-total * 2 // max_block_bytes) or 1  # half full on average, as hashing doesn't deal evenly
-    return [[(r["item"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect()] for b in range(n)]
+    return map_arrow(rows.where("item IS NOT NULL AND text IS NOT NULL").distinct(), run, "item string, words string")
+
+
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, max_block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The items' pieces in blocks of at most ``max_block_bytes`` (one part of the hash
+    range at least), each fetched when it is asked for. One empty block if there are none."""
+    pieces = shared_table(item_pieces(benchmark, item_id, text, window), "benchmark-pieces")
+    size = F.octet_length("words") + F.octet_length("item")
+    total = pieces.agg(F.sum(size)).first()[0] or 0
+    parts = 1 if total <= max_block_bytes else -(-total * 64 // max_block_bytes)
+    part = F.pmod(F.xxhash64("item", "words"), F.lit(parts))
+    held = {r["part"]: r["bytes"] for r in pieces.groupBy(part.alias("part")).agg(F.sum(size).alias("bytes")).collect()}  # 64 numbers a block
+    begin = 0
+    while begin < parts:
+        end, size = begin + 1, held.get(begin, 0)
+        while end < parts and size + held.get(end, 0) <= max_block_bytes:
+            size += held.get(end, 0)
+            end += 1
+        yield [(r["item"], r["words"]) for r in pieces.where(part.between(begin, end - 1)).collect()]
+        begin = end
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -127,19 +159,17 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     keep = without(docs, HITS.names)
     if text not in keep:
         raise ValueError(f"the text column may not be named {text}")
-    out = docs
-    blocks = item_blocks(benchmark, item_id, item_text, max_block_bytes)
-    for b, block in enumerate(blocks):
+    names = [f"c{i}" for i in range(len(keep))]
+    out = docs.select(*[F.col(quoted(c)) for c in keep]).toDF(*names)
+    for b, block in enumerate(item_blocks(benchmark, item_id, item_text, window, max_block_bytes)):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        found = map_texts(out, text, keep if b == 0 else [*keep, "hits"], HITS, lambda shared=shared: _scanner(shared.value, window))
-        if b == 0:
-            now = F.struct(*HITS.names)
-        else:
-            now = F.struct(F.col("n_words"), *[F.array_sort(F.array_union(f"hits.{c}", c)).alias(c) for c in HITS.names[1:]])
-        out = found.select(*[F.col(quoted(c)) for c in keep], now.alias("hits"))
-        if len(blocks) > 1:
+        now = F.struct(*HITS.names)
+        if b:  # the blocks before have left their hits
             out = shared_table(out, f"hits-{b}")
-    return out.select(*[F.col(quoted(c)) for c in keep], "hits.*")
+            now = F.struct(F.col("n_words"), *[F.array_sort(F.array_union(f"hits.{c}", c)).alias(c) for c in HITS.names[1:]])
+        found = map_texts(out, names[keep.index(text)], [*names, "hits"] if b else names, HITS, lambda shared=shared: _scanner(shared.value, window))
+        out = found.select(*names, now.alias("hits"))
+    return out.select(*names, "hits.*").toDF(*keep, *HITS.names)
 
 
 def items_digest(items):
