@@ -84,3 +84,17 @@ def test_maximal_segments_against_recursion():
         w = [rnd.uniform(-3, 3) for _ in range(rnd.randint(0, 12))]
         got = maximal_segments(w)
         assert got == plain(w)
+
+
+def test_a_long_text_of_many_spans_in_linear_time():
+    import time
+
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("0123456789abcdef") for _ in range(20)) for _ in range(2000)]
+    long = [" ".join(rnd.choice(words) for _ in range(500_000)), "é token=" + ".".join(rnd.choice(words) for _ in range(100_000))]  # 10 MB and 2 MB
+    begun = time.process_time()
+    found = [(base, runs) for _, base, runs in scan(pa.array(long), remains=True)]
+    assert time.process_time() - begun < 30
+    assert [len(base) for base, _ in found] == [500_000, 100_001]
+    assert found[0][1] == [] and found[1][1] == []
+    assert found[1][0] == brute_force(long[1])

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import flat, map_arrow, map_texts, quoted, slices, without
+from tidemark.llm.infill import ExceptionIndex
 
 #: The kinds in order, their patterns, the least length of what counts.
 KINDS = ("assign", "access", "hex", "markov")
@@ -60,7 +61,7 @@ def _runs(inside: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarr
 
 def base_spans(raw: bytes, hexes: Iterable[tuple[int, int]]) -> list[tuple[int, int, int]]:
     """(start, end, kind number) in code points, by start and kind. ``hexes``:
-    byte places of the runs of hexadecimal digits."""
+    the runs of hexadecimal digits, in code points."""
     found: list[tuple[int, int, int]] = []
     lower = raw.lower()
     text: str | None = None
@@ -70,9 +71,7 @@ def base_spans(raw: bytes, hexes: Iterable[tuple[int, int]]) -> list[tuple[int,
     if b"AKIA" in raw:
         text = raw.decode() if text is None else text
         found += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LENGTH]
-    for a, b in hexes:
-        start = len(raw[:a].decode())
-        found.append((start, start + b - a, 2))
+    found += [(a, b, 2) for a, b in hexes]
     return sorted(found, key=lambda s: (s[0], s[2], s[1]))
 
 
@@ -86,19 +85,28 @@ def scan(texts: pa.Array, remains: bool = False) -> Iterator[tuple[bytes, list[t
     hex_at, hex_end = _runs(_HEX[data], offsets, HEX_LENGTH)
     run_at, run_end = _runs(codes >= 0, offsets, RUN_LENGTH)
     hex_rows, run_rows = np.searchsorted(hex_at, offsets), np.searchsorted(run_at, offsets)
+    index = ExceptionIndex(data)
+    begins, hex_points, run_points = index.to_points(offsets), index.to_points(hex_at), index.to_points(run_at)
     for r, (a, b) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
         body = raw[a:b]
-        base = base_spans(body, [(int(s) - a, int(e) - a) for s, e in zip(hex_at[hex_rows[r] : hex_rows[r + 1]], hex_end[hex_rows[r] : hex_rows[r + 1]])])
-        runs = []
-        for s, e in zip(run_at[run_rows[r] : run_rows[r + 1]].tolist(), run_end[run_rows[r] : run_rows[r + 1]].tolist()):
-            start = len(raw[a:s].decode())
+        own = slice(hex_rows[r], hex_rows[r + 1])
+        starts = hex_points[own] - begins[r]
+        base = base_spans(body, zip(starts.tolist(), (starts + hex_end[own] - hex_at[own]).tolist()))
+        runs, near, ahead = [], [], 0
+        own = slice(run_rows[r], run_rows[r + 1])
+        for s, e, start in zip(run_at[own].tolist(), run_end[own].tolist(), (run_points[own] - begins[r]).tolist()):
             end = start + e - s  # the characters of a run are ASCII
-            touching = [(x, y) for x, y, _ in base if x < end and start < y]
-            if not touching:
+            # both go by their starts: spans that reach into this run, and those that begin in it
+            near = [x for x in near if x[1] > start]
+            while ahead < len(base) and base[ahead][0] < end:
+                if base[ahead][1] > start:
+                    near.append(base[ahead][:2])
+                ahead += 1
+            if not near:
                 runs.append((start, end, codes[s:e]))
             elif remains:
                 at = start
-                for x, y in [*touching, (end, end)]:
+                for x, y in [*near, (end, end)]:
                     if at < x:
                         runs.append((at, x, codes[s + at - start : s + x - start]))
                     at = max(at, y)
