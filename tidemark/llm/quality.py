@@ -3,12 +3,14 @@ content or boilerplate; the share of words in content lines decides retention.
 
 The CRF has binary line features and a transition weight for each pair of
 labels. It is trained by maximum likelihood on a bounded sample of labelled
-documents, whose lines all carry the document's label, and decoded by Viterbi's
-algorithm.
+documents: stretches of their lines, which carry the document's label, are joined
+in pairs of a good and a bad one, so that it learns where labels change. Viterbi's
+algorithm decodes.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +25,8 @@ REPEAT_WINDOW = 8
 MIN_WORDS = 20
 #: Labelled documents of each class that the CRF is trained on, at most.
 SAMPLE_PER_CLASS = 1000
+#: Stretches of a sample document, at most, and their lines: evenly spread over longer documents.
+STRETCHES, STRETCH_LINES = 4, 50
 #: Least share of words in content lines of a document that is kept.
 CONTENT_SHARE = 0.5
 
@@ -41,7 +45,7 @@ FEATURES = [
 ]
 
 COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")])
-LINES = T.StructType(COUNTS.fields + [T.StructField("line_bits", T.ArrayType(T.LongType(), False)), T.StructField("line_words", T.ArrayType(T.LongType(), False))])
+STRETCH_LISTS = T.StructType([T.StructField("stretches", T.ArrayType(T.ArrayType(T.LongType(), False), False))])
 VERDICT = T.StructType(COUNTS.fields + [T.StructField("base_failed", T.BooleanType()), T.StructField("content_share", T.DoubleType()), T.StructField("kept", T.BooleanType())])
 
 
@@ -169,57 +173,91 @@ class LineModel:
 ALL_CONTENT = LineModel((-1.0,) + (0.0,) * (len(FEATURES) - 1), ((0.0, 0.0), (0.0, 0.0)))
 
 
-def train(sequences: list[tuple[list[int], int]], rounds: int = 120, rate: float = 1.0, decay: float = 1e-3) -> LineModel:
-    """Maximum likelihood by gradient ascent, all sequences side by side.
+class Chains:
+    """Labelled line sequences side by side, the longest first, for training.
 
-    ``sequences``: the feature bits of a document's lines and its label. Each
-    document counts the same, whatever its length, and each class the same."""
-    sequences = sorted((s for s in sequences if s[0]), key=lambda s: (-len(s[0]), s))
-    labels = np.array([y for _, y in sequences])
-    if not len(labels) or labels.min() == labels.max():
-        return ALL_CONTENT
-    lengths = np.array([len(bits) for bits, _ in sequences])
-    share = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum()) / lengths
-    width, steps = len(FEATURES), int(lengths[0])
-    alive = [int(np.searchsorted(-lengths, -t)) for t in range(steps)]  # rows longer than t
-    bits = np.zeros((steps, len(labels)), np.int64)
-    for i, (line_bits, _) in enumerate(sequences):
-        bits[: len(line_bits), i] = line_bits
-    features = [((bits[t, : alive[t], None] >> np.arange(width)) & 1).astype(float) for t in range(steps)]
-    weights, moves = np.zeros(width), np.zeros((2, 2))
-    speed_w, speed_m = np.full(width, 1e-8), np.full((2, 2), 1e-8)
-    for _ in range(rounds):
-        scores = [np.stack([np.zeros(alive[t]), features[t] @ weights], 1) for t in range(steps)]
+    ``sequences``: the feature bits of a sequence's lines and their labels. Each
+    sequence counts the same, whatever its length."""
+
+    def __init__(self, sequences: list[tuple[list[int], list[int]]]):
+        sequences = sorted((s for s in sequences if s[0]), key=lambda s: (-len(s[0]), s))
+        self.lengths = np.array([len(bits) for bits, _ in sequences])
+        self.share = 1 / len(sequences) / self.lengths
+        steps = int(self.lengths[0])
+        self.alive = [int(np.searchsorted(-self.lengths, -t)) for t in range(steps)]  # sequences longer than t
+        bits, self.labels = np.zeros((2, steps, len(sequences)), np.int64)
+        for i, (line_bits, labels) in enumerate(sequences):
+            bits[: len(line_bits), i], self.labels[: len(labels), i] = line_bits, labels
+        self.features = [((bits[t, :n, None] >> np.arange(len(FEATURES))) & 1).astype(float) for t, n in enumerate(self.alive)]
+
+    def gradient(self, weights: np.ndarray, moves: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log-likelihood of the labels, and its derivatives."""
+        alive, share, steps = self.alive, self.share, len(self.alive)
+        scores = [np.stack([np.zeros(n), f @ weights], 1) for n, f in zip(alive, self.features)]
         forward = [scores[0]]
         for t in range(1, steps):
             before = forward[-1][: alive[t]]
             forward.append(np.logaddexp(before[:, 0, None] + moves[0], before[:, 1, None] + moves[1]) + scores[t])
-        backward = np.zeros((len(labels), 2))
-        total = np.zeros(len(labels))
+        total = np.zeros(len(share))
         for t in range(steps):
             done = slice(alive[t + 1] if t + 1 < steps else 0, alive[t])
             total[done] = np.logaddexp(forward[t][done, 0], forward[t][done, 1])
-        grad_w, grad_m = -decay * weights, -decay * moves
+        backward = np.zeros((len(share), 2))
+        value, grad_w, grad_m = -float(total @ share), np.zeros(len(weights)), np.zeros((2, 2))
         for t in range(steps - 1, -1, -1):
             n = alive[t]
+            y = self.labels[t, :n]
             p1 = np.exp(forward[t][:, 1] + backward[:n, 1] - total[:n])
-            grad_w = grad_w + ((labels[:n] - p1) * share[:n]) @ features[t]
+            grad_w += ((y - p1) * share[:n]) @ self.features[t]
+            value += float((scores[t][np.arange(n), y]) @ share[:n])
             if t:
+                before = self.labels[t - 1, :n]
                 ahead = scores[t] + backward[:n]
                 pair = np.exp(forward[t - 1][:n, :, None] + moves + ahead[:, None, :] - total[:n, None, None])
                 truth = np.zeros((n, 2, 2))
-                truth[np.arange(n), labels[:n], labels[:n]] = 1
-                grad_m = grad_m + ((truth - pair) * share[:n, None, None]).sum(0)
+                truth[np.arange(n), before, y] = 1
+                value += float(moves[before, y] @ share[:n])
+                grad_m += ((truth - pair) * share[:n, None, None]).sum(0)
                 backward[:n] = np.logaddexp(moves[:, 0] + ahead[:, 0, None], moves[:, 1] + ahead[:, 1, None])
+        return value, grad_w, grad_m
+
+
+def train(sequences: list[tuple[list[int], list[int]]], rounds: int = 120, rate: float = 1.0, decay: float = 1e-3) -> LineModel:
+    """Maximum likelihood by gradient ascent, all ``Chains`` side by side."""
+    if len({y for _, labels in sequences for y in labels}) < 2:
+        return ALL_CONTENT
+    chains = Chains(sequences)
+    weights, moves = np.zeros(len(FEATURES)), np.zeros((2, 2))
+    speed_w, speed_m = np.full(len(FEATURES), 1e-8), np.full((2, 2), 1e-8)
+    for _ in range(rounds):
+        _, grad_w, grad_m = chains.gradient(weights, moves)
+        grad_w, grad_m = grad_w - decay * weights, grad_m - decay * moves
         speed_w, speed_m = speed_w + grad_w**2, speed_m + grad_m**2
         weights, moves = weights + rate * grad_w / np.sqrt(speed_w), moves + rate * grad_m / np.sqrt(speed_m)
     return LineModel(tuple(weights.tolist()), tuple(map(tuple, moves.tolist())))
 
 
-def fit_line_model(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                   sample_per_class: int = SAMPLE_PER_CLASS) -> LineModel:
-    """Train on the ``sample_per_class`` labelled documents of each class whose
-    ids hash lowest. Documents with both labels or none are left out."""
+def joined_stretches(content: list[list[int]], boilerplate: list[list[int]]) -> list[tuple[list[int], list[int]]]:
+    """Sequences of a content and a boilerplate stretch each, in either order, so that labels
+    change within a sequence; the class of fewer stretches is gone through again."""
+    def dealt(stretches: list[list[int]]) -> list[list[int]]:
+        return sorted((s for s in stretches if s), key=lambda s: (zlib.crc32(repr(s).encode()), s))
+
+    content, boilerplate, out = dealt(content), dealt(boilerplate), []
+    if not content or not boilerplate:
+        return [(s, [y] * len(s)) for y, some in ((0, content), (1, boilerplate)) for s in some]
+    for i in range(max(len(content), len(boilerplate))):
+        pair = [(content[i % len(content)], 0), (boilerplate[i % len(boilerplate)], 1)]
+        first, second = pair[:: 1 if i % 2 else -1]
+        out.append((first[0] + second[0], [first[1]] * len(first[0]) + [second[1]] * len(second[0])))
+    return out
+
+
+def stretches_of(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                 sample_per_class: int = SAMPLE_PER_CLASS) -> tuple[list[list[int]], list[list[int]]]:
+    """Feature bits of stretches of lines of good documents, and of bad ones: of the
+    ``sample_per_class`` labelled documents of each class whose ids hash lowest, at most
+    ``STRETCHES`` of ``STRETCH_LINES`` lines each. Documents with both labels or none are left out."""
     seen = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
             .agg(F.min("quality").alias("low"), F.max("quality").alias("high")).where("low = high AND low IN (0, 1)"))
     chosen = None
@@ -229,14 +267,25 @@ def fit_line_model(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     # at most 2 x sample_per_class ids: small enough for every executor
     named = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).cast("string").alias("text"))
     sample = named.join(F.broadcast(chosen.select("doc_id", F.col("low").alias("quality"))), "doc_id")
-    found = map_texts(sample, "text", ["doc_id", "quality"], LINES, lambda: _line_lists).select("doc_id", "quality", "line_bits").collect()
-    return train(sorted((list(r["line_bits"]), 1 - r["quality"]) for r in found))
+    # repeated ids are one document's rows: the first STRETCHES by content, so that the bound holds for any table
+    found = map_texts(sample, "text", ["doc_id", "quality"], STRETCH_LISTS, lambda: _stretch_lists).select("doc_id", "quality", F.explode("stretches").alias("s"))
+    found = found.groupBy("doc_id", "quality").agg(F.slice(F.array_sort(F.collect_set("s")), 1, STRETCHES).alias("s")).select("quality", F.explode("s").alias("s")).collect()
+    return [list(r["s"]) for r in found if r["quality"] == 1], [list(r["s"]) for r in found if r["quality"] == 0]
+
+
+def fit_line_model(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                   sample_per_class: int = SAMPLE_PER_CLASS) -> LineModel:
+    """Train on joined stretches of labelled documents (``stretches_of``)."""
+    return train(joined_stretches(*stretches_of(docs, labels, doc_id, text, sample_per_class)))
 
 
-def _line_lists(texts: pa.Array) -> dict:
-    got = measure(texts)
-    lists = {n: pa.ListArray.from_arrays(pa.array(got["lines"], pa.int32()), pa.array(got[n], pa.int64())) for n in ("line_bits", "line_words")}
-    return {f.name: got[f.name] for f in COUNTS.fields} | lists
+def _stretch_lists(texts: pa.Array) -> dict:
+    got, out = measure(texts), []
+    for a, b in zip(got["lines"].tolist(), got["lines"][1:].tolist()):
+        last = max(a, b - STRETCH_LINES)
+        begins = range(a, b, STRETCH_LINES) if b - a <= STRETCHES * STRETCH_LINES else np.linspace(a, last, STRETCHES).astype(int).tolist()
+        out.append([got["line_bits"][i : min(i + STRETCH_LINES, b)].tolist() for i in begins])
+    return {"stretches": out}
 
 
 def _judge(model: LineModel, content_share: float):
