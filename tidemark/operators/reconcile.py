@@ -6,8 +6,9 @@ the drift fraction, and a flag above the threshold. An empty source with
 rows in bronze is flagged in its own column. Every target is one aggregate;
 the targets are unioned into one result instead of a driver loop of counts.
 
-Rows: a full outer join on the key of the source snapshot with the newest
-bronze version, comparing a 64-bit hash of the non-key columns. ``hashed_latest``
+Rows: a full outer join on the (null-safe) key of the source snapshot with the newest
+bronze version, comparing a 64-bit hash of the non-key columns, in those key ranges
+whose fingerprints differ. ``hashed_latest``
 hashes before the dedup, so only keys, order columns and hashes are shuffled. Result: ``missing`` (in the
 source, not in bronze), ``extra`` (in bronze only) and ``changed``.
 """
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import drift_fraction, ntz
 from tidemark.operators.changelog import latest_per_key
+from tidemark.operators.fingerprint import differing, row_hash
 
 
 @dataclass(frozen=True)
@@ -88,22 +90,21 @@ def raise_on_drift(result: DataFrame, threshold: float = 0.005) -> None:
         raise ValueError(f"reconciliation drift above {threshold:.2%} in: {', '.join(bad)}")
 
 
-def row_hash(cols: Sequence[str]) -> F.Column:
-    # Each value is tagged with its NULL-ness so NULL and a sentinel never collide.
-    return F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in cols])
-
-
 def reconcile_rows(source: DataFrame, bronze_latest: DataFrame, keys: Sequence[str],
                    compare: Sequence[str] | None = None) -> DataFrame:
-    """Key-level differences between a source snapshot and bronze's newest state."""
+    """Key-level differences between a source snapshot and bronze's newest state.
+
+    Fingerprints of key ranges are compared first (``operators.fingerprint``); only rows of
+    ranges that differ are joined, on null-safe keys."""
     cols = list(compare) if compare is not None else [c for c in source.columns if c not in keys]
-    s = source.select(*keys, row_hash(cols).alias("_hs"), F.lit(True).alias("_in_s"))
-    b = bronze_latest.select(*keys, row_hash(cols).alias("_hb"), F.lit(True).alias("_in_b"))
-    j = s.join(b, on=list(keys), how="full_outer")
+    s, b = differing(source.select(*dict.fromkeys([*keys, *cols])), bronze_latest.select(*dict.fromkeys([*keys, *cols])), keys, [*keys, *cols])
+    s = s.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], row_hash(cols).alias("_hs"), F.lit(True).alias("_in_s"))
+    b = b.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], row_hash(cols).alias("_hb"), F.lit(True).alias("_in_b"))
+    j = s.join(b, [F.col(f"_s{i}").eqNullSafe(F.col(f"_b{i}")) for i in range(len(keys))], "full_outer")
     status = (F.when(F.col("_in_b").isNull(), F.lit("missing"))
               .when(F.col("_in_s").isNull(), F.lit("extra"))
               .when(F.col("_hs") != F.col("_hb"), F.lit("changed")))
-    return j.select(*keys, status.alias("status")).filter(F.col("status").isNotNull())
+    return j.select(*[F.coalesce(f"_s{i}", f"_b{i}").alias(k) for i, k in enumerate(keys)], status.alias("status")).filter(F.col("status").isNotNull())
 
 
 def hashed_latest(log: DataFrame, keys: Sequence[str], order: Sequence[str], compare: Sequence[str]) -> DataFrame:
@@ -120,7 +121,10 @@ def reconcile_hashes(source: DataFrame, bronze_latest: DataFrame, keys: Sequence
 
 def rerun_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows present on one side only (duplicates counted), with a side marker.
-    Empty when a re-run reproduced the table exactly."""
-    b = before.exceptAll(after.select(*before.columns)).withColumn("side", F.lit("before_only"))
-    a = after.select(*before.columns).exceptAll(before).withColumn("side", F.lit("after_only"))
+    Empty when a re-run reproduced the table exactly: then fingerprints say so, and no row
+    is compared; else only rows of the parts that differ are."""
+    cols = before.columns
+    x, y = differing(before, after.select(*cols), cols, cols)
+    b = x.exceptAll(y).withColumn("side", F.lit("before_only"))
+    a = y.exceptAll(x).withColumn("side", F.lit("after_only"))
     return b.unionByName(a)

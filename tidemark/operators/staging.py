@@ -74,9 +74,9 @@ def stg_dialer(log: DataFrame, cfg: ReportConfig = ReportConfig(), assume_immuta
     return dialer_view(latest_per_key(log, ["uniqueid"], _order(log, cfg)), cfg)
 
 
-def dialer_view(latest: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:
+def dialer_view(latest: DataFrame, cfg: ReportConfig = ReportConfig(), extra: tuple[str, ...] = ()) -> DataFrame:
     """Scope and flags over calls that are already one row per ``uniqueid`` (the
-    dedup output, or a maintained latest-state table)."""
+    dedup output, or a maintained latest-state table); ``extra`` columns pass through."""
     return latest.filter(F.col("client_id").isin(*cfg.client_ids)).select(
         "uniqueid", "case_id", "client_id", "telecom_id", "phone_number", "disposition_code",
         "call_date",
@@ -84,6 +84,7 @@ def dialer_view(latest: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFr
         flag(F.col("disposition_code") == cfg.disposition_answered).alias("is_answered"),
         flag(F.col("disposition_code") == cfg.disposition_failed).alias("is_failed"),
         flag(F.col("disposition_code") == cfg.disposition_no_answer).alias("is_no_answer"),
+        *extra,
     )
 
 
@@ -95,10 +96,10 @@ def stg_contacts(log: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFram
     return contacts_view(latest_per_key(log, ["contact_id"], _order(log, cfg)), cfg)
 
 
-def contacts_view(latest: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFrame:
+def contacts_view(latest: DataFrame, cfg: ReportConfig = ReportConfig(), extra: tuple[str, ...] = ()) -> DataFrame:
     """System-contact filter over contacts that are already one row per ``contact_id``."""
     return latest.filter(F.col("insert_user") != cfg.system_contact_user).select(
         "contact_id", "case_id", "status_type_id", "target_type_id", "contact_date",
         F.to_date("contact_date").alias("contact_date_only"),
-        "insert_user", "update_date",
+        "insert_user", "update_date", *extra,
     )

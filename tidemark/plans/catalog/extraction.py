@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import dataclasses
 from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import changelog, cost
-from tidemark.plans.catalog.common import AS_OF_TS, CFG, PULL_WATERMARK, SPECS, _ATTR_COLS, query
+from tidemark.operators import changelog, cost, splits
+from tidemark.plans.catalog.common import AS_OF_TS, CFG, PULL_WATERMARK, SPECS, _ATTR_COLS, _sources, query
+from tidemark.session import scratch_path
+from tidemark.sources import extracts, jdbc
 from tidemark.sources import fixtures as fx
-from tidemark.sources import jdbc
 
 
 # ---- scans, pulls, measurement ------------------------------------------------
@@ -32,6 +34,39 @@ def incremental_pull(spark, d):
     return _pulled(spark, d)
 
 
+def _dialer_extract(spark, d):
+    """The dialer source as a folder of Parquet extracts, in order of its watermark column."""
+    path = scratch_path(spark, "extract-dialer")
+    _sources(spark, d)["dialer"].repartitionByRange(8, "update_date").sortWithinPartitions("update_date").write.parquet(path)
+    return path
+
+
+@query
+def incremental_scan(spark, d):
+    """A1 + A4 + A15: the pull over a source of extracts, in partitions; watermark and scope go to its reader."""
+    lagged = PULL_WATERMARK - timedelta(minutes=SPECS["dialer"].lag_minutes)
+    return extracts.read_extract_incremental(spark, _dialer_extract(spark, d), SPECS["dialer"], lagged)
+
+
+@query
+def single_scan(spark, d):
+    """A2: the same without a split column, by one reader."""
+    spec = dataclasses.replace(SPECS["dialer"], partition_column=None)
+    lagged = PULL_WATERMARK - timedelta(minutes=spec.lag_minutes)
+    return extracts.read_extract_incremental(spark, _dialer_extract(spark, d), spec, lagged)
+
+
+@query
+def sink_append(spark, d):
+    """The dialer source appended to extracts in two batches, the first sent twice, and read back."""
+    path = scratch_path(spark, "sink")
+    source = _sources(spark, d)["dialer"].select(*SPECS["dialer"].columns, "ingest_seq")
+    early = F.col("update_date") <= F.lit(PULL_WATERMARK).cast("timestamp_ntz")
+    for batch, rows in (("one", early), ("one", early), ("two", ~early)):
+        extracts.append_extract(source.filter(rows), path, batch)
+    return extracts.read_extract(spark, path)
+
+
 @query
 def full_reload_pull(spark, d):
     """The three-month full-window read the incremental pull replaces."""
@@ -44,6 +79,23 @@ def partition_bounds(spark, d):
     return jdbc.partition_bounds(_pulled(spark, d), "case_id")
 
 
+SPLIT_RANGES = 16
+
+
+@query
+def even_splits(spark, d):
+    """A3 + O9: sizes of 16 ranges of a skewed split column, by strides and by the merged sketches of two landings."""
+    log = fx.dialer_log(spark, d).select((F.col("case_id") * F.col("case_id") * F.col("case_id")).alias("split_id"), "update_date")
+    early = F.col("update_date") <= F.lit(PULL_WATERMARK).cast("timestamp_ntz")
+    sketches = log.groupBy(early.alias("landing")).agg(splits.sketch_of("split_id").alias("sketch"))
+    points = splits.split_points(splits.merged(sketches), SPLIT_RANGES)
+    lo, hi = log.agg(F.min("split_id"), F.max("split_id")).first()
+    strides = [lo + (hi - lo) * i // SPLIT_RANGES for i in range(1, SPLIT_RANGES)]
+    parts = [splits.evenness(splits.range_sizes(log, "split_id", p), SPLIT_RANGES).select(F.lit(name).alias("method"), "*")
+             for name, p in (("strides", strides), ("quantiles", points))]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def batch_stats(spark, d):
     """Row count and newest update of the pulled batch, one pass."""

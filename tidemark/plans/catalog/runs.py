@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+import dataclasses
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -97,6 +98,22 @@ def mart_rerun_diff(spark, d):
     return reconcile.rerun_diff(before, after)
 
 
+@query
+def mart_penetration_by_delta(spark, d):
+    """E4 + E2 + O6: the report kept by signed deltas over three random batches, its window moved on by a month."""
+    from tidemark.operators import mart_delta
+    from tidemark.plans.jobs import stored_once
+
+    early = dataclasses.replace(CFG, as_of=date(2024, 1, 15))
+    logs = {t: log(spark, d) for t, log in fx.LOGS.items()}
+    part = F.pmod(F.xxhash64("ingest_seq", "case_id"), F.lit(3))
+    deltas = None
+    for b in range(3):
+        before, batch = ({t: log.where(cond) for t, log in logs.items()} for cond in (part < b, part == b))
+        deltas = mart_delta.apply_batch(deltas, before, batch, early, stored_once)
+    return mart_delta.mart_from_deltas(mart_delta.move_window(deltas, logs, early, CFG, stored_once))
+
+
 @query
 def compact_report(spark, d):
     """K1 + K2: the dialer log written as many small files, compacted and Z-ordered into a new folder."""

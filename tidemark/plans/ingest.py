@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import SourceSpec
 from tidemark.functions.expressions import ntz
+from tidemark.operators.splits import sketch_of
 from tidemark.plans import control
 from tidemark.schemas import BRONZE_SCHEMAS
 from tidemark.sources import bronze
@@ -54,10 +55,12 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, read: SourceReader, bas
         batch = stamp(read(spec, watermark), now, list(spec.columns), spec.sequence_column, batch_id)
         if spec.table_name in BRONZE_SCHEMAS:
             batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMAS[spec.table_name].fields])
-        stats = bronze.append_batch(batch, bronze_path, {"batch_max": F.max(spec.watermark_column)},
-                                    max_records_per_file=spec.max_records_per_file)
+        gathered = {"batch_max": F.max(spec.watermark_column)}
+        if spec.partition_column:
+            gathered["sketch"] = sketch_of(spec.partition_column)
+        stats = bronze.append_batch(batch, bronze_path, gathered, max_records_per_file=spec.max_records_per_file)
         rows = int(stats["row_count"])
-        bronze.record_landing(spark, base, spec.table_name, batch_id, rows, now)
+        bronze.record_landing(spark, base, spec.table_name, batch_id, rows, now, stats.get("sketch"))
         if register_database and rows:
             bronze.register_table(spark, register_database, spec.table_name, bronze_path)
         control.update_watermark(spark, control_path, spec.table_name, stats["batch_max"], rows, now)

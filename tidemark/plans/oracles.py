@@ -35,6 +35,7 @@ ORACLES: dict[str, str] = {
                CAST(coalesce(dc.total_calls, 0) AS BIGINT) AS total_calls
         FROM active_cases ac LEFT JOIN dialed_cases dc ON dc.case_id = ac.case_id"""),
     "mart_penetration": block("mart_penetration"),
+    "mart_penetration_by_delta": block("mart_penetration"),
     "telecom_metrics": block("telecom_metrics"),
     "mart_phone_quality": block("mart_phone_quality"),
     "mart_phone_quality_prefiltered": block("mart_phone_quality"),
@@ -74,6 +75,16 @@ ORACLES.update({
     "attribute_union": with_ctes(
         "SELECT case_id, case_attribute_type_id, case_attribute_value, update_date, ingest_seq FROM attributes_log"),
     "incremental_pull": with_ctes(PULLED),
+    "incremental_scan": with_ctes(PULLED),
+    "single_scan": with_ctes(PULLED),
+    "sink_append": with_ctes(f"SELECT {DIALER_COLS}, ingest_seq FROM dialer_log"),
+    "even_splits": with_ctes("""
+        , ids AS (SELECT case_id * case_id * case_id AS id FROM dialer_log),
+        bounds AS (SELECT min(id) AS lo, max(id) AS hi FROM ids),
+        counted AS (SELECT len(list_filter(range(1, 17), lambda i: i < 16 AND id >= lo + (hi - lo) * i // 16)) AS r, count(*) AS n
+                    FROM ids, bounds GROUP BY r)
+        SELECT 'strides' AS method, count(*) AS ranges, CAST(sum(n) AS BIGINT) AS rows, max(n) * 16 <= sum(n) * 1.2 AS even FROM counted
+        UNION ALL SELECT 'quantiles', 16, count(*), true FROM ids"""),
     "full_reload_pull": with_ctes(f"SELECT {DIALER_COLS} FROM dialer_log WHERE {FULL_WINDOW} AND {SCOPE}"),
     "partition_bounds": with_ctes(
         f"SELECT min(case_id) AS lo, max(case_id) AS hi, count(*) AS rows FROM ({PULLED}) p"),

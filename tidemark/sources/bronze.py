@@ -212,12 +212,27 @@ def base_and_tail(spark: SparkSession, base: str, table_name: str) -> tuple[Data
     return compacted.unionByName(tail), live, covered
 
 
-_LANDING_SCHEMA = "table_name string, ingest_batch string, rows long, landed_at timestamp_ntz"
+_LANDING_SCHEMA = "table_name string, ingest_batch string, rows long, landed_at timestamp_ntz, sketch binary"
 
 
-def record_landing(spark: SparkSession, base: str, table_name: str, batch_id: str, rows: int, now: datetime) -> None:
-    """Note that a landing is complete: maintenance takes only these into the base."""
-    append_rows(spark.createDataFrame([(table_name, batch_id, rows, now)], _LANDING_SCHEMA), f"{base}/control/landings")
+def record_landing(spark: SparkSession, base: str, table_name: str, batch_id: str, rows: int, now: datetime,
+                   sketch: bytes | None = None) -> None:
+    """Note that a landing is complete: maintenance takes only these into the base. ``sketch``
+    sums up its split column, for even splits of the next read."""
+    append_rows(spark.createDataFrame([(table_name, batch_id, rows, now, sketch)], _LANDING_SCHEMA), f"{base}/control/landings")
+
+
+def landing_log(spark: SparkSession, base: str, table_name: str) -> DataFrame:
+    """Complete landings with rows: ``ingest_batch``, ``rows``, ``landed_at``, ``sketch``."""
+    log = read_appended(spark, f"{base}/control/landings", _LANDING_SCHEMA)
+    return log.filter((F.col("table_name") == table_name) & (F.col("rows") > 0)).drop("table_name")
+
+
+def landed_split_points(spark: SparkSession, base: str, table_name: str, ranges: int) -> list[int]:
+    """Where to cut the next read of the source into even ranges, by all that has landed."""
+    from tidemark.operators import splits
+
+    return splits.split_points(splits.merged(landing_log(spark, base, table_name).select("sketch")), ranges)
 
 
 def landings(spark: SparkSession, base: str, table_name: str) -> list[str]:
