@@ -116,3 +116,10 @@ def test_in_month_window(spark):
                                "d timestamp_ntz")
     got = [r.d for r in in_month_window(df, "d", date(2024, 2, 15), 2).collect()]
     assert got == [T(2023, 12, 1), T(2024, 2, 29, 23, 59)]
+
+
+def test_upsert_replaces_a_null_key(spark):
+    target = spark.createDataFrame([(None, "old"), (1, "a")], "k long, v string")
+    updates = spark.createDataFrame([(None, "new"), (2, "b")], "k long, v string")
+    got = sorted(((r.k, r.v) for r in changelog.upsert_latest(target, updates, ["k"]).collect()), key=repr)
+    assert got == [(1, "a"), (2, "b"), (None, "new")]

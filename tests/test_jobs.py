@@ -210,3 +210,58 @@ def test_reports_resolve_before_the_first_batch_lands(spark, tmp_path):
     ingest.seed_for(list(SPECS.values()), base, spark, NOW)
     reports = jobs.build_reports(spark, base, CFG)
     assert reports[jobs.PENETRATION].count() == 0 and reports[jobs.PHONE].count() == 0
+
+
+def test_a_version_expires_by_when_it_was_superseded(spark, tmp_path):
+    """A base of long ago, superseded just now, stays for its readers; older ones go."""
+    import os
+
+    base = str(tmp_path)
+    weeks = [datetime(2020, 1, 1), datetime(2020, 3, 1), datetime(2020, 3, 20)]
+    paths = [bronze.publish_mart(spark, spark.range(n + 1), base, "m", at) for n, at in enumerate(weeks)]
+    for p in paths:
+        os.utime(p, (weeks[0].timestamp(), weeks[0].timestamp()))
+    opened = spark.read.parquet(paths[1])
+    assert bronze.expire_versions(spark, base, "m", datetime(2020, 3, 21)) == [os.path.basename(paths[0])]
+    assert opened.count() == 2
+    assert bronze.expire_versions(spark, base, "m", datetime(2020, 3, 28)) == [os.path.basename(paths[1])]
+
+
+def test_readers_go_on_after_maintenance_and_tails_stay_short(spark, tmp_path):
+    from tidemark.config import SourceSpec
+
+    spec = SourceSpec("calls", "src.calls", ("id",), ("id", "v", "update_date"), zorder=("id",), lag_minutes=0)
+    base = str(tmp_path)
+
+    def land(k, now):
+        df = spark.createDataFrame([(k, "a", now)], "id long, v string, update_date timestamp_ntz")
+        ingest.ingest_all(spark, [spec], ingest.dataframe_reader({"calls": df}), base, now)
+
+    ingest.seed_for([spec], base, spark, datetime(2024, 1, 1))
+    opened = None
+    for week in range(3):
+        for day in range(2):
+            land(10 * week + day, datetime(2024, 1, 2 + 7 * week + day))
+        assert len(bronze.tail_landings(spark, base, "calls")) == 2
+        opened = bronze.current_bronze(spark, base, "calls")
+        jobs.run_maintenance(spark, [spec], base, datetime(2024, 1, 6 + 7 * week))
+        assert opened.count() == 2 * (week + 1)  # what it was built on is still there
+        assert bronze.tail_landings(spark, base, "calls") == []
+        assert bronze.current_bronze(spark, base, "calls").count() == 2 * (week + 1)
+    assert jobs.newest_landings(spark, base, "calls").count() == 1
+
+
+def test_a_landing_adds_its_partition_to_a_registered_table(spark, tmp_path):
+    from tidemark.config import SourceSpec
+
+    spec = SourceSpec("calls", "src.calls", ("id",), ("id", "update_date"), lag_minutes=0)
+    base, database = str(tmp_path), "reg_" + tmp_path.name.replace("-", "_")
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{tmp_path}/{database}.db'")
+    ingest.seed_for([spec], base, spark, datetime(2024, 1, 1))
+    for day in (2, 3, 3):
+        now = datetime(2024, 1, day, 1)
+        df = spark.createDataFrame([(day, now)], "id long, update_date timestamp_ntz")
+        ingest.ingest_all(spark, [spec], lambda s, w, df=df: df, base, now, register_database=database)
+    assert spark.table(f"`{database}`.calls").count() == 3
+    with pytest.raises(ValueError):
+        bronze.register_table(spark, database, "calls", f"{base}/bronze/calls", landed=(datetime(2024, 1, 4).date(), "x'y"))

@@ -84,7 +84,9 @@ def upsert_latest(
         updates = latest_per_key(updates, keys, order)
     elif check_unique:
         assert_unique(updates, keys)
-    kept = target.join(updates.select(*keys), on=list(keys), how="left_anti")
+    theirs = updates.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    # null-safe: an update of a null key replaces the null-key row
+    kept = target.join(theirs, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)], "left_anti")
     return kept.unionByName(updates.select(*target.columns))
 
 

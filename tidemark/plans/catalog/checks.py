@@ -29,9 +29,10 @@ DQ_DECLARATIONS: dict[str, list] = {
 }
 
 
-def _dq_frames(spark, d):
-    """Model -> thunk building its DataFrame. A staging view is deduplicated once, stored in
-    the shared folder and read from there by its own checks and by the reports."""
+def _dq_frames(spark, d, wanted):
+    """Model -> thunk building its DataFrame. The staging views that the ``wanted`` models need
+    are deduplicated once, stored in the shared folder side by side and read from there by
+    their own checks and by the reports."""
     memo: dict = {}
 
     def once(name, build):
@@ -42,14 +43,14 @@ def _dq_frames(spark, d):
     def log(t):
         return once(f"log.{t}", lambda: fx.LOGS[t](spark, d))
 
+    builds = {"stg_cases": (staging.stg_cases, "cases"), "stg_case_attributes": (staging.stg_case_attributes, "case_attributes"),
+              "stg_dialer": (staging.stg_dialer, "dialer"), "stg_contacts": (staging.stg_contacts, "contacts")}
+    # what the wanted models are built from, stored together
+    needed = [s for s in builds if s in wanted or "mart_penetration_by_dpd_band" in wanted or (s == "stg_dialer" and "mart_phone_quality" in wanted)]
+    memo |= jobs.stored_together({s: builds[s][0](log(builds[s][1]), CFG) for s in needed})
+
     def stg(name):
-        build = {
-            "stg_cases": lambda: staging.stg_cases(log("cases"), CFG),
-            "stg_case_attributes": lambda: staging.stg_case_attributes(log("case_attributes"), CFG),
-            "stg_dialer": lambda: staging.stg_dialer(log("dialer"), CFG),
-            "stg_contacts": lambda: staging.stg_contacts(log("contacts"), CFG),
-        }[name]
-        return once(name, lambda: jobs.stored_once(build(), name))
+        return memo[name]
 
     return {
         "bronze.cases": lambda: log("cases"),
@@ -70,13 +71,10 @@ def _dq_frames(spark, d):
 
 def _dq_kind(spark, d, kinds=None):
     """The declared checks of the given kinds (all when ``kinds`` is None), one result table."""
-    frames = _dq_frames(spark, d)
-    models = {}
-    for m, checks in DQ_DECLARATIONS.items():
-        sel = [c for c in checks if kinds is None or c.kind in kinds]
-        if sel:
-            models[m] = (frames[m](), sel)
-    return dq.run_suite(models)
+    chosen = {m: [c for c in checks if kinds is None or c.kind in kinds] for m, checks in DQ_DECLARATIONS.items()}
+    chosen = {m: checks for m, checks in chosen.items() if checks}
+    frames = _dq_frames(spark, d, chosen.keys())
+    return dq.run_suite({m: (frames[m](), checks) for m, checks in chosen.items()})
 
 
 @query

@@ -62,7 +62,7 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, read: SourceReader, bas
         rows = int(stats["row_count"])
         bronze.record_landing(spark, base, spec.table_name, batch_id, rows, now, stats.get("sketch"))
         if register_database and rows:
-            bronze.register_table(spark, register_database, spec.table_name, bronze_path)
+            bronze.register_table(spark, register_database, spec.table_name, bronze_path, landed=(now.date(), batch_id))
         control.update_watermark(spark, control_path, spec.table_name, stats["batch_max"], rows, now)
         return rows
     except Exception as exc:

@@ -19,6 +19,7 @@ Scheduling and retries stay with whatever runs these functions.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Callable, Sequence
@@ -74,11 +75,12 @@ def source_freshness(spark: SparkSession, specs: Sequence[SourceSpec], base: str
 
 
 def newest_landings(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """The rows of the newest landing day: a partition filter, not a scan of all history.
-    An ingest stamp and its day are of one run time, so the newest stamp is among them."""
+    """The rows of the newest landing day, which the landing log names: a partition filter, no
+    look at other days' files. An ingest stamp and its day are of one run time, so the
+    newest stamp is among them."""
+    newest = bronze.landing_log(spark, base, table).agg(F.max("landed_at")).first()[0]
     live = bronze.read_bronze(spark, f"{base}/bronze/{table}", table)
-    day = live.agg(F.max("ingest_date")).collect()[0][0]
-    return live.filter(F.col("ingest_date") == F.lit(day)) if day else bronze.current_bronze(spark, base, table)
+    return live.filter(F.col("ingest_date") == F.lit(newest.date())) if newest else bronze.current_bronze(spark, base, table)
 
 
 def stage(logs: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, DataFrame]:
@@ -88,7 +90,13 @@ def stage(logs: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, DataFrame]
              "stg_case_attributes": staging.stg_case_attributes(logs["case_attributes"], cfg),
              "stg_dialer": staging.stg_dialer(logs["dialer"], cfg),
              "stg_contacts": staging.stg_contacts(logs["contacts"], cfg)}
-    return {name: stored_once(df, name) for name, df in views.items()}
+    return stored_together(views)
+
+
+def stored_together(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Each stored once, as concurrent Spark jobs from driver threads."""
+    with ThreadPoolExecutor(max_workers=max(1, len(frames)), thread_name_prefix="store") as pool:
+        return dict(zip(frames, pool.map(lambda item: stored_once(item[1], item[0]), frames.items())))
 
 
 def stored_once(df: DataFrame, name: str) -> DataFrame:
@@ -224,33 +232,31 @@ def run_maintenance(spark: SparkSession, specs: Sequence[SourceSpec], base: str,
     as the new compacted base. Live bronze files are left in place; readers use
     ``bronze.current_bronze`` (compacted base + live tail). Returns a report.
 
-    The base records which landings it holds, by id. Only complete landings are taken, and
-    whatever lands while this runs, or later with an earlier run time, stays in the tail.
+    Which landings a base holds is a table of their ids. Only complete landings are taken,
+    and whatever lands while this runs, or later with an earlier run time, stays in the tail.
     The pruned history is computed once and stored; key bounds, range sampling and the
-    clustered write read it from there. Superseded versions of the base, and of the
-    reports, that are older than the retention are deleted.
+    clustered write read it from there. Versions of the base and of the reports that were
+    superseded longer ago than the retention are deleted.
     """
     from tidemark.operators import changelog, layout
 
     rows = []
     for spec in specs:
         t = spec.table_name
-        cur, _, covered = bronze.base_and_tail(spark, base, t)
-        landed = bronze.landings(spark, base, t)
-        if not landed:
+        landed = bronze.tail_landings(spark, base, t)
+        held = bronze.published_version(spark, f"{base}/bronze_compacted", t)
+        if not landed and held is None:
             continue
-        # Landings by id: what the base holds already, and what is complete now.
-        new = [b for b in landed if b not in set(covered)]
-        snapshot = cur.filter(F.col("ingest_batch").isin(landed))
+        snapshot = bronze.current_bronze(spark, base, t)
+        if held is None:  # incomplete landings are not taken
+            snapshot = snapshot.filter(F.col("ingest_batch").isin(landed))
         size = bronze.current_bronze_bytes(spark, base, t)
         before = snapshot.count()
         kept = stored_once(changelog.prune_superseded(snapshot, list(spec.key), list(cfg.version_order), "ingest_ts",
                                                       now, retention_hours), f"pruned-{t}")
         n_files = max(1, math.ceil(size / target_file_bytes))
         clustered = layout.cluster(kept, list(spec.zorder), n_files, bits) if spec.zorder else kept
-        path = bronze.publish_mart(spark, None, f"{base}/bronze_compacted", t, now,
-                                   write=lambda p, df=clustered: df.write.mode("errorifexists").parquet(p),
-                                   covered=sorted({*covered, *new}))
+        path = bronze.publish_base(spark, base, t, now, lambda p, df=clustered: df.write.mode("errorifexists").parquet(p), landed)
         after = spark.read.parquet(path).count()
         rows.append((t, int(before), int(after), path))
         bronze.expire_versions(spark, f"{base}/bronze_compacted", t, now, retention_hours)

@@ -15,10 +15,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -106,28 +107,36 @@ def read_bronze(spark: SparkSession, path: str, table_name: str | None = None, m
 
 
 def register_table(spark: SparkSession, database: str, table_name: str, path: str,
-                   partitioned: bool = True, database_location: str | None = None) -> None:
+                   partitioned: bool = True, database_location: str | None = None,
+                   landed: tuple[date, str] | None = None) -> None:
     """Expose a bronze path as ``database.table_name`` in the session catalog (an external
-    table; the database is created if missing, at ``database_location`` when given)."""
+    table; the database is created if missing, at ``database_location`` when given).
+
+    ``landed`` is the day and id of a landing: a table that exists already gets just this
+    partition, without a listing of all folders."""
+    name = f"`{database}`.`{table_name}`"
+    if landed and spark.catalog.databaseExists(database) and spark.catalog.tableExists(f"{database}.{table_name}"):
+        day, batch = landed
+        if re.fullmatch(r"[0-9A-Za-z_-]+", batch) is None:
+            raise ValueError(f"not a landing id: {batch!r}")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (ingest_date=DATE'{day:%Y-%m-%d}', ingest_batch='{batch}')")
+        return
     loc = f" LOCATION '{database_location}'" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     schema = read_bronze(spark, path, table_name).schema
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     columns = [c for c in BRONZE_PARTITIONS if partitioned and c in schema.fieldNames()]
     part = f" PARTITIONED BY ({', '.join(columns)})" if columns else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{table_name}` ({ddl}) USING PARQUET{part} "
-              f"LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING PARQUET{part} LOCATION '{path}'")
     if part:
-        spark.sql(f"ALTER TABLE `{database}`.`{table_name}` RECOVER PARTITIONS")
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 # ---- versioned marts ---------------------------------------------------------
 
-# ``covered``: for a compacted bronze version, the landings it holds (those that still have live
-# files). ``buckets``: for a bucketed state, its bucket count. ``id`` orders publishers that race
-# for one version number.
-_POINTER_SCHEMA = ("mart string, version long, path string, published_at timestamp_ntz, covered array<string>, "
-                   "buckets int, id string")
+# ``buckets``: for a bucketed state, its bucket count. ``id`` orders publishers that race for one
+# version number.
+_POINTER_SCHEMA = "mart string, version long, path string, published_at timestamp_ntz, buckets int, id string"
 
 
 def newest_pointer(spark: SparkSession, base: str, mart: str):
@@ -135,7 +144,7 @@ def newest_pointer(spark: SparkSession, base: str, mart: str):
     if not exists(spark, ptr):
         return None
     return (read_appended(spark, ptr, _POINTER_SCHEMA).filter(F.col("mart") == mart)
-            .agg(F.max_by(F.struct("version", "path", "covered", "buckets"),
+            .agg(F.max_by(F.struct("version", "path", "buckets"),
                           F.struct("version", "published_at", "id")).alias("v")).collect()[0]["v"])
 
 
@@ -145,7 +154,7 @@ def published_version(spark: SparkSession, base: str, mart: str) -> tuple[int, s
 
 
 def publish_mart(spark: SparkSession, df: DataFrame | None, base: str, mart: str, now: datetime,
-                 write=None, covered: list[str] | None = None, buckets: int | None = None) -> str:
+                 write=None, buckets: int | None = None) -> str:
     """Write version N+1 of ``mart`` (``df``, or whatever ``write(path)`` writes) and then
     publish it with a pointer row."""
     cur = published_version(spark, base, mart)
@@ -157,29 +166,39 @@ def publish_mart(spark: SparkSession, df: DataFrame | None, base: str, mart: str
         write(path)
     else:
         df.write.mode("errorifexists").parquet(path)
-    append_rows(spark.createDataFrame([(mart, version, path, now, covered, buckets, uuid.uuid4().hex)],
+    append_rows(spark.createDataFrame([(mart, version, path, now, buckets, uuid.uuid4().hex)],
                                       _POINTER_SCHEMA), f"{base}/_pointers")
     return path
 
 
 def expire_versions(spark: SparkSession, base: str, mart: str, now: datetime, retention_hours: int = 168) -> list[str]:
-    """Delete version folders of ``mart`` that are not the one in force and were written
-    longer than ``retention_hours`` (a week at least) before ``now``; returns them."""
+    """Delete version folders of ``mart`` that were superseded more than ``retention_hours`` (a
+    week at least) before ``now``; returns them. A version's age counts from the publication
+    of the next one, however old the version itself is, so whoever opened it while it was
+    in force can go on reading. Folders that were never published go by their write time."""
     if retention_hours < 168:
         raise ValueError(f"retention {retention_hours} h is below the 168 h minimum")
-    cur = published_version(spark, base, mart)
-    if cur is None:
-        return []
     fs, folder = _fs(spark, f"{base}/{mart}")
-    in_force = _fs(spark, cur[1])[1].getName()
+    there = {s.getPath().getName(): s for s in (fs.listStatus(folder) if fs.exists(folder) else []) if s.getPath().getName().startswith("v=")}
+    if published_version(spark, base, mart) is None or not there:
+        return []
+    name = F.element_at(F.split("path", "/"), -1)
+    order = Window.partitionBy("mart").orderBy("version", "published_at", "id")  # one row a publication
+    pointers = (read_appended(spark, f"{base}/_pointers", _POINTER_SCHEMA).where(F.col("mart") == mart)
+                .select(name.alias("name"), F.lead("published_at").over(order).alias("superseded"), F.lead("version").over(order).alias("next")))
+    since = {r["name"]: r for r in pointers.where(F.col("name").isin(list(there))).collect()}
     # File times are instants; ``now`` is a zone-less run time, taken as UTC.
-    limit = (now.replace(tzinfo=timezone.utc).timestamp() - retention_hours * 3600) * 1000
+    limit = now - timedelta(hours=retention_hours)
     gone = []
-    for status in fs.listStatus(folder) if fs.exists(folder) else []:
-        name = status.getPath().getName()
-        if name.startswith("v=") and name != in_force and status.getModificationTime() < limit:
+    for version, status in there.items():
+        row = since.get(version)
+        if row is None:
+            old = status.getModificationTime() < limit.replace(tzinfo=timezone.utc).timestamp() * 1000
+        else:
+            old = row["next"] is not None and row["superseded"] < limit
+        if old:
             fs.delete(status.getPath(), True)
-            gone.append(name)
+            gone.append(version)
     return gone
 
 
@@ -194,22 +213,16 @@ def read_mart(spark: SparkSession, base: str, mart: str) -> DataFrame:
 
 def current_bronze(spark: SparkSession, base: str, table_name: str) -> DataFrame:
     """The whole change log of ``table_name``: the newest compacted version (if any) plus
-    the live landings it doesn't hold, whatever their run time. The tail is a filter on the
+    the landings that have come since, whatever their run time. The tail is a filter on the
     partition column ``ingest_batch``, so only those landings' folders are read."""
-    return base_and_tail(spark, base, table_name)[0]
-
-
-def base_and_tail(spark: SparkSession, base: str, table_name: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """The whole change log, the live table, and the landings that the base holds."""
     live = read_bronze(spark, f"{base}/bronze/{table_name}", table_name)
     row = newest_pointer(spark, f"{base}/bronze_compacted", table_name)
     if row is None:
-        return live, live, []
-    covered = list(row["covered"] or [])
-    tail = live.filter(~F.col("ingest_batch").isin(covered)) if covered else live
+        return live
+    tail = live.filter(F.col("ingest_batch").isin(tail_landings(spark, base, table_name)))
     compacted = spark.read.schema(BRONZE_SCHEMAS[table_name]).parquet(row["path"]) \
         if table_name in BRONZE_SCHEMAS else spark.read.parquet(row["path"])
-    return compacted.unionByName(tail), live, covered
+    return compacted.unionByName(tail)
 
 
 _LANDING_SCHEMA = "table_name string, ingest_batch string, rows long, landed_at timestamp_ntz, sketch binary"
@@ -235,21 +248,40 @@ def landed_split_points(spark: SparkSession, base: str, table_name: str, ranges:
     return splits.split_points(splits.merged(landing_log(spark, base, table_name).select("sketch")), ranges)
 
 
-def landings(spark: SparkSession, base: str, table_name: str) -> list[str]:
-    """Complete landings with rows, one id per run of the ingest."""
-    log = read_appended(spark, f"{base}/control/landings", _LANDING_SCHEMA)
-    return sorted(r["ingest_batch"] for r in log.filter((F.col("table_name") == table_name) & (F.col("rows") > 0))
-                  .select("ingest_batch").distinct().collect())
+_COVERED_SCHEMA = "table_name string, version long, ingest_batch string"
+
+
+def tail_landings(spark: SparkSession, base: str, table_name: str) -> list[str]:
+    """Ids of the complete landings that the compacted base in force doesn't hold: those since
+    the last maintenance, however many there have ever been. Rows of a landing that was not
+    completed are read again by the next run."""
+    row = newest_pointer(spark, f"{base}/bronze_compacted", table_name)
+    log = landing_log(spark, base, table_name).select("ingest_batch")
+    if row is not None:
+        held = read_appended(spark, f"{base}/control/covered", _COVERED_SCHEMA)
+        held = held.where((F.col("table_name") == table_name) & (F.col("version") <= row["version"]))
+        log = log.join(held.select("ingest_batch"), "ingest_batch", "left_anti")
+    return sorted(r["ingest_batch"] for r in log.distinct().collect())
+
+
+def publish_base(spark: SparkSession, base: str, table_name: str, now: datetime, write, landed: list[str]) -> str:
+    """Publish a compacted base that holds what the one before held, and the ``landed`` tail.
+    Its landings are noted under its version before it is in force; readers go by the
+    version in force, so a run that dies in between changes nothing for them."""
+    cur = published_version(spark, f"{base}/bronze_compacted", table_name)
+    version = (cur[0] if cur else 0) + 1
+    if landed:
+        append_rows(spark.createDataFrame([(table_name, version, b) for b in landed], _COVERED_SCHEMA), f"{base}/control/covered")
+    return publish_mart(spark, None, f"{base}/bronze_compacted", table_name, now, write=write)
 
 
 def current_bronze_bytes(spark: SparkSession, base: str, table_name: str) -> int:
-    """Bytes of the compacted base in force plus those of the live landings it doesn't hold."""
+    """Bytes of the compacted base in force plus those of the landings since."""
     row = newest_pointer(spark, f"{base}/bronze_compacted", table_name)
     live = f"{base}/bronze/{table_name}"
     if row is None:
         return folder_bytes(spark, live)
     fs, _ = _fs(spark, live)
-    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{live}/ingest_date=*/ingest_batch=*")) or []
-    covered = {f"ingest_batch={b}" for b in row["covered"] or []}
-    tail = sum(fs.getContentSummary(s.getPath()).getLength() for s in found if s.getPath().getName() not in covered)
-    return folder_bytes(spark, row["path"]) + int(tail)
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = [s for b in tail_landings(spark, base, table_name) for s in fs.globStatus(to_path(f"{live}/ingest_date=*/ingest_batch={b}")) or []]
+    return folder_bytes(spark, row["path"]) + sum(int(fs.getContentSummary(s.getPath()).getLength()) for s in found)
