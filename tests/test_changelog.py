@@ -123,3 +123,13 @@ def test_upsert_replaces_a_null_key(spark):
     updates = spark.createDataFrame([(None, "new"), (2, "b")], "k long, v string")
     got = sorted(((r.k, r.v) for r in changelog.upsert_latest(target, updates, ["k"]).collect()), key=repr)
     assert got == [(1, "a"), (2, "b"), (None, "new")]
+
+
+def test_bitmaps_of_landings_count_distinct_keys(spark):
+    rows = [(k, n % 3) for n, k in enumerate([0, 1, -1, -40000, 32768, 32769, 10**12, 1, 1, 0, None, -1, 5, 5])]
+    df = spark.createDataFrame(rows, "k long, landing int")
+    bitmaps = changelog.key_bitmaps(df, "k", ["landing"])
+    assert changelog.distinct_keys_of(bitmaps).first()[0] == len({k for k, _ in rows if k is not None})
+    per_landing = {r["landing"]: r["distinct_keys"] for r in changelog.distinct_keys_of(bitmaps, ["landing"]).collect()}
+    assert per_landing == {i: len({k for k, n in rows if n == i and k is not None}) for i in range(3)}
+    assert changelog.distinct_keys_of(changelog.key_bitmaps(df.limit(0), "k")).first()[0] == 0

@@ -81,3 +81,30 @@ def test_parallel_appends_all_arrive(spark, tmp_path):
     with ThreadPoolExecutor(len(names)) as pool:
         list(pool.map(lambda n: control.update_watermark(spark, path, n, START, 7, START + timedelta(days=1)), names))
     assert {(r.table_name, r.rows_processed) for r in control.current_watermark(control.read_control(spark, path)).collect()} == {(n, 7) for n in names}
+
+
+def test_a_folded_log_stays_short_and_loses_no_run(spark, tmp_path):
+    from tidemark.sources import bronze
+
+    path, day = str(tmp_path / "watermarks"), datetime(2024, 1, 1)
+    control.seed_control(spark, path, ["a", "b"], day)
+    wanted = {"a": SEED_WATERMARK, "b": SEED_WATERMARK}
+    for n in range(12):
+        now = day + timedelta(hours=n + 1)
+        table = "ab"[n % 2]
+        if n == 7:
+            control.mark_failed(spark, path, table, "no connection", now)
+        else:
+            wanted[table] = control.update_watermark(spark, path, table, day + timedelta(minutes=n), 5, now)
+        if n % 4 == 3:
+            control.fold_control(spark, path)
+            assert len(bronze.folder_names(spark, path)) <= 6  # the runs since the fold before, and the folded rows
+        for t, at in wanted.items():
+            assert control.get_watermark(spark, path, t) == at.strftime("%Y-%m-%d %H:%M:%S")
+    history = control.read_history(spark, path)
+    assert history.count() == 14 and history.distinct().count() == 14
+    current = {r["table_name"]: r for r in control.current_watermark(control.read_control(spark, path)).collect()}
+    assert current["a"]["updated_at"] == day + timedelta(hours=11) and current["b"]["run_status"] == "success"
+    assert control.fold_if_long(spark, path) == 0 and control.fold_if_long(spark, path, 0) > 0
+    assert control.read_history(spark, path).count() == 14
+    assert control.watermark_history(control.read_history(spark, path)).count() == 14

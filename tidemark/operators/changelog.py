@@ -149,3 +149,18 @@ def batch_stats(batch: DataFrame, ts_col: str) -> DataFrame:
 def distinct_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of distinct keys (NULL keys count as one key, as in a GROUP BY)."""
     return df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("distinct_keys"))
+
+
+def key_bitmaps(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+    """The distinct values of an integer ``key`` as bitmaps of 32,768 values each: ``bucket``,
+    ``bitmap`` (and ``by``). Built with a partial step, so a key with many versions is one
+    bit before the shuffle. Exact, and mergeable: a landing's bitmaps are made once."""
+    k = F.col(key).cast("long")
+    return (df.where(k.isNotNull()).groupBy(*by, F.bitmap_bucket_number(k).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(k)).alias("bitmap")))
+
+
+def distinct_keys_of(bitmaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``distinct_keys`` over any number of :func:`key_bitmaps`, landings' or tables' (null keys are not counted)."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return merged.groupBy(*by).agg(F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias("distinct_keys"))

@@ -115,6 +115,15 @@ def distinct_key_count(spark, d):
     return changelog.distinct_key_count(fx.contacts_log(spark, d), ["contact_id"])
 
 
+@query
+def distinct_keys_by_landing(spark, d):
+    """E7 + J7: distinct contact ids from the bitmaps of two landings, each made once and then merged."""
+    log = fx.contacts_log(spark, d).select("contact_id", "update_date")
+    early = F.col("update_date") <= F.lit("1999-01-01").cast("timestamp_ntz")
+    landings = changelog.key_bitmaps(log.withColumn("landing", early), "contact_id", ["landing"])
+    return changelog.distinct_keys_of(landings)
+
+
 @query
 def source_count(spark, d):
     """In-scope rows per source table."""

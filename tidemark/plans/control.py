@@ -3,7 +3,7 @@
 The current watermark of a source is ``max(last_watermark)`` over its rows, so
 it can only move forward, and four ingests running at once never contend for
 one row (each appends its own file). The latest status is the status of the
-newest row. History falls out of the log for free.
+newest row. Old runs are folded to one row per table and kept in a history table.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.config import SEED_WATERMARK
 from tidemark.functions.expressions import failure_status, lagged_watermark, ntz, watermark_text
@@ -27,6 +28,55 @@ def read_control(spark: SparkSession, path: str) -> DataFrame:
     return bronze.read_appended(spark, path, CONTROL_SCHEMA)
 
 
+#: Runs that lie in the log one by one before they are folded.
+FOLD_RUNS = 256
+HISTORY_SCHEMA = StructType([*CONTROL_SCHEMA.fields, StructField("run", StringType(), True)])
+
+
+def _named(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the log with ``run``, the append they came with."""
+    run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("run")
+    return bronze.read_appended(spark, path, CONTROL_SCHEMA).select("*", run)
+
+
+def fold_control(spark: SparkSession, path: str) -> int:
+    """Fold the log: one row per table for all runs so far, which then move to a table of
+    their own (``{path}_history``). Returns how many appends were removed.
+
+    The log's newest state is a maximum, so a run that is counted in a folded row and still
+    lies beside it changes nothing: runs are removed one fold after they were folded, so
+    that whoever listed the log before can go on reading, and a fold that dies half-way is
+    made good by the next. Reading the log costs the runs since the fold before last,
+    however many there have ever been."""
+    if not bronze.exists(spark, path):
+        return 0
+    names = bronze.folder_names(spark, path)
+    known = bronze.read_appended(spark, f"{path}_history", HISTORY_SCHEMA).select("run").distinct()
+    there = spark.createDataFrame([(n,) for n in names], "run string")
+    earlier = [r["run"] for r in there.join(known, "run", "left_semi").collect()]  # folded before; names in the folder only
+    rows = _named(spark, path).where(F.col("run").startswith("run-"))
+    bronze.append_rows(rows.join(known, "run", "left_anti"), f"{path}_history")
+    folded = current_watermark(read_control(spark, path)).select(*CONTROL_SCHEMA.names)
+    bronze.append_rows(folded, path, prefix="fold")
+    gone = [n for n in names if n.startswith("fold-")] + [n for n in earlier if n.startswith("run-")]
+    bronze.remove_folders(spark, path, gone)
+    return len(gone)
+
+
+def fold_if_long(spark: SparkSession, path: str, most: int = FOLD_RUNS) -> int:
+    """Fold a log of more than ``most`` appends."""
+    return fold_control(spark, path) if bronze.exists(spark, path) and len(bronze.folder_names(spark, path)) > most else 0
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """Every run's row: those folded away, and those that the log still holds."""
+    history = bronze.read_appended(spark, f"{path}_history", HISTORY_SCHEMA)
+    if not bronze.exists(spark, path):
+        return history.drop("run")
+    rows = _named(spark, path).where(F.col("run").startswith("run-"))
+    return history.unionByName(rows.join(history.select("run").distinct(), "run", "left_anti")).drop("run")
+
+
 def append_control(spark: SparkSession, path: str, rows: Iterable[tuple]) -> None:
     """One run's rows as their own commit (parallel ingests never share a folder)."""
     bronze.append_rows(spark.createDataFrame(list(rows), CONTROL_SCHEMA), path)

@@ -103,7 +103,9 @@ def dataframe_reader(sources: dict[str, DataFrame]) -> SourceReader:
 
 
 def seed_for(specs, base: str, spark: SparkSession, now: datetime) -> None:
-    """Control seed rows and empty typed bronze tables (first batch may be empty)."""
+    """Control seed rows and empty typed bronze tables (first batch may be empty); a long
+    control log is folded."""
+    control.fold_if_long(spark, f"{base}/control/watermarks")
     control.seed_control(spark, f"{base}/control/watermarks", [s.table_name for s in specs],
                          now - timedelta(days=1))
     for s in specs:

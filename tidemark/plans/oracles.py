@@ -95,6 +95,7 @@ ORACLES.update({
                      count(*) FILTER (WHERE update_date > TIMESTAMP '2024-01-28 23:45:00' AND {SCOPE})
                        AS incremental_rows
               FROM dialer_log) c"""),
+    "distinct_keys_by_landing": with_ctes("SELECT count(DISTINCT contact_id) AS distinct_keys FROM contacts_log"),
     "distinct_key_count": with_ctes(
         "SELECT count(*) AS distinct_keys FROM (SELECT DISTINCT contact_id FROM contacts_log) k"),
     "source_count": with_ctes(f"""

@@ -46,14 +46,26 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
-def append_rows(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under ``path``."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove_folders(spark: SparkSession, path: str, names: list[str]) -> None:
+    for name in names:
+        fs, p = _fs(spark, f"{path}/{name}")
+        fs.delete(p, True)
+
+
+def append_rows(df: DataFrame, path: str, mode: str = "errorifexists", prefix: str = "run") -> str:
     """Append a small table of rows as its own sub-folder of ``path``.
 
     Every append is an independent commit: concurrent writers never share a
     temporary folder (appending into one folder from parallel jobs does), and
     a failed append leaves no partial rows behind.
     """
-    sub = f"{path.rstrip('/')}/run-{datetime.now(timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:12]}"
+    sub = f"{path.rstrip('/')}/{prefix}-{datetime.now(timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:12]}"
     df.coalesce(1).write.mode(mode).parquet(sub)
     return sub
 
