@@ -159,6 +159,29 @@ def zorder_key(cols: Iterable[Column | str], bits: int = 8) -> Column:
     return out
 
 
+def hilbert_key(x: Column | str, y: Column | str, bits: int = 8) -> Column:
+    """Place of an already-scaled non-negative pair on the Hilbert curve of ``2**bits`` cells a
+    side. Neighbours on the curve are neighbours in the plane, so a range of it is one
+    patch, where a range of the Morton order may be several.
+
+    From the highest bit down: which quadrant, in the curve's order there, then the pair
+    as that quadrant's own curve sees it (mirrored and swapped)."""
+    if 2 * bits > 62:
+        raise ValueError("the key would not fit in a signed long")
+
+    def deeper(at: Column, side: Column) -> Column:
+        right, up = ((at[c].bitwiseAND(side) != 0).cast("long") for c in ("x", "y"))
+        inner = [at[c].bitwiseAND(side - 1) for c in ("x", "y")]
+        mirrored = [F.when((up == 0) & (right == 1), side - 1 - c).otherwise(c) for c in inner]
+        swapped = [F.when(up == 0, mirrored[1 - i]).otherwise(mirrored[i]) for i in range(2)]
+        d = at["d"] + side * side * (right * 3).bitwiseXOR(up)
+        return F.struct(swapped[0].alias("x"), swapped[1].alias("y"), d.alias("d"))
+
+    start = F.struct(_c(x).cast("long").alias("x"), _c(y).cast("long").alias("y"), F.lit(0).cast("long").alias("d"))
+    sides = F.array(*[F.lit(1 << i).cast("long") for i in reversed(range(bits))])
+    return F.aggregate(sides, start, deeper)["d"]
+
+
 def scale_to_bits(col: Column | str, lo, hi, bits: int = 8) -> Column:
     """Integer min/max scaling of a numeric key into ``[0, 2**bits)``."""
     top = (1 << bits) - 1

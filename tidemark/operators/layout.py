@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from tidemark.functions.expressions import days_since, scale_to_bits, zorder_key
+from tidemark.functions.expressions import days_since, hilbert_key, scale_to_bits, zorder_key
+from tidemark.operators import splits
 
 DAY_ORIGIN = date(2023, 1, 1)
 
@@ -44,6 +45,21 @@ def zorder_columns(df: DataFrame, cols: Sequence[str], bits: int = 8) -> tuple[l
     return scaled, zorder_key(scaled, bits)
 
 
+def rank_columns(df: DataFrame, cols: Sequence[str], bits: int = 8) -> list[Column]:
+    """Equi-depth cells (``[0, 2**bits)``) of the keys: a key's cell is how many of its
+    quantiles, from one merged sketch a key, it reaches. Every cell holds about as many
+    rows, so a skewed key uses all of the curve. The driver gets ``2**bits`` numbers a key."""
+    def cell(x: Column, points: list[int]) -> Column:
+        if not points:
+            return F.lit(0).cast("long")
+        reached = F.filter(F.array(*[F.lit(p).cast("long") for p in points]), lambda p: p <= x)
+        return F.size(reached).cast("long")  # a null key reaches none
+
+    ints = [_as_int(df, c).cast("long") for c in cols]
+    sketches = df.select(*[x.alias(f"_r{i}") for i, x in enumerate(ints)])
+    return [cell(x, splits.split_points(sketches.agg(splits.sketch_of(f"_r{i}").alias("sketch")), 1 << bits)) for i, x in enumerate(ints)]
+
+
 def file_stats(df: DataFrame) -> DataFrame:
     """Files, bytes and rows of a file-based DataFrame (from the hidden ``_metadata`` column)."""
     per_file = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(
@@ -56,10 +72,17 @@ def bits_for(n_files: int, keys: int) -> int:
     return min(max(8, -(-(max(1, n_files).bit_length() + 8) // keys)), 62 // keys)
 
 
-def cluster(df: DataFrame, cluster_by: Sequence[str], n_files: int, bits: int | None = None) -> DataFrame:
-    """``df`` range-partitioned into ``n_files`` on the Morton key of ``cluster_by`` (a row
-    hash splits hot Z values), sorted by the key inside each partition."""
-    _, z = zorder_columns(df, cluster_by, bits or bits_for(n_files, len(cluster_by)))
+def cluster(df: DataFrame, cluster_by: Sequence[str], n_files: int, bits: int | None = None, curve: str = "morton") -> DataFrame:
+    """``df`` range-partitioned into ``n_files`` on a space-filling curve over ``cluster_by`` (a
+    row hash splits hot values), sorted by it inside each partition. ``curve``: the Morton
+    key of min/max-scaled keys, or ``hilbert``, over equi-depth ranks of one or two keys."""
+    if curve == "hilbert":
+        ranks = rank_columns(df, cluster_by, bits or min(9, bits_for(n_files, len(cluster_by))))
+        if len(ranks) > 2:
+            raise ValueError("the Hilbert curve takes one or two keys")
+        z = hilbert_key(*ranks, bits or min(9, bits_for(n_files, len(cluster_by)))) if len(ranks) == 2 else ranks[0]
+    else:
+        _, z = zorder_columns(df, cluster_by, bits or bits_for(n_files, len(cluster_by)))
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     return (df.withColumns({"_z": z, "_h": tie}).repartitionByRange(n_files, "_z", "_h")
             .sortWithinPartitions("_z").drop("_z", "_h"))

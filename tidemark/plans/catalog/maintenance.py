@@ -47,3 +47,13 @@ def zorder_key(spark, d):
     with_day = log.withColumn("call_day", layout.days_since("call_date", layout.DAY_ORIGIN))
     (x, y), z = layout.zorder_columns(with_day, ["case_id", "call_day"], bits=8)
     return with_day.select("uniqueid", "case_id", "call_day", x.alias("zx"), y.alias("zy"), z.alias("zkey"))
+
+
+@query
+def hilbert_key(spark, d):
+    """K2: place of (case_id, call day) of the dialer log on the Hilbert curve, 8 bits each."""
+    log = fx.dialer_log(spark, d).select("uniqueid", "case_id", "call_date")
+    with_day = log.withColumn("call_day", layout.days_since("call_date", layout.DAY_ORIGIN))
+    (x, y), _ = layout.zorder_columns(with_day, ["case_id", "call_day"], bits=8)
+    placed = with_day.select("uniqueid", x.alias("zx"), y.alias("zy"))
+    return placed.select("*", layout.hilbert_key("zx", "zy", 8).alias("hkey"))

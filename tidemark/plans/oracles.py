@@ -140,6 +140,20 @@ ORACLES["zorder_key"] = with_ctes(f"""
                 FROM dialer_log) m) s""")
 
 
+def _hilbert(bits: int = 8) -> str:
+    """Level by level, a subquery each: quadrant, then the pair turned as the quadrant's curve is."""
+    sql = f"SELECT uniqueid, zx, zy, zx AS x, zy AS y, CAST(0 AS BIGINT) AS d FROM ({ORACLES['zorder_key']}) z"
+    for side in (1 << i for i in reversed(range(bits))):
+        sql = f"""SELECT uniqueid, zx, zy, d + {side * side} * CASE WHEN r = 0 AND u = 0 THEN 0 WHEN r = 0 THEN 1 WHEN u = 1 THEN 2 ELSE 3 END AS d,
+            CASE WHEN u = 1 THEN x % {side} WHEN r = 1 THEN {side - 1} - y % {side} ELSE y % {side} END AS x,
+            CASE WHEN u = 1 THEN y % {side} WHEN r = 1 THEN {side - 1} - x % {side} ELSE x % {side} END AS y
+            FROM (SELECT *, (x // {side}) % 2 AS r, (y // {side}) % 2 AS u FROM ({sql}) a) b"""
+    return f"SELECT uniqueid, zx, zy, CAST(d AS BIGINT) AS hkey FROM ({sql}) h"
+
+
+ORACLES["hilbert_key"] = _hilbert()
+
+
 # ---- control log ------------------------------------------------------------------
 
 RUNS = """
