@@ -86,7 +86,7 @@ def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.lm import fit, held_out, score_texts
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    model = fit(docs.where("NOT held_out").select("text"))
+    model = fit(docs.where("NOT held_out").select("doc_id", "text"))
     return score_texts(docs, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
                                            "base_score", "score", "bits_per_byte")
 
