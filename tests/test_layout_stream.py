@@ -157,7 +157,7 @@ def test_another_bucket_count_deals_the_state_out_anew(spark, tmp_path):
 
 def test_racing_publishers_have_one_order(spark, tmp_path):
     base = str(tmp_path)
-    rows = [("m", 1, f"{base}/m/a", datetime(2024, 1, 1), None, None, "1"), ("m", 1, f"{base}/m/b", datetime(2024, 1, 1), None, None, "2")]
+    rows = [("m", 1, f"{base}/m/a", datetime(2024, 1, 1), None, "1"), ("m", 1, f"{base}/m/b", datetime(2024, 1, 1), None, "2")]
     for r in rows:
         bronze.append_rows(spark.createDataFrame([r], bronze._POINTER_SCHEMA), f"{base}/_pointers")
     assert bronze.published_version(spark, base, "m") == (1, f"{base}/m/b")
