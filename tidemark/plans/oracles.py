@@ -450,6 +450,9 @@ ORACLES["maintenance_run"] = block("mart_penetration")
 ORACLES["compact_report"] = with_ctes("""
     SELECT unnest(['rows_before', 'rows_after', 'rows_differing', 'files_not_more']) AS measure,
            unnest([count(*), count(*), 0, 1])::BIGINT AS value FROM dialer_log""")
+ORACLES["compact_small_report"] = with_ctes("""
+    SELECT unnest(['rows_before', 'rows_after', 'rows_differing', 'files_fewer', 'large_files_untouched', 'less_than_all_rewritten']) AS measure,
+           unnest([count(*), count(*), 0, 1, 1, 1])::BIGINT AS value FROM dialer_log""")
 ORACLES["stream_latest_state_rebucketed"] = ORACLES["stream_latest_state"]
 ORACLES["tables_by_name"] = with_ctes(f"""
     SELECT 'cases' AS table_name, count(*) AS rows FROM cases_log WHERE update_date > {SEED} AND {SCOPE}
