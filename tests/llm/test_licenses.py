@@ -1,5 +1,10 @@
+import duckdb
+import pyarrow as pa
+import pytest
+
 from tests.llm.conftest import HARD
-from tidemark.llm.licenses import ANCHORS, RULES, SENTENCES, brute_force, normalise, scan_licenses
+from tidemark.llm.licenses import ANCHORS, IDENTIFIER_LINES, RULES, SENTENCES, brute_force, checked, scan_licenses, wordings
+from tidemark.llm.oracles import LICENSES
 
 MIT = """Copyright (c) 2020 Someone
 
@@ -31,8 +36,34 @@ def test_known_texts(docs):
 
 
 def test_rules_and_anchors():
-    assert all(any(a in normalise(s) for a in ANCHORS) for s in SENTENCES.values())
-    assert all(set(seq) <= SENTENCES.keys() for _, seq in RULES) and len({s for _, s in RULES}) == len(RULES)
+    checked(SENTENCES, RULES, ANCHORS)
+    assert sum(isinstance(s, str) or len(s) for s in SENTENCES.values()) == len(wordings(SENTENCES))
+    for sentences, rules in [({"ab": "a licence"}, []), ({"A": "a licence"}, [("X", "AB")]), ({"A": "no such word"}, []), ({"A": "licence"}, [("X", "A"), ("Y", "A")])]:
+        with pytest.raises(ValueError):
+            checked(sentences, rules, ANCHORS)
+
+
+def test_tables_of_the_caller(docs):
+    rows = [(1, "# House rules.\n# Do not ship; ask\n# the owner first."), (2, "Ask the owner first. House rules."), (3, None)]
+    got = scan_licenses(docs(rows), sentences={"1": ("house rules", "our rules"), "2": "ask the owner first"}, rules=[("House", "12"), ("Ask", "2")],
+                        anchors=["rules", "owner"])
+    assert {r["doc_id"]: (r["sentence_ids"], r["licenses"]) for r in got.collect()} == {1: ("12", ["House"]), 2: ("21", ["Ask"]), 3: ("", [])}
+
+
+def test_identifier_lines(docs):
+    rows = [(i, f"// SPDX-License-Identifier: {name}\nint x;") for i, name in enumerate(IDENTIFIER_LINES.values())]
+    rows += [(100, "SPDX-License-Identifier: MIT OR Apache-2.0"), (101, "SPDX-License-Identifier:MIT")]
+    got = {r["doc_id"]: r["licenses"] for r in scan_licenses(docs(rows)).collect()}
+    assert got == {i: [name] for i, name in enumerate(IDENTIFIER_LINES.values())} | {100: [], 101: []}
+
+
+def test_statement_against_plain_python_on_hard_texts(docs):
+    rows = ROWS + [(200 + i * 10 + j, shape(text)) for i, (_, _, text) in enumerate(HEADERS) for j, shape in enumerate(SHAPES)] + ENDS
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([i for i, _ in rows]), "text": pa.array([t for _, t in rows], pa.string())}))
+    got = con.execute(f"SELECT doc_id, sentence_ids, rule_matches, licenses FROM ({LICENSES})").fetchall()
+    want = [(i, ids, ",".join(found), ",".join(names)) for i, t in rows for ids, found, names in [brute_force(t)]]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
 def test_empty_table(empty):
@@ -82,14 +113,33 @@ and/or other materials provided with the distribution.
 may be used to endorse or promote products derived from this software without
 specific prior written permission."""),
     ("V", ["Unlicense"], "This is free and unencumbered software released into the public\ndomain."),
+    ("XYZ", ["LGPL-2.1-or-later"], """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""),
+    ("Kb", ["AGPL-3.0-or-later"], """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""),
+    ("cd", ["ISC"], """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY DAMAGES."""),
+    ("e", ["BSL-1.0"], """Distributed under the Boost Software License, Version 1.0.
+(See accompanying file LICENSE_1_0.txt or copy at
+https://www.boost.org/LICENSE_1_0.txt)"""),
 ]
+SHAPES = [str, lambda t: t.replace("\n", "\r\n"), lambda t: "\n".join("# " + x for x in t.split("\n")),
+          lambda t: "/*\n" + "\n".join(" * " + x for x in t.split("\n")) + "\n */\nint x;", lambda t: "\r\n".join("// " + x for x in t.split("\n")),
+          lambda t: " ".join(t.split()), lambda t: "\n".join(t.split())]
+ENDS = [(1, "All rights. Reserved seats"), (2, "All rights\n\nReserved"), (3, "# All rights\n# Reserved"), (4, "not\nreleased under the MIT License"), (5, "All rights reserved\nby others")]
 
 
 def test_standard_headers_wrapped_and_commented(docs):
-    shapes = [str, lambda t: t.replace("\n", "\r\n"), lambda t: "\n".join("# " + x for x in t.split("\n")),
-              lambda t: "/*\n" + "\n".join(" * " + x for x in t.split("\n")) + "\n */\nint x;", lambda t: "\r\n".join("// " + x for x in t.split("\n")),
-              lambda t: " ".join(t.split()), lambda t: "\n".join(t.split())]
-    rows = [(i * 10 + j, shape(text)) for i, (_, _, text) in enumerate(HEADERS) for j, shape in enumerate(shapes)]
+    rows = [(i * 10 + j, shape(text)) for i, (_, _, text) in enumerate(HEADERS) for j, shape in enumerate(SHAPES)]
     for r in scan_licenses(docs(rows)).collect():
         letters, names, _ = HEADERS[r["doc_id"] // 10]
         if r["doc_id"] % 10 < 5:  # on one line, nothing ends the address before "Unless"
@@ -98,7 +148,6 @@ def test_standard_headers_wrapped_and_commented(docs):
 
 
 def test_sentences_end_where_they_end(docs):
-    rows = [(1, "All rights. Reserved seats"), (2, "All rights\n\nReserved"), (3, "# All rights\n# Reserved"), (4, "not\nreleased under the MIT License"), (5, "All rights reserved\nby others")]
-    got = {r["doc_id"]: r["sentence_ids"] for r in scan_licenses(docs(rows)).collect()}
+    got = {r["doc_id"]: r["sentence_ids"] for r in scan_licenses(docs(ENDS)).collect()}
     assert got == {1: "", 2: "", 3: "W", 4: "", 5: ""}
-    assert all(brute_force(t)[0] == got[i] for i, t in rows)
+    assert all(brute_force(t)[0] == got[i] for i, t in ENDS)

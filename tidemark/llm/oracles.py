@@ -6,7 +6,7 @@ DuckDB lacks; ``tests/llm`` compares them with brute force.
 
 from __future__ import annotations
 
-from tidemark.llm.licenses import ANCHORS, RULES, SENTENCES, normalise, rules_by_length
+from tidemark.llm.licenses import ANCHORS, RULES, SENTENCES, STOP, rules_by_length, wordings
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,17 +37,26 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-_KNOWN = "MAP {" + ", ".join(f"'{normalise(s)}': '{letter}'" for letter, s in SENTENCES.items()) + "}"
+# A mark (end of a sentence or line) stands twice, so that one match can take the first and the next match the second.
+_KNOWN = "MAP {" + ", ".join(f"'{words.replace(STOP, '~')}': '{letter}'" for words, letter in wordings(SENTENCES).items()) + "}"
+_BODIES = "|".join(words.replace(" ", "(?: |\\n\\n)").replace(STOP, "\\x01\\x01") for words in wordings(SENTENCES))
 _NAMES = "MAP {" + ", ".join(f"'{seq}': '{name}'" for name, seq in RULES) + "}"
 _HINTED = " OR ".join(f"contains({_lowered('t')}, '{a}')" for a in ANCHORS)
 LICENSES = f"""
 WITH doc AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-piece AS (
-  SELECT doc_id, CASE WHEN {_HINTED} THEN string_split(regexp_replace(regexp_replace(t || chr(10), '\\n[ \\t]*([a-z("])', ' \\1', 'g'),
-         '[.!?;:]+[ \\t\\n\\x0B\\f\\r]', chr(10), 'g'), chr(10)) ELSE [] END AS p FROM doc),
+line AS (
+  SELECT doc_id, CASE WHEN {_HINTED} THEN string_split(regexp_replace(regexp_replace(regexp_replace(replace(t, chr(1), ' ') || chr(10),
+         '(SPDX-License-Identifier:[^\\n]*)\\n', '\\1' || chr(1) || chr(10), 'g'), '\\n[ \\t]*([a-z("])', ' \\1', 'g'),
+         '[.!?;:]+[ \\t\\n\\x0B\\f\\r]', chr(1), 'g'), chr(10)) ELSE [] END AS l FROM doc),
+words AS (
+  SELECT doc_id, chr(1) || array_to_string(list_transform(l, lambda s: CASE WHEN regexp_matches(s, '[A-Za-z0-9]')
+         THEN regexp_replace({_lowered("s")}, '[^a-z0-9\\x01]+', ' ', 'g') ELSE chr(1) END), chr(10)) || chr(1) AS w FROM line),
+mark AS (
+  SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(w, '[ \\n]*\\x01[ \\n\\x01]*', chr(1), 'g'), ' ?\\n[ \\n]*', chr(10), 'g'),
+         '([\\n\\x01])', '\\1\\1', 'g') AS w FROM words),
 letter AS (
-  SELECT doc_id, coalesce(array_to_string(list_filter(list_transform(p, lambda s:
-         ({_KNOWN})[trim(regexp_replace({_lowered("s")}, '[^a-z0-9]+', ' ', 'g'))]), lambda x: x IS NOT NULL), ''), '') AS sentence_ids FROM piece),
+  SELECT doc_id, coalesce(array_to_string(list_transform(regexp_extract_all(w, '[\\n\\x01](?:{_BODIES})[\\n\\x01]'), lambda s:
+         ({_KNOWN})[replace(replace(s[2:-2], chr(10) || chr(10), ' '), chr(1) || chr(1), '~')]), ''), '') AS sentence_ids FROM mark),
 rule AS (SELECT *, regexp_extract_all(sentence_ids, '({"|".join(seq for _, seq in rules_by_length())})') AS m FROM letter)
 SELECT doc_id, sentence_ids, array_to_string(m, ',') AS rule_matches,
        array_to_string(list_sort(list_distinct(list_transform(m, lambda x: ({_NAMES})[x]))), ',') AS licenses FROM rule
