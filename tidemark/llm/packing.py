@@ -21,11 +21,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import KEPT, NOT_SPACE, SpanHash, flat, map_arrow, quoted, shared_table, slices, without, word_spans
+from tidemark.llm.numbering import numbered
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
@@ -282,16 +283,12 @@ def best_fit_plan(counts: dict[int, int], size: int = SEQUENCE_TOKENS) -> list[t
 def pack(pieces: DataFrame, order: list[str], size: int = SEQUENCE_TOKENS) -> DataFrame:
     """``pieces`` (a stored table with ``length``) with ``sequence_id`` and
     ``offset``. ``order``: columns that rank pieces of a length; rows equal in
-    all of them are interchangeable."""
+    all of them are interchangeable, and ranked in parts if they are many."""
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = pieces.sparkSession.createDataFrame(best_fit_plan(counts, size), PLAN)
     buckets = 8 + max(counts.values(), default=0) // RANKED_TOGETHER
-    keyed = pieces.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    per_bucket = keyed.groupBy("length", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = per_bucket.select("length", "__bucket", (F.sum("__n").over(Window.partitionBy("length").orderBy("__bucket")) - F.col("__n")).alias("__before"))
-    ranked = (keyed.withColumn("__in", F.row_number().over(Window.partitionBy("length", "__bucket").orderBy(*order)))
-              .join(before, ["length", "__bucket"])
-              .withColumn("__rank", F.col("__before") + F.col("__in") - 1))
+    # Twice the mean is left room for, so that only buckets of repeated rows are dealt to parts.
+    ranked = numbered(pieces, ["length"], F.pmod(F.xxhash64(*order), F.lit(buckets)), [F.col(c) for c in order], 2 * RANKED_TOGETHER, "__rank")
     place = F.col("__rank") - F.col("first_rank")
     on = [ranked["length"] == plan["length"], ranked["__rank"] >= plan["first_rank"], ranked["__rank"] < plan["end_rank"]]
     return (ranked.join(F.broadcast(plan), on)  # the plan is bounded by the lengths and capacities, not by the data

@@ -18,15 +18,18 @@ from __future__ import annotations
 from bisect import bisect_right
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import quoted, shared_table, without
+from tidemark.llm.numbering import numbered
 
 FIRST_DIGITS = 4
 MORE_DIGITS = 2
 #: Buckets of a shard in which slots are numbered side by side.
 SLOT_DIGITS = 3
+#: Rows of a bucket that one task numbers; more (of one id, or of none) are numbered in parts.
+SLOTS_TOGETHER = 1_000_000
 #: Sorts after every digest.
 AFTER_ALL = "g"
 
@@ -148,9 +151,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
     group over the mean of the shards that are left has a shard of its own. With
     fewer groups than shards, some shards stay empty. Slots are gapless from 0 in each shard, in
     the order of a hash of the id, which spreads any group over the numbering
-    buckets. An empty table gives an empty result. Input columns named like a
+    buckets; rows without an id, or of one id, are spread too if they are many. An empty table gives an empty result. Input columns named like a
     result column are replaced."""
-    results = ["size", "text_crc32", "shard", "slot", "digest", "bucket", "in_bucket", "before"]
+    results = ["size", "text_crc32", "shard", "slot", "digest", "bucket"]
     keep = [c for c in without(docs, results) if c != text]
     body = F.coalesce(F.col(quoted(text)).cast("string"), F.lit(""))
     narrow = shared_table(docs.select(
@@ -165,11 +168,6 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
     for k, digest in enumerate(alone):
         shard = F.when(F.col("digest") == digest, shards - len(alone) + k).otherwise(shard)
     placed = narrow.withColumn("shard", shard.cast("int"))
-    # numbers within (shard, bucket), then the rows of the buckets before: at most shards x 16^3 counts
-    counts = placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("shard", "bucket", (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
     order = [F.col(quoted(doc_id)).asc_nulls_first(), F.col("digest")]
-    return (placed.withColumn("in_bucket", F.row_number().over(Window.partitionBy("shard", "bucket").orderBy(*order)))
-            .join(before, ["shard", "bucket"])
-            .select(*[F.col(quoted(c)) for c in keep], "size", "text_crc32", "shard",
-                    (F.col("before") + F.col("in_bucket") - 1).cast("long").alias("slot")))
+    return (numbered(placed, ["shard"], F.col("bucket"), order, SLOTS_TOGETHER, "slot")
+            .select(*[F.col(quoted(c)) for c in keep], "size", "text_crc32", "shard", "slot"))
