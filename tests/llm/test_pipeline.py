@@ -59,3 +59,48 @@ def test_stages_take_effect_and_keep_the_rest(spark):
 def test_registered(spark):
     numbers = {int(k[2:].split("_")[0]) for k in catalog.QUERIES if k.startswith("op")}
     assert numbers == set(range(1, 14)) and "pipeline" in catalog.QUERIES
+
+
+CLASHES = ["hits", "n_words", "kept", "class_id", "digest", "spans", "length", "sequence_id"]
+
+
+def test_each_stage_on_hard_rows(spark):
+    """Nulls in all columns, empty and very long texts, repeated rows and ids, clashing column names."""
+    plain = read_table(spark, SF, "documents").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    first = plain.orderBy("doc_id").first()
+    extra = [(None,) * 5, (None,) * 5, (-1, "", None, None, 0), (-2, "word " * 30_000, "en", "x", None), (-3, "x" * 100_000, "en", "x", 1),
+             (-4, "日本語 é ß İ x\x00y", None, "x", 7), tuple(first), tuple(first)]
+    docs = plain.unionByName(spark.createDataFrame(extra, plain.schema))
+    for name in CLASHES:
+        docs = docs.selectExpr("*", f"'own' AS `{name}`")
+    docs = shared_table(docs, "hard-pipeline")
+    n = docs.count()
+    stages = dict(corpus_pipeline.STAGES)
+    out = {name: shared_table(stages[name](spark, docs, SF), "test") for name in stages}
+    for name in list(stages)[:-1]:
+        assert out[name].columns == docs.columns and out[name].count() <= n
+        assert out[name].where(" OR ".join(f"{c} IS DISTINCT FROM 'own'" for c in CLASHES)).count() == 0
+    rejected = {None, -1, -3, -4}  # fewer than 20 words
+    assert not rejected & {r["doc_id"] for r in out["quality_rules"].select("doc_id").collect()}
+    assert out["near_dedup"].where(f"doc_id = {first['doc_id']}").count() == 1
+    assert out["near_dedup"].where("text IS NULL").count() == 2  # like no other text
+    assert out["near_dedup"].where("text = ''").count() == 1
+    assert out["decontamination"].where("text IS NULL").count() == 2
+    assert out["secret_scan"].count() == n and out["secret_scan"].where("doc_id = -2").first()["text"] == "word " * 30_000
+    pieces = out["best_fit_packing"].collect()
+    starts = defaultdict(int)
+    for r in pieces:
+        starts[r["doc_id"]] += r["piece"] == 0
+    assert starts[None] == 2 and starts[first["doc_id"]] == 3 and sum(starts.values()) == n
+    held = defaultdict(list)
+    for r in pieces:
+        held[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in held.values():
+        places.sort()
+        assert all(a + length == b for (a, length), (b, _) in zip(places, places[1:])) and places[0][0] == 0 and sum(places[-1]) <= 2048
+
+
+def test_each_stage_on_an_empty_table(spark):
+    docs = read_table(spark, SF, "documents").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0, name
