@@ -203,3 +203,24 @@ def test_every_context_is_counted_by_itself(monkeypatch):
     keys = np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64)
     table = lm.ContextTable(keys, np.arange(5000, dtype=np.float32), np.ones(5000, np.int8))
     assert (table.values(keys)[0] == np.arange(5000)).all() and not table.values(keys + np.uint64(1))[1].any()
+
+
+def test_a_text_is_scored_by_the_whole_corpus(docs, monkeypatch):
+    """Copies of a text in other rows, and in any shard, tell the same of it; whether a context
+    is held by every task or joined makes no difference."""
+    rnd = random.Random(9)
+    odd = " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(60))
+    rows = prose(8, 200) + [(1000, odd)] + [(2000 + i, odd) for i in range(12)]
+    table = docs(rows)
+    found = []
+    for shard_bytes, held in ((1 << 24, 1 << 20), (2000, 1 << 20), (2000, 300), (2000, 0)):
+        monkeypatch.setattr(lm, "SHARD_BYTES", shard_bytes)
+        monkeypatch.setattr(lm, "HELD_CONTEXTS", held)
+        model = lm.fit(table.where("doc_id <= 1000"))
+        assert (model.shards == 1) == (shard_bytes > 2000)
+        found.append({r["doc_id"]: r["score"] for r in lm.score_texts(table, model).collect()})
+        assert len(found[-1]) == len(rows)
+        assert all(math.isclose(found[-1][2000 + i], found[-1][1000], rel_tol=1e-4) for i in range(12))
+        assert all(math.isclose(s, found[0][k], rel_tol=1e-4) for k, s in found[-1].items())
+    unseen = {r["doc_id"]: r["score"] for r in lm.score_texts(table, lm.fit(table.where("doc_id < 1000"))).collect()}
+    assert unseen[2000] < 2 * found[0][2000]

@@ -10,12 +10,14 @@ probability map refines the sum. Weights and maps start from fixed values in eac
 text and are learned online while it is read to its end, after every ``STEP`` bytes, so a score is
 a probability of the text and doesn't depend on how texts are dealt to tasks.
 
-What the corpus teaches are the trees and the predictors' counts. The counts are kept by
-shards: training texts, and the texts to score, are dealt by hash to shards of about
-``SHARD_BYTES`` of training text each. A task streams through a shard, first its training
-texts, of which it counts every context, then the texts that are scored by these
-counts. Shards grow in number with the corpus, not in size; nothing but the trees and
-the counts of frequent words passes through the driver.
+What the corpus teaches are the trees and the predictors' counts, both of all training
+texts. Words and runs of five bytes are counted first, and the contexts by these: one word
+stands for all its places. The counts of every context are a Spark table. Every task
+holds the most frequent contexts, ``HELD_CONTEXTS`` at most; of the others, texts ask for
+those that occur in them. Texts are dealt by hash to shards of about ``SHARD_BYTES``,
+each shard's answers come by a join, and a task streams through a shard, first the answers,
+then the texts. Shards grow in number with the corpus, not in size; nothing but the
+trees and the counts of frequent words and contexts passes through the driver.
 """
 
 from __future__ import annotations
@@ -26,23 +28,30 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import NOT_SPACE, SpanHash, map_arrow, mix64, quoted, shared_table, slices, without, word_spans
+from tidemark.llm.common import SpanHash, flat, map_arrow, mix64, quoted, shared_table, slices, without, word_spans
 
 END = 10  # closes a text; no word holds it
 #: Bytes before the first, so that contexts don't reach into another text.
 LEAD = 4
 #: Contexts, by how many bytes before they hold (0: the word so far, all of it).
 CONTEXTS = (3, 4, 0)
-#: Training text of a shard: what a worker counts and holds at a time, some 150 MB for it.
-SHARD_BYTES = 16 << 20
+#: Text of a shard, whose rarer contexts a worker holds at a time.
+SHARD_BYTES = 48 << 20
+#: (Context, pair of bytes) whose counts every task holds, at most; rarer contexts are joined.
+HELD_CONTEXTS = 1 << 21
+#: Contexts of an answer, about: they go to their shards in packs.
+TOLD = 500_000
 #: Counts that are gathered before they are summed.
 HELD_COUNTS = 1_000_000
 #: Bytes of texts scored side by side, and between two updates of the weights.
 SLICE, STEP = 1_000_000, 8
+#: Bytes of texts that ask for contexts together.
+ASKING = 4_000_000
 #: Bytes whose decisions are laid out at once.
 CHUNK = 50_000
 #: Mixer: first weight of each predictor, learning rate; refinement: largest log-odds, buckets, learning rate, share.
@@ -53,6 +62,9 @@ LEAST_CHANCE = np.float32(1 / 4096)
 #: Words whose counts every task holds, at most; rarer ones are joined.
 FREQUENT_WORDS = 1 << 20
 HELD_OUT_OF, HELD_OUT = 7, 2
+#: Bytes of words in streams, where one space is between two.
+IN_WORD = np.ones(256, bool)
+IN_WORD[[32, END]] = False
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -103,6 +115,10 @@ class Trees:
         self.begin = np.array([*begin, used], np.int64)
         self.spread, self.turns = mix64(np.array(nodes, np.uint64) + np.uint64(1)), np.array(turns, np.int8)
 
+    def first_keys(self, contexts: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Keys of contexts with the first node after the byte ``before``: a table that has a context has this."""
+        return mix64(contexts ^ self.spread.take(self.begin.take(before.astype(np.int64) * 256)))
+
 
 class ContextTable:
     """Log-odds of a 1 and how often seen (0: not, 1: up to four times, 2: more) of
@@ -155,20 +171,95 @@ def _node_keys(contexts: np.ndarray, pairs: np.ndarray, trees: Trees) -> tuple[n
     return mix64(np.repeat(contexts, count) ^ trees.spread.take(path)), path, count
 
 
+class Layered:
+    """Two tables as one: what the first has not, the second may have."""
+
+    def __init__(self, first: ContextTable, second: ContextTable):
+        self.first, self.second = first, second
+
+    def values(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        odds, level = self.first.values(keys)
+        left = np.flatnonzero(level == 0)
+        odds[left], level[left] = self.second.values(keys.take(left))
+        return odds, level
+
+
+class Words:
+    """The distinct words of streams: their keys, where one of each is, how often it
+    occurs (``n``) and how often as a text's last word (``n_last``)."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data, self.hashes = data, SpanHash(data)
+        self.begin, self.end, self.rows = word_spans(data, offsets, IN_WORD)
+        found = pa.array(self.hashes.spans(self.begin, self.end)).dictionary_encode()
+        self.keys, self.which = found.dictionary.to_numpy(), found.indices.to_numpy().astype(np.int64)  # which word each one is
+        at = np.empty(len(self.keys), np.int64)
+        at[self.which] = np.arange(len(self.which))
+        self.starts, self.ends = self.begin.take(at), self.end.take(at)
+        self.n = np.bincount(self.which, minlength=len(at))
+        self.n_last = np.bincount(self.which.take(self.rows[1:][self.rows[1:] > self.rows[:-1]] - 1), minlength=len(at))
+
+    def steps(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _word_steps(self.data, self.starts, self.ends, self.hashes)
+
+
+def _word_steps(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: SpanHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word and each of its bytes: the context of the byte after it, the byte's place, and the word's number."""
+    word = np.repeat(np.arange(len(starts)), ends - starts)
+    at = _spread_out(starts, ends - starts)
+    return _hashed(CONTEXTS.index(0), hashes.spans(starts.take(word), at + 1) + (data.take(at).astype(np.uint64) + np.uint64(1)) * _ODD), at, word
+
+
+def _first_context(before: np.ndarray) -> np.ndarray:
+    """The context of a word's first byte, by the byte before."""
+    return _hashed(CONTEXTS.index(0), (before.astype(np.uint64) + np.uint64(1)) * _ODD)
+
+
+def _gram_contexts(grams: np.ndarray) -> dict[int, np.ndarray]:
+    """Contexts of the byte orders, by predictor, of runs of ``LEAD`` bytes and one."""
+    return {k: _hashed(k, (grams >> np.uint64(8)) & np.uint64((1 << (8 * order)) - 1)) for k, order in enumerate(CONTEXTS) if order}
+
+
 class Decisions:
     """The binary decisions of a run of streams."""
 
-    def __init__(self, data: np.ndarray, places: np.ndarray, trees: Trees, table: ContextTable):
+    def __init__(self, data: np.ndarray, places: np.ndarray, trees: Trees, table: ContextTable | Layered, words: Words):
         pair = _pairs(data, places)
         self.first = trees.begin.take(pair)
         self.count = trees.begin.take(pair + 1) - self.first
         self.trees = trees
+        grams = pa.array(_grams(data, places)).dictionary_encode()
+        distinct, which = grams.dictionary.to_numpy(), grams.indices.to_numpy()
+        laid = {k: (contexts, (distinct & np.uint64(0xFFFF)).astype(np.int64), which) for k, contexts in _gram_contexts(distinct).items()}
+        laid[CONTEXTS.index(0)] = self._by_word(data, places, words)
         self.found = []  # of each predictor: where a byte's values begin, log-odds, how often seen
-        for context in _contexts(data, places):
-            contexts, pairs, which = _distinct(context, pair)
+        for k in range(len(CONTEXTS)):
+            contexts, pairs, which = laid[k]
             keys, _, count = _node_keys(contexts, pairs, trees)
             self.found.append(((np.cumsum(count) - count).take(which), *table.values(keys)))
 
+    def _by_word(self, data: np.ndarray, places: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Contexts of the word so far and pairs, without repeats, and which of them each
+        place has: a word's bytes but the first, then its end, by a space or the text's
+        end; after these the first bytes of words."""
+        contexts, at, word = words.steps()
+        length = words.ends - words.starts
+        last = np.cumsum(length) - 1
+        after = data.take(np.minimum(at + 1, len(data) - 1)).astype(np.int64)
+        after[last] = 32
+        before = data.take(at).astype(np.int64)
+        starts = np.repeat([32, END], 256)
+        contexts = np.concatenate([contexts, contexts.take(last), _first_context(starts)])
+        pairs = np.concatenate([before * 256 + after, before.take(last) * 256 + END, starts * 256 + np.tile(np.arange(256), 2)])
+        number = len(at) + len(last) + np.where(data.take(places - 1) == END, 256, 0) + data.take(places)  # as if all were first bytes
+        of_place = np.full(len(data) + 1, -1, np.int64)  # a last word may end with the data
+        mine = length.take(words.which)
+        of_place[_spread_out(words.begin + 1, mine)] = _spread_out((last + 1 - length).take(words.which), mine)
+        closing = data.take(np.minimum(words.end, len(data) - 1)) != 32
+        of_place[words.end[closing]] = len(at) + words.which[closing]
+        inside = of_place.take(places)
+        return contexts, pairs, np.where(inside < 0, number, inside)
+
     def chunks(self) -> Iterator[tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]:
         """Of every decision: the number of its byte among the coded ones, the
         turn, and each predictor's log-odds and how often it was seen."""
@@ -187,21 +278,30 @@ def _pairs(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return data.take(places - 1).astype(np.int64) * 256 + data.take(places)
 
 
+def _hashed(predictor: int, context: np.ndarray) -> np.ndarray:
+    return mix64(context * _ODD + np.uint64(predictor + 1))
+
+
+def _grams(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The ``LEAD`` bytes before each place and the place's own, which is lowest."""
+    wide = data.astype(np.uint64)
+    grams = wide.copy()
+    for back in range(1, min(LEAD, len(data) - 1) + 1):
+        grams[back:] |= wide[: len(wide) - back] << np.uint64(8 * back)
+    return grams.take(places)
+
+
 def _contexts(data: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
     """Each predictor's context at each place as a 64-bit hash: of the bytes before,
     or of the word so far (since the last space or lead) and the byte before."""
-    wide = data.astype(np.uint64)
-    before = np.zeros(len(data), np.uint64)  # the bytes before, the last one lowest
-    for back in range(1, min(LEAD, len(data) - 1) + 1):
-        before[back:] |= wide[: len(wide) - back] << np.uint64(8 * (back - 1))
-    before = before.take(places)
+    by_order = _gram_contexts(_grams(data, places))
     ends = (data == 32) | (data == END)
     begin = np.maximum.accumulate(np.where(ends, np.arange(len(data)), -1)) + 1  # after the last separator up to here
-    word = SpanHash(data).spans(begin.take(places - 1), places) + (wide.take(places - 1) + np.uint64(1)) * _ODD
-    return [mix64((before & np.uint64((1 << (8 * order)) - 1) if order else word) * _ODD + np.uint64(k + 1)) for k, order in enumerate(CONTEXTS)]
+    word = SpanHash(data).spans(begin.take(places - 1), places) + (data.take(places - 1).astype(np.uint64) + np.uint64(1)) * _ODD
+    return [by_order[k] if order else _hashed(k, word) for k, order in enumerate(CONTEXTS)]
 
 
-def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees, table: ContextTable) -> np.ndarray:
+def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees, table: ContextTable | Layered, words: Words | None = None) -> np.ndarray:
     """Log10 probability of each stream."""
     lengths = np.diff(offsets) - LEAD
     row = np.repeat(np.arange(len(lengths)), lengths)
@@ -209,7 +309,7 @@ def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees,
     step = within // STEP
     order = np.argsort(step.astype(np.uint16) if step.max(initial=0) < 1 << 16 else step, kind="stable")  # all first bytes of the texts, then all second ones, ...
     row, step = row.take(order), step.take(order)
-    laid = Decisions(data, coded_places(offsets).take(order), trees, table)
+    laid = Decisions(data, coded_places(offsets).take(order), trees, table, words or Words(data, offsets))
     lane_gates, lane_map = row * 9, row * BUCKETS
     found = []
     for owner, turn, values in laid.chunks():
@@ -243,41 +343,47 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % HELD_OUT_OF == HELD_OUT
 
 
-def _word_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit keys of the words of streams, and their n+1 offsets."""
-    starts, ends, rows = word_spans(data, offsets, NOT_SPACE)
-    return SpanHash(data).spans(starts, ends).view(np.int64), rows
+def _tally(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct keys and the sums of their counts (without any: how often they occur)."""
+    found = pa.array(keys).dictionary_encode()
+    which, size = found.indices.to_numpy(), len(found.dictionary)
+    return (found.dictionary.to_numpy(), *[np.bincount(which, weights=n, minlength=size).astype(np.int64) for n in counts or (None,)])
 
 
 def corpus_counts(train: DataFrame) -> DataFrame:
-    """``kind``, ``key``, ``n``: how often each pair of bytes (kind 0) and each
-    word (kind 1) occurs in column 0 of ``train``; words by 64-bit hash."""
+    """``kind``, ``key``, ``word``, ``n``, ``n_last``: how often each pair of bytes (kind 0), each
+    word (kind 1) and each run of five bytes (kind 2) occurs in column 0 of ``train``, and
+    a word as the last of its text. A word's key is a 64-bit hash."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            words = []
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, ASKING):
                 _, data, offsets = streams(part.column(0))
                 places = coded_places(offsets)
-                pairs += np.bincount(data.take(places - 1).astype(np.int64) * 256 + data.take(places), minlength=1 << 16)
-                keys, n = np.unique(_word_keys(data, offsets)[0], return_counts=True)
-                words.append((keys, n))
-            yield _counted(1, np.concatenate([k for k, _ in words]), np.concatenate([n for _, n in words]))
+                grams, n = _tally(_grams(data, places))
+                np.add.at(pairs, (grams & np.uint64(0xFFFF)).astype(np.int64), n)
+                words = Words(data, offsets)
+                length = words.ends - words.starts
+                spelt = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(length), [
+                    None, pa.py_buffer(np.concatenate([[0], np.cumsum(length)]).astype(np.int64)), pa.py_buffer(data.take(_spread_out(words.starts, length)))])
+                yield _rows(1, words.keys.view(np.int64), spelt.cast(pa.binary()), words.n, words.n_last)
+                yield _rows(2, grams.view(np.int64), None, n, None)
         seen = np.flatnonzero(pairs)
-        yield _counted(0, seen, pairs[seen])
+        yield _rows(0, seen, None, pairs[seen], None)
 
-    def _counted(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        keys, which = np.unique(keys, return_inverse=True)
-        n = np.bincount(which, weights=n, minlength=len(keys)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys, pa.int64()), pa.array(n)], names=["kind", "key", "n"])
+    def _rows(kind: int, keys: np.ndarray, words: pa.Array | None, n: np.ndarray, last: np.ndarray | None) -> pa.RecordBatch:
+        kinds, none = pa.array(np.full(len(keys), kind, np.int32)), pa.nulls(len(keys), pa.binary())
+        last = np.zeros(len(keys), np.int64) if last is None else last
+        return pa.RecordBatch.from_arrays([kinds, pa.array(keys, pa.int64()), none if words is None else words, pa.array(n, pa.int64()), pa.array(last, pa.int64())],
+                                          names=["kind", "key", "word", "n", "n_last"])
 
-    rows = map_arrow(train, count, "kind int, key long, n long")
-    return shared_table(rows.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
+    rows = map_arrow(train, count, "kind int, key long, word binary, n long, n_last long")
+    return shared_table(rows.groupBy("kind", "key", "word").agg(F.sum("n").alias("n"), F.sum("n_last").alias("n_last")).sortWithinPartitions("kind", "word"), "lm-counts")  # words that begin alike side by side
 
 
 class ShardCounts:
-    """How often each (context, pair of bytes) occurs in the training texts of a shard."""
+    """How often each (context, pair of bytes) occurs in texts, or in what was counted of them."""
 
     def __init__(self) -> None:
         self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -285,40 +391,110 @@ class ShardCounts:
 
     def add(self, texts: pa.Array) -> None:
         _, data, offsets = streams(texts)
-        places = coded_places(offsets)
-        pair = _pairs(data, places)
-        for context in _contexts(data, places):
-            self.held.append(self._summed(context, pair, None))
-            self.waiting += len(self.held[-1][2])
+        grams, n = _tally(_grams(data, coded_places(offsets)))
+        self.add_grams(grams, n)
+        self.add_pairs(*_tally((grams & np.uint64(0xFFFF)).astype(np.int64), n))
+        words = Words(data, offsets)
+        self.add_words(data, words.starts, words.ends, words.n, words.n_last)
+
+    def add_grams(self, grams: np.ndarray, n: np.ndarray) -> None:
+        for contexts in _gram_contexts(grams).values():
+            self.hold(contexts, (grams & np.uint64(0xFFFF)).astype(np.int64), n)
+
+    def add_pairs(self, pairs: np.ndarray, n: np.ndarray) -> None:
+        """Of pairs of bytes, those whose second is the first of a word (or ends a text without words)."""
+        first = np.flatnonzero((pairs >> 8 == 32) | (pairs >> 8 == END))
+        self.hold(_first_context(pairs[first] >> 8), pairs[first], n[first])
+
+    def add_words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: np.ndarray, last: np.ndarray) -> None:
+        contexts, at, word = _word_steps(data, starts, ends, SpanHash(data))
+        closing = np.cumsum(ends - starts) - 1
+        inner = np.ones(len(at), bool)
+        inner[closing] = False
+        before = data.take(at).astype(np.int64) * 256
+        self.hold(contexts[inner], before[inner] + data.take(at[inner] + 1), n.take(word[inner]))
+        for byte, times in ((32, n - last), (END, last)):
+            some = times > 0
+            self.hold(contexts[closing[some]], before[closing[some]] + byte, times[some])
+
+    def hold(self, contexts: np.ndarray, pairs: np.ndarray, n: np.ndarray) -> None:
+        if len(n):
+            self.held.append((contexts, pairs, n))
+            self.waiting += len(n)
         if self.waiting > self.least:
             self._sum()
 
-    def _summed(self, context: np.ndarray, pair: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        contexts, pairs, which = _distinct(context, pair)
-        return contexts, pairs, np.bincount(which, weights=n, minlength=len(pairs)).astype(np.int64)
-
     def _sum(self) -> None:
-        self.held = [self._summed(*map(np.concatenate, zip(*self.held)))]
-        self.waiting, self.least = 0, max(HELD_COUNTS, len(self.held[0][2]))
+        context, pair, n = map(np.concatenate, zip(*self.held))
+        contexts, pairs, which = _distinct(context, pair)
+        self.held = [(contexts, pairs, np.bincount(which, weights=n, minlength=len(pairs)).astype(np.int64))]
+        self.waiting, self.least = 0, max(HELD_COUNTS, len(pairs))
 
-    def table(self, trees: Trees) -> ContextTable:
+    def sums(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if not self.held:
-            return ContextTable(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.int8))
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._sum()
-        contexts, pairs, n = self.held.pop()
-        keys, path, counts = _node_keys(contexts, pairs, trees)
-        n, turn = np.repeat(n, counts), trees.turns.take(path)
-        found = pa.array(keys.view(np.int64)).dictionary_encode()
-        which, size = found.indices.to_numpy(), len(found.dictionary)
-        zeros, ones = (np.bincount(which, weights=n * (turn == t), minlength=size) for t in (0, 1))
-        odds = np.log((ones + 0.4) / (zeros + 0.4)).astype(np.float32)
-        return ContextTable(found.dictionary.to_numpy().view(np.uint64), odds, np.minimum(2, (zeros + ones + 3) // 4).astype(np.int8))
+        return self.held.pop()
+
+    def table(self, trees: Trees) -> ContextTable:
+        return ContextTable(*_node_odds(*self.sums(), trees))
+
+
+def _node_odds(contexts: np.ndarray, pairs: np.ndarray, n: np.ndarray, trees: Trees) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each (context, node): key, log-odds of a 1 and how often seen (1 or 2, see ``ContextTable``)."""
+    keys, path, counts = _node_keys(contexts, pairs, trees)
+    n, turn = np.repeat(n, counts), trees.turns.take(path)
+    found = pa.array(keys.view(np.int64)).dictionary_encode()
+    which, size = found.indices.to_numpy(), len(found.dictionary)
+    zeros, ones = (np.bincount(which, weights=n * (turn == t), minlength=size) for t in (0, 1))
+    odds = np.log((ones + 0.4) / (zeros + 0.4)).astype(np.float32)
+    return found.dictionary.to_numpy().view(np.uint64), odds, np.minimum(2, (zeros + ones + 3) // 4).astype(np.int8)
+
+
+def _held_table(contexts: DataFrame, trees: Trees) -> ContextTable:
+    """The table of some of :func:`context_counts`. The odds are made in tasks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, odds, level = _node_odds(*_unpacked(batch.column(0), batch.column(1)), shared.value)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(odds), pa.array(level)], names=["key", "odds", "level"])
+
+    shared = contexts.sparkSession.sparkContext.broadcast(trees)
+    rows = map_arrow(contexts.select("context", "steps"), run, "key long, odds float, level byte").toArrow()
+    return ContextTable(rows["key"].to_numpy().view(np.uint64), rows["odds"].to_numpy(), rows["level"].to_numpy())
+
+
+def context_counts(counts: DataFrame) -> DataFrame:
+    """``context``, ``by_bytes`` (1: a context of bytes, 0: of a word so far), ``total`` and
+    ``steps``: how often each context occurs in the corpus of ``counts``, and before which
+    byte how often (n * 65536 + pair of bytes)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, key, n, last = (batch.column(c).to_numpy() for c in ("kind", "key", "n", "n_last"))
+            for by_bytes in (1, 0):
+                learnt = ShardCounts()
+                if by_bytes:
+                    learnt.add_grams(key[kind == 2].view(np.uint64), n[kind == 2])
+                else:
+                    data, offsets = flat(batch.column("word").filter(pa.array(kind == 1)))
+                    learnt.add_words(data, offsets[:-1], offsets[1:], n[kind == 1], last[kind == 1])
+                    learnt.add_pairs(key[kind == 0], n[kind == 0])
+                contexts, pairs, times = learnt.sums()
+                yield pa.RecordBatch.from_arrays([pa.array(contexts.view(np.int64)), pa.array(np.full(len(times), by_bytes, np.int32)), pa.array(pairs, pa.int32()), pa.array(times)],
+                                                 names=["context", "by_bytes", "pair", "n"])
+
+    rows = map_arrow(counts, run, "context long, by_bytes int, pair int, n long")
+    summed = rows.repartition("context").groupBy("context", "by_bytes", "pair").agg(F.sum("n").alias("n"))
+    return shared_table(summed.groupBy("context", "by_bytes").agg(F.sum("n").alias("total"), F.collect_list(F.col("n") * 65536 + F.col("pair")).alias("steps")), "lm-contexts")
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     trees: Trees
-    train: DataFrame  # shard, text
+    held: ContextTable  # of the frequent contexts
+    rare: DataFrame  # the other contexts: context, steps
+    rare_bytes: bool  # contexts of bytes are among them
     shards: int
     counts: DataFrame  # of words: key, n
     tokens: int  # with the end of each text
@@ -332,9 +508,30 @@ def _shard(df: DataFrame, shards: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(quoted(c)).cast("string") for c in df.columns]), F.lit(shards))
 
 
+def _step_of(n: str) -> Column:
+    return F.floor(F.log2(n) * 8)
+
+
+def _least_step(counted: list, most: int) -> int | None:
+    """The least step down to which ``counted`` (``step``, ``size``) comes to ``most`` at most."""
+    least, held = None, 0
+    for r in sorted(counted, key=lambda r: -r["step"]):
+        held += r["size"]
+        if held > most:
+            break
+        least = r["step"]
+    return least
+
+
+def _unpacked(contexts: pa.Array, steps: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, pairs of bytes and counts from packed ``steps``."""
+    values = steps.flatten().to_numpy(zero_copy_only=False)
+    sizes = steps.value_lengths().to_numpy(zero_copy_only=False)
+    return np.repeat(contexts.to_numpy(zero_copy_only=False).view(np.uint64), sizes), values & 0xFFFF, values >> 16
+
+
 def fit(train: DataFrame, text: str = "text") -> LanguageModel:
-    """Learn from the texts of ``train``, all of them. Its other columns (an id) only help to
-    deal copies of one text to different shards."""
+    """Learn from the texts of ``train``, all of them: every text is scored by the counts of the whole corpus."""
     body = F.col(quoted(text)).cast("string").alias("text")
     counts = corpus_counts(train.select(body))
     pairs = np.zeros(1 << 16, np.int64)
@@ -344,19 +541,102 @@ def fit(train: DataFrame, text: str = "text") -> LanguageModel:
     total, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     texts = int(pairs.reshape(256, 256)[:, END].sum())
     # the least count that at most FREQUENT_WORDS words have, from how many words there are in each eighth of a power of two
-    step = F.floor(F.log2("n") * 8)
-    least, held = None, 0
-    for r in words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect():
-        held += r["words"]
-        if held > FREQUENT_WORDS:
-            break
-        least = r["step"]
-    chosen = words.where(step >= least if least is not None else F.lit(False)).toArrow()
+    least = _least_step(words.groupBy(_step_of("n").alias("step")).agg(F.count(F.lit(1)).alias("size")).collect(), FREQUENT_WORDS)
+    chosen = words.where(_step_of("n") >= least if least is not None else F.lit(False)).toArrow()
     keys, n = chosen["key"].to_numpy(), chosen["n"].to_numpy()
     order = np.argsort(keys)
     trees = Trees(pairs.reshape(256, 256))
+    contexts = context_counts(counts)
+    sizes = contexts.groupBy("by_bytes", _step_of("total").alias("step")).agg(F.sum(F.size("steps")).alias("size")).collect()
+    by_bytes = sum(r["size"] for r in sizes if r["by_bytes"])
+    all_bytes = by_bytes <= HELD_CONTEXTS // 2  # then no text needs to ask for them
+    least = _least_step([r for r in sizes if not (all_bytes and r["by_bytes"])], HELD_CONTEXTS - all_bytes * by_bytes)
+    held = (_step_of("total") >= least if least is not None else F.lit(False)) | ((F.col("by_bytes") == 1) & F.lit(all_bytes))
+    held |= F.col("context").isin(_first_context(np.array([32, END])).view(np.int64).tolist())  # two contexts that every text has
     shards = -(-int(pairs.sum()) // SHARD_BYTES) or 1
-    return LanguageModel(trees, train.select(_shard(train, shards).alias("shard"), body), shards, words, int(total) + texts, int(types) + (texts > 0), texts, (keys[order], n[order]))
+    return LanguageModel(trees, _held_table(contexts.where(held), trees), contexts.where(~held).select("context", "steps"), not all_bytes, shards, words,
+                         int(total) + texts, int(types) + (texts > 0), texts, (keys[order], n[order]))
+
+
+def _asked(texts: DataFrame, shared: Broadcast, rare_bytes: bool) -> DataFrame:
+    """``shard``, ``context``: contexts that are not held by all and occur in the texts of a shard."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, held = shared.value[:2]
+        waiting, least = [], HELD_COUNTS
+        for batch in batches:
+            for part in slices(batch, 1, ASKING):
+                _, data, offsets = streams(part.column(1))
+                shard = part.column(0).to_numpy()
+                words = Words(data, offsets)
+                contexts, at, word = words.steps()
+                rows = np.repeat(shard, np.diff(words.rows))
+                asked = [(contexts, data.take(at), word, words.which, rows)]
+                if rare_bytes:
+                    grams = pa.array(_grams(data, coded_places(offsets)) >> np.uint64(8)).dictionary_encode()
+                    rows = np.repeat(shard, np.diff(offsets) - LEAD)
+                    runs = grams.dictionary.to_numpy()
+                    for contexts in _gram_contexts(runs << np.uint64(8)).values():
+                        asked.append((contexts, runs & np.uint64(0xFF), np.arange(len(contexts)), grams.indices.to_numpy().astype(np.int64), rows))
+                for contexts, before, owner, which, rows in asked:  # contexts of owners, the owner of each occurrence and its shard
+                    rare = np.flatnonzero(held.values(trees.first_keys(contexts, before))[1] == 0)
+                    contexts, has = contexts.take(rare), np.bincount(owner.take(rare), minlength=int(owner.max(initial=-1)) + 1)
+                    some = np.flatnonzero(has.take(which) > 0) if len(which) else which
+                    who = np.unique(rows.take(some) * len(has) + which.take(some))
+                    to, who = who // max(1, len(has)), who % max(1, len(has))
+                    count = has.take(who)
+                    waiting.append((np.repeat(to, count), contexts.take(_spread_out((np.cumsum(has) - has).take(who), count))))
+                    if sum(len(to) for to, _ in waiting) > least:
+                        waiting = [_once(waiting)]
+                        if len(waiting[0][0]) > 2 * HELD_COUNTS:
+                            yield _rows(waiting.pop())
+                        least = HELD_COUNTS + sum(2 * len(to) for to, _ in waiting)
+        if waiting:
+            yield _rows(_once(waiting))
+
+    def _once(waiting: list) -> tuple[np.ndarray, np.ndarray]:
+        shards, contexts = map(np.concatenate, zip(*waiting))
+        found = pa.array(mix64(contexts ^ mix64(shards.astype(np.uint64) + np.uint64(1)))).dictionary_encode()
+        at = np.empty(len(found.dictionary), np.int64)
+        at[found.indices.to_numpy()] = np.arange(len(contexts))
+        return shards.take(at), contexts.take(at)
+
+    def _rows(some: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(some[0], pa.int64()), pa.array(some[1].view(np.int64))], names=["shard", "context"])
+
+    return map_arrow(texts, run, "shard long, context long").repartition("context").dropDuplicates(["shard", "context"])
+
+
+def _told(asked: DataFrame, rare: DataFrame) -> DataFrame:
+    """``shard`` and ``counts``: what is ``asked`` and known, many contexts a row."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, rows = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            rows += batch.num_rows
+            if rows >= TOLD:
+                yield _packs(waiting)
+                waiting, rows = [], 0
+        if rows:
+            yield _packs(waiting)
+
+    def _packs(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(waiting).sort_by("shard").combine_chunks()
+        shard, context, steps = (rows[c].combine_chunks() for c in ("shard", "context", "steps"))
+        contexts, pairs, n = _unpacked(context, steps)
+        shards = np.repeat(shard.to_numpy(), steps.value_lengths().to_numpy())
+        cuts = np.flatnonzero(np.diff(shards, prepend=-1))
+        packs = [contexts[a:b].tobytes() + n[a:b].astype(np.int64).tobytes() + pairs[a:b].astype(np.uint16).tobytes() for a, b in zip(cuts, [*cuts[1:], len(shards)])]
+        return pa.RecordBatch.from_arrays([pa.array(shards[cuts], pa.int64()), pa.array(packs, pa.binary())], names=["shard", "counts"])
+
+    return map_arrow(asked.join(rare, "context").select("shard", "context", "steps"), run, "shard long, counts binary")
+
+
+def _opened(packs: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for pack in packs.to_pylist():
+        n = len(pack) // 18
+        yield np.frombuffer(pack, np.uint64, n), np.frombuffer(pack, np.uint16, n, 16 * n).astype(np.int64), np.frombuffer(pack, np.int64, n, 8 * n)
 
 
 SCORED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("log_counts", T.DoubleType()),
@@ -370,55 +650,59 @@ def score_texts(docs: DataFrame, model: LanguageModel, text: str = "text") -> Da
     ``bits_per_byte``.
 
     A null text counts as empty: its only token is the end. Rows are scored one by
-    one, repeated rows (equal in all columns) alike, by the counts of their shard; a
-    shard without training text, or a model of no text, gives even odds. Input columns
-    named like a result column are replaced."""
+    one by the counts of the whole corpus; a model of no text gives even odds. Input
+    columns named like a result column are replaced."""
     results = ["n_tokens", "n_known", "base_score", "score", "bits_per_byte", *SCORED.names, "row_key"]
     keep = [c for c in without(docs, results) if c != text]
-    shared = docs.sparkSession.sparkContext.broadcast((model.trees, model.frequent, model.texts))
+    shared = docs.sparkSession.sparkContext.broadcast((model.trees, model.held, model.frequent, model.texts))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, (keys, counts), texts = shared.value
+        trees, held, (keys, counts), texts = shared.value
         log_count = np.log10(np.append(counts, 0) + 1.0)
         end_cost, end_known = np.log10(texts + 1.0), int(texts > 0)
         current, learnt, table = None, None, None
         for batch in batches:
-            shard, trains = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(trains) != 0)) + 1
+            shard, is_text = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(is_text) != 0)) + 1
             for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
                 if begin == end:
                     continue
-                if shard[begin] != current:  # a shard's training texts come first
+                if shard[begin] != current:  # a shard's answers come first
                     current, learnt, table = shard[begin], ShardCounts(), None
-                for part in slices(batch.slice(begin, end - begin), 2, SLICE):
-                    if trains[begin] == 0:
-                        learnt.add(part.column(2))
-                        continue
-                    if table is None:
-                        table, learnt = learnt.table(trees), None
+                run_of = batch.slice(begin, end - begin)
+                if is_text[begin] == 0:
+                    for counted in _opened(run_of.column(3)):
+                        learnt.hold(*counted)
+                    continue
+                if table is None:
+                    table, learnt = Layered(held, learnt.table(trees)), None
+                for part in slices(run_of, 2, SLICE):
                     own, data, offsets = streams(part.column(2))
-                    words, rows = _word_keys(data, offsets)
-                    place = np.searchsorted(keys, words)
-                    known = np.append(keys, 0)[place] == words if len(keys) else np.zeros(len(words), bool)
-                    n = np.diff(rows)
+                    words = Words(data, offsets)
+                    place = np.searchsorted(keys, words.keys.view(np.int64))
+                    known = (np.append(keys, 0)[place] == words.keys.view(np.int64) if len(keys) else np.zeros(len(words.keys), bool)).take(words.which)
+                    place = place.take(words.which)
+                    n = np.diff(words.rows)
                     row = np.repeat(np.arange(len(n)), n)
                     cost = np.bincount(row[known], weights=log_count[place[known]], minlength=len(n)) + end_cost
                     rare = np.concatenate([[0], np.cumsum(np.bincount(row[~known], minlength=len(n)))])
                     columns = {"n_tokens": n + 1, "n_known": np.bincount(row[known], minlength=len(n)) + end_known, "log_counts": cost,
-                               "bytes": [len(s) for s in own], "score": score(own, data, offsets, trees, table)}
-                    arrays = [part.column(3).field(i) for i in range(len(keep))]
+                               "bytes": [len(s) for s in own], "score": score(own, data, offsets, trees, table, words)}
+                    arrays = [part.column(4).field(i) for i in range(len(keep))]
                     arrays += [pa.array(columns[f.name], pa.float64() if f.dataType == T.DoubleType() else pa.int64()) for f in SCORED.fields[:-1]]
-                    arrays.append(pa.ListArray.from_arrays(pa.array(rare, pa.int32()), pa.array(words[~known], pa.int64())))
+                    arrays.append(pa.ListArray.from_arrays(pa.array(rare, pa.int32()), pa.array(words.keys.view(np.int64).take(words.which[~known]), pa.int64())))
                     yield pa.RecordBatch.from_arrays(arrays, names=[*plain, *SCORED.names])
 
     plain = [f"c{i}" for i in range(len(keep))]
     schema = T.StructType([T.StructField(p, docs.schema[c].dataType) for p, c in zip(plain, keep)] + list(SCORED.fields))
     kept = F.struct(F.lit(0).alias("none")) if not keep else F.struct(*[F.col(quoted(c)).alias(p) for p, c in zip(plain, keep)])
-    rows = docs.select(_shard(docs, model.shards).alias("shard"), F.lit(1).alias("trains"), F.col(quoted(text)).cast("string").alias("text"), kept.alias("kept"))
-    train = model.train.select("shard", F.lit(0).alias("trains"), "text", F.lit(None).cast(rows.schema["kept"].dataType).alias("kept"))
-    dealt = train.unionByName(rows).repartitionByRange(model.shards, "shard")
+    body, shard = F.col(quoted(text)).cast("string").alias("text"), _shard(docs, model.shards).alias("shard")
+    rows = docs.select(shard, F.lit(1).alias("is_text"), body, F.lit(None).cast("binary").alias("counts"), kept.alias("kept"))
+    told = _told(_asked(docs.select(shard, body), shared, model.rare_bytes), model.rare).select(
+        "shard", F.lit(0).alias("is_text"), F.lit(None).cast("string").alias("text"), "counts", F.lit(None).cast(rows.schema["kept"].dataType).alias("kept"))
+    dealt = told.unionByName(rows).repartitionById(model.shards, F.col("shard").cast("int"))
     # texts of about one length go side by side: the longest of a slice sets how many updates it takes
-    dealt = dealt.sortWithinPartitions("shard", "trains", F.octet_length("text"))
+    dealt = dealt.sortWithinPartitions("shard", "is_text", F.octet_length("text"))
     # the row key is stored with the rows, so it stays what it is if a task runs again
     scored = shared_table(map_arrow(dealt, run, schema).withColumn("row_key", F.monotonically_increasing_id()), "lm-scored")
     found = (scored.select("row_key", F.explode("rare").alias("key")).join(model.counts, "key")
