@@ -93,3 +93,21 @@ def test_round_trip_of_documents(docs, empty):
         assert end <= 64
     assert len(sequences) == len(best_fit_one_by_one([r["length"] for r in got], 64))
     assert pack_documents(empty, PATH).collect() == []
+
+
+def test_words_of_a_large_vocabulary_are_learnt_once(monkeypatch):
+    """More words than were remembered before, and once again: nothing is left to learn."""
+    import pyarrow as pa
+    import public_tokenizers
+
+    from tidemark.llm.packing import WordTokenizer
+
+    tokenizer = WordTokenizer(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    learnt, learn = [], tokenizer._learn
+    monkeypatch.setattr(tokenizer, "_learn", lambda words, hashes: learnt.append(len(words)) or learn(words, hashes))
+    parts = [pa.array([" ".join(f"{i:x}" for i in range(a, a + 65_000))]) for a in range(0, 260_000, 65_000)]
+    first = [tokenizer.encode(p) for p in parts]
+    assert sum(learnt) == 260_000
+    again = [tokenizer.encode(p) for p in parts]
+    assert sum(learnt) == 260_000
+    assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(first, again))

@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from tidemark.llm.numbering import numbered
 SEQUENCE_TOKENS = 2048
 END_ID = 0
 #: Words a Python worker remembers with their ids before it starts afresh.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 1_000_000
 #: Bytes with A-Z lowered.
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 #: Pieces that one task ranks.
@@ -116,13 +117,18 @@ class WordTokenizer:
         if b"<|" not in data.tobytes():  # special tokens are matched before lower-casing
             data = LOWER[data]
         starts, ends, rows = word_spans(data, offsets, NOT_SPACE)
-        keys, first, which = np.unique(SpanHash(data).spans(starts, ends), return_index=True, return_inverse=True)
-        new = [i for i, key in enumerate(keys.tolist()) if key not in self.words]
-        if new:
-            raw, begin, end = data.tobytes(), starts[first].tolist(), ends[first].tolist()
-            self._learn([raw[begin[i] : end[i]] for i in new], keys[new].tolist())
-        at = np.fromiter(map(self.words.__getitem__, keys.tolist()), np.int64, len(keys))[which]
-        return self.word_ids.gather_ended(np.insert(at, rows[1:], -1), END_ID)
+        found = pa.array(SpanHash(data).spans(starts, ends)).dictionary_encode()
+        keys, which = found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
+        at = np.fromiter(map(self.words.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            some = np.empty(len(keys), np.int64)
+            some[which] = np.arange(len(which))  # one of the places of each word
+            raw, begin, end = data.tobytes(), starts[some[new]].tolist(), ends[some[new]].tolist()
+            hashes = [keys[i] for i in new.tolist()]
+            self._learn([raw[a:b] for a, b in zip(begin, end)], hashes)
+            at[new] = np.fromiter(map(self.words.__getitem__, hashes), np.int64, len(hashes))
+        return self.word_ids.gather_ended(np.insert(at[which], rows[1:], -1), END_ID)
 
 
 class _Ragged:
