@@ -71,3 +71,13 @@ def test_a_batch_without_news_adds_no_segment_rows(spark):
     deltas = mart_delta.apply_batch(None, empty, frames(spark, rows), CFG, stored_once)
     again = mart_delta.apply_batch(deltas, frames(spark, rows), frames(spark, rows), CFG, stored_once)
     assert again.segments.count() == deltas.segments.count() and again.cases.count() == deltas.cases.count()
+
+
+def test_only_what_counts_goes_through_the_dedup(spark):
+    rows = random_batch(random.Random(3), 25, 0)
+    logs = frames(spark, rows)
+    for t in ("dialer", "contacts"):
+        counted = mart_delta._counted(logs[t], t, CFG, mart_delta.F.lit(1))
+        assert counted.columns == [*mart_delta.KEYS[t], *CFG.version_order, "case_id", "hits"]
+        assert counted.count() == len(rows[t])
+        assert counted.where("hits = 0 AND case_id IS NOT NULL").isEmpty()

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import ReportConfig
@@ -45,6 +45,12 @@ def _of_keys(df: DataFrame, wanted: DataFrame, keys: tuple[str, ...]) -> DataFra
     return df.join(theirs, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], "left_semi")
 
 
+def _of_cases(df: DataFrame, affected: DataFrame) -> DataFrame:
+    """Rows of ``df`` of the affected cases. A null case counts for nothing, so plain equality will do:
+    the rows then lie as a dedup by case wants them, and are not shuffled again."""
+    return df.join(affected.select("case_id"), "case_id", "left_semi").select(*df.columns)
+
+
 def signed_changes(log: DataFrame, batch: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
     """``sign``: -1 for the version in force before of every key in ``batch``, +1 for the one after."""
     old = latest_per_key(_of_keys(log, batch, keys), keys, order)
@@ -58,17 +64,30 @@ def _sums(rows: DataFrame, by: tuple[str, ...], measures: tuple[str, ...]) -> Da
     return total.where(" OR ".join(f"{m} <> 0" for m in measures))
 
 
-def _signed_calls(calls: DataFrame) -> DataFrame:
-    """Of staged calls with ``sign``: what they add to their cases."""
-    zero = F.lit(0)
-    return calls.select("case_id", F.col("sign").alias("total_calls"), *[zero.alias(c) for c in PER_CASE[1:]])
+def _counted(log: DataFrame, table: str, cfg: ReportConfig, when: Column) -> DataFrame:
+    """Versions of calls or contacts with what a dedup and the report need, and no more: the key, the
+    order, ``case_id`` and ``hits``, the ``PER_CASE`` columns that a version counts for as bits.
+    ``when`` says by a version's date whether it counts (1), counts negatively (-1) or not (0)."""
+    if table == "dialer":
+        scope, bits = staging.calls_scope(cfg), F.lit(1)
+    else:
+        status, target = F.col("status_type_id"), F.col("target_type_id")
+        kinds = (status == cfg.status_paid, status.isin(*cfg.status_ptp), target.isin(*cfg.target_right_party))
+        bits = sum((F.when(k & F.col("contact_id").isNotNull(), 2 << i).otherwise(0) for i, k in enumerate(kinds)), F.lit(0))
+        scope = staging.contacts_scope(cfg)
+    hits = F.when(scope, bits * when).otherwise(0).cast("byte")
+    return log.select(*KEYS[table], *cfg.version_order, F.when(hits != 0, F.col("case_id")).alias("case_id"), hits.alias("hits"))
+
+
+def _in(table: str, cfg: ReportConfig) -> Column:
+    return F.coalesce(in_window("call_date" if table == "dialer" else "contact_date", *marts.bounds(cfg)), F.lit(False))
 
 
-def _signed_contacts(contacts: DataFrame, cfg: ReportConfig) -> DataFrame:
-    status, target = F.col("status_type_id"), F.col("target_type_id")
-    hits = (status == cfg.status_paid, status.isin(*cfg.status_ptp), target.isin(*cfg.target_right_party))
-    counted = [F.when(h & F.col("contact_id").isNotNull(), F.col("sign")).otherwise(0).alias(c) for h, c in zip(hits, PER_CASE[1:])]
-    return contacts.select("case_id", F.lit(0).alias("total_calls"), *counted)
+def _per_case(signed: DataFrame) -> DataFrame:
+    """What counted versions with ``sign`` add to their cases."""
+    hits = F.abs("hits")
+    counted = [F.when(hits.bitwiseAND(F.lit(1 << i).cast("byte")) != 0, F.col("sign")).otherwise(0).alias(c) for i, c in enumerate(PER_CASE)]
+    return signed.where("hits <> 0").select("case_id", *counted)
 
 
 def _contributions(active: DataFrame, per_case: DataFrame, sign: int) -> DataFrame:
@@ -81,7 +100,7 @@ def _contributions(active: DataFrame, per_case: DataFrame, sign: int) -> DataFra
 
 def _active(logs: dict[str, DataFrame], affected: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Active cases with their segments, of the affected ones, as of some change logs."""
-    of = {t: _of_keys(logs[t], affected, ("case_id",)) for t in ("cases", "case_attributes")}
+    of = {t: _of_cases(logs[t], affected) for t in ("cases", "case_attributes")}
     return marts.active_cases(staging.stg_cases(of["cases"], cfg), staging.stg_case_attributes(of["case_attributes"], cfg), cfg)
 
 
@@ -94,10 +113,8 @@ def apply_batch(deltas: Deltas | None, logs: dict[str, DataFrame], batch: dict[s
     version are the same, and their contributions cancel. A case of null id counts for
     nothing."""
     order = cfg.version_order
-    signed = {t: signed_changes(logs[t], batch[t], KEYS[t], order) for t in ("dialer", "contacts")}
-    calls = marts.calls_in_window(staging.dialer_view(signed["dialer"], cfg, ("sign",)), cfg)
-    contacts = marts.contacts_in_window(staging.contacts_view(signed["contacts"], cfg, ("sign",)), cfg)
-    more = store(_sums(_signed_calls(calls).unionByName(_signed_contacts(contacts, cfg)), ("case_id",), PER_CASE), "case-deltas")
+    parts = [signed_changes(*[_counted(d[t], t, cfg, F.when(_in(t, cfg), 1).otherwise(0)) for d in (logs, batch)], KEYS[t], order) for t in ("dialer", "contacts")]
+    more = store(_sums(_per_case(parts[0]).unionByName(_per_case(parts[1])), ("case_id",), PER_CASE), "case-deltas")
     touched = more.select("case_id").unionByName(batch["cases"].select("case_id")).unionByName(batch["case_attributes"].select("case_id"))
     after = {t: logs[t].unionByName(batch[t].select(*logs[t].columns)) for t in ("cases", "case_attributes")}
     return _moved(deltas, more, store(touched.distinct(), "case-touched"), logs, after, cfg, cfg, store)
@@ -108,7 +125,7 @@ def _moved(deltas: Deltas | None, more: DataFrame, affected: DataFrame, before:
     """Append ``more`` per case, and the affected cases' moves between segments."""
     nothing = more.limit(0)
     held = deltas.cases if deltas else nothing
-    mine = _of_keys(held, affected, ("case_id",))
+    mine = _of_cases(held, affected)
     old = _sums(mine, ("case_id",), PER_CASE)
     new = _sums(mine.unionByName(more), ("case_id",), PER_CASE)
     moves = _contributions(_active(after, affected, cfg), new, 1)
@@ -125,18 +142,11 @@ def move_window(deltas: Deltas, logs: dict[str, DataFrame], cfg: ReportConfig, t
     in only one of them are counted out or in. Only keys that have a version on those days
     are looked at."""
     parts = []
-    for sign, inside, outside in ((-1, cfg, to), (1, to, cfg)):
-        lo, hi = marts.bounds(outside)
-        for t, view, date, window, signs in (
-                ("dialer", staging.dialer_view, "call_date", marts.calls_in_window, _signed_calls),
-                ("contacts", staging.contacts_view, "contact_date", marts.contacts_in_window, lambda d: _signed_contacts(d, cfg))):
-            only_here = ~in_window(date, lo, hi)
-            keyed = _of_keys(logs[t], window(logs[t], inside).where(only_here), KEYS[t])
-            rows = window(view(latest_per_key(keyed, KEYS[t], cfg.version_order), cfg), inside).where(only_here)
-            parts.append(signs(rows.withColumn("sign", F.lit(sign))))
-    changes = parts[0]
-    for p in parts[1:]:
-        changes = changes.unionByName(p)
+    for t in ("dialer", "contacts"):
+        versions = _counted(logs[t], t, cfg, F.when(_in(t, cfg) & ~_in(t, to), -1).when(_in(t, to) & ~_in(t, cfg), 1).otherwise(0))
+        keyed = _of_keys(versions, versions.where("hits <> 0"), KEYS[t])
+        parts.append(_per_case(latest_per_key(keyed, KEYS[t], cfg.version_order).withColumn("sign", F.signum("hits").cast("int"))))
+    changes = parts[0].unionByName(parts[1])
     more = store(_sums(changes, ("case_id",), PER_CASE), "case-deltas")
     return _moved(deltas, more, more.select("case_id"), logs, logs, cfg, to, store)
 

@@ -7,7 +7,7 @@ closed case, a call moved to another client).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import ReportConfig
@@ -74,10 +74,14 @@ def stg_dialer(log: DataFrame, cfg: ReportConfig = ReportConfig(), assume_immuta
     return dialer_view(latest_per_key(log, ["uniqueid"], _order(log, cfg)), cfg)
 
 
+def calls_scope(cfg: ReportConfig) -> Column:
+    return F.col("client_id").isin(*cfg.client_ids)
+
+
 def dialer_view(latest: DataFrame, cfg: ReportConfig = ReportConfig(), extra: tuple[str, ...] = ()) -> DataFrame:
     """Scope and flags over calls that are already one row per ``uniqueid`` (the
     dedup output, or a maintained latest-state table); ``extra`` columns pass through."""
-    return latest.filter(F.col("client_id").isin(*cfg.client_ids)).select(
+    return latest.filter(calls_scope(cfg)).select(
         "uniqueid", "case_id", "client_id", "telecom_id", "phone_number", "disposition_code",
         "call_date",
         F.to_date("call_date").alias("call_date_only"),
@@ -96,9 +100,13 @@ def stg_contacts(log: DataFrame, cfg: ReportConfig = ReportConfig()) -> DataFram
     return contacts_view(latest_per_key(log, ["contact_id"], _order(log, cfg)), cfg)
 
 
+def contacts_scope(cfg: ReportConfig) -> Column:
+    return F.col("insert_user") != cfg.system_contact_user
+
+
 def contacts_view(latest: DataFrame, cfg: ReportConfig = ReportConfig(), extra: tuple[str, ...] = ()) -> DataFrame:
     """System-contact filter over contacts that are already one row per ``contact_id``."""
-    return latest.filter(F.col("insert_user") != cfg.system_contact_user).select(
+    return latest.filter(contacts_scope(cfg)).select(
         "contact_id", "case_id", "status_type_id", "target_type_id", "contact_date",
         F.to_date("contact_date").alias("contact_date_only"),
         "insert_user", "update_date", *extra,
