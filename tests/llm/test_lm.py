@@ -224,3 +224,18 @@ def test_a_text_is_scored_by_the_whole_corpus(docs, monkeypatch):
         assert all(math.isclose(s, found[0][k], rel_tol=1e-4) for k, s in found[-1].items())
     unseen = {r["doc_id"]: r["score"] for r in lm.score_texts(table, lm.fit(table.where("doc_id < 1000"))).collect()}
     assert unseen[2000] < 2 * found[0][2000]
+
+
+def test_a_table_is_the_same_after_it_was_sent():
+    import pickle
+
+    learnt = lm.ShardCounts()
+    learnt.add(pa.array([t for _, t in prose(11, 300)]))
+    table = learnt.table(lm.Trees(np.ones((256, 256), np.int64)))
+    for t in (table, lm.ShardCounts().table(lm.Trees(np.ones((256, 256), np.int64)))):
+        raw = pickle.dumps(t)
+        sent = pickle.loads(raw)
+        for name in ("first", "check", "odds", "level", "shift"):
+            one, other = getattr(t, name), getattr(sent, name)
+            assert one.dtype == other.dtype and (one == other).all()
+    assert len(pickle.dumps(table)) < table.first.nbytes + table.check.nbytes + table.odds.nbytes

@@ -134,6 +134,17 @@ class ContextTable:
         self.check = keys.astype(np.uint32)
         self.odds, self.level = np.append(odds.take(order), np.float32(0)), np.append(level.take(order), np.int8(0))  # the last: not seen
 
+    def __getstate__(self) -> tuple:
+        """Packed, for a broadcast's copy on each executor's disk."""
+        sizes = np.diff(self.first)
+        arrays = (sizes.astype(np.uint8) if sizes.max(initial=0) < 256 else sizes, self.check, self.odds, self.level)
+        return self.shift, self.first.dtype, [(a.dtype, a.nbytes, pa.compress(a.tobytes(), "zstd", asbytes=True)) for a in arrays]
+
+    def __setstate__(self, state: tuple) -> None:
+        self.shift, kind, packed = state
+        sizes, self.check, self.odds, self.level = (np.frombuffer(pa.decompress(raw, size, "zstd"), dtype) for dtype, size, raw in packed)
+        self.first = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(kind)
+
     def values(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         bucket = (keys >> self.shift).astype(np.int64)
         at, end = self.first.take(bucket).astype(np.int64), self.first.take(bucket + 1).astype(np.int64)
