@@ -1,13 +1,16 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import HARD
+from tidemark.llm import packing
 from tidemark.llm.packing import Capacities, WordTokenizer, best_fit_plan, pack_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -111,3 +114,35 @@ def test_words_of_a_large_vocabulary_are_learnt_once(monkeypatch):
     again = [tokenizer.encode(p) for p in parts]
     assert sum(learnt) == 260_000
     assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(first, again))
+
+
+def test_remembered_words_take_little_memory(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_RUNS", 5_000, raising=False)
+    rnd, tokenizer = random.Random(5), WordTokenizer(open(PATH, encoding="utf-8").read())
+    words = [f"{''.join(rnd.choices('abcdefgh', k=7))}{i}," for i in range(60_000)]
+    texts = [" ".join(words[i : i + 2_000]) for i in range(0, len(words), 2_000)]
+    tokenizer.encode(pa.array(["imports and tables come first"]))
+    tokenizer._clear()
+    tracemalloc.start()
+    try:
+        for text in texts:
+            tokenizer.encode(pa.array([text]))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(tokenizer.words) == len(words)
+    assert held / len(words) < 200  # 99; by a dictionary of words and one of all runs, 303
+    ids, _ = tokenizer.encode(pa.array([texts[3]]))
+    assert ids.tolist() == direct(texts[3])
+
+
+def test_numbers_of_hashes_are_a_dictionarys():
+    rnd, numbers, seen = np.random.default_rng(3), packing.Numbers(), {}
+    for n in (0, 1, 700, 5_000, 40_000):
+        some = rnd.integers(0, 1 << 63, n, dtype=np.uint64)
+        some[: n // 2] <<= np.uint64(20)  # many begin at one place
+        some = np.setdiff1d(np.append(some, np.uint64(0)), np.array(list(seen), np.uint64))
+        assert (numbers.of(some) == -1).all()
+        numbers.add(some)
+        seen |= {k: len(seen) + i for i, k in enumerate(some.tolist())}
+        assert numbers.of(np.array(list(seen), np.uint64)).tolist() == list(seen.values()) and len(numbers) == len(seen)

@@ -18,7 +18,6 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +30,8 @@ from tidemark.llm.numbering import numbered
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
-#: Words a Python worker remembers with their ids before it starts afresh.
-MEMO_WORDS = 1_000_000
+#: Words a Python worker remembers with their ids before it starts afresh, and runs of them.
+MEMO_WORDS, MEMO_RUNS = 1_000_000, 100_000
 #: Bytes with A-Z lowered.
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 #: Pieces that one task ranks.
@@ -73,8 +72,11 @@ class WordTokenizer:
         self._clear()
 
     def _clear(self) -> None:
+        self._clear_runs()
+        self.words, self.word_ids = Numbers(), _Ragged([])  # words by their 64-bit hash
+
+    def _clear_runs(self) -> None:
         self.runs, self.run_ids = {"\n": 0}, _Ragged([0])
-        self.words, self.word_ids = {}, _Ragged([])  # words by their 64-bit hash
 
     def _learn_runs(self, runs: list[str]) -> None:
         for i in range(0, len(runs), 8192):
@@ -86,26 +88,27 @@ class WordTokenizer:
             self.runs.update(zip(some, range(len(self.runs), len(self.runs) + len(some))))
             self.run_ids.add(ids, np.diff(ends, prepend=0))
 
-    def _learn(self, words: list[bytes], hashes: list[int]) -> None:
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
         text = b"\n".join(words).decode() + "\n"
         odd = {text[text.rfind("\n", 0, m.start()) + 1 : text.find("\n", m.start())] for m in self._odd.finditer(text)}
         if odd:
-            plain, other = [], []
-            for word, key in zip(text.split("\n"), hashes):
-                (other if word in odd else plain).append((word, key))
-            encoded = [e.ids for e in self.whole.encode_batch([w for w, _ in other], add_special_tokens=False)]
-            self._remember([k for _, k in other], np.array([i for ids in encoded for i in ids], np.int32), [len(ids) for ids in encoded])
-            text, hashes = "".join([w + "\n" for w, _ in plain]), [k for _, k in plain]
-        if hashes:
+            spelt = text.split("\n")[:-1]
+            is_odd = np.fromiter(map(odd.__contains__, spelt), bool, len(spelt))
+            encoded = [e.ids for e in self.whole.encode_batch([w for w in spelt if w in odd], add_special_tokens=False)]
+            self._remember(hashes[is_odd], np.array([i for ids in encoded for i in ids], np.int32), [len(ids) for ids in encoded])
+            text, hashes = "".join([w + "\n" for w in spelt if w not in odd]), hashes[~is_odd]
+        if len(hashes):
             runs = self._run.findall(text)
+            if len(self.runs) > MEMO_RUNS:
+                self._clear_runs()
             self._learn_runs(list(set(runs).difference(self.runs)))
             at = np.fromiter(map(self.runs.__getitem__, runs), np.int64, len(runs))
             counted = np.where(at == 0, 0, self.run_ids.lengths(at))
             ends = np.cumsum(counted)[at == 0]
             self._remember(hashes, self.run_ids.gather(at[at != 0]), np.diff(ends, prepend=0))
 
-    def _remember(self, hashes: list[int], ids: np.ndarray, lengths) -> None:
-        self.words.update(zip(hashes, range(len(self.words), len(self.words) + len(hashes))))
+    def _remember(self, hashes: np.ndarray, ids: np.ndarray, lengths) -> None:
+        self.words.add(hashes)
         self.word_ids.add(ids, lengths)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -118,19 +121,63 @@ class WordTokenizer:
             data = LOWER[data]
         starts, ends, rows = word_spans(data, offsets, NOT_SPACE)
         found = pa.array(SpanHash(data).spans(starts, ends)).dictionary_encode()
-        keys, which = found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
-        at = np.fromiter(map(self.words.get, keys, repeat(-1)), np.int64, len(keys))
+        keys, which = found.dictionary.to_numpy(), found.indices.to_numpy().astype(np.int64)
+        at = self.words.of(keys)
         new = np.flatnonzero(at < 0)
         if len(new):
             some = np.empty(len(keys), np.int64)
             some[which] = np.arange(len(which))  # one of the places of each word
             raw, begin, end = data.tobytes(), starts[some[new]].tolist(), ends[some[new]].tolist()
-            hashes = [keys[i] for i in new.tolist()]
-            self._learn([raw[a:b] for a, b in zip(begin, end)], hashes)
-            at[new] = np.fromiter(map(self.words.__getitem__, hashes), np.int64, len(hashes))
+            self._learn([raw[a:b] for a, b in zip(begin, end)], keys[new])
+            at[new] = self.words.of(keys[new])
         return self.word_ids.gather_ended(np.insert(at[which], rows[1:], -1), END_ID)
 
 
+class Numbers:
+    """Distinct 64-bit hashes, numbered as they come, in 24 to 48 bytes each (every worker
+    has a memo of its own). A hash lies at the place of its lowest bits or at the first
+    free one after it; half of the places stay free."""
+
+    def __init__(self):
+        self.used, self.keys, self.number = 0, np.zeros(1 << 10, np.uint64), np.full(1 << 10, -1, np.int32)
+
+    def __len__(self) -> int:
+        return self.used
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return (keys & np.uint64(len(self.keys) - 1)).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, or -1."""
+        place, out, left = self._places(keys), np.full(len(keys), -1, np.int64), np.arange(len(keys))
+        while len(left):
+            number = self.number.take(place)
+            hit = (number >= 0) & (self.keys.take(place) == keys.take(left))
+            out[left[hit]] = number[hit]
+            on = (number >= 0) & ~hit
+            left, place = left[on], (place[on] + 1) & (len(self.keys) - 1)
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Number keys that have none; no key comes twice."""
+        if 2 * (self.used + len(keys)) > len(self.keys):
+            taken = self.number >= 0
+            old, number, size = self.keys[taken], self.number[taken], 1 << (2 * (self.used + len(keys))).bit_length()
+            self.keys, self.number = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+            self._put(old, number)
+        self._put(keys, np.arange(self.used, self.used + len(keys), dtype=np.int32))
+        self.used += len(keys)
+
+    def _put(self, keys: np.ndarray, number: np.ndarray) -> None:
+        place = self._places(keys)
+        while len(keys):
+            free = np.flatnonzero(self.number.take(place) < 0)
+            self.number[place[free]] = number[free]  # of several keys at a place, the last has it
+            lost = self.number.take(place) != number
+            self.keys[place[~lost]] = keys[~lost]
+            keys, number, place = keys[lost], number[lost], (place[lost] + 1) & (len(self.keys) - 1)
+
+
 class _Ragged:
     """Lists of ids end to end, in a buffer that grows by doubling."""
 
