@@ -1,5 +1,7 @@
 import math
+import pickle
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -239,3 +241,53 @@ def test_a_table_is_the_same_after_it_was_sent():
             one, other = getattr(t, name), getattr(sent, name)
             assert one.dtype == other.dtype and (one == other).all()
     assert len(pickle.dumps(table)) < table.first.nbytes + table.check.nbytes + table.odds.nbytes
+
+
+def traced_peak(do):
+    tracemalloc.start()
+    try:
+        return do(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_table_is_opened_and_merged_in_little_more_memory_than_it_takes():
+    rnd = np.random.default_rng(2)
+    keys = rnd.integers(0, 1 << 63, 600_000, dtype=np.uint64) * np.uint64(2) + rnd.integers(0, 2, 600_000, dtype=np.uint64)
+    odds, level = rnd.normal(size=len(keys)).astype(np.float32), rnd.integers(1, 3, len(keys)).astype(np.int8)
+    whole = lm.ContextTable(keys, odds, level)
+    size = sum(a.nbytes for a in (whole.first, whole.check, whole.odds, whole.level))
+    raw = pickle.dumps(whole)
+    again, peak = traced_peak(lambda: pickle.loads(raw))
+    assert peak < 1.8 * size  # 1.4; by sums of eight bytes each, 2.3
+    parts = [lm._in_order(keys[a : a + 70_000], odds[a : a + 70_000], level[a : a + 70_000]) for a in range(0, len(keys), 70_000)]
+    merged, peak = traced_peak(lambda: lm.ContextTable.of_parts(parts))
+    assert peak < 2 * size
+    asked = np.append(keys, rnd.integers(0, 1 << 63, 1000, dtype=np.uint64))
+    for table in (whole, again, merged):
+        assert (table.first == whole.first).all()
+        got = table.values(asked)
+        assert (got[0][: len(keys)] == odds).all() and (got[1][: len(keys)] == level).all()
+
+
+def test_packs_hold_long_lists_and_large_counts():
+    contexts = np.array([5, 1 << 62, 9], np.int64)
+    sizes = np.array([1, 300, 2], np.int32)
+    pairs, n = np.arange(303) * 200 % 65536, np.arange(303) ** 4 + 1
+    n[[0, 301, 302]] = 254, 255, 256
+    packs = pa.array([lm._pack(contexts, sizes, n * 65536 + pairs), lm._pack(contexts[:1], sizes[:1], np.array([7 * 65536 + 3]))], pa.binary())
+    (got,) = lm._opened(packs)
+    assert got[0].tolist() == np.repeat(contexts, sizes).tolist() + [5]
+    assert got[1].tolist() == [*pairs.tolist(), 3] and got[2].tolist() == [*n.tolist(), 7]
+
+
+def test_scoring_a_slice_takes_bounded_memory_per_byte():
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("etaoinshr", k=rnd.randint(2, 9))) for _ in range(4_000)]
+    own, data, offsets = lm.streams(pa.array([" ".join(rnd.choices(words, k=300)) for _ in range(150)]))
+    places = lm.coded_places(offsets)
+    pairs = np.bincount(data[places - 1].astype(int) * 256 + data[places], minlength=1 << 16).reshape(256, 256)
+    trees, empty = lm.Trees(pairs), lm.ContextTable(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.int8))
+    lm.score(own, data, offsets, trees, empty)
+    _, peak = traced_peak(lambda: lm.score(own, data, offsets, trees, empty))
+    assert peak / len(data) < 260  # 200; with all decisions' columns held twice, 391

@@ -15,8 +15,8 @@ texts. Words and runs of five bytes are counted first, and the contexts by these
 stands for all its places. The counts of every context are a Spark table. Every task
 holds the most frequent contexts, ``HELD_CONTEXTS`` at most; of the others, texts ask for
 those that occur in them. Texts are dealt by hash to shards of about ``SHARD_BYTES``,
-each shard's answers come by a join, and a task streams through a shard, first the answers,
-then the texts. Shards grow in number with the corpus, not in size; nothing but the
+each shard's answers come by a join in packs, and a task streams through a shard, first the
+answers, whose odds it makes some packs at a time, then the texts. Shards grow in number with the corpus, not in size; nothing but the
 trees and the counts of frequent words and contexts passes through the driver.
 """
 
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import SpanHash, flat, map_arrow, mix64, quoted, shared_table, slices, without, word_spans
+from tidemark.llm.common import SpanHash, flat, give_back, map_arrow, mix64, quoted, shared_table, slices, without, word_spans
 
 END = 10  # closes a text; no word holds it
 #: Bytes before the first, so that contexts don't reach into another text.
@@ -41,17 +41,19 @@ LEAD = 4
 #: Contexts, by how many bytes before they hold (0: the word so far, all of it).
 CONTEXTS = (3, 4, 0)
 #: Text of a shard, whose rarer contexts a worker holds at a time.
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 16 << 20
 #: (Context, pair of bytes) whose counts every task holds, at most; rarer contexts are joined.
 HELD_CONTEXTS = 1 << 21
 #: Contexts of an answer, about: they go to their shards in packs.
 TOLD = 500_000
-#: Counts that are gathered before they are summed.
-HELD_COUNTS = 1_000_000
+#: Counts that are gathered before they are summed, and those whose odds are made at once.
+HELD_COUNTS, COUNTS_TOGETHER = 1_000_000, 100_000
+#: Keys that are looked up in a table at once.
+LOOKED_UP = 1 << 17
 #: Bytes of texts scored side by side, and between two updates of the weights.
 SLICE, STEP = 1_000_000, 8
-#: Bytes of texts that ask for contexts together.
-ASKING = 4_000_000
+#: Bytes of texts that are counted, or ask for contexts, together.
+ASKING = 1_000_000
 #: Bytes whose decisions are laid out at once.
 CHUNK = 50_000
 #: Mixer: first weight of each predictor, learning rate; refinement: largest log-odds, buckets, learning rate, share.
@@ -126,13 +128,32 @@ class ContextTable:
     bucket of about one key, its 32 lowest are compared."""
 
     def __init__(self, keys: np.ndarray, odds: np.ndarray, level: np.ndarray):
-        order = np.argsort(keys)
-        keys, bits = keys.take(order), max(1, len(keys).bit_length())
+        self._lay([_in_order(keys, odds, level)])
+
+    @classmethod
+    def of_parts(cls, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> ContextTable:
+        """``parts``: keys in order, their log-odds and how often seen; no key comes twice."""
+        table = cls.__new__(cls)
+        table._lay(parts)
+        return table
+
+    def _lay(self, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        n = sum(len(keys) for keys, _, _ in parts)
+        bits = max(1, n.bit_length())
+        high = min(4, bits)  # the parts are merged range by range of the keys, so that little is held twice
         self.shift = np.uint64(64 - bits)
-        in_bucket = np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)
-        self.first = np.concatenate([[0], np.cumsum(in_bucket)]).astype(np.uint32 if len(keys) < 1 << 32 else np.int64)
-        self.check = keys.astype(np.uint32)
-        self.odds, self.level = np.append(odds.take(order), np.float32(0)), np.append(level.take(order), np.int8(0))  # the last: not seen
+        self.first = np.zeros((1 << bits) + 1, np.uint32 if n < 1 << 32 else np.int64)
+        self.check, self.odds, self.level = np.empty(n, np.uint32), np.zeros(n + 1, np.float32), np.zeros(n + 1, np.int8)  # the last: not seen
+        limits, width = np.arange(1, 1 << high, dtype=np.uint64) << np.uint64(64 - high), 1 << (bits - high)
+        cuts = [[0, *np.searchsorted(keys, limits).tolist(), len(keys)] for keys, _, _ in parts]
+        begin = 0
+        for r in range(1 << high if n else 0):
+            keys, odds, level = (np.concatenate([part[k][cut[r] : cut[r + 1]] for part, cut in zip(parts, cuts)]) for k in range(3))
+            order, end = np.argsort(keys, kind="stable"), begin + len(keys)
+            self.check[begin:end], self.odds[begin:end], self.level[begin:end] = keys.take(order), odds.take(order), level.take(order)
+            in_bucket = np.bincount((keys >> self.shift).astype(np.int64) - r * width, minlength=width)
+            self.first[r * width + 1 : (r + 1) * width + 1] = begin + np.cumsum(in_bucket)
+            begin = end
 
     def __getstate__(self) -> tuple:
         """Packed, for a broadcast's copy on each executor's disk."""
@@ -143,9 +164,18 @@ class ContextTable:
     def __setstate__(self, state: tuple) -> None:
         self.shift, kind, packed = state
         sizes, self.check, self.odds, self.level = (np.frombuffer(pa.decompress(raw, size, "zstd"), dtype) for dtype, size, raw in packed)
-        self.first = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(kind)
+        self.first = np.zeros(len(sizes) + 1, kind)
+        np.cumsum(sizes, dtype=kind, out=self.first[1:])
 
     def values(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        odds, level = np.empty(len(keys), np.float32), np.empty(len(keys), np.int8)
+        for a in range(0, len(keys), LOOKED_UP):
+            found = self._found(keys[a : a + LOOKED_UP])
+            odds[a : a + LOOKED_UP], level[a : a + LOOKED_UP] = self.odds.take(found), self.level.take(found)
+        return odds, level
+
+    def _found(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key is; the last place if it is not in the table."""
         bucket = (keys >> self.shift).astype(np.int64)
         at, end = self.first.take(bucket).astype(np.int64), self.first.take(bucket + 1).astype(np.int64)
         low = keys.astype(np.uint32)
@@ -157,7 +187,7 @@ class ContextTable:
             left = left[~hit]
             at[left] += 1
             left = left[at[left] < end[left]]
-        return self.odds.take(found), self.level.take(found)
+        return found
 
 
 def _distinct(context: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,6 +212,18 @@ def _node_keys(contexts: np.ndarray, pairs: np.ndarray, trees: Trees) -> tuple[n
     return mix64(np.repeat(contexts, count) ^ trees.spread.take(path)), path, count
 
 
+def _looked_up(contexts: np.ndarray, pairs: np.ndarray, trees: Trees, table: ContextTable | Layered) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the values of each (context, pair) begin, and the values, some pairs at a time."""
+    count = trees.begin.take(pairs + 1) - trees.begin.take(pairs)
+    ends = np.append(0, np.cumsum(count))
+    odds, level = np.empty(ends[-1], np.float32), np.empty(ends[-1], np.int8)
+    for a in range(0, len(pairs), CHUNK):
+        keys, _, _ = _node_keys(contexts[a : a + CHUNK], pairs[a : a + CHUNK], trees)
+        place = slice(ends[a], ends[a] + len(keys))
+        odds[place], level[place] = table.values(keys)
+    return ends[:-1].astype(np.int32 if ends[-1] < 1 << 31 else np.int64), odds, level
+
+
 class Layered:
     """Two tables as one: what the first has not, the second may have."""
 
@@ -245,9 +287,9 @@ class Decisions:
         laid[CONTEXTS.index(0)] = self._by_word(data, places, words)
         self.found = []  # of each predictor: where a byte's values begin, log-odds, how often seen
         for k in range(len(CONTEXTS)):
-            contexts, pairs, which = laid[k]
-            keys, _, count = _node_keys(contexts, pairs, trees)
-            self.found.append(((np.cumsum(count) - count).take(which), *table.values(keys)))
+            contexts, pairs, which = laid.pop(k)
+            begin, odds, level = _looked_up(contexts, pairs, trees, table)
+            self.found.append((begin.take(which), odds, level))
 
     def _by_word(self, data: np.ndarray, places: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Contexts of the word so far and pairs, without repeats, and which of them each
@@ -321,13 +363,18 @@ def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees,
     order = np.argsort(step.astype(np.uint16) if step.max(initial=0) < 1 << 16 else step, kind="stable")  # all first bytes of the texts, then all second ones, ...
     row, step = row.take(order), step.take(order)
     laid = Decisions(data, coded_places(offsets).take(order), trees, table, words or Words(data, offsets))
+    lanes, decisions, end = len(lengths), int(laid.count.sum()), 0
     lane_gates, lane_map = row * 9, row * BUCKETS
-    found = []
-    for owner, turn, values in laid.chunks():
+    at, base = np.empty(decisions, np.int32), np.empty(decisions, np.int32)  # lanes are at most as many as the bytes of a slice
+    turn, inputs = np.empty(decisions, np.int8), [np.empty(decisions, np.float32) for _ in CONTEXTS]
+    for owner, turns, values in laid.chunks():
+        begin, end = end, end + len(owner)
         gate = values[-1][1].astype(np.int64) * 3 + values[0][1]  # how well the word so far and the shortest context are known
-        found.append((lane_gates.take(owner) + gate, lane_map.take(owner), turn.astype(np.float32), *[odds for odds, _ in values]))
-    at, base, turn, *inputs = (np.concatenate(x) for x in zip(*found))
-    lanes = len(lengths)
+        at[begin:end], base[begin:end], turn[begin:end] = lane_gates.take(owner) + gate, lane_map.take(owner), turns
+        for column, (odds, _) in zip(inputs, values):
+            column[begin:end] = odds
+    laid.found.clear()
+    give_back()
     weights = [np.full(lanes * 9, w, np.float32) for w in FIRST_WEIGHTS]
     scale = np.float32((BUCKETS - 0.01) / (2 * LIMIT))
     centre = (np.arange(BUCKETS) + 0.5) / scale - LIMIT
@@ -335,7 +382,7 @@ def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees,
     chance = np.empty(len(turn), np.float32)  # given to the turn that was taken
     ends = np.cumsum(np.bincount(step, weights=laid.count).astype(np.int64)).tolist()
     for a, b in zip([0, *ends], ends):
-        x, i, y = [column[a:b] for column in inputs], at[a:b], turn[a:b]
+        x, i, y = [column[a:b] for column in inputs], at[a:b].astype(np.int64), turn[a:b].astype(np.float32)
         total = np.clip(sum(w.take(i) * xk for w, xk in zip(weights, x)), -LIMIT, LIMIT)
         p = 1 / (1 + np.exp(-total))
         bucket = base[a:b] + ((total + LIMIT) * scale).astype(np.int64)
@@ -346,7 +393,8 @@ def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees,
             np.add.at(w, i, error * xk)
         np.add.at(refine, bucket, MAP_RATE * (y - refined))
         refine[bucket] = np.clip(refine.take(bucket), 0, 1)  # many decisions of a step may be in one bucket
-    cost = np.add.reduceat(np.log(chance), np.cumsum(laid.count) - laid.count, dtype=float) / np.log(10)  # of each byte
+    del at, base, turn, inputs, x, i, y
+    cost = np.add.reduceat(np.log(chance, out=chance), np.cumsum(laid.count) - laid.count, dtype=float) / np.log(10)  # of each byte
     return np.bincount(row, weights=cost, minlength=len(lengths))
 
 
@@ -462,6 +510,20 @@ def _node_odds(contexts: np.ndarray, pairs: np.ndarray, n: np.ndarray, trees: Tr
     return found.dictionary.to_numpy().view(np.uint64), odds, np.minimum(2, (zeros + ones + 3) // 4).astype(np.int8)
 
 
+def _in_order(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.argsort(keys)
+    return (keys.take(order), *[c.take(order) for c in columns])
+
+
+def _node_parts(contexts: np.ndarray, pairs: np.ndarray, n: np.ndarray, trees: Trees) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Parts of a table of counts (those of a context side by side), some contexts at a time."""
+    if len(contexts):
+        begins = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1]))
+        cuts = np.unique(begins.take(np.searchsorted(begins, np.arange(0, len(contexts), COUNTS_TOGETHER), side="right") - 1)).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(contexts)]):
+            yield _in_order(*_node_odds(contexts[a:b], pairs[a:b], n[a:b], trees))
+
+
 def _held_table(contexts: DataFrame, trees: Trees) -> ContextTable:
     """The table of some of :func:`context_counts`. The odds are made in tasks."""
 
@@ -472,7 +534,8 @@ def _held_table(contexts: DataFrame, trees: Trees) -> ContextTable:
 
     shared = contexts.sparkSession.sparkContext.broadcast(trees)
     rows = map_arrow(contexts.select("context", "steps"), run, "key long, odds float, level byte").toArrow()
-    return ContextTable(rows["key"].to_numpy().view(np.uint64), rows["odds"].to_numpy(), rows["level"].to_numpy())
+    parts = [[b.column(c).to_numpy() for c in ("key", "odds", "level")] for b in rows.to_batches()]
+    return ContextTable.of_parts([_in_order(key.view(np.uint64), odds, level) for key, odds, level in parts])
 
 
 def context_counts(counts: DataFrame) -> DataFrame:
@@ -574,7 +637,7 @@ def _asked(texts: DataFrame, shared: Broadcast, rare_bytes: bool) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, held = shared.value[:2]
-        waiting, least = [], HELD_COUNTS
+        waiting = []
         for batch in batches:
             for part in slices(batch, 1, ASKING):
                 _, data, offsets = streams(part.column(1))
@@ -597,11 +660,10 @@ def _asked(texts: DataFrame, shared: Broadcast, rare_bytes: bool) -> DataFrame:
                     to, who = who // max(1, len(has)), who % max(1, len(has))
                     count = has.take(who)
                     waiting.append((np.repeat(to, count), contexts.take(_spread_out((np.cumsum(has) - has).take(who), count))))
-                    if sum(len(to) for to, _ in waiting) > least:
+                    if sum(len(to) for to, _ in waiting) > HELD_COUNTS:
                         waiting = [_once(waiting)]
-                        if len(waiting[0][0]) > 2 * HELD_COUNTS:
+                        if 2 * len(waiting[0][0]) > HELD_COUNTS:
                             yield _rows(waiting.pop())
-                        least = HELD_COUNTS + sum(2 * len(to) for to, _ in waiting)
         if waiting:
             yield _rows(_once(waiting))
 
@@ -635,19 +697,46 @@ def _told(asked: DataFrame, rare: DataFrame) -> DataFrame:
     def _packs(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(waiting).sort_by("shard").combine_chunks()
         shard, context, steps = (rows[c].combine_chunks() for c in ("shard", "context", "steps"))
-        contexts, pairs, n = _unpacked(context, steps)
-        shards = np.repeat(shard.to_numpy(), steps.value_lengths().to_numpy())
+        values, sizes = steps.flatten().to_numpy(), steps.value_lengths().to_numpy()
+        shards, contexts, ends = shard.to_numpy(), context.to_numpy(), np.append(0, np.cumsum(sizes, dtype=np.int64))
         cuts = np.flatnonzero(np.diff(shards, prepend=-1))
-        packs = [contexts[a:b].tobytes() + n[a:b].astype(np.int64).tobytes() + pairs[a:b].astype(np.uint16).tobytes() for a, b in zip(cuts, [*cuts[1:], len(shards)])]
+        packs = [_pack(contexts[a:b], sizes[a:b], values[ends[a] : ends[b]]) for a, b in zip(cuts, [*cuts[1:], len(shards)])]
         return pa.RecordBatch.from_arrays([pa.array(shards[cuts], pa.int64()), pa.array(packs, pa.binary())], names=["shard", "counts"])
 
     return map_arrow(asked.join(rare, "context").select("shard", "context", "steps"), run, "shard long, counts binary")
 
 
+def _short(numbers: np.ndarray) -> tuple[bytes, bytes]:
+    """Numbers as a byte each, and those of 255 or more in full."""
+    return np.minimum(numbers, 255).astype(np.uint8).tobytes(), numbers[numbers >= 255].astype(np.int64).tobytes()
+
+
+def _pack(contexts: np.ndarray, sizes: np.ndarray, steps: np.ndarray) -> bytes:
+    (short_sizes, long_sizes), (short_n, long_n) = _short(sizes), _short(steps >> 16)
+    head = np.array([len(sizes), len(steps)], np.int64)
+    return b"".join([head.tobytes(), contexts.tobytes(), long_sizes, long_n, (steps & 0xFFFF).astype(np.uint16).tobytes(), short_sizes, short_n])
+
+
+def _open(pack: pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, pairs and counts of a pack."""
+    rows, steps = np.frombuffer(pack, np.int64, 2).tolist()
+    short = np.frombuffer(pack, np.uint8, offset=len(pack) - rows - steps).astype(np.int64)
+    short[short == 255] = np.frombuffer(pack, np.int64, int((short == 255).sum()), 16 + 8 * rows)  # of the sizes, then of the counts
+    pairs = np.frombuffer(pack, np.uint16, steps, len(pack) - rows - 3 * steps).astype(np.int64)
+    return np.repeat(np.frombuffer(pack, np.uint64, rows, 16), short[:rows]), pairs, short[rows:]
+
+
 def _opened(packs: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    for pack in packs.to_pylist():
-        n = len(pack) // 18
-        yield np.frombuffer(pack, np.uint64, n), np.frombuffer(pack, np.uint16, n, 16 * n).astype(np.int64), np.frombuffer(pack, np.int64, n, 8 * n)
+    """Contexts, pairs and counts, of packs of ``COUNTS_TOGETHER`` or one pack more."""
+    waiting, size = [], 0
+    for pack in map(pa.BinaryScalar.as_buffer, packs):
+        waiting.append(_open(pack))
+        size += len(waiting[-1][2])
+        if size >= COUNTS_TOGETHER:
+            yield tuple(map(np.concatenate, zip(*waiting)))
+            waiting, size = [], 0
+    if waiting:
+        yield tuple(map(np.concatenate, zip(*waiting)))
 
 
 SCORED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("log_counts", T.DoubleType()),
@@ -679,15 +768,17 @@ def score_texts(docs: DataFrame, model: LanguageModel, text: str = "text") -> Da
                 if begin == end:
                     continue
                 if shard[begin] != current:  # a shard's answers come first
-                    current, learnt, table = shard[begin], ShardCounts(), None
+                    current, learnt, table = shard[begin], [], None
                 run_of = batch.slice(begin, end - begin)
                 if is_text[begin] == 0:
                     for counted in _opened(run_of.column(3)):
-                        learnt.hold(*counted)
+                        learnt += _node_parts(*counted, trees)
                     continue
                 if table is None:
-                    table, learnt = Layered(held, learnt.table(trees)), None
+                    give_back()
+                    table, learnt = Layered(held, ContextTable.of_parts(learnt)), None
                 for part in slices(run_of, 2, SLICE):
+                    give_back()  # what the slice before has freed lies in pieces
                     own, data, offsets = streams(part.column(2))
                     words = Words(data, offsets)
                     place = np.searchsorted(keys, words.keys.view(np.int64))
@@ -702,6 +793,7 @@ def score_texts(docs: DataFrame, model: LanguageModel, text: str = "text") -> Da
                     arrays = [part.column(4).field(i) for i in range(len(keep))]
                     arrays += [pa.array(columns[f.name], pa.float64() if f.dataType == T.DoubleType() else pa.int64()) for f in SCORED.fields[:-1]]
                     arrays.append(pa.ListArray.from_arrays(pa.array(rare, pa.int32()), pa.array(words.keys.view(np.int64).take(words.which[~known]), pa.int64())))
+                    del words, own, data, known, place, row
                     yield pa.RecordBatch.from_arrays(arrays, names=[*plain, *SCORED.names])
 
     plain = [f"c{i}" for i in range(len(keep))]
