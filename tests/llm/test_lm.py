@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import HARD
 from tidemark.llm import lm
+from tidemark.llm.common import CLEANUP, shared_table
 
 
 def prose(seed, n):
@@ -281,6 +282,44 @@ def test_packs_hold_long_lists_and_large_counts():
     assert got[1].tolist() == [*pairs.tolist(), 3] and got[2].tolist() == [*n.tolist(), 7]
 
 
+def shuffle_files(spark):
+    """Shuffle files on the session's disks, which are one machine's in tests."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, docs):
+    table = docs(prose(3, 200))
+    before = shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    counts = lm.corpus_counts(table.select("text"))
+    lm.context_counts(counts)
+    assert not shuffle_files(spark) - before[0]
+    assert spark.conf.get(CLEANUP, None) == before[1]
+    shared_table(table.repartition(3), "kept-shuffles")
+    assert spark.conf.get(CLEANUP, None) == before[1]
+
+
+def test_texts_and_answers_are_shuffled_small(docs):
+    """In order, contexts take less than eight bytes each; texts are less than three fifths of themselves."""
+    rnd = np.random.default_rng(5)
+    contexts = np.sort(rnd.integers(-(1 << 63), (1 << 63) - 1, 20_000))
+    pack = lm._pack(contexts, np.ones(20_000, np.int32), 65536 + rnd.integers(97, 123, 20_000))
+    assert len(pack) < 8 * 20_000  # 12 bytes each uncompressed
+    ((got, pairs, n),) = lm._opened(pa.array([pack], pa.binary()))
+    assert (got.view(np.int64) == contexts).all() and (n == 1).all()
+    rows = [*((i, " ".join(t for _, t in prose(20 + i, 60))) for i in range(20)), (500, None), (501, ""), (502, "É ß\n" * 40)]
+    plain = docs(rows).select(F.lit(3).cast("long").alias("shard"), "text", F.struct("doc_id").alias("kept"))
+    sent = lm._packed(plain).toArrow().combine_chunks().to_batches()[0]
+    texts = lm._unpacked_texts(sent.column(1).to_numpy(), sent.column(2)).to_pylist()
+    assert dict(zip((k["doc_id"] for k in sent.column(3).to_pylist()), texts)) == {i: (t or "").encode() for i, t in rows}
+    assert sum(map(len, sent.column(2).to_pylist())) < 0.6 * sum(map(len, texts))
+
+
+def test_runs_of_texts_come_to_the_limit():
+    assert list(lm._runs(np.array([0, 0, 5, 5, 30, 1, 9]), 10)) == [(0, 4), (4, 5), (5, 7)]
+    assert list(lm._runs(np.array([], np.int64), 10)) == []
+
+
 def test_scoring_a_slice_takes_bounded_memory_per_byte():
     rnd = random.Random(4)
     words = ["".join(rnd.choices("etaoinshr", k=rnd.randint(2, 9))) for _ in range(4_000)]

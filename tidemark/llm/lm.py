@@ -282,8 +282,12 @@ class Decisions:
         self.count = trees.begin.take(pair + 1) - self.first
         self.trees = trees
         grams = pa.array(_grams(data, places)).dictionary_encode()
-        distinct, which = grams.dictionary.to_numpy(), grams.indices.to_numpy()
-        laid = {k: (contexts, (distinct & np.uint64(0xFFFF)).astype(np.int64), which) for k, contexts in _gram_contexts(distinct).items()}
+        distinct, which, laid = grams.dictionary.to_numpy(), grams.indices.to_numpy(), {}
+        for k, order in enumerate(CONTEXTS):
+            if order:  # each run of a context and its byte is looked up once
+                runs = pa.array(distinct & np.uint64((1 << (8 * order + 8)) - 1)).dictionary_encode()
+                own = runs.dictionary.to_numpy()
+                laid[k] = _gram_contexts(own)[k], (own & np.uint64(0xFFFF)).astype(np.int64), runs.indices.to_numpy().take(which)
         laid[CONTEXTS.index(0)] = self._by_word(data, places, words)
         self.found = []  # of each predictor: where a byte's values begin, log-odds, how often seen
         for k in range(len(CONTEXTS)):
@@ -319,12 +323,13 @@ class Decisions:
         for begin in range(0, len(self.count), CHUNK):
             part = slice(begin, begin + CHUNK)
             count = self.count[part]
-            owner = np.repeat(np.arange(begin, begin + len(count)), count)
+            byte = np.repeat(np.arange(len(count)), count)
+            nth = np.arange(len(byte)) - (np.cumsum(count) - count).take(byte)  # of its byte's decisions
             values = []
             for at, odds, level in self.found:
-                places = _spread_out(at[part], count)
+                places = at[part].take(byte) + nth
                 values.append((odds.take(places), level.take(places)))
-            yield owner, self.trees.turns.take(_spread_out(self.first[part], count)), values
+            yield byte + begin, self.trees.turns.take(self.first[part].take(byte) + nth), values
 
 
 def _pairs(data: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -383,16 +388,21 @@ def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees,
     ends = np.cumsum(np.bincount(step, weights=laid.count).astype(np.int64)).tolist()
     for a, b in zip([0, *ends], ends):
         x, i, y = [column[a:b] for column in inputs], at[a:b].astype(np.int64), turn[a:b].astype(np.float32)
-        total = np.clip(sum(w.take(i) * xk for w, xk in zip(weights, x)), -LIMIT, LIMIT)
+        total = weights[0].take(i) * x[0]
+        for w, xk in zip(weights[1:], x[1:]):
+            total += w.take(i) * xk
+        np.minimum(np.maximum(total, -LIMIT, out=total), LIMIT, out=total)
         p = 1 / (1 + np.exp(-total))
         bucket = base[a:b] + ((total + LIMIT) * scale).astype(np.int64)
         refined = refine.take(bucket)
-        chance[a:b] = np.abs(1 - y - np.clip(p + MAP_SHARE * (refined - p), LEAST_CHANCE, 1 - LEAST_CHANCE))
+        mixed = p + MAP_SHARE * (refined - p)
+        np.minimum(np.maximum(mixed, LEAST_CHANCE, out=mixed), 1 - LEAST_CHANCE, out=mixed)
+        chance[a:b] = np.abs(1 - y - mixed)
         error = np.float32(RATE) * (y - p)
         for w, xk in zip(weights, x):
             np.add.at(w, i, error * xk)
         np.add.at(refine, bucket, MAP_RATE * (y - refined))
-        refine[bucket] = np.clip(refine.take(bucket), 0, 1)  # many decisions of a step may be in one bucket
+        refine[bucket] = np.minimum(np.maximum(refine.take(bucket), 0), 1)  # many decisions of a step may be in one bucket
     del at, base, turn, inputs, x, i, y
     cost = np.add.reduceat(np.log(chance, out=chance), np.cumsum(laid.count) - laid.count, dtype=float) / np.log(10)  # of each byte
     return np.bincount(row, weights=cost, minlength=len(lengths))
@@ -438,7 +448,7 @@ def corpus_counts(train: DataFrame) -> DataFrame:
                                           names=["kind", "key", "word", "n", "n_last"])
 
     rows = map_arrow(train, count, "kind int, key long, word binary, n long, n_last long")
-    return shared_table(rows.groupBy("kind", "key", "word").agg(F.sum("n").alias("n"), F.sum("n_last").alias("n_last")).sortWithinPartitions("kind", "word"), "lm-counts")  # words that begin alike side by side
+    return shared_table(rows.groupBy("kind", "key", "word").agg(F.sum("n").alias("n"), F.sum("n_last").alias("n_last")).sortWithinPartitions("kind", "word"), "lm-counts", drop_shuffles=True)  # words that begin alike side by side
 
 
 class ShardCounts:
@@ -560,7 +570,7 @@ def context_counts(counts: DataFrame) -> DataFrame:
 
     rows = map_arrow(counts, run, "context long, by_bytes int, pair int, n long")
     summed = rows.repartition("context").groupBy("context", "by_bytes", "pair").agg(F.sum("n").alias("n"))
-    return shared_table(summed.groupBy("context", "by_bytes").agg(F.sum("n").alias("total"), F.collect_list(F.col("n") * 65536 + F.col("pair")).alias("steps")), "lm-contexts")
+    return shared_table(summed.groupBy("context", "by_bytes").agg(F.sum("n").alias("total"), F.collect_list(F.col("n") * 65536 + F.col("pair")).alias("steps")), "lm-contexts", drop_shuffles=True)
 
 
 @dataclass(frozen=True)
@@ -675,7 +685,8 @@ def _asked(texts: DataFrame, shared: Broadcast, rare_bytes: bool) -> DataFrame:
         return shards.take(at), contexts.take(at)
 
     def _rows(some: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(some[0], pa.int64()), pa.array(some[1].view(np.int64))], names=["shard", "context"])
+        order = np.lexsort((some[1], some[0]))  # rows that begin alike side by side
+        return pa.RecordBatch.from_arrays([pa.array(some[0].take(order), pa.int64()), pa.array(some[1].take(order).view(np.int64))], names=["shard", "context"])
 
     return map_arrow(texts, run, "shard long, context long").repartition("context").dropDuplicates(["shard", "context"])
 
@@ -712,18 +723,23 @@ def _short(numbers: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def _pack(contexts: np.ndarray, sizes: np.ndarray, steps: np.ndarray) -> bytes:
+    """Contexts as their differences (small where they come in order), all highest bytes first, then all second ones, ..."""
     (short_sizes, long_sizes), (short_n, long_n) = _short(sizes), _short(steps >> 16)
-    head = np.array([len(sizes), len(steps)], np.int64)
-    return b"".join([head.tobytes(), contexts.tobytes(), long_sizes, long_n, (steps & 0xFFFF).astype(np.uint16).tobytes(), short_sizes, short_n])
+    apart = np.diff(contexts.view(np.uint64), prepend=np.uint64(0)).astype(">u8").view(np.uint8).reshape(-1, 8).T
+    raw = b"".join([np.array([len(sizes), len(steps)], np.int64).tobytes(), long_sizes, long_n, apart.tobytes(), (steps & 0xFFFF).astype(np.uint16).tobytes(), short_sizes, short_n])
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def _open(pack: pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Contexts, pairs and counts of a pack."""
-    rows, steps = np.frombuffer(pack, np.int64, 2).tolist()
-    short = np.frombuffer(pack, np.uint8, offset=len(pack) - rows - steps).astype(np.int64)
-    short[short == 255] = np.frombuffer(pack, np.int64, int((short == 255).sum()), 16 + 8 * rows)  # of the sizes, then of the counts
-    pairs = np.frombuffer(pack, np.uint16, steps, len(pack) - rows - 3 * steps).astype(np.int64)
-    return np.repeat(np.frombuffer(pack, np.uint64, rows, 16), short[:rows]), pairs, short[rows:]
+    raw = pa.decompress(pack.slice(8), int.from_bytes(pack.slice(0, 8).to_pybytes(), "little"), "zstd")
+    rows, steps = np.frombuffer(raw, np.int64, 2).tolist()
+    short = np.frombuffer(raw, np.uint8, offset=len(raw) - rows - steps).astype(np.int64)
+    short[short == 255] = np.frombuffer(raw, np.int64, int((short == 255).sum()), 16)  # of the sizes, then of the counts
+    pairs = np.frombuffer(raw[len(raw) - rows - 3 * steps :], np.uint16, steps).astype(np.int64)
+    apart = np.frombuffer(raw, np.uint8, 8 * rows, len(raw) - 9 * rows - 3 * steps).reshape(8, rows)
+    contexts = np.cumsum(np.ascontiguousarray(apart.T).view(">u8").ravel().astype(np.uint64))
+    return np.repeat(contexts, short[:rows]), pairs, short[rows:]
 
 
 def _opened(packs: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -743,6 +759,36 @@ SCORED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n
                        T.StructField("bytes", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("rare", T.ArrayType(T.LongType(), False))])
 
 
+def _packed(texts: DataFrame) -> DataFrame:
+    """``shard``, ``size`` (bytes of the text), ``body`` (the text, compressed for the shuffle by
+    itself, so that rows stay rows; null and empty: empty) and ``kept`` of ``shard``, ``text`` and ``kept``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                own = part.column(1).cast(pa.large_binary()).fill_null(b"")
+                bodies = [pa.compress(t.as_buffer(), "zstd", asbytes=True) for t in own]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([t.as_buffer().size for t in own], pa.int32()), pa.array(bodies, pa.binary()), part.column(2)],
+                                                 names=["shard", "size", "body", "kept"])
+
+    schema = T.StructType([texts.schema["shard"], T.StructField("size", T.IntegerType()), T.StructField("body", T.BinaryType()), texts.schema["kept"]])
+    return map_arrow(texts, run, schema)
+
+
+def _runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Begin and end of runs of ``sizes`` that come to ``limit`` at most, or are one row."""
+    ends, begin = np.cumsum(sizes, dtype=np.int64), 0
+    while begin < len(sizes):
+        before = ends[begin] - sizes[begin]
+        end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield begin, end
+        begin = end
+
+
+def _unpacked_texts(sizes: np.ndarray, bodies: pa.Array) -> pa.Array:
+    return pa.array([pa.decompress(b.as_buffer(), n, "zstd", asbytes=True) for n, b in zip(sizes.tolist(), bodies)], pa.large_binary())
+
+
 def score_texts(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """Every row of ``docs`` (without the text) with ``n_tokens`` (words and the
     end), ``n_known`` (tokens that the model has seen), ``base_score`` (log10
@@ -762,24 +808,25 @@ def score_texts(docs: DataFrame, model: LanguageModel, text: str = "text") -> Da
         end_cost, end_known = np.log10(texts + 1.0), int(texts > 0)
         current, learnt, table = None, None, None
         for batch in batches:
-            shard, is_text = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(is_text) != 0)) + 1
+            shard, size = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(size < 0) != 0)) + 1
             for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
                 if begin == end:
                     continue
                 if shard[begin] != current:  # a shard's answers come first
                     current, learnt, table = shard[begin], [], None
                 run_of = batch.slice(begin, end - begin)
-                if is_text[begin] == 0:
-                    for counted in _opened(run_of.column(3)):
+                if size[begin] < 0:
+                    for counted in _opened(run_of.column(2)):
                         learnt += _node_parts(*counted, trees)
                     continue
                 if table is None:
                     give_back()
                     table, learnt = Layered(held, ContextTable.of_parts(learnt)), None
-                for part in slices(run_of, 2, SLICE):
+                for a, b in _runs(size[begin:end], SLICE):
+                    part = run_of.slice(a, b - a)
                     give_back()  # what the slice before has freed lies in pieces
-                    own, data, offsets = streams(part.column(2))
+                    own, data, offsets = streams(_unpacked_texts(part.column(1).to_numpy(), part.column(2)))
                     words = Words(data, offsets)
                     place = np.searchsorted(keys, words.keys.view(np.int64))
                     known = (np.append(keys, 0)[place] == words.keys.view(np.int64) if len(keys) else np.zeros(len(words.keys), bool)).take(words.which)
@@ -790,7 +837,7 @@ def score_texts(docs: DataFrame, model: LanguageModel, text: str = "text") -> Da
                     rare = np.concatenate([[0], np.cumsum(np.bincount(row[~known], minlength=len(n)))])
                     columns = {"n_tokens": n + 1, "n_known": np.bincount(row[known], minlength=len(n)) + end_known, "log_counts": cost,
                                "bytes": [len(s) for s in own], "score": score(own, data, offsets, trees, table, words)}
-                    arrays = [part.column(4).field(i) for i in range(len(keep))]
+                    arrays = [part.column(3).field(i) for i in range(len(keep))]
                     arrays += [pa.array(columns[f.name], pa.float64() if f.dataType == T.DoubleType() else pa.int64()) for f in SCORED.fields[:-1]]
                     arrays.append(pa.ListArray.from_arrays(pa.array(rare, pa.int32()), pa.array(words.keys.view(np.int64).take(words.which[~known]), pa.int64())))
                     del words, own, data, known, place, row
@@ -800,14 +847,14 @@ def score_texts(docs: DataFrame, model: LanguageModel, text: str = "text") -> Da
     schema = T.StructType([T.StructField(p, docs.schema[c].dataType) for p, c in zip(plain, keep)] + list(SCORED.fields))
     kept = F.struct(F.lit(0).alias("none")) if not keep else F.struct(*[F.col(quoted(c)).alias(p) for p, c in zip(plain, keep)])
     body, shard = F.col(quoted(text)).cast("string").alias("text"), _shard(docs, model.shards).alias("shard")
-    rows = docs.select(shard, F.lit(1).alias("is_text"), body, F.lit(None).cast("binary").alias("counts"), kept.alias("kept"))
+    rows = _packed(docs.select(shard, body, kept.alias("kept")))
     told = _told(_asked(docs.select(shard, body), shared, model.rare_bytes), model.rare).select(
-        "shard", F.lit(0).alias("is_text"), F.lit(None).cast("string").alias("text"), "counts", F.lit(None).cast(rows.schema["kept"].dataType).alias("kept"))
+        "shard", F.lit(-1).alias("size"), F.col("counts").alias("body"), F.lit(None).cast(rows.schema["kept"].dataType).alias("kept"))
     dealt = told.unionByName(rows).repartitionById(model.shards, F.col("shard").cast("int"))
-    # texts of about one length go side by side: the longest of a slice sets how many updates it takes
-    dealt = dealt.sortWithinPartitions("shard", "is_text", F.octet_length("text"))
+    # answers first; texts of about one length go side by side: the longest of a slice sets how many updates it takes
+    dealt = dealt.sortWithinPartitions("shard", "size")
     # the row key is stored with the rows, so it stays what it is if a task runs again
-    scored = shared_table(map_arrow(dealt, run, schema).withColumn("row_key", F.monotonically_increasing_id()), "lm-scored")
+    scored = shared_table(map_arrow(dealt, run, schema).withColumn("row_key", F.monotonically_increasing_id()), "lm-scored", drop_shuffles=True)
     found = (scored.select("row_key", F.explode("rare").alias("key")).join(model.counts, "key")
              .groupBy("row_key").agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("n") + 1.0)).alias("more_log")))
     total = float(model.tokens + model.types + 1)
