@@ -5,6 +5,9 @@ import numpy as np
 import pyarrow as pa
 
 from tests.llm.conftest import HARD
+from tests.llm.test_lm import shuffle_files
+from tidemark.llm import neardup
+from tidemark.llm.common import shared_table
 from tidemark.llm.neardup import components, keep_one, probability_jaccard, probminhash, shingles, with_classes
 
 
@@ -98,3 +101,21 @@ def test_components_of_chains(spark):
     df = spark.createDataFrame([(bytearray(a.encode()), bytearray(b.encode())) for a, b in edges], "a binary, b binary")
     got = {bytes(r["node"]).decode(): bytes(r["label"]).decode() for r in components(df).collect()}
     assert got == {f"{i:03}": "000" for i in range(41)} | {"900": "900", "901": "900", "905": "900"}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, docs, monkeypatch):
+    stored, left = [], set()
+
+    def store(df, name, **how):
+        before = shuffle_files(spark)
+        table = shared_table(df, name, **how)
+        stored.append(name)
+        left.update((name, f) for f in shuffle_files(spark) - before)
+        return table
+
+    monkeypatch.setattr(neardup, "shared_table", store)
+    rnd = random.Random(9)
+    kept = keep_one(docs([r for k in range(4) for r in family(rnd, 100 * k + 50)] + [(1, "same"), (2, "same")])).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 50, 150, 250, 350]
+    assert {"signatures", "bucket-members", "shingles", "star-edges", "edges", "labels", "class-bests"} <= set(stored)
+    assert not left

@@ -262,16 +262,16 @@ def components(edges: DataFrame) -> DataFrame:
     """``node``, ``label``: the least node that each node of ``edges`` (a, b) is
     connected with. Labels spread along edges and along labels, so that long
     chains shorten by doubling; each round is stored."""
-    edges = shared_table(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    edges = shared_table(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges", drop_shuffles=True)
     labels = shared_table(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
-                          .select("node", F.least("node", "near").alias("label"), F.lit(True).alias("changed")), "labels")
+                          .select("node", F.least("node", "near").alias("label"), F.lit(True).alias("changed")), "labels", drop_shuffles=True)
     while labels.where("changed").take(1):
         heard = (edges.join(labels.select(F.col("node").alias("b"), "label"), "b")
                  .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard")))
         step = labels.select("node", "label").join(heard, "node").select("node", "label", F.least("label", "heard").alias("near"))
         far = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
         labels = shared_table(step.join(far, "near").select("node", F.least("near", "far").alias("label"),
-                                                            (F.least("near", "far") < F.col("label")).alias("changed")), "labels")
+                                                            (F.least("near", "far") < F.col("label")).alias("changed")), "labels", drop_shuffles=True)
     return labels.select("node", "label")
 
 
@@ -282,26 +282,26 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
     texts = docs.where(body.isNotNull()).select(F.unhex(F.md5(body.cast("binary"))).alias("digest"), body.alias("text"))
     marks = map_texts(texts, "text", ["digest"], SIGNATURE, lambda: _signatures)
     marks = marks.groupBy("digest").agg(*[F.first(c).alias(c) for c in SIGNATURE.names])
-    spread = shared_table(marks.where(F.size("bands") > 0), "signatures").select("digest", F.explode("bands").alias("bucket"))
+    spread = shared_table(marks.where(F.size("bands") > 0), "signatures", drop_shuffles=True).select("digest", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    crowd = shared_table(spread.join(shared, "bucket"), "bucket-crowds")
+    crowd = shared_table(spread.join(shared, "bucket"), "bucket-crowds", drop_shuffles=True)
     # a bucket's star is centred on the text that meets most others over all its buckets: among
     # edited copies that is the one edited least, to which most others are similar
     weight = crowd.groupBy("digest").agg(F.sum("n").alias("met"))
     crowd = crowd.join(weight, "digest")
     centre = crowd.groupBy("bucket").agg(F.max(F.struct("met", "digest")).alias("top")).select("bucket", F.col("top.digest").alias("rep"))
-    members = shared_table(crowd.join(centre, "bucket").select("bucket", "digest", "rep", "n"), "bucket-members")
+    members = shared_table(crowd.join(centre, "bucket").select("bucket", "digest", "rep", "n"), "bucket-members", drop_shuffles=True)
 
     # shingles of the texts that share a bucket, one row for each distinct text
-    lists = shared_table(_shingles_of(texts, members.select("digest").distinct()), "shingles")
+    lists = shared_table(_shingles_of(texts, members.select("digest").distinct()), "shingles", drop_shuffles=True)
     stars = members.where("digest <> rep").groupBy("digest", "rep").agg(F.max("n").alias("n"))
-    near = shared_table(_verify(stars, lists, threshold), "star-edges").select(F.col("digest").alias("a"), F.col("rep").alias("b"))
+    near = shared_table(_verify(stars, lists, threshold), "star-edges", drop_shuffles=True).select(F.col("digest").alias("a"), F.col("rep").alias("b"))
     labels = components(near)
 
     # buckets that hold more than one component: all but the largest one's texts against all
     # others, in blocks; a bucket of two has been compared
     placed = shared_table(members.where("n > 2").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
-                          .withColumn("label", F.coalesce("label", "digest")), "bucket-components")
+                          .withColumn("label", F.coalesce("label", "digest")), "bucket-components", drop_shuffles=True)
     largest = (placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
                .groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count(F.lit(1)).alias("labels"))
                .where("labels > 1").select("bucket", "major"))
@@ -314,7 +314,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
     rest = mixed.where("label <> major").groupBy("bucket", block.alias("r_block")).agg(gathered.alias("rest"))
     blocks = mixed.groupBy("bucket", block.alias("block")).agg(gathered.alias("texts"))
     found = map_arrow(rest.join(blocks, "bucket").select("rest", "texts"), _linked(threshold), "a binary, b binary")
-    more = shared_table(found.distinct(), "more-edges")
+    more = shared_table(found.distinct(), "more-edges", drop_shuffles=True)
     if more.take(1):
         labels = components(near.unionByName(more))
     return labels.select(F.col("node").alias("digest"), F.col("label").alias("class_digest"))
@@ -350,7 +350,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     best = (marked.where("digest IS NOT NULL").groupBy("class", own_id, "digest").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("class").agg(F.min(F.struct(F.col(own_id).isNull().alias("none"), F.col(own_id).alias("id"), "digest", "n")).alias("best"))
             .select("best.*"))
-    best = shared_table(best, "class-bests")
+    best = shared_table(best, "class-bests", drop_shuffles=True)
     rows = plain.withColumn("digest", digest)
     chosen = [(rows["digest"] == best["digest"]) & rows[own_id].eqNullSafe(best["id"])]
     single, several = (rows.join(best.where(n), chosen, "left_semi") for n in ("n = 1", "n > 1"))
