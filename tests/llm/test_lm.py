@@ -330,3 +330,41 @@ def test_scoring_a_slice_takes_bounded_memory_per_byte():
     lm.score(own, data, offsets, trees, empty)
     _, peak = traced_peak(lambda: lm.score(own, data, offsets, trees, empty))
     assert peak / len(data) < 260  # 200; with all decisions' columns held twice, 391
+
+
+def test_words_that_begin_alike_are_looked_up_once():
+    _, data, offsets = lm.streams(pa.array(["stone stones stoned stone", "stones", "", None, "stony s"]))
+    pairs, places = lm._pairs(data, lm.coded_places(offsets)), lm.coded_places(offsets)
+    laid = lm.Decisions.__new__(lm.Decisions)
+    contexts, own, which = laid._by_word(data, places, lm.Words(data, offsets))
+    assert len(set(zip(contexts.tolist(), own.tolist()))) == len(contexts)
+    assert (own.take(which) == pairs).all()
+    assert (contexts.take(which) == lm._contexts(data, places)[lm.CONTEXTS.index(0)]).all()
+
+
+def test_keys_of_one_bucket_are_found():
+    """Buckets of many keys, keys that differ in what a bucket leaves out, an empty table."""
+    rnd = np.random.default_rng(11)
+    keys = np.unique(np.concatenate([rnd.integers(0, 1 << 63, 400), (1 << 62) + rnd.integers(0, 1 << 32, 400)]).astype(np.uint64))
+    odds = rnd.normal(size=len(keys)).astype(np.float32)
+    table = lm.ContextTable(keys, odds, np.ones(len(keys), np.int8))
+    asked = np.concatenate([keys[::-1], keys + np.uint64(1)])
+    want = {int(k): o for k, o in zip(keys, odds)}
+    got, level = table.values(asked)
+    assert got.tolist() == [float(want.get(int(k), 0)) for k in asked]
+    assert level.tolist() == [int(int(k) in want) for k in asked]
+    got, level = lm.ContextTable(keys[:0], odds[:0], np.zeros(0, np.int8)).values(asked)
+    assert not got.any() and not level.any()
+
+
+def test_shards_fill_whole_rounds_of_tasks(spark, docs, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    train = docs(prose(12, 90))
+    size = int(lm.fit(train).shards)
+    assert size == 1  # one shard stays one
+    for least in (1, 2 * cores + 1):
+        _, data, offsets = lm.streams(pa.array([t for _, t in prose(12, 90)]))
+        total = len(lm.coded_places(offsets))
+        monkeypatch.setattr(lm, "SHARD_BYTES", -(-total // (least + 1)))
+        shards = lm.fit(train).shards
+        assert shards > least and shards % cores == 0

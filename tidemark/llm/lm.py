@@ -23,6 +23,7 @@ trees and the counts of frequent words and contexts passes through the driver.
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -58,6 +59,8 @@ ASKING = 1_000_000
 CHUNK = 50_000
 #: Mixer: first weight of each predictor, learning rate; refinement: largest log-odds, buckets, learning rate, share.
 FIRST_WEIGHTS, RATE = (0.3, 0.4, 0.4), 0.007
+#: The predictors whose contexts choose a decision's weights.
+GATES = (CONTEXTS.index(0), 0)
 LIMIT, BUCKETS, MAP_RATE, MAP_SHARE = np.float32(8), 24, np.float32(0.03), np.float32(0.3)
 #: No chance is below this or above one less it.
 LEAST_CHANCE = np.float32(1 / 4096)
@@ -176,17 +179,24 @@ class ContextTable:
 
     def _found(self, keys: np.ndarray) -> np.ndarray:
         """Where each key is; the last place if it is not in the table."""
+        if not len(self.check):
+            return np.zeros(len(keys), np.int64)
         bucket = (keys >> self.shift).astype(np.int64)
-        at, end = self.first.take(bucket).astype(np.int64), self.first.take(bucket + 1).astype(np.int64)
-        low = keys.astype(np.uint32)
-        found = np.full(len(keys), len(self.check), np.int64)
-        left = np.flatnonzero(at < end)
+        at = self.first.take(bucket)
+        bucket += 1
+        end, low = self.first.take(bucket), keys.astype(np.uint32)
+        hit = self.check.take(at, mode="clip") == low
+        hit &= at < end
+        found = np.where(hit, at, len(self.check))
+        at += 1
+        left = np.flatnonzero(~hit & (at < end))  # most are first in their buckets
+        at, end, low = at.take(left), end.take(left), low.take(left)
         while len(left):
-            hit = self.check.take(at.take(left)) == low.take(left)
-            found[left[hit]] = at[left[hit]]
-            left = left[~hit]
-            at[left] += 1
-            left = left[at[left] < end[left]]
+            hit = self.check.take(at) == low
+            found[left[hit]] = at[hit]
+            at += 1
+            go = np.flatnonzero(~hit & (at < end))
+            left, at, end, low = left.take(go), at.take(go), end.take(go), low.take(go)
         return found
 
 
@@ -315,20 +325,21 @@ class Decisions:
         closing = data.take(np.minimum(words.end, len(data) - 1)) != 32
         of_place[words.end[closing]] = len(at) + words.which[closing]
         inside = of_place.take(places)
-        return contexts, pairs, np.where(inside < 0, number, inside)
+        contexts, pairs, which = _distinct(contexts, pairs)  # words that begin alike share what they begin with
+        return contexts, pairs, which.take(np.where(inside < 0, number, inside))
 
     def chunks(self) -> Iterator[tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]:
-        """Of every decision: the number of its byte among the coded ones, the
-        turn, and each predictor's log-odds and how often it was seen."""
+        """Of every decision: the number of its byte among the coded ones, the turn, and each
+        predictor's log-odds and how often it was seen (only of those that open the gates)."""
         for begin in range(0, len(self.count), CHUNK):
             part = slice(begin, begin + CHUNK)
             count = self.count[part]
             byte = np.repeat(np.arange(len(count)), count)
-            nth = np.arange(len(byte)) - (np.cumsum(count) - count).take(byte)  # of its byte's decisions
+            nth = np.arange(len(byte)) - np.repeat(np.cumsum(count) - count, count)  # of its byte's decisions
             values = []
-            for at, odds, level in self.found:
-                places = at[part].take(byte) + nth
-                values.append((odds.take(places), level.take(places)))
+            for k, (at, odds, level) in enumerate(self.found):
+                places = np.repeat(at[part], count) + nth
+                values.append((odds.take(places), level.take(places) if k in GATES else None))
             yield byte + begin, self.trees.turns.take(self.first[part].take(byte) + nth), values
 
 
@@ -371,39 +382,53 @@ def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees,
     lanes, decisions, end = len(lengths), int(laid.count.sum()), 0
     lane_gates, lane_map = row * 9, row * BUCKETS
     at, base = np.empty(decisions, np.int32), np.empty(decisions, np.int32)  # lanes are at most as many as the bytes of a slice
-    turn, inputs = np.empty(decisions, np.int8), [np.empty(decisions, np.float32) for _ in CONTEXTS]
+    turn, inputs = np.empty(decisions, np.int8), np.empty((len(CONTEXTS), decisions), np.float32)
     for owner, turns, values in laid.chunks():
         begin, end = end, end + len(owner)
-        gate = values[-1][1].astype(np.int64) * 3 + values[0][1]  # how well the word so far and the shortest context are known
+        gate = values[GATES[0]][1] * np.int8(3) + values[GATES[1]][1]  # how well the word so far and the shortest context are known
         at[begin:end], base[begin:end], turn[begin:end] = lane_gates.take(owner) + gate, lane_map.take(owner), turns
         for column, (odds, _) in zip(inputs, values):
             column[begin:end] = odds
     laid.found.clear()
     give_back()
-    weights = [np.full(lanes * 9, w, np.float32) for w in FIRST_WEIGHTS]
+    weights = np.repeat(np.array(FIRST_WEIGHTS, np.float32)[:, None], lanes * 9, 1)
     scale = np.float32((BUCKETS - 0.01) / (2 * LIMIT))
     centre = (np.arange(BUCKETS) + 0.5) / scale - LIMIT
     refine = np.tile((1 / (1 + np.exp(-centre))).astype(np.float32), lanes)
-    chance = np.empty(len(turn), np.float32)  # given to the turn that was taken
-    ends = np.cumsum(np.bincount(step, weights=laid.count).astype(np.int64)).tolist()
+    chance = np.empty(len(turn), np.float32)  # of a 1; in the end that of the turn that was taken
+    ends, begin, end = np.cumsum(np.bincount(step, weights=laid.count).astype(np.int64)).tolist(), 0, 0
     for a, b in zip([0, *ends], ends):
-        x, i, y = [column[a:b] for column in inputs], at[a:b].astype(np.int64), turn[a:b].astype(np.float32)
-        total = weights[0].take(i) * x[0]
-        for w, xk in zip(weights[1:], x[1:]):
-            total += w.take(i) * xk
+        if b > end:  # few decisions a step where texts are few: their columns are widened for many steps at once
+            begin, end = a, max(b, ends[bisect_right(ends, a + CHUNK) - 1])
+            gates, lowest, turns = at[begin:end].astype(np.int64), base[begin:end].astype(np.int64), turn[begin:end].astype(np.float32)
+        x, i, y, mixed = inputs[:, a:b], gates[a - begin : b - begin], turns[a - begin : b - begin], chance[a:b]
+        parts = weights.take(i, 1)
+        parts *= x
+        total = parts[0]
+        for part in parts[1:]:
+            total += part
         np.minimum(np.maximum(total, -LIMIT, out=total), LIMIT, out=total)
         p = 1 / (1 + np.exp(-total))
-        bucket = base[a:b] + ((total + LIMIT) * scale).astype(np.int64)
+        total += LIMIT
+        total *= scale
+        bucket = total.astype(np.int64)
+        bucket += lowest[a - begin : b - begin]
         refined = refine.take(bucket)
-        mixed = p + MAP_SHARE * (refined - p)
-        np.minimum(np.maximum(mixed, LEAST_CHANCE, out=mixed), 1 - LEAST_CHANCE, out=mixed)
-        chance[a:b] = np.abs(1 - y - mixed)
-        error = np.float32(RATE) * (y - p)
-        for w, xk in zip(weights, x):
-            np.add.at(w, i, error * xk)
-        np.add.at(refine, bucket, MAP_RATE * (y - refined))
-        refine[bucket] = np.minimum(np.maximum(refine.take(bucket), 0), 1)  # many decisions of a step may be in one bucket
-    del at, base, turn, inputs, x, i, y
+        np.subtract(refined, p, out=mixed)
+        mixed *= MAP_SHARE
+        mixed += p
+        np.subtract(y, p, out=p)
+        p *= np.float32(RATE)
+        np.multiply(x, p, out=parts)
+        for w, change in zip(weights, parts):
+            np.add.at(w, i, change)
+        np.subtract(y, refined, out=refined)
+        refined *= MAP_RATE
+        np.add.at(refine, bucket, refined)
+        np.minimum(np.maximum(refine, 0, out=refine), 1, out=refine)  # many decisions of a step may be in one bucket
+    np.minimum(np.maximum(chance, LEAST_CHANCE, out=chance), 1 - LEAST_CHANCE, out=chance)
+    np.abs(np.subtract(1 - turn, chance, out=chance), out=chance)
+    del at, base, turn, inputs, gates, lowest, turns, x, i, y
     cost = np.add.reduceat(np.log(chance, out=chance), np.cumsum(laid.count) - laid.count, dtype=float) / np.log(10)  # of each byte
     return np.bincount(row, weights=cost, minlength=len(lengths))
 
@@ -637,7 +662,9 @@ def fit(train: DataFrame, text: str = "text") -> LanguageModel:
     least = _least_step([r for r in sizes if not (all_bytes and r["by_bytes"])], HELD_CONTEXTS - all_bytes * by_bytes)
     held = (_step_of("total") >= least if least is not None else F.lit(False)) | ((F.col("by_bytes") == 1) & F.lit(all_bytes))
     held |= F.col("context").isin(_first_context(np.array([32, END])).view(np.int64).tolist())  # two contexts that every text has
-    shards = -(-int(pairs.sum()) // SHARD_BYTES) or 1
+    shards, cores = -(-int(pairs.sum()) // SHARD_BYTES) or 1, train.sparkSession.sparkContext.defaultParallelism
+    if shards > 1:  # shards take long and about as long as each other: the last round of tasks is a full one
+        shards = -(-shards // cores) * cores
     return LanguageModel(trees, _held_table(contexts.where(held), trees), contexts.where(~held).select("context", "steps"), not all_bytes, shards, words,
                          int(total) + texts, int(types) + (texts > 0), texts, (keys[order], n[order]))
 
