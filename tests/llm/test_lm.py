@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests.llm.conftest import HARD
 from tidemark.llm import lm
 from tidemark.llm.common import CLEANUP, shared_table
+from tidemark.llm.jvm import DAYS
 
 
 def prose(seed, n):
@@ -368,3 +369,70 @@ def test_shards_fill_whole_rounds_of_tasks(spark, docs, monkeypatch):
         monkeypatch.setattr(lm, "SHARD_BYTES", -(-total // (least + 1)))
         shards = lm.fit(train).shards
         assert shards > least and shards % cores == 0
+
+
+def learnt(texts):
+    """Trees and the table of counts of texts, by numpy in memory."""
+    _, data, offsets = lm.streams(texts)
+    pairs = np.bincount(lm._pairs(data, lm.coded_places(offsets)), minlength=1 << 16).reshape(256, 256)
+    counts = lm.ShardCounts()
+    counts.add(texts)
+    trees = lm.Trees(pairs)
+    return trees, counts.table(trees)
+
+
+def test_the_query_scores_as_numpy_does(spark, monkeypatch):
+    """Whatever is held or asked for; a context before all bytes, bytes that are no text, large counts."""
+    texts = [t.encode() for _, t in prose(14, 150)] + [(t or "").encode() for _, t in HARD] + [b" ".join(b"ab" + bytes([x]) for x in range(256)), b"\xff\xfe  A\tB"]
+    trees, table = learnt(pa.array(texts))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, raw binary").select("doc_id", F.col("raw").cast("string").alias("text"))
+    want = lm.score(*lm.streams(pa.array(texts)), trees, table)
+    for shard_bytes, held in ((1 << 24, 1 << 21), (100_000, 500), (100_000, 0)):
+        monkeypatch.setattr(lm, "SHARD_BYTES", shard_bytes)
+        monkeypatch.setattr(lm, "HELD_CONTEXTS", held)
+        got = {r["doc_id"]: r["score"] for r in lm.score_texts(rows, lm.fit(rows.select("text"))).collect()}
+        assert all(math.isclose(got[i], x, rel_tol=1e-6) for i, x in enumerate(want))
+
+
+def test_counts_of_a_table_against_plain_python(docs):
+    """With a word longer than what is laid out at once."""
+    rows = prose(15, 300) + [(1000 + i, t) for i, (_, t) in enumerate(HARD)] + [(2000, "".join(random.Random(13).choices("abcdefghijklmnopqrstuvwxyz", k=2_200_000)))]
+    words, pairs, contexts = Counter(), Counter(), Counter()
+    for _, t in rows:
+        own = (t or "").encode().lower().split()
+        words.update(own)
+        data = b"\n" * lm.LEAD + b" ".join(own) + b"\n"
+        array = np.frombuffer(data, np.uint8)
+        places = np.arange(lm.LEAD, len(data))
+        own_pairs = (array[places - 1].astype(int) << 8 | array[places]).tolist()
+        pairs.update(own_pairs)
+        for k, keys in enumerate(lm._contexts(array, places)):
+            contexts.update(zip([3 if k == lm.CONTEXTS.index(0) else 2] * len(places), keys.view(np.int64).tolist(), own_pairs))
+    got = lm.corpus_counts(docs(rows).select("text").repartition(3)).collect()
+    assert {r["key"]: r["n"] for r in got if r["kind"] == 0} == dict(pairs)
+    assert sorted(r["n"] for r in got if r["kind"] == 1) == sorted(words.values())
+    assert {(r["kind"], r["key"], s & 0xFFFF): s >> 16 for r in got if r["kind"] > 1 for s in r["steps"]} == dict(contexts)
+    assert all(r["n"] == sum(s >> 16 for s in r["steps"]) for r in got if r["kind"] > 1)
+    assert len(got) == len({(r["kind"], r["key"]) for r in got})
+
+
+def test_no_python_worker_goes_over_bytes(docs, monkeypatch):
+    """Workers pack the held contexts and compress texts; counts, questions, answers and scores don't go through them."""
+    made = []
+    monkeypatch.setattr(lm, "map_arrow", lambda df, run, schema, run_there=lm.map_arrow: made.append(run.__qualname__.split(".")[0]) or run_there(df, run, schema))
+    table = docs(prose(16, 50))
+    assert len(lm.score_texts(table, lm.fit(table.select("text"))).collect()) == 50
+    assert sorted(made) == ["_held_packs", "_packed"]
+
+
+def test_columns_of_any_kind_are_kept(spark):
+    kept = spark.sql("""SELECT id AS doc_id, concat('a text ', id) AS text, CAST('1582-10-10' AS date) + CAST(id AS int) AS day,
+        TIMESTAMP '0099-03-01 00:00:00.000001' AS moment, TIMESTAMP_NTZ '1500-02-28 01:02:03.4' AS wall, CAST('123456789.123456789012345678' AS decimal(38, 18)) AS price,
+        CAST(X'00FF' AS binary) AS raw, array(named_struct('a', id, 'b', NULL)) AS list, map('k', array(1.5D, NULL)) AS map, CAST(NULL AS int) AS none, id % 2 = 0 AS even,
+        CAST(id AS tinyint) AS tiny, INTERVAL '1 02:03:04.000005' DAY TO SECOND AS span FROM range(7)""")
+    names = [c for c in kept.columns if c != "text"]
+    got = lm.score_texts(kept, lm.fit(kept.select("text"))).select(*names)
+    assert got.schema.simpleString() == kept.select(*names).schema.simpleString()
+    shown = [F.col(c).cast("string") for c in names]
+    assert spark.conf.get(DAYS) == "false"
+    assert sorted(map(tuple, got.select(*shown).collect())) == sorted(map(tuple, kept.select(*shown).collect()))

@@ -11,13 +11,16 @@ text and are learned online while it is read to its end, after every ``STEP`` by
 a probability of the text and doesn't depend on how texts are dealt to tasks.
 
 What the corpus teaches are the trees and the predictors' counts, both of all training
-texts. Words and runs of five bytes are counted first, and the contexts by these: one word
-stands for all its places. The counts of every context are a Spark table. Every task
+texts. Every context with how often which byte comes after it is a row of a Spark table. Every task
 holds the most frequent contexts, ``HELD_CONTEXTS`` at most; of the others, texts ask for
 those that occur in them. Texts are dealt by hash to shards of about ``SHARD_BYTES``,
 each shard's answers come by a join in packs, and a task streams through a shard, first the
-answers, whose odds it makes some packs at a time, then the texts. Shards grow in number with the corpus, not in size; nothing but the
+answers, then the texts. Shards grow in number with the corpus, not in size; nothing but the
 trees and the counts of frequent words and contexts passes through the driver.
+
+What goes from byte to byte (counting, asking, answering, scoring) is in lm.java and runs
+in Spark's JVM. ``ShardCounts`` and :func:`score` here are the same in numpy, text by text
+in memory: what lm.java is held against.
 """
 
 from __future__ import annotations
@@ -29,12 +32,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import SpanHash, flat, give_back, map_arrow, mix64, quoted, shared_table, slices, without, word_spans
+from tidemark.llm.common import SpanHash, give_back, map_arrow, mix64, quoted, shared_table, slices, without, word_spans
+from tidemark.llm.jvm import java_task, map_java
 
 END = 10  # closes a text; no word holds it
 #: Bytes before the first, so that contexts don't reach into another text.
@@ -45,16 +49,12 @@ CONTEXTS = (3, 4, 0)
 SHARD_BYTES = 16 << 20
 #: (Context, pair of bytes) whose counts every task holds, at most; rarer contexts are joined.
 HELD_CONTEXTS = 1 << 21
-#: Contexts of an answer, about: they go to their shards in packs.
-TOLD = 500_000
 #: Counts that are gathered before they are summed, and those whose odds are made at once.
 HELD_COUNTS, COUNTS_TOGETHER = 1_000_000, 100_000
 #: Keys that are looked up in a table at once.
 LOOKED_UP = 1 << 17
-#: Bytes of texts scored side by side, and between two updates of the weights.
-SLICE, STEP = 1_000_000, 8
-#: Bytes of texts that are counted, or ask for contexts, together.
-ASKING = 1_000_000
+#: Bytes between two updates of the weights.
+STEP = 8
 #: Bytes whose decisions are laid out at once.
 CHUNK = 50_000
 #: Mixer: first weight of each predictor, learning rate; refinement: largest log-odds, buckets, learning rate, share.
@@ -120,10 +120,6 @@ class Trees:
         self.begin = np.array([*begin, used], np.int64)
         self.spread, self.turns = mix64(np.array(nodes, np.uint64) + np.uint64(1)), np.array(turns, np.int8)
 
-    def first_keys(self, contexts: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """Keys of contexts with the first node after the byte ``before``: a table that has a context has this."""
-        return mix64(contexts ^ self.spread.take(self.begin.take(before.astype(np.int64) * 256)))
-
 
 class ContextTable:
     """Log-odds of a 1 and how often seen (0: not, 1: up to four times, 2: more) of
@@ -222,7 +218,7 @@ def _node_keys(contexts: np.ndarray, pairs: np.ndarray, trees: Trees) -> tuple[n
     return mix64(np.repeat(contexts, count) ^ trees.spread.take(path)), path, count
 
 
-def _looked_up(contexts: np.ndarray, pairs: np.ndarray, trees: Trees, table: ContextTable | Layered) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _looked_up(contexts: np.ndarray, pairs: np.ndarray, trees: Trees, table: ContextTable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where the values of each (context, pair) begin, and the values, some pairs at a time."""
     count = trees.begin.take(pairs + 1) - trees.begin.take(pairs)
     ends = np.append(0, np.cumsum(count))
@@ -234,19 +230,6 @@ def _looked_up(contexts: np.ndarray, pairs: np.ndarray, trees: Trees, table: Con
     return ends[:-1].astype(np.int32 if ends[-1] < 1 << 31 else np.int64), odds, level
 
 
-class Layered:
-    """Two tables as one: what the first has not, the second may have."""
-
-    def __init__(self, first: ContextTable, second: ContextTable):
-        self.first, self.second = first, second
-
-    def values(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        odds, level = self.first.values(keys)
-        left = np.flatnonzero(level == 0)
-        odds[left], level[left] = self.second.values(keys.take(left))
-        return odds, level
-
-
 class Words:
     """The distinct words of streams: their keys, where one of each is, how often it
     occurs (``n``) and how often as a text's last word (``n_last``)."""
@@ -286,7 +269,7 @@ def _gram_contexts(grams: np.ndarray) -> dict[int, np.ndarray]:
 class Decisions:
     """The binary decisions of a run of streams."""
 
-    def __init__(self, data: np.ndarray, places: np.ndarray, trees: Trees, table: ContextTable | Layered, words: Words):
+    def __init__(self, data: np.ndarray, places: np.ndarray, trees: Trees, table: ContextTable, words: Words):
         pair = _pairs(data, places)
         self.first = trees.begin.take(pair)
         self.count = trees.begin.take(pair + 1) - self.first
@@ -370,8 +353,15 @@ def _contexts(data: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
     return [by_order[k] if order else _hashed(k, word) for k, order in enumerate(CONTEXTS)]
 
 
-def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees, table: ContextTable | Layered, words: Words | None = None) -> np.ndarray:
-    """Log10 probability of each stream."""
+def _first_map() -> tuple[np.float32, np.ndarray]:
+    """Buckets of the refinement per unit of log-odds, and their first chances."""
+    scale = np.float32((BUCKETS - 0.01) / (2 * LIMIT))
+    centre = (np.arange(BUCKETS) + 0.5) / scale - LIMIT
+    return scale, (1 / (1 + np.exp(-centre))).astype(np.float32)
+
+
+def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees, table: ContextTable, words: Words | None = None) -> np.ndarray:
+    """Log10 probability of each stream. The query scores by ``Mixer`` in lm.java, which tests hold against this."""
     lengths = np.diff(offsets) - LEAD
     row = np.repeat(np.arange(len(lengths)), lengths)
     within = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -392,9 +382,8 @@ def score(own: list[bytes], data: np.ndarray, offsets: np.ndarray, trees: Trees,
     laid.found.clear()
     give_back()
     weights = np.repeat(np.array(FIRST_WEIGHTS, np.float32)[:, None], lanes * 9, 1)
-    scale = np.float32((BUCKETS - 0.01) / (2 * LIMIT))
-    centre = (np.arange(BUCKETS) + 0.5) / scale - LIMIT
-    refine = np.tile((1 / (1 + np.exp(-centre))).astype(np.float32), lanes)
+    scale, first_map = _first_map()
+    refine = np.tile(first_map, lanes)
     chance = np.empty(len(turn), np.float32)  # of a 1; in the end that of the turn that was taken
     ends, begin, end = np.cumsum(np.bincount(step, weights=laid.count).astype(np.int64)).tolist(), 0, 0
     for a, b in zip([0, *ends], ends):
@@ -444,36 +433,22 @@ def _tally(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
     return (found.dictionary.to_numpy(), *[np.bincount(which, weights=n, minlength=size).astype(np.int64) for n in counts or (None,)])
 
 
-def corpus_counts(train: DataFrame) -> DataFrame:
-    """``kind``, ``key``, ``word``, ``n``, ``n_last``: how often each pair of bytes (kind 0), each
-    word (kind 1) and each run of five bytes (kind 2) occurs in column 0 of ``train``, and
-    a word as the last of its text. A word's key is a 64-bit hash."""
+#: Packs of keys, by the highest bits of these.
+RANGED, RANGE_BITS = "range int, pack binary", 14
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for part in slices(batch, 0, ASKING):
-                _, data, offsets = streams(part.column(0))
-                places = coded_places(offsets)
-                grams, n = _tally(_grams(data, places))
-                np.add.at(pairs, (grams & np.uint64(0xFFFF)).astype(np.int64), n)
-                words = Words(data, offsets)
-                length = words.ends - words.starts
-                spelt = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(length), [
-                    None, pa.py_buffer(np.concatenate([[0], np.cumsum(length)]).astype(np.int64)), pa.py_buffer(data.take(_spread_out(words.starts, length)))])
-                yield _rows(1, words.keys.view(np.int64), spelt.cast(pa.binary()), words.n, words.n_last)
-                yield _rows(2, grams.view(np.int64), None, n, None)
-        seen = np.flatnonzero(pairs)
-        yield _rows(0, seen, None, pairs[seen], None)
-
-    def _rows(kind: int, keys: np.ndarray, words: pa.Array | None, n: np.ndarray, last: np.ndarray | None) -> pa.RecordBatch:
-        kinds, none = pa.array(np.full(len(keys), kind, np.int32)), pa.nulls(len(keys), pa.binary())
-        last = np.zeros(len(keys), np.int64) if last is None else last
-        return pa.RecordBatch.from_arrays([kinds, pa.array(keys, pa.int64()), none if words is None else words, pa.array(n, pa.int64()), pa.array(last, pa.int64())],
-                                          names=["kind", "key", "word", "n", "n_last"])
-
-    rows = map_arrow(train, count, "kind int, key long, word binary, n long, n_last long")
-    return shared_table(rows.groupBy("kind", "key", "word").agg(F.sum("n").alias("n"), F.sum("n_last").alias("n_last")).sortWithinPartitions("kind", "word"), "lm-counts", drop_shuffles=True)  # words that begin alike side by side
+
+def _by_range(rows: DataFrame) -> DataFrame:
+    return rows.repartition("range").sortWithinPartitions("range")
+
+
+def corpus_counts(train: DataFrame) -> DataFrame:
+    """``kind``, ``key``, ``n`` and ``steps``: how often each pair of bytes (kind 0), each word (kind 1), each
+    context of bytes (kind 2) and of the word so far (kind 3) occurs in column 0 of ``train``, and before which
+    byte a context how often (n * 65536 + pair of bytes). The key of a word or context is a 64-bit hash."""
+    spark = train.sparkSession
+    counted = map_java(train.select(F.col(quoted(train.columns[0])).cast("binary")), java_task(spark, "count"), RANGED)
+    summed = map_java(_by_range(counted), java_task(spark, "sum"), "kind int, key long, n long, steps array<long>")
+    return shared_table(summed, "lm-counts", drop_shuffles=True)
 
 
 class ShardCounts:
@@ -550,58 +525,28 @@ def _in_order(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     return (keys.take(order), *[c.take(order) for c in columns])
 
 
-def _node_parts(contexts: np.ndarray, pairs: np.ndarray, n: np.ndarray, trees: Trees) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Parts of a table of counts (those of a context side by side), some contexts at a time."""
-    if len(contexts):
-        begins = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1]))
-        cuts = np.unique(begins.take(np.searchsorted(begins, np.arange(0, len(contexts), COUNTS_TOGETHER), side="right") - 1)).tolist()
-        for a, b in zip(cuts, [*cuts[1:], len(contexts)]):
-            yield _in_order(*_node_odds(contexts[a:b], pairs[a:b], n[a:b], trees))
-
-
-def _held_table(contexts: DataFrame, trees: Trees) -> ContextTable:
-    """The table of some of :func:`context_counts`. The odds are made in tasks."""
+def _held_packs(contexts: DataFrame) -> list[bytes]:
+    """Some of :func:`context_counts` in packs."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, odds, level = _node_odds(*_unpacked(batch.column(0), batch.column(1)), shared.value)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(odds), pa.array(level)], names=["key", "odds", "level"])
+            steps = batch.column(1)
+            sizes = steps.value_lengths().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array([_pack(batch.column(0).to_numpy(), sizes, steps.flatten().to_numpy())], pa.binary())], names=["counts"])
 
-    shared = contexts.sparkSession.sparkContext.broadcast(trees)
-    rows = map_arrow(contexts.select("context", "steps"), run, "key long, odds float, level byte").toArrow()
-    parts = [[b.column(c).to_numpy() for c in ("key", "odds", "level")] for b in rows.to_batches()]
-    return ContextTable.of_parts([_in_order(key.view(np.uint64), odds, level) for key, odds, level in parts])
+    often = contexts.orderBy(F.desc("total"), "context")  # those that are looked up most lie side by side
+    return map_arrow(often.select("context", "steps"), run, "counts binary").toArrow()["counts"].to_pylist()
 
 
 def context_counts(counts: DataFrame) -> DataFrame:
-    """``context``, ``by_bytes`` (1: a context of bytes, 0: of a word so far), ``total`` and
-    ``steps``: how often each context occurs in the corpus of ``counts``, and before which
-    byte how often (n * 65536 + pair of bytes)."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kind, key, n, last = (batch.column(c).to_numpy() for c in ("kind", "key", "n", "n_last"))
-            for by_bytes in (1, 0):
-                learnt = ShardCounts()
-                if by_bytes:
-                    learnt.add_grams(key[kind == 2].view(np.uint64), n[kind == 2])
-                else:
-                    data, offsets = flat(batch.column("word").filter(pa.array(kind == 1)))
-                    learnt.add_words(data, offsets[:-1], offsets[1:], n[kind == 1], last[kind == 1])
-                    learnt.add_pairs(key[kind == 0], n[kind == 0])
-                contexts, pairs, times = learnt.sums()
-                yield pa.RecordBatch.from_arrays([pa.array(contexts.view(np.int64)), pa.array(np.full(len(times), by_bytes, np.int32)), pa.array(pairs, pa.int32()), pa.array(times)],
-                                                 names=["context", "by_bytes", "pair", "n"])
-
-    rows = map_arrow(counts, run, "context long, by_bytes int, pair int, n long")
-    summed = rows.repartition("context").groupBy("context", "by_bytes", "pair").agg(F.sum("n").alias("n"))
-    return shared_table(summed.groupBy("context", "by_bytes").agg(F.sum("n").alias("total"), F.collect_list(F.col("n") * 65536 + F.col("pair")).alias("steps")), "lm-contexts", drop_shuffles=True)
+    """``context``, ``by_bytes`` (1: a context of bytes, 0: of a word so far), ``total`` and ``steps`` of :func:`corpus_counts`."""
+    return counts.where("kind >= 2").select(F.col("key").alias("context"), (F.col("kind") == 2).cast("int").alias("by_bytes"), F.col("n").alias("total"), "steps")
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     trees: Trees
-    held: ContextTable  # of the frequent contexts
+    held: list[bytes]  # the frequent contexts, in packs
     rare: DataFrame  # the other contexts: context, steps
     rare_bytes: bool  # contexts of bytes are among them
     shards: int
@@ -632,13 +577,6 @@ def _least_step(counted: list, most: int) -> int | None:
     return least
 
 
-def _unpacked(contexts: pa.Array, steps: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts, pairs of bytes and counts from packed ``steps``."""
-    values = steps.flatten().to_numpy(zero_copy_only=False)
-    sizes = steps.value_lengths().to_numpy(zero_copy_only=False)
-    return np.repeat(contexts.to_numpy(zero_copy_only=False).view(np.uint64), sizes), values & 0xFFFF, values >> 16
-
-
 def fit(train: DataFrame, text: str = "text") -> LanguageModel:
     """Learn from the texts of ``train``, all of them: every text is scored by the counts of the whole corpus."""
     body = F.col(quoted(text)).cast("string").alias("text")
@@ -665,83 +603,29 @@ def fit(train: DataFrame, text: str = "text") -> LanguageModel:
     shards, cores = -(-int(pairs.sum()) // SHARD_BYTES) or 1, train.sparkSession.sparkContext.defaultParallelism
     if shards > 1:  # shards take long and about as long as each other: the last round of tasks is a full one
         shards = -(-shards // cores) * cores
-    return LanguageModel(trees, _held_table(contexts.where(held), trees), contexts.where(~held).select("context", "steps"), not all_bytes, shards, words,
+    return LanguageModel(trees, _held_packs(contexts.where(held)), contexts.where(~held).select("context", "steps"), not all_bytes, shards, words,
                          int(total) + texts, int(types) + (texts > 0), texts, (keys[order], n[order]))
 
 
-def _asked(texts: DataFrame, shared: Broadcast, rare_bytes: bool) -> DataFrame:
-    """``shard``, ``context``: contexts that are not held by all and occur in the texts of a shard."""
+def _blob(model: LanguageModel) -> bytes:
+    """What lm.java's ``Held`` reads: trees, the mixer's first values, frequent words, packs of frequent contexts."""
+    scale, first_map = _first_map()
+    mixer = np.array([*FIRST_WEIGHTS, RATE, LIMIT, scale, MAP_SHARE, LEAST_CHANCE, MAP_RATE], np.float32)
+    keys, n = model.frequent
+    size = lambda array: len(array).to_bytes(8, "little")
+    sized = (model.trees.begin.astype(np.int32), model.trees.turns, mixer, first_map)
+    parts = [part for array in sized for part in (size(array), array.tobytes())]
+    parts += [np.array([STEP, model.texts, len(keys)], np.int64).tobytes(), keys.astype(np.int64).tobytes(), n.astype(np.int64).tobytes()]
+    return b"".join(parts + [part for pack in model.held for part in (size(pack), pack)])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, held = shared.value[:2]
-        waiting = []
-        for batch in batches:
-            for part in slices(batch, 1, ASKING):
-                _, data, offsets = streams(part.column(1))
-                shard = part.column(0).to_numpy()
-                words = Words(data, offsets)
-                contexts, at, word = words.steps()
-                rows = np.repeat(shard, np.diff(words.rows))
-                asked = [(contexts, data.take(at), word, words.which, rows)]
-                if rare_bytes:
-                    grams = pa.array(_grams(data, coded_places(offsets)) >> np.uint64(8)).dictionary_encode()
-                    rows = np.repeat(shard, np.diff(offsets) - LEAD)
-                    runs = grams.dictionary.to_numpy()
-                    for contexts in _gram_contexts(runs << np.uint64(8)).values():
-                        asked.append((contexts, runs & np.uint64(0xFF), np.arange(len(contexts)), grams.indices.to_numpy().astype(np.int64), rows))
-                for contexts, before, owner, which, rows in asked:  # contexts of owners, the owner of each occurrence and its shard
-                    rare = np.flatnonzero(held.values(trees.first_keys(contexts, before))[1] == 0)
-                    contexts, has = contexts.take(rare), np.bincount(owner.take(rare), minlength=int(owner.max(initial=-1)) + 1)
-                    some = np.flatnonzero(has.take(which) > 0) if len(which) else which
-                    who = np.unique(rows.take(some) * len(has) + which.take(some))
-                    to, who = who // max(1, len(has)), who % max(1, len(has))
-                    count = has.take(who)
-                    waiting.append((np.repeat(to, count), contexts.take(_spread_out((np.cumsum(has) - has).take(who), count))))
-                    if sum(len(to) for to, _ in waiting) > HELD_COUNTS:
-                        waiting = [_once(waiting)]
-                        if 2 * len(waiting[0][0]) > HELD_COUNTS:
-                            yield _rows(waiting.pop())
-        if waiting:
-            yield _rows(_once(waiting))
-
-    def _once(waiting: list) -> tuple[np.ndarray, np.ndarray]:
-        shards, contexts = map(np.concatenate, zip(*waiting))
-        found = pa.array(mix64(contexts ^ mix64(shards.astype(np.uint64) + np.uint64(1)))).dictionary_encode()
-        at = np.empty(len(found.dictionary), np.int64)
-        at[found.indices.to_numpy()] = np.arange(len(contexts))
-        return shards.take(at), contexts.take(at)
-
-    def _rows(some: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-        order = np.lexsort((some[1], some[0]))  # rows that begin alike side by side
-        return pa.RecordBatch.from_arrays([pa.array(some[0].take(order), pa.int64()), pa.array(some[1].take(order).view(np.int64))], names=["shard", "context"])
-
-    return map_arrow(texts, run, "shard long, context long").repartition("context").dropDuplicates(["shard", "context"])
-
-
-def _told(asked: DataFrame, rare: DataFrame) -> DataFrame:
-    """``shard`` and ``counts``: what is ``asked`` and known, many contexts a row."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, rows = [], 0
-        for batch in batches:
-            waiting.append(batch)
-            rows += batch.num_rows
-            if rows >= TOLD:
-                yield _packs(waiting)
-                waiting, rows = [], 0
-        if rows:
-            yield _packs(waiting)
-
-    def _packs(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(waiting).sort_by("shard").combine_chunks()
-        shard, context, steps = (rows[c].combine_chunks() for c in ("shard", "context", "steps"))
-        values, sizes = steps.flatten().to_numpy(), steps.value_lengths().to_numpy()
-        shards, contexts, ends = shard.to_numpy(), context.to_numpy(), np.append(0, np.cumsum(sizes, dtype=np.int64))
-        cuts = np.flatnonzero(np.diff(shards, prepend=-1))
-        packs = [_pack(contexts[a:b], sizes[a:b], values[ends[a] : ends[b]]) for a, b in zip(cuts, [*cuts[1:], len(shards)])]
-        return pa.RecordBatch.from_arrays([pa.array(shards[cuts], pa.int64()), pa.array(packs, pa.binary())], names=["shard", "counts"])
-
-    return map_arrow(asked.join(rare, "context").select("shard", "context", "steps"), run, "shard long, counts binary")
+def _told(texts: DataFrame, model: LanguageModel, task: JavaObject) -> DataFrame:
+    """``shard`` and ``counts``: the contexts that are not held by all and occur in the ``texts`` (shard, binary) of
+    a shard, many a row."""
+    asked = map_java(texts, task.another("ask", model.rare_bytes, model.shards), RANGED)
+    known = model.rare.select(F.shiftrightunsigned("context", 64 - RANGE_BITS).cast("int").alias("range"), F.lit(None).cast("binary").alias("pack"), "context", "steps")
+    rows = asked.select("*", F.lit(None).cast("long").alias("context"), F.lit(None).cast(known.schema["steps"].dataType).alias("steps")).unionByName(known)
+    return map_java(_by_range(rows), task.another("tell", False, model.shards), "shard long, counts binary")
 
 
 def _short(numbers: np.ndarray) -> tuple[bytes, bytes]:
@@ -758,7 +642,7 @@ def _pack(contexts: np.ndarray, sizes: np.ndarray, steps: np.ndarray) -> bytes:
 
 
 def _open(pack: pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts, pairs and counts of a pack."""
+    """Contexts, pairs and counts of a pack, as ``Pack`` in lm.java reads it."""
     raw = pa.decompress(pack.slice(8), int.from_bytes(pack.slice(0, 8).to_pybytes(), "little"), "zstd")
     rows, steps = np.frombuffer(raw, np.int64, 2).tolist()
     short = np.frombuffer(raw, np.uint8, offset=len(raw) - rows - steps).astype(np.int64)
@@ -827,61 +711,18 @@ def score_texts(docs: DataFrame, model: LanguageModel, text: str = "text") -> Da
     columns named like a result column are replaced."""
     results = ["n_tokens", "n_known", "base_score", "score", "bits_per_byte", *SCORED.names, "row_key"]
     keep = [c for c in without(docs, results) if c != text]
-    shared = docs.sparkSession.sparkContext.broadcast((model.trees, model.held, model.frequent, model.texts))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, held, (keys, counts), texts = shared.value
-        log_count = np.log10(np.append(counts, 0) + 1.0)
-        end_cost, end_known = np.log10(texts + 1.0), int(texts > 0)
-        current, learnt, table = None, None, None
-        for batch in batches:
-            shard, size = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(size < 0) != 0)) + 1
-            for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-                if begin == end:
-                    continue
-                if shard[begin] != current:  # a shard's answers come first
-                    current, learnt, table = shard[begin], [], None
-                run_of = batch.slice(begin, end - begin)
-                if size[begin] < 0:
-                    for counted in _opened(run_of.column(2)):
-                        learnt += _node_parts(*counted, trees)
-                    continue
-                if table is None:
-                    give_back()
-                    table, learnt = Layered(held, ContextTable.of_parts(learnt)), None
-                for a, b in _runs(size[begin:end], SLICE):
-                    part = run_of.slice(a, b - a)
-                    give_back()  # what the slice before has freed lies in pieces
-                    own, data, offsets = streams(_unpacked_texts(part.column(1).to_numpy(), part.column(2)))
-                    words = Words(data, offsets)
-                    place = np.searchsorted(keys, words.keys.view(np.int64))
-                    known = (np.append(keys, 0)[place] == words.keys.view(np.int64) if len(keys) else np.zeros(len(words.keys), bool)).take(words.which)
-                    place = place.take(words.which)
-                    n = np.diff(words.rows)
-                    row = np.repeat(np.arange(len(n)), n)
-                    cost = np.bincount(row[known], weights=log_count[place[known]], minlength=len(n)) + end_cost
-                    rare = np.concatenate([[0], np.cumsum(np.bincount(row[~known], minlength=len(n)))])
-                    columns = {"n_tokens": n + 1, "n_known": np.bincount(row[known], minlength=len(n)) + end_known, "log_counts": cost,
-                               "bytes": [len(s) for s in own], "score": score(own, data, offsets, trees, table, words)}
-                    arrays = [part.column(3).field(i) for i in range(len(keep))]
-                    arrays += [pa.array(columns[f.name], pa.float64() if f.dataType == T.DoubleType() else pa.int64()) for f in SCORED.fields[:-1]]
-                    arrays.append(pa.ListArray.from_arrays(pa.array(rare, pa.int32()), pa.array(words.keys.view(np.int64).take(words.which[~known]), pa.int64())))
-                    del words, own, data, known, place, row
-                    yield pa.RecordBatch.from_arrays(arrays, names=[*plain, *SCORED.names])
-
+    task = java_task(docs.sparkSession, "score", _blob(model))
     plain = [f"c{i}" for i in range(len(keep))]
     schema = T.StructType([T.StructField(p, docs.schema[c].dataType) for p, c in zip(plain, keep)] + list(SCORED.fields))
     kept = F.struct(F.lit(0).alias("none")) if not keep else F.struct(*[F.col(quoted(c)).alias(p) for p, c in zip(plain, keep)])
     body, shard = F.col(quoted(text)).cast("string").alias("text"), _shard(docs, model.shards).alias("shard")
     rows = _packed(docs.select(shard, body, kept.alias("kept")))
-    told = _told(_asked(docs.select(shard, body), shared, model.rare_bytes), model.rare).select(
+    told = _told(docs.select(shard, body.cast("binary")), model, task).select(
         "shard", F.lit(-1).alias("size"), F.col("counts").alias("body"), F.lit(None).cast(rows.schema["kept"].dataType).alias("kept"))
     dealt = told.unionByName(rows).repartitionById(model.shards, F.col("shard").cast("int"))
-    # answers first; texts of about one length go side by side: the longest of a slice sets how many updates it takes
-    dealt = dealt.sortWithinPartitions("shard", "size")
+    dealt = dealt.sortWithinPartitions("shard", "size")  # answers first
     # the row key is stored with the rows, so it stays what it is if a task runs again
-    scored = shared_table(map_arrow(dealt, run, schema).withColumn("row_key", F.monotonically_increasing_id()), "lm-scored", drop_shuffles=True)
+    scored = shared_table(map_java(dealt, task, schema).withColumn("row_key", F.monotonically_increasing_id()), "lm-scored", drop_shuffles=True)
     found = (scored.select("row_key", F.explode("rare").alias("key")).join(model.counts, "key")
              .groupBy("row_key").agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("n") + 1.0)).alias("more_log")))
     total = float(model.tokens + model.types + 1)
